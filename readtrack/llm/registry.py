@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from . import op3_forest, op10_topk
+from . import op1_mix, op3_forest, op6_warc, op7_chat, op8_pack, op10_topk
 
 
 def queries() -> dict:
     return {
+        "op1_mix_sources": op1_mix.query,
         "op3_hash_prefix_forest": op3_forest.query,
+        "op6_arc_to_warc": op6_warc.query,
+        "op7_perspective_rotation": op7_chat.query,
+        "op8_harmonic_packing": op8_pack.query,
         "op10_exact_topk": op10_topk.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_topk": op10_topk.ORACLE}
+    return {
+        "op6_arc_to_warc": op6_warc.ORACLE,
+        "op7_perspective_rotation": op7_chat.ORACLE,
+        "op10_exact_topk": op10_topk.ORACLE,
+    }
