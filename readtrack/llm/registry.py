@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from . import op1_mix, op3_forest, op6_warc, op7_chat, op8_pack, op10_topk
+from . import op1_mix, op3_forest, op4_simhash, op5_toxic, op6_warc, op7_chat, op8_pack, op9_suffix, op10_topk
 
 
 def queries() -> dict:
     return {
         "op1_mix_sources": op1_mix.query,
         "op3_hash_prefix_forest": op3_forest.query,
+        "op4_golay_simhash": op4_simhash.query,
+        "op5_pu_toxicity": op5_toxic.query,
         "op6_arc_to_warc": op6_warc.query,
         "op7_perspective_rotation": op7_chat.query,
         "op8_harmonic_packing": op8_pack.query,
+        "op9_column_suffixes": op9_suffix.query,
         "op10_exact_topk": op10_topk.query,
     }
 
