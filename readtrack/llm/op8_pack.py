@@ -13,7 +13,9 @@ documents of their own; a null doc_id is an ordinary value. Texts of any length
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections import defaultdict
 
 import pyarrow as pa
@@ -24,12 +26,58 @@ from .common import Scratch, table, union_all
 
 CAPACITY, END_ID, TOKENIZER = 2048, 1, "word_bpe_49k.json"
 FINE, SLACK = 32, 16
-CACHE = 200_000
+RUNS_KEPT, WORDS_KEPT = 250_000, 600_000
+#: Marks that the tokenizer never joins to letters (the apostrophe is not one), and words it treats alike in either case.
+MARKS, PLAIN = ".,;:!?()\"-", re.compile(r"[A-Za-z\u00df-\u00f6\u00f8-\u00ff\u00c0-\u00d6\u00d8-\u00de]+").fullmatch
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k int, sequence_id long, offset long"
 NAMES = [c.split()[0] for c in PIECE.split(", ")]
 NOT_SPACE_FOR_ALL = "\x1c\x1d\x1e\x1f"  # str.split() takes them for spaces, the tokenizer doesn't
 
 
+class Words(dict):
+    """word -> ids, encoded on first use."""
+
+    def __init__(self, tok):
+        from tokenizers import pre_tokenizers
+
+        super().__init__()
+        self.tok, self.model = tok, tok.model
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        if PLAIN(word) and word.islower():  # nothing left to normalise or split: straight to the merges
+            found = [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.letters))]
+        else:
+            found = self.tok.encode(word, add_special_tokens=False).ids
+        ids = self[word] = array("I", found).tobytes()
+        return ids
+
+
+class Runs(dict):
+    """A run of text without white space -> ids, put together from its word and the marks around it where it is so plain."""
+
+    def __init__(self, tok):
+        super().__init__()
+        self.words = Words(tok)
+
+    def __missing__(self, run: str) -> bytes:
+        if len(self) >= RUNS_KEPT:
+            self.clear()
+        word = run.strip(MARKS)
+        if PLAIN(word):
+            at = run.index(word)
+            before, after = run[:at], run[at + len(word) :]
+            ids = self.words[word.lower()]
+            ids = (self.words[before] if before else b"") + ids + (self.words[after] if after else b"")
+        else:
+            ids = self.words[run]
+        self[run] = ids
+        return ids
+
+
 class Encoder:
     """Ids of a text as little-endian 32-bit bytes. No token crosses white space, so runs without it are encoded once and kept."""
 
@@ -37,25 +85,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok, self.end = Tokenizer.from_file(path), end_id.to_bytes(4, "little")
-        self.kept: dict[str, bytes] = {}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(x.to_bytes(4, "little") for x in e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        self.runs = Runs(self.tok)
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return self.end
         if any(c in text for c in NOT_SPACE_FOR_ALL):
-            return self.ids([text])[0] + self.end
-        runs = text.split()
-        kept = self.kept
-        if new := {r for r in runs if r not in kept}:
-            if len(kept) + len(new) > CACHE:
-                kept = self.kept = {}
-                new = set(runs)
-            new = list(new)
-            kept.update(zip(new, self.ids(new), strict=True))
-        return b"".join([kept[r] for r in runs]) + self.end
+            return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes() + self.end
+        return b"".join(map(self.runs.__getitem__, text.split())) + self.end
 
 
 def class_of(length: int, capacity: int) -> int:
