@@ -67,7 +67,8 @@ def monthly_members(messages: DataFrame) -> DataFrame:
 def weekday_by_hour(messages: DataFrame) -> DataFrame:
     """A row a weekday, a column an hour (h0 to h23); missing is 0."""
     spine = messages.sparkSession.createDataFrame([(d,) for d in DAYS], "weekday string")
-    g = messages.groupBy(F.date_format("timestamp", "EEEE").alias("weekday")).pivot(F.hour("timestamp"), list(range(24))).count()
+    at = messages.select(F.date_format("timestamp", "EEEE").alias("weekday"), F.hour("timestamp").alias("hour"))
+    g = at.groupBy("weekday").pivot("hour", list(range(24))).count()
     return spine.join(g, "weekday", "left").fillna(0).select("weekday", *[F.col(str(h)).alias(f"h{h}") for h in range(24)])
 
 

@@ -77,7 +77,7 @@ def pattern_of_tags(text: Column, tokens: Column, tags: Column) -> Column:
 
 def token_confusion(sentences: DataFrame, gold: str, pred: str, *by: str) -> DataFrame:
     """By pattern: total, correct, accuracy, false positives, false negatives, wrong tags."""
-    t = sentences.select(*by, F.explode(F.arrays_zip(F.col(gold).alias("g"), F.col(pred).alias("p"))).alias("z")).select(*by, F.col(f"z.{gold}").alias("g"), F.col(f"z.{pred}").alias("p"))
+    t = sentences.select(*by, F.explode(F.arrays_zip(F.col(gold).alias("g"), F.col(pred).alias("p"))).alias("z")).select(*by, "z.g", "z.p")
     g, p = F.col("g"), F.col("p")
     return t.groupBy(*by).agg(
         F.count("*").alias("total"), F.count_if(g == p).alias("correct"), F.round(F.avg((g == p).cast("int")), 4).alias("accuracy"),

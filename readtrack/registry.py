@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from .queries import activity, reading, texts
+
+AREAS = (texts, reading, activity)
+
 
 def queries() -> dict:
-    return {}
+    return {name: fn for area in AREAS for name, fn in area.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for area in AREAS for name, sql in area.SQL.items()}
