@@ -7,7 +7,8 @@ fingerprints that differ in at most two bits have one segment of the three witho
 (pigeonhole), and at most two errors in the next: so they meet under the exact value of the one
 with a codeword index of the other. Each fingerprint has 3 to 18 such keys. Rows that meet are
 verified by counting bits, and only links that join a key's rows into components are kept, so no
-group's pairs are ever listed. Equal fingerprints are folded first.
+group's pairs are ever listed. Equal fingerprints are folded first. `wide_classes` does the same for a
+similarity of about 0.8, with 128 bits, where segments may err more and pairs of codewords are the keys.
 
 Null and empty texts have no word and fingerprint zero, linked like any other. Fewer words than a
 shingle make one shingle. A null doc_id is never a component's name unless all its members lack an
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, connected_components, table
 
 WORDS, SEED, DISTANCE = 3, 42, 2
+WIDE_WORDS, WIDE_DISTANCE = 5, 25
 SEGMENTS = ((42, 22), (21, 21), (0, 21))  # lowest bit and width
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, of the (23, 12) code
 CHUNK = 1 << 16
@@ -66,6 +68,19 @@ def fingerprints(docs: DataFrame, n: int = WORDS, seed: int = SEED) -> DataFrame
     return texts.mapInArrow(run, "doc_id long, fp long")
 
 
+def wide_prints(docs: DataFrame, n: int = WIDE_WORDS) -> DataFrame:
+    """(doc_id, one, two): fingerprints with two seeds."""
+
+    def run(batches):
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column(1)]
+            cols = [pa.array(np.array([fingerprint(t, n, seed) for t in texts], np.uint64).view(np.int64)) for seed in (SEED, SEED + 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["doc_id", "one", "two"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
+    return texts.mapInArrow(run, "doc_id long, one long, two long")
+
+
 # -- the Golay code ----------------------------------------------------------------------------
 
 
@@ -107,6 +122,35 @@ def keys_of(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
+def pair_keys(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) for 128-bit fingerprints: a codeword index of each of two segments, for every two of five."""
+    mask = np.uint64((1 << 23) - 1)
+    cut = [one & mask, one >> np.uint64(23) & mask, two & mask, two >> np.uint64(23) & mask, (one >> np.uint64(46) | two >> np.uint64(46) << np.uint64(18)) & mask]
+    index = []
+    for word in cut:
+        word = word.astype(np.int64)
+        near = errors()[syndrome(word)]
+        index.append(np.where(near >= 0, (word[:, None] ^ near) >> 11, -1))
+    rows, keys, kind = [], [], 0
+    for i in range(5):
+        for j in range(i):
+            both = (index[i][:, :, None] << 12 | index[j][:, None, :]).reshape(len(one), 36)
+            row, col = np.nonzero((both >= 0) & np.repeat(index[i] >= 0, 6, 1) & np.tile(index[j] >= 0, 6))
+            rows.append(row)
+            keys.append((np.int64(kind) << 24) | both[row, col])
+            kind += 1
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def fuzzy_pairs(batches):
+    for batch in batches:
+        one, two = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        for at in range(0, len(one), 1000):
+            a, b = one[at : at + 1000], two[at : at + 1000]
+            row, key = pair_keys(a.view(np.uint64), b.view(np.uint64))
+            yield pa.RecordBatch.from_pydict({"key": pa.array(key), "one": pa.array(a[row]), "two": pa.array(b[row])})
+
+
 def fuzzy_keys(batches):
     for batch in batches:
         fp = batch.column(0).to_numpy(zero_copy_only=False)
@@ -195,6 +239,73 @@ def link_groups(batches):
         yield links(held_key, held)
 
 
+def wide_forest(one: np.ndarray, two: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (row numbers) that join 128-bit fingerprints within `distance` bits into their components.
+
+    Each row not reached yet gathers what is near it in one sweep, so a group of copies takes few sweeps; rows of different
+    gatherings are compared only while these aren't joined.
+    """
+    n = len(one)
+    far = lambda i, at: np.bitwise_count(one[at] ^ one[i]).astype(np.int64) + np.bitwise_count(two[at] ^ two[i])
+    left, heads, a, b = np.arange(n), [], [], []
+    while len(left):
+        near = far(left[0], left) <= distance
+        mine = left[near]
+        heads.append(mine)
+        a.append(np.full(len(mine) - 1, left[0]))
+        b.append(mine[1:])
+        left = left[~near]
+    team = list(range(len(heads)))
+
+    def top(x):
+        while team[x] != x:
+            x = team[x]
+        return x
+
+    for x in range(len(heads)):
+        for y in range(x):
+            if top(x) != top(y):
+                for i in heads[x]:
+                    hit = np.flatnonzero(far(i, heads[y]) <= distance)
+                    if len(hit):
+                        a.append(np.array([i]))
+                        b.append(heads[y][hit[:1]])
+                        team[max(top(x), top(y))] = min(top(x), top(y))
+                        break
+    return np.concatenate(a), np.concatenate(b)
+
+
+def wide_links(distance: int):
+    def links(key, one, two):
+        bounds = np.flatnonzero(np.append(np.append(True, key[1:] != key[:-1]), True))
+        sizes = np.diff(bounds)
+        at = bounds[:-1][sizes == 2]
+        near = np.bitwise_count((one[at] ^ one[at + 1]).view(np.uint64)).astype(np.int64) + np.bitwise_count((two[at] ^ two[at + 1]).view(np.uint64)) <= distance
+        a, b = [one[at][near]], [one[at + 1][near]]
+        for start, size in zip(bounds[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+            x = one[start : start + size]
+            i, j = wide_forest(x.view(np.uint64), two[start : start + size].view(np.uint64), distance)
+            a.append(x[i])
+            b.append(x[j])
+        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
+        return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    def run(batches):
+        held = [np.empty(0, np.int64)] * 3
+        for batch in batches:
+            key, one, two = (np.concatenate([h, batch.column(i).to_numpy(zero_copy_only=False)]) for i, h in enumerate(held))
+            if not len(key):
+                continue
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut:
+                yield links(key[:cut], one[:cut], two[:cut])
+            held = [key[cut:], one[cut:], two[cut:]]
+        if len(held[0]):
+            yield links(*held)
+
+    return run
+
+
 def near_components(prints: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc_id, fp) -> (fp, component_id): components of distinct fingerprints, each named by its least doc_id."""
     distinct = scratch.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
@@ -216,9 +327,31 @@ def classify(docs: DataFrame, n: int = WORDS) -> DataFrame:
     return prints.join(classes.withColumnRenamed("fp", "c_fp"), F.col("fp") == F.col("c_fp")).select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, n: int = WORDS) -> DataFrame:
-    """The documents' rows of the least doc_id of each component; one of them where that id repeats. Rows without an id stay."""
-    found = classify(docs, n)
+def wide_classes(docs: DataFrame, n: int = WIDE_WORDS, distance: int = WIDE_DISTANCE) -> DataFrame:
+    """(doc_id, one, component_id) by 128-bit fingerprints of n-word shingles within `distance` bits.
+
+    A Jaccard similarity of 0.8 moves 19 bits of 128 on average. A segment of 23 bits then keeps a codeword
+    in half of the cases, two of the five segments in five of six; the closer two texts are, the more surely they meet.
+    """
+    scratch = Scratch(docs.sparkSession)
+    prints = scratch.keep(wide_prints(docs, n), "prints")
+    distinct = scratch.keep(prints.groupBy("one").agg(F.min("two").alias("two"), F.min("doc_id").alias("least")), "distinct")
+    met = distinct.select("one", "two").mapInArrow(fuzzy_pairs, "key long, one long, two long").repartition("key").sortWithinPartitions("key", "one")
+    edges = scratch.keep(met.mapInArrow(wide_links(distance), "a long, b long").distinct(), "edges")
+    scratch.release()
+    root = connected_components(edges, scratch)
+    named = distinct.join(root, distinct["one"] == root["node"], "left").select("one", "least", F.coalesce("root", "one").alias("root"))
+    best = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = scratch.keep(named.select(F.col("one").alias("c_one"), "root").join(best, "root").select("c_one", "component_id"), "classes")
+    return prints.join(classes, F.col("one") == F.col("c_one")).select("doc_id", "one", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents' rows but those whose component, by either kind of fingerprint, has a smaller doc_id; one row where an id repeats.
+
+    The least id of documents linked in any way always stays. Rows without an id stay.
+    """
+    found = classify(docs).select("doc_id", "component_id").unionByName(wide_classes(docs).select("doc_id", "component_id"))
     gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti")
     ids = left.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
