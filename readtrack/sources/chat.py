@@ -20,7 +20,7 @@ MESSAGE = "file string, msg_seq long, timestamp timestamp_ntz, sender string, me
 def read_chats(spark: SparkSession, path: str) -> DataFrame:
     """(file, content): each file whole; bytes that are not UTF-8 are dropped."""
     raw = spark.read.text(path, wholetext=True)
-    return raw.select(F.input_file_name().alias("file"), F.replace("value", F.lit("�"), F.lit("")).alias("content"))
+    return raw.select(F.input_file_name().alias("file"), F.regexp_replace("value", r"\x{FFFD}", "").alias("content"))
 
 
 def platform(content: Column) -> Column:
