@@ -156,12 +156,12 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, cap:
 def mixed_rows(docs: DataFrame, units: DataFrame) -> DataFrame:
     """The mix itself: every copy as a row of the documents' columns; a leading part as a shorter text."""
     u = units.where("copies > 0 or extra > 0").select(
-        F.col("doc_id").alias("u_doc"), F.col("source").alias("u_source"), F.col("size").alias("u_size"), "copies", "extra"
+        F.col("doc_id").alias("u_doc"), F.col("source").alias("u_source"), F.col("size").alias("u_size"), F.col("copies").alias("u_copies"), F.col("extra").alias("u_extra")
     )
     size = F.coalesce(F.regexp_count("text", F.lit(SPACE)), F.lit(0)).cast("long")
     named = docs.withColumn("u_size_", size)
     on = F.col("doc_id").eqNullSafe(F.col("u_doc")) & F.col("source").eqNullSafe(F.col("u_source")) & (F.col("u_size_") == F.col("u_size"))
-    each = F.transform(F.sequence(F.lit(1), F.col("copies") + 1), lambda i: F.when(i <= F.col("copies"), F.lit(-1).cast("long")).when(F.col("extra") > 0, F.col("extra")))
+    each = F.transform(F.sequence(F.lit(1), F.col("u_copies") + 1), lambda i: F.when(i <= F.col("u_copies"), F.lit(-1).cast("long")).when(F.col("u_extra") > 0, F.col("u_extra")))
     out = named.join(u, on).withColumn("u_words", F.explode(F.filter(each, lambda x: x.isNotNull())))
     lead = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(SPACE), F.lit(0)), F.lit(1), F.col("u_words").cast("int")), " ")
     text = F.when(F.col("u_words") < 0, F.col("text")).otherwise(lead)

@@ -302,15 +302,15 @@ def collection_rows(length: int, block: int):
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """k1, k2: the row's key, its doc_id and a hash of its text; rows that share it are alike."""
+    """Adds rt_k1, rt_k2 (the row's key, its doc_id and a hash of its text; rows that share it are alike) and rt_body."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.withColumns({"k1": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)), "k2": F.hash(text), "body": text.cast("binary")})
+    return docs.withColumns({"rt_k1": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)), "rt_k2": F.hash(text), "rt_body": text.cast("binary")})
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK) -> DataFrame:
     """(k1, k2, spans): from and to (excluded) of repeated strings, unmerged, of the rows that have any."""
     scratch = Scratch(docs.sparkSession)
-    texts = keyed(docs).select("k1", "k2", "body")
+    texts = keyed(docs).select(F.col("rt_k1").alias("k1"), F.col("rt_k2").alias("k2"), F.col("rt_body").alias("body"))
     anchors = scratch.keep(texts.mapInArrow(anchor_rows(length, gram), ANCHOR), "anchors")
     often = scratch.keep(anchors.groupBy("h").count().where("count > 1").select("h"), "often")
     met = scratch.keep(anchors.join(often, "h"), "met")
@@ -383,10 +383,10 @@ def digest_rows(batches):
 
 
 def with_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The documents' columns, body (the text's bytes) and spans (null where none)."""
-    found = repeated_spans(docs, length).withColumnsRenamed({"k1": "s_k1", "k2": "s_k2"})
+    """The documents' columns, rt_body (the text's bytes) and rt_spans (null where none)."""
+    found = repeated_spans(docs, length).withColumnsRenamed({"k1": "rt_s1", "k2": "rt_s2", "spans": "rt_spans"})
     d = keyed(docs)
-    return d.join(found, (d["k1"] == found["s_k1"]) & (d["k2"] == found["s_k2"]), "left").drop("k1", "k2", "s_k1", "s_k2")
+    return d.join(found, (d["rt_k1"] == found["rt_s1"]) & (d["rt_k2"] == found["rt_s2"]), "left").drop("rt_k1", "rt_k2", "rt_s1", "rt_s2")
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -407,9 +407,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 cols[k] = pa.array([w if t is None else len(t) for w, t in zip(was, texts, strict=True)], cols[k].type)
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return with_spans(docs, length).select(*names, "body", "spans").mapInArrow(run, docs.schema)
+    return with_spans(docs, length).select(*names, "rt_body", "rt_spans").mapInArrow(run, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return with_spans(docs).select("doc_id", "body", "spans").mapInArrow(digest_rows, RESULT)
+    return with_spans(docs).select("doc_id", "rt_body", "rt_spans").mapInArrow(digest_rows, RESULT)
