@@ -121,12 +121,14 @@ def parse_refs(spans: Column) -> Column:
     def run(col: pd.Series) -> pd.Series:
         out = []
         for message in col:
-            found = parse([([t["kind"] for t in s], [t["value"] for t in s]) for s in (message if message is not None else [])])
+            spelt = [[t.split(" ", 1) for t in s.split("\n") if t] for s in (message if message is not None else [])]
+            found = parse([([k for k, _ in s], [v for _, v in s]) for s in spelt])
             fit = [(a, b if b is None or b < 2**31 else None, c, d if d is None or d < 2**31 else None) for a, b, c, d in found]
             out.append([dict(zip(("book_start", "start_chapter", "book_end", "end_chapter"), r, strict=True)) for r in fit])
         return pd.Series(out)
 
-    return run(F.transform(F.coalesce(spans, F.array().cast("array<string>")), lambda s: tokens(s)))
+    given = F.coalesce(spans, F.array().cast("array<string>"))
+    return run(F.transform(given, lambda s: F.array_join(F.transform(tokens(s), lambda t: F.concat(t["kind"], F.lit(" "), F.regexp_replace(t["value"], r"\s", ""))), "\n")))
 
 
 def spans_of_hits(hits: Column) -> Column:

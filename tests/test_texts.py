@@ -55,7 +55,7 @@ def rules(spark, *texts):
 
 
 def test_rules(spark):
-    s, r = rules(spark, "Kej 1 - Kel 2:5", "baca Kej 1:1 - 2:5, lalu Mat. 3", "Gal 6 - Ef 2 ok", "Wahyu", "bukan", None, "Kej 1-3 dan Kel 4 sampai 6", "kejx 1 kej")
+    s, r = rules(spark, "Kej 1 - Kel 2:5", "baca Kej 1:1 - 2:5, lalu Mat. 3", "Gal 6 - Ef 2 ok", "Wahyu", "bukan", None, "Kej 1-3 lalu Kel 4 sampai 6", "kejx 1 kej")
     assert s[0] == [(0, 5, "Kej 1"), (8, 15, "Kel 2:5")]
     assert r[1] == [("Kej", 1, None, 2), ("Mat", 3, None, None)]
     assert r[2] == [("Gal", 6, "Ef", 2)] and r[3] == [("Wahyu", None, None, None)] and s[4] == [] and s[5] == []
