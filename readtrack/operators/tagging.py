@@ -101,3 +101,13 @@ def tag_messages(messages: DataFrame, text: str, make_tagger: Callable[[], Calla
             yield frame
 
     return messages.mapInPandas(run, schema)
+
+
+def train_vectors(sentences: DataFrame, size: int = 50, window: int = 3, passes: int = 100, seed: int = 42) -> DataFrame:
+    """(word, vector) learnt from the sentences' lower-case tokens."""
+    from pyspark.ml.feature import Word2Vec
+    from pyspark.ml.functions import vector_to_array
+
+    lower = sentences.select(F.transform("tokens", lambda t: F.lower(t)).alias("tokens"))
+    model = Word2Vec(vectorSize=size, windowSize=window, minCount=1, maxIter=passes, seed=seed, inputCol="tokens", outputCol="v").fit(lower)
+    return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
