@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="readtrack-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    return found.rstrip("/") if found else own_dir()
+
+
+@cache
+def own_dir() -> str:
+    return tempfile.mkdtemp(prefix="readtrack-")
 
 
 class Scratch:
