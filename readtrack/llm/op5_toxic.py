@@ -12,7 +12,8 @@ are no inputs of a score. P and U are bounded samples by a hash of doc_id (`most
 documents, expected; U is drawn from all documents, not only labelled ones); every whole text is
 scored. Null and empty texts have no feature and get the score of the bias alone. A null doc_id is
 not held out (its remainder is unknown) and not learnt from. Without any confirmed positive every score is 0. Rows
-repeated in labels count once; a document is positive where any of its labels is 1.
+repeated in labels count once, and rows of equal features once in either sample; a document is positive where any
+of its labels is 1.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-MOST_POSITIVE, MOST_UNLABELLED = 3000, 9000
-KEEP, LEAST_LIFT, LEAST_GAIN = 3000, 3.0, 9.0
+MOST_POSITIVE, MOST_UNLABELLED = 2500, 7500
+KEEP, LEAST_DOCS, LEAST_LIFT, LEAST_GAIN = 3000, 3, 3.0, 9.0
 LETTERS, PREFIXES = 4, (4, 5, 6)
 MARKS = ".,;:!?\"'()[]{}<>*_-\u2013\u2014\u2026\u00ab\u00bb\u00bf\u00a1\u201c\u201d\u2018\u2019"
 THRESHOLD, SEED = 0.7, 42
@@ -66,18 +67,24 @@ class Model:
         return float(1 / (1 + np.exp(-g))) if g > -700 else 0.0
 
 
-def counted(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+def counted(docs: list[np.ndarray], firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Each feature's documents, and all documents; those of one least hash, near copies as a rule, count once."""
-    first = np.array([d[0] if len(d) else 0 for d in docs], np.uint64)
-    pairs = np.unique((np.concatenate(docs).astype(np.uint64) << np.uint64(32)) | np.repeat(first, [len(d) for d in docs]))
+    pairs = np.unique((np.concatenate(docs).astype(np.uint64) << np.uint64(32)) | np.repeat(firsts.astype(np.uint64), [len(d) for d in docs]))
     ids, times = np.unique((pairs >> np.uint64(32)).astype(np.uint32), return_counts=True)
-    return ids, times, len(np.unique(first))
+    return ids, times, len(np.unique(firsts))
 
 
-def choose(pos: list[np.ndarray], unl: list[np.ndarray]) -> np.ndarray:
+def candidates(pos: list[np.ndarray], firsts: np.ndarray) -> np.ndarray:
+    """Features that could be kept at all: of LEAST_DOCS positives and more."""
+    ids, times, _ = counted(pos, firsts)
+    return ids[times >= LEAST_DOCS]
+
+
+def choose(pos: list[np.ndarray], pos_firsts: np.ndarray, unl: list[np.ndarray], unl_firsts: np.ndarray) -> np.ndarray:
     """Features LEAST_LIFT times as frequent in P as in U, by the evidence for it."""
-    ids, a, n_pos = counted(pos)
-    known, times, n_unl = counted(unl)
+    ids, a, n_pos = counted(pos, pos_firsts)
+    ids, a = ids[a >= LEAST_DOCS], a[a >= LEAST_DOCS]
+    known, times, n_unl = counted(unl, unl_firsts)
     at = np.minimum(np.searchsorted(known, ids), max(0, len(known) - 1))
     b = np.where(known[at] == ids, times[at], 0) if len(known) else np.zeros(len(ids))
     p, u = (a + 0.1) / (n_pos + 0.2), (b + 0.1) / (n_unl + 0.2)
@@ -86,9 +93,8 @@ def choose(pos: list[np.ndarray], unl: list[np.ndarray]) -> np.ndarray:
     return np.sort(ids[fit[np.argsort(-gain[fit], kind="stable")][:KEEP]])
 
 
-def train(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.1, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
-    """Full-batch Adam on the non-negative risk with the logistic loss: hashed features, and their weights and the bias."""
-    ids = choose(pos, unl)
+def train(ids: np.ndarray, pos: list[np.ndarray], unl: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.1, decay: float = 1e-4) -> np.ndarray:
+    """Full-batch Adam on the non-negative risk with the logistic loss: the weights of features `ids`, then the bias."""
 
     def rows(docs: Iterable[np.ndarray]):
         cols = [np.flatnonzero(np.isin(ids, d)) for d in docs]
@@ -115,7 +121,7 @@ def train(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, steps: int
         grad[:-1] += decay * theta[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         theta = theta - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return ids, theta
+    return theta
 
 
 # -- Spark -------------------------------------------------------------------------------------
@@ -125,8 +131,25 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def gathered(rows) -> list[np.ndarray]:
-    return [np.frombuffer(r["features"], np.uint32) for r in rows]
+def gathered(rows) -> tuple[list[np.ndarray], np.ndarray]:
+    """Features and least hashes of the documents that were digested."""
+    return [np.frombuffer(r["features"], np.uint32) for r in rows], np.array([r["first"] for r in rows], np.uint32)
+
+
+def digest(among: np.ndarray | None = None):
+    """Hashed features (those `among` only) and the least hash of all, of each text."""
+
+    def run(batches):
+        for batch in batches:
+            every = [hashed(of_text(t)) for t in batch.column(0).to_pylist()]
+            kept = every if among is None else [h[np.isin(h, among)] for h in every]
+            firsts = [int(h[0]) if len(h) else 0 for h in every]
+            yield pa.RecordBatch.from_pydict({"first": pa.array(firsts, pa.int64()), "features": pa.array([k.tobytes() for k in kept], pa.binary())})
+
+    return run
+
+
+DIGEST = "first long, features binary"
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED, seed: int = SEED) -> Model | None:
@@ -148,18 +171,18 @@ def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE,
     def part(col, share: float):
         return F.pmod(F.xxhash64(col, F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30))
 
-    def digest(batches):
-        for batch in batches:
-            found = [hashed(of_text(t)).tobytes() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_pydict({"features": pa.array(found, pa.binary())})
-
     chosen = known.where("toxic = 1").where(part("l_doc", min(1.0, most_positive / count["pos"]))).select(F.col("l_doc").alias("doc_id"))
-    unl = open_.where(part("doc_id", min(1.0, most_unlabelled / max(1, total)))).select("text").mapInArrow(digest, "features binary")
-    texts = open_.join(F.broadcast(chosen), "doc_id").select("text")
-    p, u = gathered(texts.mapInArrow(digest, "features binary").collect()), gathered(unl.collect())
-    if not any(len(x) for x in p) or not u:
+    texts = open_.join(F.broadcast(chosen), "doc_id").select("text")  # at most `most_positive` ids, as expected
+    p, p_firsts = gathered(texts.mapInArrow(digest(), DIGEST).distinct().collect())
+    if not any(len(x) for x in p):
+        return None
+    near = candidates(p, p_firsts)
+    sample = open_.where(part("doc_id", min(1.0, most_unlabelled / max(1, total)))).select("text")
+    u, u_firsts = gathered(sample.mapInArrow(digest(near), DIGEST).distinct().collect())
+    if not u:
         return None
-    ids, theta = train(p, u, prior)
+    ids = choose(p, p_firsts, u, u_firsts)
+    theta = train(ids, [x[np.isin(x, ids)] for x in p], [x[np.isin(x, ids)] for x in u], prior)
     weight = dict(zip(ids.tolist(), theta.tolist(), strict=False))
 
     def named(batches):
