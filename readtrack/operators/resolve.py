@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,12 +29,17 @@ def _indel(a: str, b: str) -> float:
     return 200.0 * (len(a) - row.bit_count()) / (len(a) + len(b))
 
 
-def partial_ratio(a: str, b: str) -> float:
-    """The best similarity of the shorter text with any stretch of the longer, cut ends among them."""
+def partial_ratio(a: str, b: str, cutoff: float = 0.0) -> float:
+    """The best similarity of the shorter text with any stretch of the longer, cut ends among them; 0 where letters in common can't reach the cutoff."""
     short, long = sorted((a, b), key=len)
     if not short:
         return 100.0 if not long else 0.0
     n = len(short)
+    common = sum((Counter(short) & Counter(long)).values())
+    if 200.0 * common / (n + common) < cutoff:
+        return 0.0
+    if short in long:
+        return 100.0
     best = max(_indel(short, long[max(0, i) : i + n]) for i in range(1 - n, len(long)))
     if len(a) == len(b):
         best = max(best, max(_indel(long, short[max(0, i) : i + n]) for i in range(1 - n, n)))
@@ -42,15 +50,16 @@ def nearest_alias(keys: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(key) -> key, book_id, score of the first best alias at or above the threshold. The alias list is the bounded side; no join."""
     known = aliases()
 
-    @F.pandas_udf("book_id int, score double")
-    def best(col: pd.Series) -> pd.DataFrame:
-        rows = []
-        for key in col:
-            score, order, book = max(((partial_ratio(key, a), -o, b) for a, o, b in known), key=lambda x: x[:2])
-            rows.append((book, score) if score >= threshold else (None, None))
-        return pd.DataFrame(rows, columns=["book_id", "score"]).astype({"book_id": "Int32", "score": "float64"})
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for key in frame["key"]:
+                score, _, book = max(((partial_ratio(key, a, threshold), -o, b) for a, o, b in known), key=lambda x: x[:2])
+                if score >= threshold:
+                    rows.append((key, book, score))
+            yield pd.DataFrame(rows, columns=["key", "book_id", "score"])
 
-    return keys.withColumn("b", best("key")).select("key", "b.book_id", "b.score").where("book_id is not null")
+    return keys.select("key").mapInPandas(run, "key string, book_id int, score double")
 
 
 def resolve(df: DataFrame, column: str, out: str, fuzzy: bool = True, threshold: float = THRESHOLD) -> DataFrame:
