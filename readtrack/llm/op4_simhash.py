@@ -7,8 +7,8 @@ fingerprints that differ in at most two bits have one segment of the three witho
 (pigeonhole), and at most two errors in the next: so they meet under the exact value of the one
 with a codeword index of the other. Each fingerprint has 3 to 18 such keys. Rows that meet are
 verified by counting bits, and only links that join a key's rows into components are kept, so no
-group's pairs are ever listed. Equal fingerprints are folded first. `wide_classes` does the same for a
-similarity of about 0.8, with 128 bits, where segments may err more and pairs of codewords are the keys.
+group's pairs are ever listed. Equal fingerprints are folded first. `near_copies` finds texts of Jaccard similarity
+SIMILAR and more by shingles of five words: fingerprints and min-hash bands name candidates, whole shingle sets decide.
 
 Null and empty texts have no word and fingerprint zero, linked like any other. Fewer words than a
 shingle make one shingle. A null doc_id is never a component's name unless all its members lack an
@@ -22,13 +22,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, table
+from .common import Scratch, connected_components, table, union_all
 
 WORDS, SEED, DISTANCE = 3, 42, 2
-WIDE_WORDS, WIDE_DISTANCE = 5, 25
+WIDE_WORDS, SIMILAR = 5, 0.8
+BANDS, BAND_ROWS = 20, 5  # a pair at 0.8 shares no band in one of 2,800 cases
+GROUP, LEADERS = 512, 64  # documents compared in one task; of larger groups, those that go ahead
 SEGMENTS = ((42, 22), (21, 21), (0, 21))  # lowest bit and width
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, of the (23, 12) code
 CHUNK = 1 << 16
@@ -68,17 +70,63 @@ def fingerprints(docs: DataFrame, n: int = WORDS, seed: int = SEED) -> DataFrame
     return texts.mapInArrow(run, "doc_id long, fp long")
 
 
-def wide_prints(docs: DataFrame, n: int = WIDE_WORDS) -> DataFrame:
-    """(doc_id, one, two): fingerprints with two seeds."""
+def shingle_set(text: bytes | None, n: int = WIDE_WORDS) -> np.ndarray:
+    """Sorted distinct XXH64 values of all shingles; fewer words than a shingle make one, no words none."""
+    words = text.lower().split() if text else []
+    if not words:
+        return np.empty(0, np.uint64)
+    shingles = zip(*(words[k:] for k in range(n)), strict=False) if len(words) >= n else [words]
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in map(b" ".join, shingles)), np.uint64))
+
+
+@lru_cache(1)
+def mixers() -> np.ndarray:
+    return np.random.default_rng(SEED).integers(1, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64) | np.uint64(1)
+
+
+def band_keys(found: np.ndarray) -> np.ndarray:
+    """A key for each band of min-hashes of a shingle set; none for an empty set."""
+    if not len(found):
+        return np.empty(0, np.int64)
+    flip, times = mixers()
+    low = np.full(BANDS * BAND_ROWS, ~np.uint64(0))
+    for at in range(0, len(found), 1024):
+        low = np.minimum(low, ((found[at : at + 1024, None] ^ flip) * times).min(0))
+    return np.array([xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(low.reshape(BANDS, BAND_ROWS))], np.uint64).view(np.int64)
+
+
+def name_of_set(found: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(found.tobytes(), SEED)
+
+
+def set_prints(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, one, keys): the fingerprint, the shingle set's name and its band keys."""
 
     def run(batches):
         for batch in batches:
             texts = [t.as_py() for t in batch.column(1)]
-            cols = [pa.array(np.array([fingerprint(t, n, seed) for t in texts], np.uint64).view(np.int64)) for seed in (SEED, SEED + 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["doc_id", "one", "two"])
+            sets = [shingle_set(t) for t in texts]
+            fp, one = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in ([fingerprint(t) for t in texts], [name_of_set(x) for x in sets]))
+            keys = pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), fp, one, keys], ["doc_id", "fp", "one", "keys"])
+
+    return bytes_of(docs).mapInArrow(run, "doc_id long, fp long, one long, keys array<long>")
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, one long, two long")
+
+def whole_sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, one, hashes): the shingle set itself."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t.as_py()) for t in batch.column(1)]
+            one = pa.array(np.array([name_of_set(x) for x in sets], np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), one, pa.array([x.tobytes() for x in sets], pa.binary())], ["doc_id", "one", "hashes"])
+
+    return bytes_of(docs).mapInArrow(run, "doc_id long, one long, hashes binary")
+
+
+def bytes_of(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
 
 
 # -- the Golay code ----------------------------------------------------------------------------
@@ -122,35 +170,6 @@ def keys_of(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def pair_keys(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) for 128-bit fingerprints: a codeword index of each of two segments, for every two of five."""
-    mask = np.uint64((1 << 23) - 1)
-    cut = [one & mask, one >> np.uint64(23) & mask, two & mask, two >> np.uint64(23) & mask, (one >> np.uint64(46) | two >> np.uint64(46) << np.uint64(18)) & mask]
-    index = []
-    for word in cut:
-        word = word.astype(np.int64)
-        near = errors()[syndrome(word)]
-        index.append(np.where(near >= 0, (word[:, None] ^ near) >> 11, -1))
-    rows, keys, kind = [], [], 0
-    for i in range(5):
-        for j in range(i):
-            both = (index[i][:, :, None] << 12 | index[j][:, None, :]).reshape(len(one), 36)
-            row, col = np.nonzero((both >= 0) & np.repeat(index[i] >= 0, 6, 1) & np.tile(index[j] >= 0, 6))
-            rows.append(row)
-            keys.append((np.int64(kind) << 24) | both[row, col])
-            kind += 1
-    return np.concatenate(rows), np.concatenate(keys)
-
-
-def fuzzy_pairs(batches):
-    for batch in batches:
-        one, two = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        for at in range(0, len(one), 1000):
-            a, b = one[at : at + 1000], two[at : at + 1000]
-            row, key = pair_keys(a.view(np.uint64), b.view(np.uint64))
-            yield pa.RecordBatch.from_pydict({"key": pa.array(key), "one": pa.array(a[row]), "two": pa.array(b[row])})
-
-
 def fuzzy_keys(batches):
     for batch in batches:
         fp = batch.column(0).to_numpy(zero_copy_only=False)
@@ -275,33 +294,89 @@ def wide_forest(one: np.ndarray, two: np.ndarray, distance: int) -> tuple[np.nda
     return np.concatenate(a), np.concatenate(b)
 
 
-def wide_links(distance: int):
-    def links(key, one, two):
-        bounds = np.flatnonzero(np.append(np.append(True, key[1:] != key[:-1]), True))
-        sizes = np.diff(bounds)
-        at = bounds[:-1][sizes == 2]
-        near = np.bitwise_count((one[at] ^ one[at + 1]).view(np.uint64)).astype(np.int64) + np.bitwise_count((two[at] ^ two[at + 1]).view(np.uint64)) <= distance
-        a, b = [one[at][near]], [one[at + 1][near]]
-        for start, size in zip(bounds[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-            x = one[start : start + size]
-            i, j = wide_forest(x.view(np.uint64), two[start : start + size].view(np.uint64), distance)
-            a.append(x[i])
-            b.append(x[j])
-        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-        return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+def stars(batches):
+    """Rows sorted by key: each key's first value with each of its others."""
+    last, head = None, np.int64(0)
+    for batch in batches:
+        key, one = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        if not len(key):
+            continue
+        new = np.append(last is None or key[0] != last, key[1:] != key[:-1])
+        at = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
+        heads = np.where(at >= 0, one[at], head)
+        last, head = key[-1], heads[-1]
+        far = heads != one
+        yield pa.RecordBatch.from_pydict({"a": pa.array(heads[far]), "b": pa.array(one[far])})
+
+
+class Sets:
+    """Shingle sets side by side, to be compared with any one of them or another."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(x) for x in sets], np.int64)
+        self.ends = np.cumsum(self.sizes)
+        self.known, self.index = np.unique(np.concatenate(sets), return_inverse=True)
+
+    def near(self, other: np.ndarray, similar: float) -> np.ndarray:
+        """Which sets have a Jaccard similarity of `similar` and more with `other`."""
+        hit = np.zeros(len(self.known) + 1, np.int64)
+        at = np.searchsorted(self.known, other)
+        at = at[self.known[np.minimum(at, len(self.known) - 1)] == other] if len(self.known) else at[:0]
+        hit[at] = 1
+        total = np.append(0, np.cumsum(hit[self.index]))
+        both = total[self.ends] - total[self.ends - self.sizes]
+        return (both > 0) & (both >= similar * (self.sizes + len(other) - both) - 1e-9)
+
+
+def hashes_of(batch, i: int) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_py(), np.uint64) for x in batch.column(i)]
+
+
+def thinned(similar: float):
+    """Rows (root, one, hashes) sorted by root and least: `gone` where an earlier one that stays is near."""
+
+    def judge(ids, sets):
+        own, gone = Sets(sets), np.zeros(len(sets), bool)
+        for i in range(len(sets)):
+            if not gone[i]:
+                near = own.near(sets[i], similar)
+                near[: i + 1] = False
+                gone |= near
+        return pa.RecordBatch.from_pydict({"one": pa.array(ids, pa.int64()), "gone": pa.array(gone)})
+
+    def run(batches):
+        root, ids, sets = None, [], []
+        for batch in batches:
+            for r, i, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), hashes_of(batch, 2), strict=True):
+                if r != root and ids:
+                    yield judge(ids, sets)
+                    ids, sets = [], []
+                root = r
+                ids.append(i)
+                sets.append(found)
+        if ids:
+            yield judge(ids, sets)
+
+    return run
+
+
+def beside_leaders(similar: float):
+    """Rows (root, part, follows, one, hashes), each part's leaders first: `gone` of each follower that a leader is near to."""
 
     def run(batches):
-        held = [np.empty(0, np.int64)] * 3
+        at, leaders, own = None, [], None
         for batch in batches:
-            key, one, two = (np.concatenate([h, batch.column(i).to_numpy(zero_copy_only=False)]) for i, h in enumerate(held))
-            if not len(key):
-                continue
-            cut = int(np.searchsorted(key, key[-1]))
-            if cut:
-                yield links(key[:cut], one[:cut], two[:cut])
-            held = [key[cut:], one[cut:], two[cut:]]
-        if len(held[0]):
-            yield links(*held)
+            ids, gone = [], []
+            for r, part, follows, i, found in zip(*(batch.column(k).to_pylist() for k in range(4)), hashes_of(batch, 4), strict=True):
+                if (r, part) != at:
+                    at, leaders, own = (r, part), [], None
+                if not follows:
+                    leaders.append(found)
+                    continue
+                own = own or Sets(leaders)
+                ids.append(i)
+                gone.append(bool(own.near(found, similar).any()))
+            yield pa.RecordBatch.from_pydict({"one": pa.array(ids, pa.int64()), "gone": pa.array(gone, pa.bool_())})
 
     return run
 
@@ -327,33 +402,71 @@ def classify(docs: DataFrame, n: int = WORDS) -> DataFrame:
     return prints.join(classes.withColumnRenamed("fp", "c_fp"), F.col("fp") == F.col("c_fp")).select("doc_id", "fp", "component_id")
 
 
-def wide_classes(docs: DataFrame, n: int = WIDE_WORDS, distance: int = WIDE_DISTANCE) -> DataFrame:
-    """(doc_id, one, component_id) by 128-bit fingerprints of n-word shingles within `distance` bits.
+def near_copies(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """doc_id of the documents to which one of a smaller id that stays is equal or near, by the shingles of their whole texts.
 
-    A Jaccard similarity of 0.8 moves 19 bits of 128 on average. A segment of 23 bits then keeps a codeword
-    in half of the cases, two of the five segments in five of six; the closer two texts are, the more surely they meet.
+    Taken by ascending id, a document goes where one that stays has a similarity of `similar` and more: those that stay are not near
+    one another, and none goes for a chain of others. Candidates share a band of min-hashes or a component of fingerprints;
+    each one's set travels once, to its candidates' group. A group over GROUP is thinned by its first LEADERS first,
+    in as many parts as its size takes, until it is small; the outcome is the same.
     """
     scratch = Scratch(docs.sparkSession)
-    prints = scratch.keep(wide_prints(docs, n), "prints")
-    distinct = scratch.keep(prints.groupBy("one").agg(F.min("two").alias("two"), F.min("doc_id").alias("least")), "distinct")
-    met = distinct.select("one", "two").mapInArrow(fuzzy_pairs, "key long, one long, two long").repartition("key").sortWithinPartitions("key", "one")
-    edges = scratch.keep(met.mapInArrow(wide_links(distance), "a long, b long").distinct(), "edges")
+    prints = scratch.keep(set_prints(docs), "prints")
+    named = prints.where("doc_id is not null")
+    sets = scratch.keep(named.groupBy("one").agg(F.min("doc_id").alias("least"), F.any_value("keys").alias("keys")), "sets")
+    classes = near_components(prints.select("doc_id", "fp"), scratch).withColumnRenamed("fp", "c_fp")
+    by_print = named.select("fp", "one").distinct().join(classes, F.col("fp") == F.col("c_fp")).select(F.col("component_id").alias("key"), "one")
+    keyed = sets.select(F.explode("keys").alias("key"), "one").unionByName(by_print)
+    edges = scratch.keep(keyed.repartition("key").sortWithinPartitions("key", "one").mapInArrow(stars, "a long, b long").distinct(), "stars")
     scratch.release()
-    root = connected_components(edges, scratch)
-    named = distinct.join(root, distinct["one"] == root["node"], "left").select("one", "least", F.coalesce("root", "one").alias("root"))
-    best = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = scratch.keep(named.select(F.col("one").alias("c_one"), "root").join(best, "root").select("c_one", "component_id"), "classes")
-    return prints.join(classes, F.col("one") == F.col("c_one")).select("doc_id", "one", "component_id")
+    root = connected_components(edges, scratch, "near")
+    members = scratch.keep(root.join(sets, F.col("node") == F.col("one")).select("root", "least", "one"), "members")
+    texts = docs.join(members.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    found = whole_sets(texts).withColumnRenamed("one", "d_one")
+    left = found.join(members, (F.col("doc_id") == F.col("least")) & (F.col("d_one") == F.col("one"))).select("root", "least", "hashes", "one").dropDuplicates(["one"])
+    left = scratch.keep(left.select("root", "least", "one", "hashes"), "left-0")
+    judged, step = [], 0
+    while True:
+        sizes = scratch.keep(left.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select(F.col("root").alias("g_root"), "n"), f"sizes-{step}")
+        on = F.col("root") == F.col("g_root")
+        small = left.join(sizes, on, "left_anti").select("root", "least", "one", "hashes")
+        judged.append(scratch.keep(thin(small, similar), f"small-{step}"))
+        if not sizes.count():
+            break
+        large = left.join(sizes, on)
+        first = large.select("root", "least", "one").withColumn("k", F.row_number().over(Window.partitionBy("root").orderBy("least", "one"))).where(F.col("k") <= LEADERS)
+        ahead = scratch.keep(first.select(F.col("one").alias("f_one")), f"ahead-{step}")
+        is_first = F.col("one") == F.col("f_one")
+        leaders = scratch.keep(large.join(ahead, is_first, "left_semi"), f"leaders-{step}")
+        tried = scratch.keep(thin(leaders, similar), f"tried-{step}")
+        judged.append(tried)
+        stay = leaders.join(tried.where("not gone").select(F.col("one").alias("t_one")), F.col("one") == F.col("t_one"), "left_semi")
+        count = F.ceil(F.col("n") / GROUP).cast("int")
+        spread = stay.select("root", F.explode(F.sequence(F.lit(0), count - 1)).alias("part"), F.lit(False).alias("follows"), "one", "hashes")
+        rest = scratch.keep(large.join(ahead, is_first, "left_anti"), f"rest-{step}")
+        dealt = rest.select("root", F.pmod(F.xxhash64("one"), count).cast("int").alias("part"), F.lit(True).alias("follows"), "one", "hashes").unionByName(spread)
+        met = dealt.repartition("root", "part").sortWithinPartitions("root", "part", "follows")
+        beside = scratch.keep(met.mapInArrow(beside_leaders(similar), "one long, gone boolean"), f"beside-{step}")
+        judged.append(beside)
+        stays = beside.where("not gone").select(F.col("one").alias("b_one"))
+        step += 1
+        left = scratch.keep(rest.join(stays, F.col("one") == F.col("b_one"), "left_semi").select("root", "least", "one", "hashes"), f"left-{step}")
+    gone = union_all(judged).where("gone").select("one")
+    stay = sets.join(gone, "one", "left_anti").select(F.col("least").alias("doc_id"))
+    return scratch.keep(named.select("doc_id").distinct().join(stay, "doc_id", "left_anti"), "gone")
+
+
+def thin(rows: DataFrame, similar: float) -> DataFrame:
+    dealt = rows.select("root", "one", "hashes", "least").repartition("root").sortWithinPartitions("root", "least", "one")
+    return dealt.mapInArrow(thinned(similar), "one long, gone boolean")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents' rows but those whose component, by either kind of fingerprint, has a smaller doc_id; one row where an id repeats.
+    """The documents' rows but those that are near copies of one with a smaller doc_id that stays; one row where an id repeats.
 
-    The least id of documents linked in any way always stays. Rows without an id stay.
+    Rows without an id stay.
     """
-    found = classify(docs).select("doc_id", "component_id").unionByName(wide_classes(docs).select("doc_id", "component_id"))
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
+    left = docs.join(near_copies(docs), "doc_id", "left_anti")
     ids = left.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
     twice = left.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return left.join(ids, "doc_id", "left_anti").unionByName(twice).select(*docs.columns)
