@@ -12,7 +12,7 @@ from .domain import MESSAGES, PLAN, PROGRESS, messages, plan, refs, table
 
 def raw(s, d):
     """Raw references as the grammar reads them, with keys."""
-    m = messages(s, d).where("alias rlike '^[a-z]+$'")
+    m = messages(s, d)
     return m.select("seq", "sender", "timestamp", F.posexplode(grammar.parse_refs(F.array("message"))).alias("ord", "r")).select("seq", "sender", "timestamp", "ord", "r.*")
 
 

@@ -65,7 +65,7 @@ QUERIES = {
     "annotate_counts": lambda s, d: spans.label(spans.annotate(messages(s, d).select("seq", "message"))).groupBy("category").agg(F.count("*").alias("n"), F.sum("bible_ref_count").alias("refs")),
     "pattern_classify": lambda s, d: matches(s, d).select("seq", patterns.pattern_of(F.col("message"), F.transform("m", lambda x: x["text"])).alias("pattern")),
     "tokenize": lambda s, d: messages(s, d).select("seq", F.posexplode(grammar.tokens(F.col("message"))).alias("pos", "t")).select("seq", "pos", "t.kind", "t.value"),
-    "parse_refs": lambda s, d: messages(s, d).where("alias rlike '^[a-z]+$'").select("seq", F.explode(grammar.parse_refs(F.array("message"))).alias("r")).select("seq", "r.*"),
+    "parse_refs": lambda s, d: messages(s, d).select("seq", F.explode(grammar.parse_refs(F.array("message"))).alias("r")).select("seq", "r.*"),
     "label_studio_json": lambda s, d: sampling.annotation_tasks(matches(s, d).withColumn("s", spans.as_spans(F.col("m"))), "message", "s", "seq"),
     "llm_output_parse": lambda s, d: messages(s, d).select("seq", F.explode(grammar.llm_refs(F.concat(F.lit("Answer: "), F.to_json(F.array(F.struct(F.col("alias").alias("book_start"), F.col("first").alias("start_chapter"))))))).alias("r")).select("seq", "r.book_start", "r.start_chapter"),
 }
