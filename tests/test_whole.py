@@ -55,3 +55,17 @@ def test_every_book_is_parsed(spark, name):
         book = spelt(m["alias"])
         want.append((m["seq"], book, m["first"], None, until) if name == "parse_refs" else (m["seq"], 0, book, m["first"], until))
     assert sorted(rows(spark, name), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("name", ["gap_fill", "gap_fill_window"])
+def test_gaps_of_long_histories(spark, tmp_path, name):
+    """One member with a third of all rows."""
+    import datetime
+
+    start = datetime.datetime(2024, 1, 1)
+    events = [(i, 7 if i % 3 == 0 else i % 40 + 100, start + datetime.timedelta(minutes=i)) for i in range(3000)]
+    spark.createDataFrame(events, "event_id long, user_id long, ts timestamp_ntz").write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.sql(f"create view events as select * from read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    got = rows(spark, name, str(tmp_path))
+    assert len(got) == 3000 and sorted(got) == sorted(con.sql(without(name, " WHERE k <= 70")).fetchall())
