@@ -32,7 +32,7 @@ def chat_android(spark, sf_dir):
     """Conversations as Android exports of one chat a conversation, read back."""
     c = table(spark, sf_dir, "conversations").where("role <> 'system'")
     line = F.concat(F.lit("3/1/24, 9:0"), F.col("turn") % 10, F.lit(" - "), "role", F.lit(": "), F.regexp_replace(text.clean_text(F.col("text")), r"\n\n+", "\n"))
-    files = c.where("turn < 100").groupBy(F.col("conv_id").cast("string").alias("file")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("l")))), lambda x: x["l"]), "\n").alias("content"))
+    files = c.groupBy(F.col("conv_id").cast("string").alias("file")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text", line.alias("l")))), lambda x: x["l"]), "\n").alias("content"))
     return chat.parse_chats(files).select("file", "msg_seq", "timestamp", "sender", "message")
 
 

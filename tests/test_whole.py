@@ -69,3 +69,10 @@ def test_gaps_of_long_histories(spark, tmp_path, name):
     con.sql(f"create view events as select * from read_parquet('{tmp_path}/events.parquet/*.parquet')")
     got = rows(spark, name, str(tmp_path))
     assert len(got) == 3000 and sorted(got) == sorted(con.sql(without(name, " WHERE k <= 70")).fetchall())
+
+
+def test_android_exports_long_conversations(spark, tmp_path):
+    turns = [(1, t, "user" if t % 2 else "assistant", f"turn {t}") for t in range(250)] + [(2, 0, "user", "hello")]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = [(f, n, who, said) for f, n, _, who, said in rows(spark, "chat_parse_android", str(tmp_path))]
+    assert sorted(got) == sorted((str(c), t + 1, r, x) for c, t, r, x in turns)
