@@ -23,6 +23,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ def of_text(text: str | None) -> set[str]:
 
 
 def hashed(found: Iterable[str]) -> np.ndarray:
-    return np.sort(np.fromiter((zlib.crc32(f.encode()) for f in found), np.uint32))
+    return np.unique(np.fromiter((zlib.crc32(f.encode()) for f in found), np.uint32))
 
 
 class Model:
@@ -67,27 +68,25 @@ class Model:
         return float(1 / (1 + np.exp(-g))) if g > -700 else 0.0
 
 
-def counted(docs: list[np.ndarray], firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Each feature's documents, and all documents; those of one least hash, near copies as a rule, count once."""
-    pairs = np.unique((np.concatenate(docs).astype(np.uint64) << np.uint64(32)) | np.repeat(firsts.astype(np.uint64), [len(d) for d in docs]))
-    ids, times = np.unique((pairs >> np.uint64(32)).astype(np.uint32), return_counts=True)
-    return ids, times, len(np.unique(firsts))
+def counted(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each feature and its number of documents."""
+    return np.unique(np.concatenate(docs), return_counts=True)
 
 
-def candidates(pos: list[np.ndarray], firsts: np.ndarray) -> np.ndarray:
+def candidates(pos: list[np.ndarray]) -> np.ndarray:
     """Features that could be kept at all: of LEAST_DOCS positives and more."""
-    ids, times, _ = counted(pos, firsts)
+    ids, times = counted(pos)
     return ids[times >= LEAST_DOCS]
 
 
-def choose(pos: list[np.ndarray], pos_firsts: np.ndarray, unl: list[np.ndarray], unl_firsts: np.ndarray) -> np.ndarray:
+def choose(pos: list[np.ndarray], unl: list[np.ndarray]) -> np.ndarray:
     """Features LEAST_LIFT times as frequent in P as in U, by the evidence for it."""
-    ids, a, n_pos = counted(pos, pos_firsts)
+    ids, a = counted(pos)
     ids, a = ids[a >= LEAST_DOCS], a[a >= LEAST_DOCS]
-    known, times, n_unl = counted(unl, unl_firsts)
+    known, times = counted(unl)
     at = np.minimum(np.searchsorted(known, ids), max(0, len(known) - 1))
     b = np.where(known[at] == ids, times[at], 0) if len(known) else np.zeros(len(ids))
-    p, u = (a + 0.1) / (n_pos + 0.2), (b + 0.1) / (n_unl + 0.2)
+    p, u = (a + 0.1) / (len(pos) + 0.2), (b + 0.1) / (len(unl) + 0.2)
     gain = a * np.log(p / u)
     fit = np.flatnonzero((p > LEAST_LIFT * u) & (gain >= LEAST_GAIN))
     return np.sort(ids[fit[np.argsort(-gain[fit], kind="stable")][:KEEP]])
@@ -131,25 +130,25 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def gathered(rows) -> tuple[list[np.ndarray], np.ndarray]:
-    """Features and least hashes of the documents that were digested."""
-    return [np.frombuffer(r["features"], np.uint32) for r in rows], np.array([r["first"] for r in rows], np.uint32)
+def gathered(rows) -> list[np.ndarray]:
+    """Features of the documents that were digested."""
+    return [np.frombuffer(r["features"], np.uint32) for r in rows]
 
 
 def digest(among: np.ndarray | None = None):
-    """Hashed features (those `among` only) and the least hash of all, of each text."""
+    """Hashed features (those `among` only) of each text, and a hash of all of them together."""
 
     def run(batches):
         for batch in batches:
             every = [hashed(of_text(t)) for t in batch.column(0).to_pylist()]
             kept = every if among is None else [h[np.isin(h, among)] for h in every]
-            firsts = [int(h[0]) if len(h) else 0 for h in every]
-            yield pa.RecordBatch.from_pydict({"first": pa.array(firsts, pa.int64()), "features": pa.array([k.tobytes() for k in kept], pa.binary())})
+            whole = np.array([xxhash.xxh64_intdigest(h.tobytes()) for h in every], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_pydict({"whole": pa.array(whole), "features": pa.array([k.tobytes() for k in kept], pa.binary())})
 
     return run
 
 
-DIGEST = "first long, features binary"
+DIGEST = "whole long, features binary"
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED, seed: int = SEED) -> Model | None:
@@ -173,15 +172,15 @@ def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE,
 
     chosen = known.where("toxic = 1").where(part("l_doc", min(1.0, most_positive / count["pos"]))).select(F.col("l_doc").alias("doc_id"))
     texts = open_.join(F.broadcast(chosen), "doc_id").select("text")  # at most `most_positive` ids, as expected
-    p, p_firsts = gathered(texts.mapInArrow(digest(), DIGEST).distinct().collect())
+    p = gathered(texts.mapInArrow(digest(), DIGEST).distinct().collect())
     if not any(len(x) for x in p):
         return None
-    near = candidates(p, p_firsts)
+    near = candidates(p)
     sample = open_.where(part("doc_id", min(1.0, most_unlabelled / max(1, total)))).select("text")
-    u, u_firsts = gathered(sample.mapInArrow(digest(near), DIGEST).distinct().collect())
+    u = gathered(sample.mapInArrow(digest(near), DIGEST).distinct().collect())
     if not u:
         return None
-    ids = choose(p, p_firsts, u, u_firsts)
+    ids = choose(p, u)
     theta = train(ids, [x[np.isin(x, ids)] for x in p], [x[np.isin(x, ids)] for x in u], prior)
     weight = dict(zip(ids.tolist(), theta.tolist(), strict=False))
 
