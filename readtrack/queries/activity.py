@@ -113,7 +113,7 @@ QUERIES = {
     "prf_sets": lambda s, d: evaluate.scores(evaluate.set_counts(rows_of(s, d, "pred").drop("pos"), rows_of(s, d, "gold").drop("pos"))),
     "error_listing": lambda s, d: evaluate.errors(rows_of(s, d, "pred").drop("pos"), rows_of(s, d, "gold").drop("pos"), "seq").groupBy("kind").agg(F.count("*").alias("n")),
     "norm_ablation": lambda s, d: evaluate.accuracy_by_position(rows_of(s, d, "pred"), rows_of(s, d, "gold"), "seq"),
-    "bootstrap_ci": lambda s, d: evaluate.bootstrap(evaluate.match_counts(judged(s, d), "pred", "gold", evaluate.structure_key, "seq"), "seq", rounds=100),
+    "bootstrap_ci": lambda s, d: evaluate.bootstrap(evaluate.match_counts(judged(s, d), "pred", "gold", evaluate.structure_key, "seq"), "seq"),
 }
 
 QUANT = ", ".join(f"quantile_cont(x, {q}) AS {n}" for q, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75")))

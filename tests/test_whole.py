@@ -76,3 +76,14 @@ def test_android_exports_long_conversations(spark, tmp_path):
     spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     got = [(f, n, who, said) for f, n, _, who, said in rows(spark, "chat_parse_android", str(tmp_path))]
     assert sorted(got) == sorted((str(c), t + 1, r, x) for c, t, r, x in turns)
+
+
+def test_bootstrap_takes_a_thousand_rounds(spark, monkeypatch):
+    from readtrack.operators import evaluate
+
+    if not os.path.isdir(SF):
+        pytest.skip("no test tables")
+    seen, plain = [], evaluate.scores
+    monkeypatch.setattr(evaluate, "scores", lambda counts, *by: seen.append(counts) or plain(counts, *by))
+    low, mean, high = rows(spark, "bootstrap_ci")[0]
+    assert seen[-1].select("round").distinct().count() == 1000 and low < mean < high
