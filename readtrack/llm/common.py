@@ -7,6 +7,8 @@ import tempfile
 import uuid
 from functools import cache, reduce
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,12 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def folder(self, name: str) -> str:
+        """A folder in the shared one, as a URI, for files that tasks write themselves."""
+        found = self._fs.makeQualified(self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name)))
+        self._fs.mkdirs(found)
+        return found.toString()
+
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
@@ -56,6 +64,24 @@ class Scratch:
         self.spark._jvm.System.gc()
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name like `name` that none of `taken` is, in either case."""
+    known = {x.lower() for x in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
+def slices(batch, column: int, most: int = 4 << 20):
+    """A batch in parts of about `most` bytes of a text or binary column (one row at least), so that what is made of a part stays small."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // most
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        if hi > lo:
+            yield batch.slice(lo, hi - lo)
+
+
 def parts(rows: int, per_part: int, least: int = 1) -> int:
     return max(least, -(-rows // per_part))
 

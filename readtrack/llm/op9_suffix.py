@@ -5,47 +5,57 @@ same one, is removed; overlaps count, and strings are judged on the input. In st
 
 1. Every window of LENGTH bytes names the least of its hashed GRAM-byte grams (the leftmost of
    equals): its anchor. Equal windows have equal anchors at equal offsets, so windows whose anchor's hash
-   occurs once are unique. A document's windows with one anchor are a fragment of it.
-2. Fragments that occur twice whole are repeated whole; one of each stands for them from here on.
-3. A fragment's windows fall into blocks of BLOCK offsets from the anchor. All windows of a block share
+   occurs once are unique. A document's windows with one anchor are a fragment of it; equal fragments are
+   folded, with their number.
+2. A fragment's windows fall into blocks of BLOCK offsets from the anchor. All windows of a block share
    its core; blocks with equal cores (by 128-bit hash) form a collection of strings: up to BLOCK - 1
-   bytes, the core as one symbol, up to BLOCK - 1 bytes.
-4. Each collection's Burrows-Wheeler transform and common prefixes are built column by column, from
-   the strings' ends: each round inserts one symbol of every string. Windows whose suffix shares LENGTH bytes with
-   a neighbour's are repeated. Columns beyond RESIDENT entries are kept in sequential files between rounds.
-
-Hot strings are folded before they meet: fragments and blocks that are equal as a whole are counted,
-not collected. Documents meet their findings by (doc_id, hash of text).
+   bytes, the core as one symbol, up to BLOCK - 1 bytes. Equal strings are folded; two copies of a string
+   that occurs more often show what all would.
+3. Each collection's Burrows-Wheeler transform and common prefixes are built column by column, from
+   the strings' ends: each round inserts one symbol of every string (op9_columns). Windows whose suffix
+   shares LENGTH bytes with a neighbour's are repeated; nothing else decides that.
+4. What is found goes back to all fragments that are equal.
+
+A core with more than MOST strings doesn't meet in one task: its strings are blocked again at half the
+block, under longer cores, until none is larger (a block of one offset leaves one string a core).
+Columns beyond op9_columns.RESIDENT bytes are sequential files in the shared folder. Documents meet
+their findings by (doc_id, hash of text).
 
 Null texts are empty; texts shorter than LENGTH lose nothing. Repeated rows repeat each other, so long
-ones lose all. A null doc_id is an ordinary value. An empty table gives an empty result.
+ones lose all. A null doc_id is an ordinary value. Long texts are read in chunks. An empty table gives an empty result.
+Further columns stay, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
-import tempfile
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, fresh, slices, table
+from .op9_columns import CORE, repeats
 
 LENGTH, GRAM, BLOCK = 200, 32, 32
 CHUNK = 1 << 19
-BATCH, RESIDENT = 8192, 1 << 23
+BATCH, MOST = 1 << 14, 1 << 12
+OUT_ROWS = 1 << 15
 ODD = 0x9E3779B97F4A7C15
 ANCHOR = "h long, fh long, k1 long, k2 int, a int, s int, n int"
-PIECE = "g1 long, g2 long, cid long, lead binary, tail binary, k1 long, k2 int, s int, own boolean"
-REPEATED = "g1 long, g2 long, cid long, spans array<int>"
+PIECE = "g1 long, g2 long, cid long, lead binary, tail binary, h long, fh long, s int, times int"
+FOUND = "g1 long, g2 long, cid long, b int, e int"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
+def names_of(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
 # -- 1: anchors --------------------------------------------------------------------------------
 
 
@@ -96,27 +106,35 @@ def fragments(text: bytes, length: int = LENGTH, gram: int = GRAM):
 
 
 def anchor_rows(length: int, gram: int):
+    types = [pa.int64()] * 3 + [pa.int32()] * 4
+
+    def frame(cols):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(t.to_pandas_dtype())) for c, t in zip(cols, types, strict=True)], names_of(ANCHOR))
+
     def run(batches):
-        names = [x.split()[0] for x in ANCHOR.split(", ")]
+        cols: list[list] = [[] for _ in types]
+        rows = 0
         for batch in batches:
-            cols: list[list] = [[] for _ in names]
-            for k1, k2, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            for k1, k2, text in zip(*batch.columns, strict=True):
                 text = text.as_py()
                 if len(text) < length:
                     continue
                 h, a, s, n = fragments(text, length, gram)
                 view = memoryview(text)
                 fh = np.array([xxhash.xxh64_intdigest(view[i : i + k + length - 1]) for i, k in zip(s.tolist(), n.tolist(), strict=True)], np.uint64).view(np.int64)
-                for col, x in zip(cols, (h, fh, np.full(len(h), k1), np.full(len(h), k2), a, s, n), strict=True):
+                for col, x in zip(cols, (h, fh, np.full(len(h), k1.as_py()), np.full(len(h), k2.as_py()), a, s, n), strict=True):
                     col.append(x)
-            if cols[0]:
-                types = [pa.int64()] * 3 + [pa.int32()] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(t.to_pandas_dtype())) for c, t in zip(cols, types, strict=True)], names)
+                rows += len(h)
+                if rows >= OUT_ROWS:
+                    yield frame(cols)
+                    cols, rows = [[] for _ in types], 0
+        if rows:
+            yield frame(cols)
 
     return run
 
 
-# -- 3: blocks ---------------------------------------------------------------------------------
+# -- 2: blocks ---------------------------------------------------------------------------------
 
 
 def pieces(text: bytes, a: int, s: int, n: int, length: int = LENGTH, block: int = BLOCK):
@@ -127,221 +145,189 @@ def pieces(text: bytes, a: int, s: int, n: int, length: int = LENGTH, block: int
         yield text[last : first + length], text[lo:last], text[first + length : hi + length], lo
 
 
+def signed(x: int) -> int:
+    return x - (1 << 64) * (x >> 63)
+
+
 def piece_rows(length: int, block: int):
+    """The blocks of the fragments asked of each text. Repeated rows of one key lie side by side and are asked once a task."""
+    types = [pa.int64()] * 3 + [pa.binary()] * 2 + [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+
+    def frame(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names_of(PIECE))
+
     def run(batches):
-        names = [x.split()[0] for x in PIECE.split(", ")]
-        types = [pa.int64()] * 3 + [pa.binary()] * 2 + [pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+        rows, last = [], None
         for batch in batches:
-            rows = []
-            for k1, k2, text, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for f in asked:
+            for k1, k2, text, asked in zip(*batch.columns, strict=True):
+                if (key := (k1.as_py(), k2.as_py())) == last:
+                    continue
+                last, text = key, text.as_py()
+                for f in asked.as_py():
                     for core, lead, tail, at in pieces(text, f["a"], f["s"], f["n"], length, block):
                         g = xxhash.xxh3_128_digest(core)
                         cid = xxhash.xxh64_intdigest(lead + b"|" + tail, len(lead))
-                        rows.append((int.from_bytes(g[:8], "big", signed=True), int.from_bytes(g[8:], "big", signed=True), cid - (1 << 64) * (cid >> 63), lead, tail, k1, k2, at, f["own"]))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+                        rows.append((int.from_bytes(g[:8], "big", signed=True), int.from_bytes(g[8:], "big", signed=True), signed(cid), lead, tail, f["h"], f["fh"], at - f["s"], f["times"]))
+                if len(rows) >= OUT_ROWS:
+                    yield frame(rows)
+                    rows = []
+        if rows:
+            yield frame(rows)
 
     return run
 
 
-# -- 4: column-wise construction ---------------------------------------------------------------
+# -- 3: collections ----------------------------------------------------------------------------
 
 
-class Columns:
-    """The transform, common prefixes, string numbers and suffix lengths, in order of suffixes; in files when long."""
+def parts_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begins, lengths and bytes of a binary column."""
+    ends = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
+    data = np.frombuffer(col.buffers()[2] or b"", np.uint8)
+    return ends[:-1], np.diff(ends), data
 
-    TYPES = {"bwt": np.uint16, "lcp": np.uint16, "doc": np.int32, "len": np.uint16}
 
-    def __init__(self, resident: int = RESIDENT):
-        self.resident, self.held, self.folder = resident, {}, None
-
-    def put(self, name: str, x: np.ndarray) -> None:
-        if len(x) <= self.resident:
-            self.held[name] = x
-            return
-        self.held.pop(name, None)
-        self.folder = self.folder or tempfile.TemporaryDirectory()
-        x.tofile(os.path.join(self.folder.name, name))
-
-    def get(self, name: str) -> np.ndarray:
-        if name in self.held:
-            return self.held[name]
-        return np.fromfile(os.path.join(self.folder.name, name), self.TYPES[name])
-
-    def close(self) -> None:
-        if self.folder:
-            self.folder.cleanup()
-
-
-def shared(m: np.ndarray, weight: np.ndarray, doc_a, len_a, doc_b, len_b) -> np.ndarray:
-    """Bytes that suffixes have in common from their first symbol on."""
-    width = m.shape[1]
-    most = int(max(len_a.max(initial=0), 1))
-    step = np.arange(most)
-    at_a = np.minimum(doc_a[:, None] * width + (width - len_a)[:, None] + step, m.size - 1)
-    at_b = np.minimum(doc_b[:, None] * width + (width - len_b)[:, None] + step, m.size - 1)
-    flat = m.ravel()
-    left = flat[at_a]
-    same = (left == flat[at_b]) & (step < np.minimum(len_a, len_b)[:, None])
-    stop = np.where(same.all(1), most, same.argmin(1))
-    core = weight.ravel()[at_a]
-    return (stop + np.where((core > 1) & (step < stop[:, None]), core - 1, 0).sum(1)).astype(np.uint16)
-
-
-def column_construction(strings: np.ndarray, lengths: np.ndarray, weight: np.ndarray, resident: int = RESIDENT) -> Columns:
-    """strings: one right-aligned row of symbols each (0: none). Round by round, the next symbol of every string goes in."""
-    m, width = strings.shape
-    cols = Columns(resident)
-    cols.put("bwt", strings[:, -1].copy())
-    cols.put("lcp", np.zeros(m, np.uint16))
-    cols.put("doc", np.arange(m, dtype=np.int32))
-    cols.put("len", np.zeros(m, np.uint16))
-    place = np.arange(m)
-    for j in range(int(lengths.max(initial=0))):
-        act = np.flatnonzero(lengths > j)
-        bwt = cols.get("bwt")
-        order = np.argsort(bwt, kind="stable")
-        rank = np.empty(len(bwt), np.int64)
-        rank[order] = np.arange(len(bwt))
-        new = m + rank[place[act]] - np.count_nonzero(bwt == 0)
-        place[act] = new
-        old = np.ones(len(bwt) + len(act), bool)
-        old[new] = False
-
-        def merged(name, fresh, old=old, new=new):
-            x = np.empty(len(old), Columns.TYPES[name])
-            x[old] = cols.get(name)
-            x[new] = fresh
-            cols.put(name, x)
-            return x
-
-        before = np.where(lengths[act] > j + 1, strings[act, max(0, width - 2 - j)], 0)
-        merged("bwt", before)
-        doc, size = merged("doc", act), merged("len", j + 1)
-        lcp = merged("lcp", 0)
-        # A new suffix parts its neighbours: its own common prefix and its successor's change, no other.
-        for at in (new, new[new + 1 < len(doc)] + 1):
-            lcp[at] = shared(strings, weight, doc[at].astype(np.int64), size[at].astype(np.int64), doc[at - 1].astype(np.int64), size[at - 1].astype(np.int64))
-        cols.put("lcp", lcp)
-    return cols
-
-
-def repeated_windows(groups: np.ndarray, leads: list[bytes], tails: list[bytes], core: int, length: int, resident: int = RESIDENT) -> list[np.ndarray]:
-    """For each string, which of its windows another string of the collections has too."""
-    m = len(leads)
-    nl, nt = (np.fromiter(map(len, x), np.int64, m) for x in (leads, tails))
+def symbol_rows(leads: pa.Array, tails: pa.Array, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the strings picked: a row of symbols for each round, their lengths and their leads' lengths."""
+    sides = [parts_of(x) for x in (leads, tails)]
+    nl, nt = sides[0][1][pick], sides[1][1][pick]
     lengths = nl + nt + 1
-    width = int(lengths.max())
-    strings = np.zeros((m, width), np.uint16)
-    flat = strings.ravel()
-    ends = (np.arange(m) + 1) * width
-    for parts_, sizes, stop in ((leads, nl, ends - nt - 1), (tails, nt, ends)):
-        first = np.repeat(stop - sizes - np.cumsum(sizes) + sizes, sizes)
-        flat[first + np.arange(sizes.sum())] = np.frombuffer(b"".join(parts_), np.uint8).astype(np.uint16) + 1
-    flat[ends - nt - 1] = 257 + groups
-    weight = np.where(strings > 256, core, 1).astype(np.int16)
-    cols = column_construction(strings, lengths, weight, resident)
-    doc, size, lcp = cols.get("doc"), cols.get("len").astype(np.int64), cols.get("lcp")
-    cols.close()
-    common = np.maximum(lcp, np.append(lcp[1:], 0))
-    start = lengths[doc] - size
-    hit = (common >= length) & (start <= nl[doc]) & (nl[doc] - start + core + nt[doc] >= length)
-    out = [np.zeros(k, bool) for k in (nl + core + nt - length + 1).tolist()]
-    for d, s in zip(doc[hit].tolist(), start[hit].tolist(), strict=True):
-        out[d][s] = True
-    return out
-
+    out = np.zeros((int(lengths.max()), len(pick)), np.uint16)
+    out[nt, np.arange(len(pick))] = CORE
+    for (begins, _, data), sizes, last in ((sides[0], nl, lengths - 1), (sides[1], nt, nt - 1)):
+        which = np.repeat(np.arange(len(pick)), sizes)
+        k = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        out[last[which] - k, which] = data[begins[pick][which] + k].astype(np.uint16) + 1
+    return out, lengths, nl
 
-def spans_of(mask: np.ndarray) -> list[int]:
-    return np.flatnonzero(np.diff(mask, prepend=False, append=False)).tolist()
 
-
-def collection_rows(length: int, block: int):
-    """Rows (g1, g2, cid, lead, tail, times) sorted by core: the repeated windows of each distinct string."""
+def collection_rows(length: int, block: int, folder: str | None):
+    """Rows (g1, g2, cid, lead, tail, times) sorted by core: runs of repeated windows (first, end) of each distinct string."""
     core = length - block + 1
 
-    def flush(rows, numbers):
-        alone = np.bincount(numbers)[numbers] == 1
-        masks: list = [None] * len(rows)
-        at = np.flatnonzero(~alone)
-        if len(at):
-            _, own = np.unique(np.array(numbers)[at], return_inverse=True)
-            found = repeated_windows(own, [rows[i][3] for i in at], [rows[i][4] for i in at], core, length)
-            for i, x in zip(at.tolist(), found, strict=True):
-                masks[i] = x
-        out = []
-        for (g1, g2, cid, lead, tail, times), mask in zip(rows, masks, strict=True):
-            spans = [0, len(lead) + core + len(tail) - length + 1] if times > 1 else spans_of(mask) if mask is not None else []
-            if spans:
-                out.append((g1, g2, cid, spans))
-        if out:
-            types = [pa.int64()] * 3 + [pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], [x.split()[0] for x in REPEATED.split(", ")])
+    def flush(t: pa.Table):
+        g1, g2, times = (t.column(i).to_numpy() for i in (0, 1, 5))
+        group = np.cumsum(np.append(True, (g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1]))) - 1
+        copies = np.minimum(times, 2).astype(np.int64)
+        pick = np.repeat(np.arange(len(group)), np.where(np.bincount(group, copies)[group] > 1, copies, 0))
+        if not len(pick):
+            return
+        symbols, lengths, _ = symbol_rows(t.column(3).combine_chunks(), t.column(4).combine_chunks(), pick)
+        string, place = repeats(group[pick], symbols, lengths, core, length, folder)
+        at = np.unique(pick[string] << 9 | place)
+        first = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+        if not len(first):
+            return
+        ends = at[np.append(first[1:], len(at)) - 1]
+        row, b, e = at[first] >> 9, at[first] & 511, (ends & 511) + 1
+        cols = [pa.array(t.column(i).to_numpy()[row]) for i in range(3)]
+        yield pa.RecordBatch.from_arrays([*cols, pa.array(b.astype(np.int32)), pa.array(e.astype(np.int32))], names_of(FOUND))
 
     def run(batches):
-        rows, numbers, last = [], [], None
+        held, rows = [], 0
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[:2] != last:
-                    if len(rows) >= BATCH:
-                        yield from flush(rows, numbers)
-                        rows, numbers = [], []
-                    last = row[:2]
-                    numbers.append(numbers[-1] + 1 if numbers else 0)
-                else:
-                    numbers.append(numbers[-1])
-                rows.append(row)
+            held.append(batch)
+            rows += len(batch)
+            if rows < BATCH:
+                continue
+            t = pa.Table.from_batches(held)
+            g1, g2 = (t.column(i).to_numpy() for i in (0, 1))
+            starts = np.flatnonzero((g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1])) + 1
+            for lo, hi in zip([0, *(cuts := bounds(starts, BATCH))][:-1], cuts, strict=True):
+                yield from flush(t.slice(lo, hi - lo))
+            t = t.slice(cuts[-1] if cuts else 0)
+            held, rows = t.to_batches(), len(t)
         if rows:
-            yield from flush(rows, numbers)
+            yield from flush(pa.Table.from_batches(held))
 
     return run
 
 
+def bounds(starts: np.ndarray, rows: int) -> list[int]:
+    """Of the places where groups start, those that end batches of about `rows` rows; the last group stays for what follows."""
+    out, at = [], 0
+    for x in starts.tolist():
+        if x - at >= rows or x == starts[-1]:
+            out.append(x)
+            at = x
+    return out
+
+
 # -- Spark -------------------------------------------------------------------------------------
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """Adds rt_k1, rt_k2 (the row's key, its doc_id and a hash of its text; rows that share it are alike) and rt_body."""
+def keyed(docs: DataFrame, k1: str, k2: str) -> DataFrame:
+    """Adds the row's key: its doc_id and a hash of its text. Rows that share it are alike."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.withColumns({"rt_k1": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)), "rt_k2": F.hash(text), "rt_body": text.cast("binary")})
+    return docs.withColumns({k1: F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)), k2: F.hash(text)})
+
+
+def halves(strings: DataFrame, block: int) -> DataFrame:
+    """(o1, o2, oid, g1, g2, cid, lead, tail, times, shift): strings blocked at half the block, the string each comes from, and how far in it starts."""
+    b = block // 2
+    nl, nt = F.octet_length("lead"), F.octet_length("tail")
+
+    def half(core, lead, tail, shift):
+        hashed = lambda seed: F.xxhash64(F.lit(seed), F.lit(block), "g1", "g2", core)
+        return F.struct(hashed(1).alias("g1"), hashed(2).alias("g2"), F.xxhash64(lead, F.lit("|"), tail).alias("cid"), lead.alias("lead"), tail.alias("tail"), shift.cast("int").alias("shift"))
 
+    part = lambda x, at, n: F.substring(F.col(x), at, n)
+    left = F.when(nl >= b, half(F.concat(F.lit(b"<"), F.expr(f"substring(lead, -{b}, {b})")), F.expr(f"substring(lead, 1, octet_length(lead) - {b})"), part("tail", 1, b - 1), F.lit(0)))
+    keep = F.expr(f"substring(lead, greatest(1, octet_length(lead) - {b - 2}), {b})") if b > 1 else F.lit(b"")
+    right = F.when(nt >= b, half(F.concat(F.lit(b">"), part("tail", 1, b)), keep, F.expr(f"substring(tail, {b + 1}, {block})"), F.greatest(F.lit(0), nl - (b - 1))))
+    out = strings.withColumn("half", F.explode(F.array_compact(F.array(left, right))))
+    return out.select(F.col("g1").alias("o1"), F.col("g2").alias("o2"), F.col("cid").alias("oid"), "half.*", "times")
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK) -> DataFrame:
+
+def repeated_windows(strings: DataFrame, scratch: Scratch, length: int, block: int, most: int = MOST, level: int = 0) -> DataFrame:
+    """(g1, g2, cid, lead, tail, times), distinct -> (g1, g2, cid, b, e): runs of repeated windows of each string."""
+
+    def built(rows: DataFrame) -> DataFrame:
+        met = rows.select(*names_of("g1 long, g2 long, cid long, lead binary, tail binary, times int")).repartition("g1", "g2").sortWithinPartitions("g1", "g2", "cid")
+        return met.mapInArrow(collection_rows(length, block, scratch.folder(f"columns-{level}")), FOUND)
+
+    sizes = strings.groupBy("g1", "g2").agg(F.count("*").alias("n")).where(F.col("n") > most).select("g1", "g2")
+    hot = scratch.keep(sizes, f"hot-{level}")
+    if block == 1 or not hot.count():
+        return scratch.keep(built(strings), f"found-{level}")
+    cool = scratch.keep(built(strings.join(hot, ["g1", "g2"], "left_anti")), f"found-{level}")
+    cut = scratch.keep(halves(strings.join(hot, ["g1", "g2"], "left_semi"), block), f"halves-{level}")
+    deeper = folded(cut, scratch, f"strings-{level + 1}")
+    inner = repeated_windows(deeper, scratch, length, block // 2, most, level + 1)
+    back = cut.select("o1", "o2", "oid", "shift", "g1", "g2", "cid").join(inner, ["g1", "g2", "cid"])
+    shifted = back.select(F.col("o1").alias("g1"), F.col("o2").alias("g2"), F.col("oid").alias("cid"), (F.col("b") + F.col("shift")).alias("b"), (F.col("e") + F.col("shift")).alias("e"))
+    return cool.unionByName(shifted)
+
+
+def folded(cut: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Distinct strings with their number (two stand for more)."""
+    distinct = cut.groupBy("g1", "g2", "cid").agg(F.first("lead").alias("lead"), F.first("tail").alias("tail"), F.least(F.sum("times"), F.lit(2)).cast("int").alias("times"))
+    return scratch.keep(distinct, name)
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK, most: int = MOST) -> DataFrame:
     """(k1, k2, spans): from and to (excluded) of repeated strings, unmerged, of the rows that have any."""
     scratch = Scratch(docs.sparkSession)
-    texts = keyed(docs).select(F.col("rt_k1").alias("k1"), F.col("rt_k2").alias("k2"), F.col("rt_body").alias("body"))
+    body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    texts = keyed(docs.select("doc_id", "text"), "k1", "k2").select("k1", "k2", body.alias("body"))
     anchors = scratch.keep(texts.mapInArrow(anchor_rows(length, gram), ANCHOR), "anchors")
     often = scratch.keep(anchors.groupBy("h").count().where("count > 1").select("h"), "often")
     met = scratch.keep(anchors.join(often, "h"), "met")
     del anchors, often
     scratch.drop("anchors")
-    kinds = scratch.keep(
-        met.groupBy("h", "fh").agg(F.count("*").alias("times"), F.min(F.struct("k1", "k2", "a", "s", "n")).alias("one")), "kinds"
-    )
-    end = F.col("s") + F.col("n") - 1 + length
-    whole = met.join(kinds.where("times > 1").select("h", "fh"), ["h", "fh"]).select("k1", "k2", F.col("s").alias("b"), end.alias("e"))
-    several = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h")
-    asked = (
-        kinds.join(several, "h")
-        .select("one.*", (F.col("times") == 1).alias("own"))
-        .groupBy("k1", "k2")
-        .agg(F.collect_list(F.struct("a", "s", "n", "own")).alias("asked"))
-    )
-    # Rows alike are asked once: the first partition of a repeated row answers for all.
+    one = F.min(F.struct("k1", "k2", "a", "s", "n")).alias("one")
+    kinds = met.groupBy("h", "fh").agg(F.least(F.count("*"), F.lit(2)).cast("int").alias("times"), one)
+    asked = kinds.groupBy("one.k1", "one.k2").agg(F.collect_list(F.struct("one.a", "one.s", "one.n", "h", "fh", "times")).alias("asked"))
     cut = texts.join(asked, ["k1", "k2"]).select("k1", "k2", "body", "asked").mapInArrow(piece_rows(length, block), PIECE)
     cut = scratch.keep(cut, "pieces")
     scratch.release()
-    distinct = cut.groupBy("g1", "g2", "cid").agg(F.first("lead").alias("lead"), F.first("tail").alias("tail"), F.count("*").alias("times"))
-    sorted_ = distinct.repartition("g1", "g2").sortWithinPartitions("g1", "g2", "cid")
-    found = scratch.keep(sorted_.mapInArrow(collection_rows(length, block), REPEATED), "found")
-    partly = cut.where("own").select("g1", "g2", "cid", "k1", "k2", "s").join(found, ["g1", "g2", "cid"])
-    ranges = F.transform(
-        F.sequence(F.lit(0), (F.size("spans") / 2 - 1).cast("int")),
-        lambda i: F.struct((F.col("s") + F.get("spans", 2 * i)).alias("b"), (F.col("s") + F.get("spans", 2 * i + 1) - 1 + length).alias("e")),
-    )
-    partly = partly.select("k1", "k2", F.explode(ranges).alias("r")).select("k1", "k2", "r.b", "r.e")
-    spans = whole.unionByName(partly).groupBy("k1", "k2").agg(F.collect_set(F.struct("b", "e")).alias("spans"))
+    found = repeated_windows(folded(cut, scratch, "strings-0"), scratch, length, block, most)
+    runs = cut.select("g1", "g2", "cid", "h", "fh", "s").join(found, ["g1", "g2", "cid"])
+    own = F.collect_set(F.struct((F.col("s") + F.col("b")).alias("b"), (F.col("s") + F.col("e") - 1 + length).alias("e"))).alias("own")
+    kind_spans = scratch.keep(runs.groupBy("h", "fh").agg(own), "kind-spans")
+    placed = met.select("k1", "k2", "h", "fh", "s").join(kind_spans, ["h", "fh"])
+    moved = F.transform("own", lambda x: F.struct((x["b"] + F.col("s")).alias("b"), (x["e"] + F.col("s")).alias("e")))
+    spans = placed.groupBy("k1", "k2").agg(F.flatten(F.collect_set(moved)).alias("spans"))
     return scratch.keep(spans, "spans")
 
 
@@ -359,57 +345,65 @@ def kept_of(text: bytes, b: np.ndarray, e: np.ndarray) -> bytes:
     return b"".join(text[x:y] for x, y in zip(ends[::2], ends[1::2], strict=True))
 
 
-def each_kept(batch, body: int, spans: int):
-    """(text, runs' begins, runs' ends) of each row."""
-    col = batch.column(spans)
-    flat = col.flatten()
+def each_kept(texts: pa.Array, spans: pa.Array):
+    """(text's bytes, runs' begins, runs' ends) of each row."""
+    flat = spans.flatten()
     b, e = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-    sizes = col.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     at = 0
-    for text, n in zip(batch.column(body), sizes.tolist(), strict=True):
-        text = text.as_py()
+    for text, n in zip(texts, sizes.tolist(), strict=True):
+        text = (text.as_py() or "").encode()
         yield text, *merged((b[at : at + n], e[at : at + n]), len(text))
         at += n
 
 
 def digest_rows(batches):
     for batch in batches:
-        rows = []
-        for text, b, e in each_kept(batch, 1, 2):
-            rows.append((len(text), int((e - b).sum()), len(b), hashlib.sha256(kept_of(text, b, e)).hexdigest()))
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-        types = [pa.int64()] * 3 + [pa.string()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], [x.split()[0] for x in RESULT.split(", ")])
+        for part in slices(batch, 1):
+            rows = []
+            for text, b, e in each_kept(part.column(1), part.column(2)):
+                rows.append((len(text), int((e - b).sum()), len(b), hashlib.sha256(kept_of(text, b, e)).hexdigest()))
+            types = [pa.int64()] * 3 + [pa.string()]
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names_of(RESULT))
 
 
-def with_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The documents' columns, rt_body (the text's bytes) and rt_spans (null where none)."""
-    found = repeated_spans(docs, length).withColumnsRenamed({"k1": "rt_s1", "k2": "rt_s2", "spans": "rt_spans"})
-    d = keyed(docs)
-    return d.join(found, (d["rt_k1"] == found["rt_s1"]) & (d["rt_k2"] == found["rt_s2"]), "left").drop("rt_k1", "rt_k2", "rt_s1", "rt_s2")
+def with_spans(docs: DataFrame, length: int = LENGTH, spans: str = "spans", **how) -> DataFrame:
+    """The documents' columns and `spans` (null where none)."""
+    k1, k2, s1, s2 = (fresh(x, [*docs.columns, spans]) for x in ("k1", "k2", "s1", "s2"))
+    found = repeated_spans(docs, length, **how).select(F.col("k1").alias(s1), F.col("k2").alias(s2), F.col("spans").alias(spans))
+    d = keyed(docs, k1, k2)
+    return d.join(found, (F.col(k1) == F.col(s1)) & (F.col(k2) == F.col(s2)), "left").drop(k1, k2, s1, s2)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents with the repeated bytes gone; what is left of a cut character goes too, and n_chars is counted anew."""
-    names = docs.columns
+    names, spans = docs.columns, fresh("spans", docs.columns)
+    at, n = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+
+    def cut(part):
+        texts, counts = [], []
+        for text, b, e in each_kept(part.column(at), part.column(len(names))):
+            kept = kept_of(text, b, e).decode("utf-8", "ignore")
+            texts.append(kept)
+            counts.append(len(kept))
+        cols = list(part.columns[: len(names)])
+        cols[at] = pa.array(texts, cols[at].type)
+        if n is not None:
+            cols[n] = pa.array(counts, cols[n].type)
+        return pa.RecordBatch.from_arrays(cols, names)
 
     def run(batches):
         for batch in batches:
-            texts = [kept_of(t, b, e).decode("utf-8", "ignore") if len(b) else None for t, b, e in each_kept(batch, batch.num_columns - 2, batch.num_columns - 1)]
-            cols = [batch.column(i) for i in range(len(names))]
-            at = names.index("text")
-            old = cols[at].to_pylist()
-            new = [o if t is None else t for o, t in zip(old, texts, strict=True)]
-            cols[at] = pa.array(new, cols[at].type)
-            if "n_chars" in names:
-                k = names.index("n_chars")
-                was = cols[k].to_pylist()
-                cols[k] = pa.array([w if t is None else len(t) for w, t in zip(was, texts, strict=True)], cols[k].type)
-            yield pa.RecordBatch.from_arrays(cols, names)
+            for part in slices(batch, at):
+                hit = part.column(len(names)).is_valid()
+                if hit.false_count:
+                    yield part.filter(pc.invert(hit)).select(names)
+                if hit.true_count:
+                    yield cut(part.filter(hit))
 
-    return with_spans(docs, length).select(*names, "rt_body", "rt_spans").mapInArrow(run, docs.schema)
+    return with_spans(docs, length, spans).select(*[f"`{x}`" for x in names], spans).mapInArrow(run, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return with_spans(docs).select("doc_id", "rt_body", "rt_spans").mapInArrow(digest_rows, RESULT)
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return with_spans(docs).select("doc_id", "text", "spans").mapInArrow(digest_rows, RESULT)

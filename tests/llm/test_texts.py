@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from readtrack.llm import op1_mix, op2_license, op4_simhash, op5_toxic, op7_chat, op8_pack, op9_suffix
+from readtrack.llm import op1_mix, op2_license, op4_simhash, op5_toxic, op7_chat, op8_pack, op9_columns, op9_suffix
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, score string, k1 int, spans string, extra int"
 
@@ -267,36 +267,50 @@ def plain_removed(texts, length):
         yield gone
 
 
-def test_repeats(spark):
-    shared, other = words(90, 1), words(60, 2)
-    rows = [*ODD, (20, words(30, 3) + shared + words(40, 4), "a"), (21, shared, "a"), (22, words(10, 5) + shared[5:-7] + other + words(9, 6) + other, "a"), (23, "ab" * 400, "a"), (24, "é" * 300, "a"), (25, shared[:199], "a"), (26, "x" + shared[:200], "a")]
-    rows += [(100 + i, words(20, i) + shared[: 250 + i] + words(5, i) + shared[-260:], "a") for i in range(40)]
-    got = sorted(((r["doc_id"] or -1, r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in op9_suffix.with_spans(docs(spark, rows)).select("doc_id", "rt_body", "rt_spans").mapInArrow(op9_suffix.digest_rows, op9_suffix.RESULT).collect()))
+def plain_rows(rows):
     texts = [(t or "").encode() for _, t, _ in rows]
-    want = []
     for (i, _, _), b, gone in zip(rows, texts, plain_removed(texts, 200), strict=True):
         kept = bytes(np.frombuffer(b, np.uint8)[~gone])
-        want.append((i or -1, len(b), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()))
-    assert got == sorted(want)
-    left = op9_suffix.without_repeats(docs(spark, rows))
-    assert left.columns == docs(spark, rows).columns and left.count() == len(rows)
+        yield (-1 if i is None else i, len(b), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest())
+
+
+def found_rows(df, **how):
+    got = op9_suffix.with_spans(df, **how).select("doc_id", "text", "spans").mapInArrow(op9_suffix.digest_rows, op9_suffix.RESULT)
+    return sorted((-1 if r["doc_id"] is None else r["doc_id"], *r[1:]) for r in got.collect())
+
+
+@pytest.mark.parametrize("most", [op9_suffix.MOST, 3])
+def test_repeats(spark, most):
+    shared, other = words(90, 1), words(60, 2)
+    rows = [*ODD, (20, words(30, 3) + shared + words(40, 4), "a"), (21, shared, "a"), (22, words(10, 5) + shared[5:-7] + other + words(9, 6) + other, "a"), (23, "ab" * 400, "a"), (24, "é" * 300, "a"), (25, shared[:199], "a"), (26, "x" + shared[:200], "a")]
+    rows += [(100 + i, words(20, i) + shared[: 250 + i] + words(5, i) + shared[-260:], "a") for i in range(40)]
+    # Cores shared by strings that differ around them: near misses of 200 bytes.
+    rows += [(200 + i, f"{words(30, 200 + i)}{i % 5}{shared[100 : 270 + i % 31]}{i % 7} {words(9, i)}", "a") for i in range(60)]
+    plain = docs(spark, rows).select("doc_id", "text")
+    assert found_rows(plain, most=most) == sorted(plain_rows(rows))
+    left = op9_suffix.without_repeats(docs(spark, rows).withColumnsRenamed({"size": "k2", "score": "S1"}))
+    assert left.columns == ["doc_id", "text", "lang", "source", "n_chars", "k2", "S1", "k1", "spans", "extra"] and left.count() == len(rows)
     assert left.where("doc_id = 21").first()["text"] == "" and left.where("doc_id = 1").first()["text"] is None
+    assert left.where("n_chars <> length(text)").count() == 0
     assert op9_suffix.repeated_spans(docs(spark, []).limit(0)).count() == 0
 
 
-def test_columns_in_files_are_the_same():
+@pytest.mark.parametrize("piece,resident", [(1 << 16, 1 << 21), (64, 16), (1, 0)])
+def test_columns(tmp_path, piece, resident):
+    """The transform's common prefixes against counted windows, in memory and through files."""
     rng = random.Random(7)
-    leads = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 9))).encode() for _ in range(60)]
-    tails = ["".join(rng.choice("ab") for _ in range(rng.randint(9, 12))).encode() for _ in range(60)]
-    groups = np.array([rng.randint(0, 2) for _ in range(60)])
-    core, length = 11, 20
-    inside = op9_suffix.repeated_windows(groups, leads, tails, core, length)
-    outside = op9_suffix.repeated_windows(groups, leads, tails, core, length, resident=16)
-    whole = [bytes(x) + b"C%09d." % g + bytes(y) for x, y, g in zip(leads, tails, groups, strict=True)]
-    seen = Counter(w[i : i + length] for w, x in zip(whole, leads, strict=True) for i in range(min(len(x), len(w) - length) + 1))
-    for w, x, a, b in zip(whole, leads, inside, outside, strict=True):
-        want = [seen[w[i : i + length]] > 1 for i in range(min(len(x), len(w) - length) + 1)]
-        assert a.tolist()[: len(want)] == want and a.tolist() == b.tolist()
+    text = lambda lo, hi: "".join(rng.choice("ab") for _ in range(rng.randint(lo, hi))).encode()
+    strings = [(g, text(0, 9), text(9, 12)) for g in range(9) for _ in range(rng.choice([1, 2, 30]))]
+    core, length = 15, 20
+    leads, tails = (op9_suffix.pa.array([x[i] for x in strings], op9_suffix.pa.binary()) for i in (1, 2))
+    groups = np.array([g for g, _, _ in strings])
+    symbols, lengths, _ = op9_suffix.symbol_rows(leads, tails, np.arange(len(strings)))
+    string, place = op9_columns.repeats(groups, symbols, lengths, core, length, f"file://{tmp_path}", piece, resident)
+    whole = [bytes(x) + b"C%013d." % g + bytes(y) for g, x, y in strings]
+    seen = Counter(w[i : i + length] for w, (_, x, _) in zip(whole, strings, strict=True) for i in range(min(len(x), len(w) - length) + 1))
+    want = {(k, i) for k, (w, (_, x, _)) in enumerate(zip(whole, strings, strict=True)) for i in range(min(len(x), len(w) - length) + 1) if seen[w[i : i + length]] > 1}
+    assert set(zip(string.tolist(), place.tolist(), strict=True)) == want and len(want) > 50
+    assert not list(tmp_path.iterdir())
 
 
 @pytest.mark.parametrize("n", [200, 201, 400, 5000])
