@@ -54,10 +54,12 @@ class Scratch:
         df.write.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def drop(self, name: str) -> None:
-        """Deletes a table that no later plan reads, and lets Spark clean the shuffles behind it."""
-        self._fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name)), True)
-        self.release()
+    def drop(self, *names: str, release: bool = True) -> None:
+        """Deletes tables that no later plan reads, and lets Spark clean the shuffles behind them."""
+        for name in names:
+            self._fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name)), True)
+        if release:
+            self.release()
 
     def release(self) -> None:
         gc.collect()
@@ -132,6 +134,7 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str = "cc") -
         )
         now = scratch.keep(small, f"{name}-{step}")
         got = mark(now)
+        scratch.drop(f"{name}-{step - 1}", f"{name}-{step}-l", release=False)
         if got == seen:
             break
         seen = got

@@ -4,7 +4,8 @@ The strings are short, right-aligned and grouped by the core they share. Each ro
 every string, from the strings' ends: the new suffixes' places follow from the ranks of their symbols in the
 Burrows-Wheeler transform so far, and the common prefix of two suffixes that now stand side by side is
 their first symbol's weight plus the least common prefix between the two places they come from. No string is
-compared with another. The state (transform, common prefixes, whose suffix) is read and written in order, a
+compared with another. Equal strings are one that
+counts twice: the common prefix of a suffix and its twin's is the whole suffix. The state (transform, common prefixes, whose suffix) is read and written in order, a
 piece of whole groups at a time; what exceeds RESIDENT bytes is a file, one for each round, in a folder
 that outlives the task, and only a piece and a few numbers for each string are in memory.
 """
@@ -65,9 +66,9 @@ class Sequence:
 class Piece:
     """Strings of whole groups, and what is known about their suffixes between two rounds."""
 
-    def __init__(self, groups: np.ndarray, lengths: np.ndarray):
+    def __init__(self, groups: np.ndarray, lengths: np.ndarray, tails: np.ndarray, twice: np.ndarray):
         _, self.of, self.strings = np.unique(groups, return_inverse=True, return_counts=True)
-        self.lengths, self.place = lengths, np.arange(len(groups))
+        self.lengths, self.tails, self.twice, self.place = lengths, tails, twice, np.arange(len(groups))
         self.counts = self.strings.copy()
 
     def size(self) -> int:
@@ -109,11 +110,12 @@ class Piece:
         self.counts, self.place[act] = grown, new
         return tuple(out)
 
-    def repeated(self, lcp: np.ndarray, who: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """(string, place in it) of each suffix that shares `length` bytes with a neighbour."""
-        hit = np.flatnonzero(np.maximum(lcp, np.append(lcp[1:], 0)) >= length)
-        string = who[hit] >> 9
-        return string, self.lengths[string] - (who[hit] & 511)
+    def repeated(self, lcp: np.ndarray, who: np.ndarray, length: int, core: int) -> tuple[np.ndarray, np.ndarray]:
+        """(string, place in it) of each suffix that shares `length` bytes with a neighbour or its own twin."""
+        string, size = who >> 9, who & 511
+        own = np.where(self.twice[string], size + np.where(size > self.tails[string], core - 1, 0), 0)
+        hit = np.flatnonzero(np.maximum(np.maximum(lcp, np.append(lcp[1:], 0)), own) >= length)
+        return string[hit], self.lengths[string[hit]] - size[hit]
 
 
 KINDS = (np.uint16, np.uint16, np.uint32)  # transform, common prefix, whose suffix of which length
@@ -134,12 +136,15 @@ def pieces_of(groups: np.ndarray, lengths: np.ndarray, piece: int) -> list[tuple
     return out
 
 
-def repeats(groups: np.ndarray, symbols: np.ndarray, lengths: np.ndarray, core: int, length: int, folder: str | None = None, piece: int = PIECE, resident: int = RESIDENT) -> tuple[np.ndarray, np.ndarray]:
-    """(string, place) of every suffix that another string of its group shares `length` bytes of.
+def repeats(
+    groups: np.ndarray, symbols: np.ndarray, lengths: np.ndarray, tails: np.ndarray, twice: np.ndarray, core: int, length: int, folder: str | None = None, piece: int = PIECE, resident: int = RESIDENT
+) -> tuple[np.ndarray, np.ndarray]:
+    """(string, place) of every suffix that another string of its group, or a copy of its own, shares `length` bytes of.
 
-    groups: ascending, one for each string; symbols: a row for each round (the strings' last symbols first), 0 where a string has ended.
+    groups: ascending, one for each string; symbols: a row for each round (the strings' last symbols first), 0 where a string has
+    ended; tails: how many symbols stand behind the core; twice: whether a string occurs more than once.
     """
-    cut = [(lo, hi, Piece(groups[lo:hi], lengths[lo:hi])) for lo, hi in pieces_of(groups, lengths, piece)]
+    cut = [(lo, hi, Piece(*(x[lo:hi] for x in (groups, lengths, tails, twice)))) for lo, hi in pieces_of(groups, lengths, piece)]
     if any(int((lengths[lo:hi] + 1).sum()) >> INDEX for lo, hi, _ in cut):
         raise ValueError("a group is too large for one piece")
     width = len(symbols)
@@ -170,7 +175,7 @@ def repeats(groups: np.ndarray, symbols: np.ndarray, lengths: np.ndarray, core:
         arrays = state.read([(p.size(), kind) for _, _, p in cut for kind in KINDS])
         for lo, _, p in cut:
             next(arrays)
-            string, place = p.repeated(next(arrays), next(arrays).astype(np.int64), length)
+            string, place = p.repeated(next(arrays), next(arrays).astype(np.int64), length, core)
             strings.append(string + lo)
             places.append(place)
         next(arrays, None)

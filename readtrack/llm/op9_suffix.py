@@ -9,8 +9,7 @@ same one, is removed; overlaps count, and strings are judged on the input. In st
    folded, with their number.
 2. A fragment's windows fall into blocks of BLOCK offsets from the anchor. All windows of a block share
    its core; blocks with equal cores (by 128-bit hash) form a collection of strings: up to BLOCK - 1
-   bytes, the core as one symbol, up to BLOCK - 1 bytes. Equal strings are folded; two copies of a string
-   that occurs more often show what all would.
+   bytes, the core as one symbol, up to BLOCK - 1 bytes. Equal strings are folded, with their number.
 3. Each collection's Burrows-Wheeler transform and common prefixes are built column by column, from
    the strings' ends: each round inserts one symbol of every string (op9_columns). Windows whose suffix
    shares LENGTH bytes with a neighbour's are repeated; nothing else decides that.
@@ -188,7 +187,7 @@ def parts_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def symbol_rows(leads: pa.Array, tails: pa.Array, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the strings picked: a row of symbols for each round, their lengths and their leads' lengths."""
+    """Of the strings picked: a row of symbols for each round, their lengths and their tails' lengths."""
     sides = [parts_of(x) for x in (leads, tails)]
     nl, nt = sides[0][1][pick], sides[1][1][pick]
     lengths = nl + nt + 1
@@ -198,7 +197,7 @@ def symbol_rows(leads: pa.Array, tails: pa.Array, pick: np.ndarray) -> tuple[np.
         which = np.repeat(np.arange(len(pick)), sizes)
         k = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         out[last[which] - k, which] = data[begins[pick][which] + k].astype(np.uint16) + 1
-    return out, lengths, nl
+    return out, lengths, nt
 
 
 def collection_rows(length: int, block: int, folder: str | None):
@@ -208,12 +207,11 @@ def collection_rows(length: int, block: int, folder: str | None):
     def flush(t: pa.Table):
         g1, g2, times = (t.column(i).to_numpy() for i in (0, 1, 5))
         group = np.cumsum(np.append(True, (g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1]))) - 1
-        copies = np.minimum(times, 2).astype(np.int64)
-        pick = np.repeat(np.arange(len(group)), np.where(np.bincount(group, copies)[group] > 1, copies, 0))
+        pick = np.flatnonzero(np.bincount(group, times)[group] > 1)
         if not len(pick):
             return
-        symbols, lengths, _ = symbol_rows(t.column(3).combine_chunks(), t.column(4).combine_chunks(), pick)
-        string, place = repeats(group[pick], symbols, lengths, core, length, folder)
+        symbols, lengths, tails = symbol_rows(t.column(3).combine_chunks(), t.column(4).combine_chunks(), pick)
+        string, place = repeats(group[pick], symbols, lengths, tails, times[pick] > 1, core, length, folder)
         at = np.unique(pick[string] << 9 | place)
         first = np.flatnonzero(np.diff(at, prepend=-2) != 1)
         if not len(first):
@@ -279,30 +277,33 @@ def halves(strings: DataFrame, block: int) -> DataFrame:
     return out.select(F.col("g1").alias("o1"), F.col("g2").alias("o2"), F.col("cid").alias("oid"), "half.*", "times")
 
 
-def repeated_windows(strings: DataFrame, scratch: Scratch, length: int, block: int, most: int = MOST, level: int = 0) -> DataFrame:
-    """(g1, g2, cid, lead, tail, times), distinct -> (g1, g2, cid, b, e): runs of repeated windows of each string."""
+def repeated_windows(cut: DataFrame, scratch: Scratch, length: int, block: int, most: int = MOST, level: int = 0) -> DataFrame:
+    """Strings (g1, g2, cid, lead, tail, times), repeated or not -> (g1, g2, cid, b, e): runs of repeated windows of each."""
 
     def built(rows: DataFrame) -> DataFrame:
-        met = rows.select(*names_of("g1 long, g2 long, cid long, lead binary, tail binary, times int")).repartition("g1", "g2").sortWithinPartitions("g1", "g2", "cid")
+        # Under a block of one, equal cores are equal strings, which are counted before they meet.
+        dealt = rows.select(*STRING) if block == 1 else rows.select(*STRING).repartition("g1", "g2")
+        met = folded(dealt).sortWithinPartitions("g1", "g2", "cid")
         return met.mapInArrow(collection_rows(length, block, scratch.folder(f"columns-{level}")), FOUND)
 
-    sizes = strings.groupBy("g1", "g2").agg(F.count("*").alias("n")).where(F.col("n") > most).select("g1", "g2")
+    sizes = cut.groupBy("g1", "g2").agg(F.count("*").alias("n")).where(F.col("n") > most).select("g1", "g2")
     hot = scratch.keep(sizes, f"hot-{level}")
     if block == 1 or not hot.count():
-        return scratch.keep(built(strings), f"found-{level}")
-    cool = scratch.keep(built(strings.join(hot, ["g1", "g2"], "left_anti")), f"found-{level}")
-    cut = scratch.keep(halves(strings.join(hot, ["g1", "g2"], "left_semi"), block), f"halves-{level}")
-    deeper = folded(cut, scratch, f"strings-{level + 1}")
-    inner = repeated_windows(deeper, scratch, length, block // 2, most, level + 1)
-    back = cut.select("o1", "o2", "oid", "shift", "g1", "g2", "cid").join(inner, ["g1", "g2", "cid"])
+        return scratch.keep(built(cut), f"found-{level}")
+    cool = scratch.keep(built(cut.join(hot, ["g1", "g2"], "left_anti")), f"found-{level}")
+    split = scratch.keep(halves(folded(cut.join(hot, ["g1", "g2"], "left_semi")), block), f"halves-{level}")
+    inner = repeated_windows(split, scratch, length, block // 2, most, level + 1)
+    back = split.select("o1", "o2", "oid", "shift", "g1", "g2", "cid").join(inner, ["g1", "g2", "cid"])
     shifted = back.select(F.col("o1").alias("g1"), F.col("o2").alias("g2"), F.col("oid").alias("cid"), (F.col("b") + F.col("shift")).alias("b"), (F.col("e") + F.col("shift")).alias("e"))
     return cool.unionByName(shifted)
 
 
-def folded(cut: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+STRING = names_of("g1 long, g2 long, cid long, lead binary, tail binary, times int")
+
+
+def folded(strings: DataFrame) -> DataFrame:
     """Distinct strings with their number (two stand for more)."""
-    distinct = cut.groupBy("g1", "g2", "cid").agg(F.first("lead").alias("lead"), F.first("tail").alias("tail"), F.least(F.sum("times"), F.lit(2)).cast("int").alias("times"))
-    return scratch.keep(distinct, name)
+    return strings.groupBy("g1", "g2", "cid").agg(F.first("lead").alias("lead"), F.first("tail").alias("tail"), F.least(F.sum("times"), F.lit(2)).cast("int").alias("times"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK, most: int = MOST) -> DataFrame:
@@ -321,10 +322,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     cut = texts.join(asked, ["k1", "k2"]).select("k1", "k2", "body", "asked").mapInArrow(piece_rows(length, block), PIECE)
     cut = scratch.keep(cut, "pieces")
     scratch.release()
-    found = repeated_windows(folded(cut, scratch, "strings-0"), scratch, length, block, most)
+    found = repeated_windows(cut, scratch, length, block, most)
+    scratch.release()
     runs = cut.select("g1", "g2", "cid", "h", "fh", "s").join(found, ["g1", "g2", "cid"])
     own = F.collect_set(F.struct((F.col("s") + F.col("b")).alias("b"), (F.col("s") + F.col("e") - 1 + length).alias("e"))).alias("own")
     kind_spans = scratch.keep(runs.groupBy("h", "fh").agg(own), "kind-spans")
+    scratch.drop("pieces")
     placed = met.select("k1", "k2", "h", "fh", "s").join(kind_spans, ["h", "fh"])
     moved = F.transform("own", lambda x: F.struct((x["b"] + F.col("s")).alias("b"), (x["e"] + F.col("s")).alias("e")))
     spans = placed.groupBy("k1", "k2").agg(F.flatten(F.collect_set(moved)).alias("spans"))
