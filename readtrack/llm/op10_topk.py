@@ -1,68 +1,55 @@
 """Exact top-k by integer inner product: tiled matrix products, partial selection, merged lists.
 
-Components become floor(scale * x). Vectors that are null or hold null or non-finite components take
-no part; nor do rows without an id. Rows that share the query's id count as its own and are no
+Components become floor(scale * x). A shard of vectors meets the queries a few hundred at a time: one matrix product a
+tile, a partial selection of its best, and a tree that merges each query's lists. Vectors that are null or hold null
+or non-finite components take no part; nor do rows without an id. Rows that share the query's id count as its own and are no
 candidates. Where a query id repeats, its least vector is the query. Vectors of different lengths
 are never compared. An empty table gives an empty result. A product that leaves the range of a long
-is held at the nearest end of that range.
+is held at the nearest end of that range. Further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import parts, table
-from .vectors import clean, distinct_queries, merge_top, pack, tiles, top_of
+from .common import table
+from .vectors import SHARD_BYTES, clean, tiled, top_of
 
-SHARD_ROWS, QUERY_ROWS = 8192, 512
 EXACT = 2.0**53
 FOUND = "query_id long, vec_id long, score long, tile long"
 
 
-def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int, scale: float = 256.0, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int, scale: float = 256.0, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The k candidates of highest integer product for each query; both frames hold (id, vec) as `clean` gives them."""
 
-    def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                qi, ci = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["ids"], np.int64)
-                q = np.floor(scale * np.frombuffer(r["q_data"]).reshape(len(qi), r["dim"]))
-                c = np.floor(scale * np.frombuffer(r["data"]).reshape(len(ci), r["dim"]))
-                if r["dim"] * np.abs(q).max(initial=0) * np.abs(c).max(initial=0) < EXACT:
-                    score = q @ c.T
-                    score[qi[:, None] == ci[None, :]] = -np.inf
-                    rows, cols = top_of(score, k)
-                    best = score[rows, cols].astype(np.int64)
-                else:
-                    rows, cols, best = beyond_doubles(q, c, qi, ci)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "query_id": pa.array(qi[rows]),
-                        "vec_id": pa.array(ci[cols]),
-                        "score": pa.array(best, pa.int64()),
-                        "tile": pa.array(np.full(len(rows), r["block"], np.int64)),
-                    }
-                )
-
-    def beyond_doubles(q, c, qi, ci):
-        rows, cols, best = [], [], []
-        whole = [[int(x) for x in y] for y in c]
-        for i, y in enumerate(q):
-            y = [int(x) for x in y]
-            exact = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(y, z, strict=True)))), j) for j, z in enumerate(whole) if ci[j] != qi[i])[:k]
-            rows += [i] * len(exact)
-            cols += [j for _, j in exact]
-            best += [-s for s, _ in exact]
-        return np.array(rows, np.int64), np.array(cols, np.int64), best
-
-    shards = pack(vectors, shard_rows)
-    groups = parts(vectors.count(), shard_rows)
-    asked = pack(distinct_queries(queries), QUERY_ROWS)
-    found = tiles(asked, shards, groups).select("dim", "q_ids", "q_data", "ids", "data", "block").mapInArrow(run, FOUND)
-    return merge_top(found, k)
+    def search(ci, data):
+        c = np.floor(scale * data)
+
+        def ask(qi, data):
+            q = np.floor(scale * data)
+            if q.shape[1] * np.abs(q).max(initial=0) * np.abs(c).max(initial=0) < EXACT:
+                score = q @ c.T
+                score[qi[:, None] == ci[None, :]] = -np.inf
+                rows, cols = top_of(score, k)
+                return qi[rows], ci[cols], score[rows, cols].astype(np.int64)
+            return beyond_doubles(q, c, qi, ci, k)
+
+        return ask
+
+    return tiled(vectors, queries, k, FOUND, search, shard_bytes)
+
+
+def beyond_doubles(q, c, qi, ci, k):
+    """The same in whole numbers of any size."""
+    found = []
+    whole = [[int(x) for x in y] for y in c]
+    for i, y in zip(qi.tolist(), q, strict=True):
+        y = [int(x) for x in y]
+        scores = ((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(y, z, strict=True)))), j) for j, z in zip(ci.tolist(), whole, strict=True) if j != i)
+        found += [(i, j, -s) for s, j in sorted(scores)[:k]]
+    return tuple(np.array([x[n] for x in found], np.int64) for n in range(3))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

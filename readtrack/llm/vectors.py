@@ -1,15 +1,19 @@
-"""Vectors packed into bounded blocks, and the tiles of query blocks and shards."""
+"""Vectors packed into small blocks, shards of them that meet the queries one after another, and merged lists."""
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_SCHEMA = "block long, dim int, n int, ids binary, data binary"
+from .common import parts
+
+BLOCK_SCHEMA = "block long, dim int, ids binary, data binary"
+BLOCK_BYTES, SHARD_BYTES, QUERY_ROWS, FAN_IN = 1 << 13, 1 << 22, 512, 16
 
 
 def clean(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -21,77 +25,91 @@ def clean(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     )
 
 
-def pack(df: DataFrame, rows: int) -> DataFrame:
-    """(id, vec) -> blocks of at most `rows` vectors of one length, ids ascending; no shuffle."""
+def pack(df: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(id, vec) -> blocks of vectors of one length, of at most `block_bytes` (one vector at least); no shuffle."""
 
     def run(batches):
         from pyspark import TaskContext
 
         part, made = TaskContext.get().partitionId(), 0
-        held: dict[int, list] = defaultdict(list)
-        count: dict[int, int] = defaultdict(int)
-
-        def out(dim, ids, data):
-            nonlocal made
-            order = np.argsort(ids, kind="stable")
-            made += 1
-            return pa.RecordBatch.from_pydict(
-                {
-                    "block": pa.array([part << 32 | made], pa.int64()),
-                    "dim": pa.array([dim], pa.int32()),
-                    "n": pa.array([len(ids)], pa.int32()),
-                    "ids": pa.array([ids[order].tobytes()], pa.binary()),
-                    "data": pa.array([data[order].tobytes()], pa.binary()),
-                }
-            )
-
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             vec = batch.column(1)
             flat = vec.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            ends = np.cumsum(vec.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
-            dims = np.diff(ends, prepend=0)
+            dims = vec.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            begins = np.cumsum(dims) - dims
+            out = defaultdict(list)
             for dim in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == dim)
-                if dim * len(ids) == len(flat):
-                    data = flat.reshape(-1, dim) if dim else np.empty((len(at), 0))
-                else:
-                    data = flat[(ends[at] - dim)[:, None] + np.arange(dim)]
-                held[dim].append((ids[at], data))
-                count[dim] += len(at)
-                if count[dim] >= rows:
-                    i, x = (np.concatenate(y) for y in zip(*held[dim], strict=True))
-                    for k in range(0, len(i) - rows + 1, rows):
-                        yield out(dim, i[k : k + rows], x[k : k + rows])
-                    rest = len(i) - len(i) % rows
-                    held[dim], count[dim] = [(i[rest:], x[rest:])], len(i) - rest
-        for dim, blocks in held.items():
-            if count[dim]:
-                yield out(dim, *(np.concatenate(y) for y in zip(*blocks, strict=True)))
+                data = flat[begins[at][:, None] + np.arange(dim)]
+                rows = max(1, block_bytes // (8 * max(1, dim)))
+                for k in range(0, len(at), rows):
+                    made += 1
+                    for name, x in (("block", part << 32 | made), ("dim", dim), ("ids", ids[at[k : k + rows]].tobytes()), ("data", data[k : k + rows].tobytes())):
+                        out[name].append(x)
+            if out:
+                yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("ids", pa.binary()), ("data", pa.binary())]))
 
     return df.select("id", "vec").mapInArrow(run, BLOCK_SCHEMA)
 
 
-def tiles(queries: DataFrame, shards: DataFrame, groups: int) -> DataFrame:
-    """Each query block beside each shard of its dimension: an equi-join on shard groups, blocks not rows."""
-    q = queries.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data")).withColumn(
-        "grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
-    )
-    s = shards.withColumn("grp", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
-    return q.join(s, ["grp", "dim"])
+def tiled(vectors: DataFrame, queries: DataFrame, k: int, schema: str, search: Callable, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """The k best of each query: query_id, rank, vec_id, score. `search(ids, data)` prepares a shard and gives a function of queries' ids and data.
+
+    Every shard meets the query blocks of its length: an equi-join on the shard's number in which the shard's blocks stream by first and
+    are prepared once, then the queries' blocks, QUERY_ROWS queries at a time. Rows are small blocks, so no batch is large.
+    """
+    total = vectors.agg(F.sum(8 * F.size("vec"))).first()[0] or 0
+    shards = parts(total, shard_bytes, 1)
+    held = pack(vectors).withColumns({"shard": F.pmod(F.xxhash64("block"), F.lit(shards)).cast("int"), "asks": F.lit(False)})
+    asked = pack(distinct_queries(queries)).withColumns({"shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1))), "asks": F.lit(True)})
+    dealt = held.unionByName(asked).repartition(shards, "shard", "dim").sortWithinPartitions("shard", "dim", "asks", "block")
 
+    def run(batches):
+        at, blocks, ready, waiting, rows = None, [], None, [], 0
+
+        def whole(pairs, dim):
+            ids = np.concatenate([np.frombuffer(i, np.int64) for i, _ in pairs])
+            order = np.argsort(ids, kind="stable")
+            return ids[order], np.concatenate([np.frombuffer(d).reshape(len(i) // 8, dim) for i, d in pairs])[order]
 
-def merge_top(found: DataFrame, k: int) -> DataFrame:
-    """(query_id, vec_id, score, tile) -> query_id, rank, vec_id, score: lists merged 16 tiles at a time, then per query."""
+        def answers():
+            found = ready(*whole(waiting, at[1]))
+            return pa.RecordBatch.from_arrays([*(pa.array(x) for x in found), pa.array(np.full(len(found[0]), at[0], np.int64))], ["query_id", "vec_id", "score", "tile"])
+
+        for batch in batches:
+            for shard, dim, asks, ids, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (shard, dim) != at:
+                    if waiting:
+                        yield answers()
+                    at, blocks, ready, waiting, rows = (shard, dim), [], None, [], 0
+                if not asks:
+                    blocks.append((ids, data))
+                    continue
+                if not blocks and not ready:
+                    continue
+                if not ready:
+                    ready, blocks = search(*whole(blocks, dim)), []
+                waiting.append((ids, data))
+                rows += len(ids) // 8
+                if rows >= QUERY_ROWS:
+                    yield answers()
+                    waiting, rows = [], 0
+        if waiting:
+            yield answers()
+
+    return merge_top(dealt.select("shard", "dim", "asks", "ids", "data").mapInArrow(run, schema), k, shards)
+
+
+def merge_top(found: DataFrame, k: int, tiles: int) -> DataFrame:
+    """(query_id, vec_id, score, tile) -> query_id, rank, vec_id, score: a tree that merges each query's lists of FAN_IN tiles at a time."""
     order = [F.col("score").desc(), F.col("vec_id").asc()]
-    first = Window.partitionBy("query_id", F.pmod(F.xxhash64("tile"), F.lit(16))).orderBy(*order)
+    while tiles > FAN_IN:
+        near = found.withColumn("tile", F.expr(f"tile div {FAN_IN}"))
+        found = near.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "tile").orderBy(*order))).where(F.col("rank") <= k).drop("rank")
+        tiles = parts(tiles, FAN_IN)
     last = Window.partitionBy("query_id").orderBy(*order)
-    near = found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
-    return (
-        near.withColumn("rank", F.row_number().over(last).cast("int"))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    return found.withColumn("rank", F.row_number().over(last).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def top_of(score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
