@@ -12,7 +12,8 @@ SIMILAR and more by shingles of five words: fingerprints and min-hash bands name
 
 Null and empty texts have no word and fingerprint zero, linked like any other. Fewer words than a
 shingle make one shingle. A null doc_id is never a component's name unless all its members lack an
-id. Repeated rows each come out. An empty table gives an empty result.
+id. Repeated rows each come out. An empty table gives an empty result. Very long texts are hashed in chunks; further
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -25,11 +26,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, table, union_all
+from .common import Scratch, connected_components, fresh, slices, table, union_all
 
 WORDS, SEED, DISTANCE = 3, 42, 2
 WIDE_WORDS, SIMILAR = 5, 0.8
 BANDS, BAND_ROWS = 20, 5  # a pair at 0.8 shares no band in one of 2,800 cases
+HOT_ROWS = 1000
 GROUP, LEADERS = 512, 64  # documents compared in one task; of larger groups, those that go ahead
 SEGMENTS = ((42, 22), (21, 21), (0, 21))  # lowest bit and width
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, of the (23, 12) code
@@ -99,34 +101,41 @@ def name_of_set(found: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(found.tobytes(), SEED)
 
 
-def set_prints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, one, keys): the fingerprint, the shingle set's name and its band keys."""
+def set_prints(texts: DataFrame) -> DataFrame:
+    """(row_id, hash, text) -> (row_id, hash, fp, one, keys): the fingerprint, the shingle set's name and its band keys."""
 
     def run(batches):
         for batch in batches:
-            texts = [t.as_py() for t in batch.column(1)]
-            sets = [shingle_set(t) for t in texts]
-            fp, one = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in ([fingerprint(t) for t in texts], [name_of_set(x) for x in sets]))
-            keys = pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fp, one, keys], ["doc_id", "fp", "one", "keys"])
+            for part in slices(batch, 2):
+                texts = part.column(2).to_pylist()
+                sets = [shingle_set(t) for t in texts]
+                fp, one = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in ([fingerprint(t) for t in texts], [name_of_set(x) for x in sets]))
+                keys = pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), fp, one, keys], ["row_id", "hash", "fp", "one", "keys"])
 
-    return bytes_of(docs).mapInArrow(run, "doc_id long, fp long, one long, keys array<long>")
+    return texts.mapInArrow(run, "row_id long, hash long, fp long, one long, keys array<long>")
 
 
-def whole_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, one, hashes): the shingle set itself."""
+def whole_sets(texts: DataFrame) -> DataFrame:
+    """(one, root, least, text) -> (one, root, least, hashes): the shingle set itself."""
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t.as_py()) for t in batch.column(1)]
-            one = pa.array(np.array([name_of_set(x) for x in sets], np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), one, pa.array([x.tobytes() for x in sets], pa.binary())], ["doc_id", "one", "hashes"])
+            for part in slices(batch, 3):
+                sets = [shingle_set(t.as_py()).tobytes() for t in part.column(3)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(sets, pa.binary())], ["one", "root", "least", "hashes"])
 
-    return bytes_of(docs).mapInArrow(run, "doc_id long, one long, hashes binary")
+    return texts.mapInArrow(run, "one long, root long, least long, hashes binary")
 
 
-def bytes_of(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
+def row_texts(docs: DataFrame) -> DataFrame:
+    """(row_id, hash, text): what names a row, its doc_id (the largest long where it is null) and a hash of its text, beside the text's bytes."""
+    text = F.col("text").cast("string")
+    return docs.select(row_id().alias("row_id"), F.xxhash64(text).alias("hash"), text.cast("binary").alias("text"))
+
+
+def row_id():
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
 
 
 # -- the Golay code ----------------------------------------------------------------------------
@@ -258,57 +267,6 @@ def link_groups(batches):
         yield links(held_key, held)
 
 
-def wide_forest(one: np.ndarray, two: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (row numbers) that join 128-bit fingerprints within `distance` bits into their components.
-
-    Each row not reached yet gathers what is near it in one sweep, so a group of copies takes few sweeps; rows of different
-    gatherings are compared only while these aren't joined.
-    """
-    n = len(one)
-    far = lambda i, at: np.bitwise_count(one[at] ^ one[i]).astype(np.int64) + np.bitwise_count(two[at] ^ two[i])
-    left, heads, a, b = np.arange(n), [], [], []
-    while len(left):
-        near = far(left[0], left) <= distance
-        mine = left[near]
-        heads.append(mine)
-        a.append(np.full(len(mine) - 1, left[0]))
-        b.append(mine[1:])
-        left = left[~near]
-    team = list(range(len(heads)))
-
-    def top(x):
-        while team[x] != x:
-            x = team[x]
-        return x
-
-    for x in range(len(heads)):
-        for y in range(x):
-            if top(x) != top(y):
-                for i in heads[x]:
-                    hit = np.flatnonzero(far(i, heads[y]) <= distance)
-                    if len(hit):
-                        a.append(np.array([i]))
-                        b.append(heads[y][hit[:1]])
-                        team[max(top(x), top(y))] = min(top(x), top(y))
-                        break
-    return np.concatenate(a), np.concatenate(b)
-
-
-def stars(batches):
-    """Rows sorted by key: each key's first value with each of its others."""
-    last, head = None, np.int64(0)
-    for batch in batches:
-        key, one = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        if not len(key):
-            continue
-        new = np.append(last is None or key[0] != last, key[1:] != key[:-1])
-        at = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-        heads = np.where(at >= 0, one[at], head)
-        last, head = key[-1], heads[-1]
-        far = heads != one
-        yield pa.RecordBatch.from_pydict({"a": pa.array(heads[far]), "b": pa.array(one[far])})
-
-
 class Sets:
     """Shingle sets side by side, to be compared with any one of them or another."""
 
@@ -402,28 +360,30 @@ def classify(docs: DataFrame, n: int = WORDS) -> DataFrame:
     return prints.join(classes.withColumnRenamed("fp", "c_fp"), F.col("fp") == F.col("c_fp")).select("doc_id", "fp", "component_id")
 
 
-def near_copies(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """doc_id of the documents to which one of a smaller id that stays is equal or near, by the shingles of their whole texts.
+def near_copies(docs: DataFrame, similar: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
+    """(row_id, hash) of the rows that stay: none is near another, by the shingles of their whole texts. And those of HOT_ROWS rows each, and a thousandth of all.
 
-    Taken by ascending id, a document goes where one that stays has a similarity of `similar` and more: those that stay are not near
-    one another, and none goes for a chain of others. Candidates share a band of min-hashes or a component of fingerprints;
-    each one's set travels once, to its candidates' group. A group over GROUP is thinned by its first LEADERS first,
-    in as many parts as its size takes, until it is small; the outcome is the same.
+    Taken by ascending id (null last), a text goes where one that stays has a similarity of `similar` and more: none goes for a chain of
+    others. Texts of equal shingle sets are one: its row of the least id, and hash of text, stands for it. Candidates
+    share a band of min-hashes or a component of fingerprints; each one's set travels once, to its candidates' group. A
+    group over GROUP is thinned by its first LEADERS first, in as many parts as its size takes, until it is small; the
+    outcome is the same.
     """
     scratch = Scratch(docs.sparkSession)
-    prints = scratch.keep(set_prints(docs), "prints")
-    named = prints.where("doc_id is not null")
-    sets = scratch.keep(named.groupBy("one").agg(F.min("doc_id").alias("least"), F.any_value("keys").alias("keys")), "sets")
-    classes = near_components(prints.select("doc_id", "fp"), scratch).withColumnRenamed("fp", "c_fp")
-    by_print = named.select("fp", "one").distinct().join(classes, F.col("fp") == F.col("c_fp")).select(F.col("component_id").alias("key"), "one")
-    keyed = sets.select(F.explode("keys").alias("key"), "one").unionByName(by_print)
-    edges = scratch.keep(keyed.repartition("key").sortWithinPartitions("key", "one").mapInArrow(stars, "a long, b long").distinct(), "stars")
-    scratch.release()
+    prints = scratch.keep(set_prints(row_texts(docs)), "prints")
+    first_row = F.min(F.struct("row_id", "hash"))
+    sets = scratch.keep(prints.groupBy("one").agg(first_row.alias("first"), F.any_value("keys").alias("keys")).select("one", F.col("first.row_id").alias("least"), "first.hash", "keys"), "sets")
+    classes = near_components(prints.select(F.col("row_id").alias("doc_id"), "fp"), scratch).withColumnRenamed("fp", "c_fp")
+    by_print = prints.select("fp", "one").distinct().join(classes, F.col("fp") == F.col("c_fp")).select(F.col("component_id").alias("key"), "one")
+    keyed = scratch.keep(sets.select(F.explode("keys").alias("key"), "one").unionByName(by_print), "keyed")
+    heads = keyed.groupBy("key").agg(F.min("one").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+    edges = scratch.keep(keyed.withColumnRenamed("one", "b").join(heads, "key").where("a <> b").select("a", "b").distinct(), "stars")
+    scratch.drop("keyed")
     root = connected_components(edges, scratch, "near")
-    members = scratch.keep(root.join(sets, F.col("node") == F.col("one")).select("root", "least", "one"), "members")
-    texts = docs.join(members.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    found = whole_sets(texts).withColumnRenamed("one", "d_one")
-    left = found.join(members, (F.col("doc_id") == F.col("least")) & (F.col("d_one") == F.col("one"))).select("root", "least", "hashes", "one").dropDuplicates(["one"])
+    members = scratch.keep(root.join(sets, F.col("node") == F.col("one")).select("one", "root", "least", "hash"), "members")
+    asked = members.withColumnRenamed("hash", "m_hash")
+    texts = row_texts(docs).join(asked, (F.col("row_id") == F.col("least")) & (F.col("hash") == F.col("m_hash")))
+    left = whole_sets(texts.select("one", "root", "least", "text")).dropDuplicates(["one"])
     left = scratch.keep(left.select("root", "least", "one", "hashes"), "left-0")
     judged, step = [], 0
     while True:
@@ -452,8 +412,9 @@ def near_copies(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         step += 1
         left = scratch.keep(rest.join(stays, F.col("one") == F.col("b_one"), "left_semi").select("root", "least", "one", "hashes"), f"left-{step}")
     gone = union_all(judged).where("gone").select("one")
-    stay = sets.join(gone, "one", "left_anti").select(F.col("least").alias("doc_id"))
-    return scratch.keep(named.select("doc_id").distinct().join(stay, "doc_id", "left_anti"), "gone")
+    stay = scratch.keep(sets.join(gone, "one", "left_anti").select(F.col("least").alias("row_id"), "hash"), "stay")
+    most = max(HOT_ROWS, prints.count() // 1000)
+    return stay, scratch.keep(prints.groupBy("row_id", "hash").count().where(F.col("count") > most).select("row_id", "hash"), "hot")
 
 
 def thin(rows: DataFrame, similar: float) -> DataFrame:
@@ -462,14 +423,26 @@ def thin(rows: DataFrame, similar: float) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents' rows but those that are near copies of one with a smaller doc_id that stays; one row where an id repeats.
+    """The documents' rows, one of each set of near copies: whatever isn't near to a row that stays, stays.
 
-    Rows without an id stay.
+    Rows are told apart by id and text, so an id's other texts don't go with it. Rows without an id come last. Null and empty texts
+    are alike. Where a row of the same id and text occurs again, that of the least hash of all columns stays.
     """
-    left = docs.join(near_copies(docs), "doc_id", "left_anti")
-    ids = left.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    twice = left.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(ids, "doc_id", "left_anti").unionByName(twice).select(*docs.columns)
+    names = docs.columns
+    ident, text_hash, s_id, s_hash = (fresh(x, names) for x in ("row_id", "row_hash", "stay_id", "stay_hash"))
+    stay, hot = (x.select(F.col("row_id").alias(s_id), F.col("hash").alias(s_hash)) for x in near_copies(docs))
+    named = docs.withColumns({ident: row_id(), text_hash: F.xxhash64(F.col("text").cast("string"))})
+    same = (F.col(ident) == F.col(s_id)) & (F.col(text_hash) == F.col(s_hash))
+    whole, order = F.struct(*[F.col(f"`{x}`") for x in names]), F.xxhash64(*[F.col(f"`{x}`") for x in names])
+
+    def one_row(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(ident, text_hash).agg(F.min_by(whole, order).alias("row"))
+
+    if not hot.count():
+        return one_row(named.join(stay, same, "left_semi")).select("row.*")
+    # Fewer than a thousand keys are hot; their rows are folded before they meet.
+    few = one_row(named.join(F.broadcast(hot), same, "left_semi")).join(stay, same, "left_semi")
+    return one_row(named.join(F.broadcast(hot), same, "left_anti").join(stay, same, "left_semi")).unionByName(few).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -166,16 +166,21 @@ def test_forests_join_what_is_near():
         assert parts(op4_simhash.forest(fp)) == few
     finally:
         op4_simhash.DENSE = dense
-    a, b = op4_simhash.wide_forest(fp, np.zeros_like(fp), 2)
-    assert parts(zip(a.tolist(), b.tolist(), strict=True)) == few
 
 
-def test_one_of_each(spark):
+@pytest.mark.parametrize("hot", [1000, 1])
+def test_one_of_each(spark, hot, monkeypatch):
+    monkeypatch.setattr(op4_simhash, "HOT_ROWS", hot)
     base = words(300, 4).split()
-    near = " ".join(base[:100] + ["changed"] + base[101:])
+    near, other = " ".join(base[:100] + ["changed"] + base[101:]), words(200, 77)
     rows = [(7, " ".join(base), "a"), (9, near, "a"), (8, words(300, 5), "a"), (7, " ".join(base), "a"), (None, " ".join(base), "a"), (30, "", "a"), (31, None, "a")]
-    kept = op4_simhash.one_of_each(docs(spark, rows))
-    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 7, 8, 30] and kept.columns == docs(spark, rows).columns
+    rows += [(7, other, "a"), (3, " ".join(base), "b"), (3, " ".join(base), "a"), (3, " ".join(base), "b"), (None, words(90, 6), "a"), (None, words(90, 6), "a"), (40, words(30_000, 8), "a")]
+    df = docs(spark, rows).withColumnsRenamed({"k1": "row_id", "size": "stay_hash", "extra": "row"})
+    kept = op4_simhash.one_of_each(df)
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"]) for r in kept.collect())
+    # An id's other text stays; the least id's row stands for copies; a row without an id comes last.
+    assert got == sorted([(3, " ".join(base)), (7, other), (8, words(300, 5)), (30, ""), (40, words(30_000, 8)), (-1, words(90, 6))]) and kept.columns == df.columns
+    assert op4_simhash.one_of_each(df.limit(0)).count() == 0
 
 
 # -- 5 -----------------------------------------------------------------------------------------
@@ -304,10 +309,11 @@ def test_columns(tmp_path, piece, resident):
     core, length = 15, 20
     leads, tails = (op9_suffix.pa.array([x[i] for x in strings], op9_suffix.pa.binary()) for i in (1, 2))
     groups = np.array([g for g, _, _ in strings])
-    symbols, lengths, _ = op9_suffix.symbol_rows(leads, tails, np.arange(len(strings)))
-    string, place = op9_columns.repeats(groups, symbols, lengths, core, length, f"file://{tmp_path}", piece, resident)
+    symbols, lengths, behind = op9_suffix.symbol_rows(leads, tails, np.arange(len(strings)))
+    twice = np.array([rng.random() < 0.1 for _ in strings])
+    string, place = op9_columns.repeats(groups, symbols, lengths, behind, twice, core, length, f"file://{tmp_path}", piece, resident)
     whole = [bytes(x) + b"C%013d." % g + bytes(y) for g, x, y in strings]
-    seen = Counter(w[i : i + length] for w, (_, x, _) in zip(whole, strings, strict=True) for i in range(min(len(x), len(w) - length) + 1))
+    seen = Counter(w[i : i + length] for w, (_, x, _), n in zip(whole, strings, 1 + twice, strict=True) for i in range(min(len(x), len(w) - length) + 1) for _ in range(n))
     want = {(k, i) for k, (w, (_, x, _)) in enumerate(zip(whole, strings, strict=True)) for i in range(min(len(x), len(w) - length) + 1) if seen[w[i : i + length]] > 1}
     assert set(zip(string.tolist(), place.tolist(), strict=True)) == want and len(want) > 50
     assert not list(tmp_path.iterdir())
