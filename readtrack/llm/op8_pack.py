@@ -3,56 +3,77 @@
 A document's ids (its tokens, then an end id) are cut into pieces. A piece that k of fit in a
 sequence belongs to class k; each class fills its sequences with k pieces. A rest that would waste
 more than a sixteenth of its slot first gives a piece of exactly the next class's slot, so little is
-padded. Every worker packs its own documents as they stream by and holds fewer than k pieces of a
-class; those left at its end meet again by class, and the few left then are packed largest first.
+padded; short pieces (k of FINE and more) are whole and waste less than one of them a sequence. Every worker
+packs its own documents as they stream by and holds fewer than k pieces of a class; those left at its end meet
+in a tree, FAN_IN workers' at a time by class, and the few left then are packed largest first.
 Only the pieces' measures are shuffled, never texts or ids.
 
 Null texts are empty: one id, the end id. Empty tables give empty results. Repeated rows are
-documents of their own; a null doc_id is an ordinary value. Texts of any length stream through.
+documents of their own; a null doc_id is an ordinary value. Texts of any length stream through. Further
+columns, whatever their names, are not read. A tokenizer whose rules aren't those of the word BPE encodes each text whole.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
 from collections import defaultdict
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table, union_all
+from .common import Scratch, parts, table, union_all
 
 CAPACITY, END_ID, TOKENIZER = 2048, 1, "word_bpe_49k.json"
-FINE, SLACK = 32, 16
-RUNS_KEPT, WORDS_KEPT = 250_000, 600_000
+FINE, SLACK, FAN_IN = 32, 16, 16
+RUNS_KEPT, WORDS_KEPT = 400_000, 300_000
 #: Marks that the tokenizer never joins to letters (the apostrophe is not one), and words it treats alike in either case.
-MARKS, PLAIN = ".,;:!?()\"-", re.compile(r"[A-Za-z\u00df-\u00f6\u00f8-\u00ff\u00c0-\u00d6\u00d8-\u00de]+").fullmatch
+MARKS, PLAIN = ".,;:!?()\"-", re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k int, sequence_id long, offset long"
 NAMES = [c.split()[0] for c in PIECE.split(", ")]
-NOT_SPACE_FOR_ALL = "\x1c\x1d\x1e\x1f"  # str.split() takes them for spaces, the tokenizer doesn't
+NOT_SPACE_FOR_ALL = re.compile("[\x1c-\x1f]").search  # str.split() takes them for spaces, the tokenizer doesn't
+#: The rules of the word BPE that allow its runs without white space to be encoded one by one.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+    "truncation": None,
+    "padding": None,
+}
+
+
+def by_runs(path: str) -> bool:
+    """Whether a tokenizer file has those rules, and added tokens without white space."""
+    with open(path, encoding="utf-8") as f:
+        own = json.load(f)
+    return all(own.get(k) == v for k, v in RULES.items()) and not any(x["lstrip"] or x["rstrip"] or x["content"].split() != [x["content"]] for x in own["added_tokens"])
 
 
 class Words(dict):
-    """word -> ids, encoded on first use."""
+    """lower-cased plain word -> ids, straight from the merges."""
 
     def __init__(self, tok):
         from tokenizers import pre_tokenizers
 
         super().__init__()
-        self.tok, self.model = tok, tok.model
+        self.merges = tok.model.tokenize
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= WORDS_KEPT:
             self.clear()
-        if PLAIN(word) and word.islower():  # nothing left to normalise or split: straight to the merges
-            found = [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.letters))]
-        else:
-            found = self.tok.encode(word, add_special_tokens=False).ids
-        ids = self[word] = array("I", found).tobytes()
+        ids = self[word] = array("I", [t.id for t in self.merges(word if word.isascii() else word.translate(self.letters))]).tobytes()
         return ids
 
 
@@ -61,19 +82,20 @@ class Runs(dict):
 
     def __init__(self, tok):
         super().__init__()
-        self.words = Words(tok)
+        self.tok, self.words = tok, Words(tok)
 
     def __missing__(self, run: str) -> bytes:
         if len(self) >= RUNS_KEPT:
             self.clear()
         word = run.strip(MARKS)
-        if PLAIN(word):
-            at = run.index(word)
-            before, after = run[:at], run[at + len(word) :]
-            ids = self.words[word.lower()]
-            ids = (self.words[before] if before else b"") + ids + (self.words[after] if after else b"")
+        low = word.lower()
+        if low not in self.words and not PLAIN(low):
+            ids = array("I", self.tok.encode(run, add_special_tokens=False).ids).tobytes()
         else:
-            ids = self.words[run]
+            ids = self.words[low]
+            if len(word) < len(run):
+                before, _, after = run.partition(word)
+                ids = (self[before] if before else b"") + ids + (self[after] if after else b"")
         self[run] = ids
         return ids
 
@@ -84,20 +106,29 @@ class Encoder:
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
-        self.tok, self.end = Tokenizer.from_file(path), end_id.to_bytes(4, "little")
+        self.tok, self.end, self.by_runs = Tokenizer.from_file(path), end_id.to_bytes(4, "little"), by_runs(path)
         self.runs = Runs(self.tok)
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return self.end
-        if any(c in text for c in NOT_SPACE_FOR_ALL):
+        if not self.by_runs or NOT_SPACE_FOR_ALL(text):
             return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes() + self.end
         return b"".join(map(self.runs.__getitem__, text.split())) + self.end
 
 
+@lru_cache(1)
+def encoder(path: str | None, end_id: int) -> Encoder:
+    """One encoder a worker process: later tasks find what earlier ones kept. path None: the public word BPE."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(TOKENIZER)
+    return Encoder(path, end_id)
+
+
 def class_of(length: int, capacity: int) -> int:
-    k = capacity // length
-    return k if k <= FINE else 1 << (k.bit_length() - 1)
+    return capacity // length
 
 
 def cuts(n: int, capacity: int):
@@ -151,12 +182,7 @@ def tokenise_and_pack(tokenizer_path: str | None, capacity: int, end_id: int):
     def run(batches):
         from pyspark import TaskContext
 
-        path = tokenizer_path
-        if path is None:
-            import public_tokenizers
-
-            path = public_tokenizers.path(TOKENIZER)
-        encode, packer = Encoder(path, end_id), Packer(TaskContext.get().partitionId() << 32)
+        encode, packer = encoder(tokenizer_path, end_id), Packer(TaskContext.get().partitionId() << 32)
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = memoryview(encode(text.as_py()))
@@ -172,18 +198,47 @@ def tokenise_and_pack(tokenizer_path: str | None, capacity: int, end_id: int):
     return run
 
 
-def pack_again(batches):
-    """The second worker level: pieces that first workers left, sorted by class."""
-    from pyspark import TaskContext
+def pack_again(level: int):
+    """A level of the tree: pieces that workers of the level below left, sorted by class and group of workers."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        packer, last, rows = Packer((level << 56) + (TaskContext.get().partitionId() << 32)), None, []
 
-    packer = Packer((1 << 60) + (TaskContext.get().partitionId() << 32))
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            packer.add(row)
-        if len(packer.rows) > 20_000:
-            yield batch_of(packer.rows)
+        def taken() -> None:
+            rows.extend((*r, last[1]) for r in packer.rows)
             packer.rows = []
-    yield batch_of(packer.rows + packer.left())
+
+        def left() -> None:
+            taken()
+            rows.extend((*r, last[1]) for r in packer.left())
+            packer.held.clear()
+
+        for batch in batches:
+            for *row, group in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (row[5], group) != last:
+                    if last:
+                        left()
+                    last = row[5], group
+                packer.add(tuple(row))
+            if last:
+                taken()
+            if rows:
+                yield grouped_batch(rows)
+                rows.clear()
+        if last:
+            left()
+        if rows:
+            yield grouped_batch(rows)
+
+    return run
+
+
+def grouped_batch(rows: list) -> pa.RecordBatch:
+    *_, groups = zip(*rows, strict=True)
+    own = batch_of([r[:-1] for r in rows])
+    return pa.RecordBatch.from_arrays([*own.columns, pa.array(groups, pa.int64())], [*NAMES, "worker"])
 
 
 def pack_last(capacity: int):
@@ -201,7 +256,7 @@ def pack_last(capacity: int):
                 room.append(capacity)
             bins[at].append(row)
             room[at] -= row[2]
-        packer = Packer(1 << 61)
+        packer = Packer(1 << 62)
         for pieces in bins:
             packer.close(pieces)
         yield batch_of(packer.rows)
@@ -213,11 +268,20 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAP
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, k, sequence_id, offset. tokenizer_path None: the public word BPE."""
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    first = scratch.keep(texts.mapInArrow(tokenise_and_pack(tokenizer_path, capacity, end_id), PIECE), "first")
-    rest = first.where("sequence_id is null").repartition("k").sortWithinPartitions("k", "doc_id", "start", "length", "ids_crc32")
-    second = scratch.keep(rest.mapInArrow(pack_again, PIECE), "second")
-    last = second.where("sequence_id is null").repartition(1).mapInArrow(pack_last(capacity), PIECE)
-    return union_all([first.where("sequence_id is not null"), second.where("sequence_id is not null"), last])
+    tokenised = texts.mapInArrow(tokenise_and_pack(tokenizer_path, capacity, end_id), PIECE)
+    now = scratch.keep(tokenised.withColumn("worker", F.spark_partition_id()), "first")
+    done, level, workers = [now.where("sequence_id is not null").drop("worker")], 0, (now.agg(F.max("worker")).first()[0] or 0) + 1
+    rest = now.where("sequence_id is null")
+    while workers > 1:
+        level, workers = level + 1, parts(workers, FAN_IN)
+        grouped = rest.withColumn("worker", F.expr(f"worker div {FAN_IN}"))
+        dealt = grouped.repartition("k", "worker").sortWithinPartitions("k", "worker", "doc_id", "start", "length", "ids_crc32")
+        packed = dealt.select(*NAMES, "worker").mapInArrow(pack_again(level), f"{PIECE}, worker long")
+        now = scratch.keep(packed, f"level-{level}")
+        done.append(now.where("sequence_id is not null").drop("worker"))
+        rest = now.where("sequence_id is null")
+    last = rest.drop("worker").repartition(1).mapInArrow(pack_last(capacity), PIECE)
+    return union_all([*done, last])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
