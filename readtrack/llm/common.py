@@ -84,6 +84,21 @@ def slices(batch, column: int, most: int = 4 << 20):
             yield batch.slice(lo, hi - lo)
 
 
+def numbered(df: DataFrame, name: str, order: list, scratch: Scratch) -> DataFrame:
+    """Adds the rows' numbers from 0 in an order, sorted in ranges on all workers; only a count a range comes to the driver."""
+    placed = scratch.keep(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id()), f"numbered-{name}")
+    part = F.shiftright(F.col(name), 33)
+    counts = sorted(tuple(r) for r in placed.groupBy(part.alias("range")).count().collect())
+    starts, at = [], 0
+    for k, n in counts:
+        starts.append((k, at))
+        at += n
+    if not starts:
+        return placed
+    offset = F.element_at(F.create_map(*[F.lit(x) for pair in starts for x in pair]), part)
+    return placed.withColumn(name, offset + F.col(name).bitwiseAND((1 << 33) - 1))
+
+
 def parts(rows: int, per_part: int, least: int = 1) -> int:
     return max(least, -(-rows // per_part))
 

@@ -12,20 +12,19 @@ closes the gap, so a source's words come within one word of its target per repea
 Null texts and texts without words have size 0 and are taken 0 times over (copies of them carry no
 words). Rows with equal doc_id, source and size form one unit and take the same copies. A null
 source is a source of its own, a null doc_id an ordinary value. A source without words has target 0.
-An empty table gives an empty result. Reruns agree: all draws are seeded by leaf and source.
+An empty table gives an empty result. Reruns agree: all draws are seeded by leaf and source. Further columns,
+whatever their names, stay with the rows of the mix. Words of very long texts are counted where they lie.
 """
 
 from __future__ import annotations
 
-import math
 import random
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, Scratch, parts, table, union_all
+from .common import SPACE, Scratch, fresh, numbered, parts, table, union_all
 
 WEIGHTS, BUDGET, CAP = (5, 2, 1), 1.5, 2.0
 LEAF_ROWS, FAN_IN, SEED = 4096, 16, 42
@@ -42,63 +41,70 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
-def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
+def source_targets(sizes: DataFrame, scratch: Scratch, weights: tuple = WEIGHTS, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
     """(source, source_size, target): one row a source.
 
-    Sources in order of cap over weight reach their caps one after another; the first that stays
-    below gives the level of all that follow.
+    The level (words a unit of weight) rises until no further source reaches its cap; each round is one sum over the sources.
     """
-    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), F.col("rank") % len(weights) + 1)
-    ranked = sizes.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn(
-        "rank", (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1).cast("int")
-    )
-    ranked = ranked.withColumn("weight", w).withColumn("most", F.col("source_size") * F.lit(float(cap)))
-    up = Window.orderBy(F.col("most") / F.col("weight"), "rank")
-    before = up.rowsBetween(Window.unboundedPreceding, -1)
-    after = up.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    every = Window.partitionBy()
-    levels = ranked.withColumn("level", (F.lit(float(budget)) * F.sum("source_size").over(every) - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("weight").over(after))
-    open_ = F.col("most") / F.col("weight") > F.col("level")
-    level = F.min(F.when(open_, F.struct(F.col("most") / F.col("weight"), F.col("rank"), F.col("level").alias("level")))).over(every)["level"]
-    return levels.select(
-        "source",
-        "source_size",
-        F.least(F.col("most"), F.coalesce(level * F.col("weight"), F.col("most"))).alias("target"),
-    )
+    weight = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
+    own = scratch.keep(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
+    ranked = scratch.keep(numbered(own, "rank", [F.col("source").asc_nulls_last()], scratch).withColumn("weight", weight), "ranked")
+    most = F.col("source_size") * F.lit(float(cap))
+
+    def totals(level: float) -> tuple:
+        capped = most <= F.col("weight") * F.lit(level)
+        row = ranked.agg(
+            F.sum("source_size").alias("all"),
+            F.coalesce(F.sum(F.when(capped, F.col("source_size"))), F.lit(0)).alias("capped"),  # whole numbers: the same sum in any order
+            F.coalesce(F.sum(F.when(~capped, F.col("weight"))), F.lit(0.0)).alias("open"),
+        ).first()
+        return row["all"] or 0, row["capped"], row["open"]
+
+    level, before = -1.0, None
+    while True:
+        every, capped, open_ = totals(level)
+        if not open_ or (capped, open_) == before:
+            break
+        level, before = (budget * every - cap * capped) / open_, (capped, open_)
+    target = most if not open_ else F.least(most, F.col("weight") * F.lit(level))
+    return ranked.select("source", "source_size", target.alias("target"))
 
 
 def settle(level: int, seed: int):
     """Pairs the units of each (leaf, source) in order; all but at most one come out decided."""
+    names = [c.split()[0] for c in UNIT.split(", ")]
+    types = {"long": pa.int64(), "string": pa.string(), "double": pa.float64(), "int": pa.int32()}
+    schema = pa.schema([(c.split()[0], types[c.split()[1]]) for c in UNIT.split(", ")])
+
+    def pair(a: list, b: list, rng: random.Random) -> None:
+        """Words move from one open unit to the other until one is empty or full."""
+        (x, p), (y, q) = ((u[3] * u[4], u[8]) for u in (a, b))
+        gain, loss = min(x * (1 - p), y * q), min(x * p, y * (1 - q))
+        if rng.random() * (gain + loss) < loss:  # to the first unit
+            a[8] = 1.0 if x * (1 - p) <= y * q else p + gain / x
+            b[8] = 0.0 if y * q <= x * (1 - p) else q - gain / y
+        else:
+            a[8] = 0.0 if x * p <= y * (1 - q) else p - loss / x
+            b[8] = 1.0 if y * (1 - q) <= x * p else q + loss / y
 
-    def draws(leaf, source) -> random.Random:
-        return random.Random(f"{seed}/{level}/{leaf}/{source!r}")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches):
         key, rng, held = None, None, None
-        cols = [c.split()[0] for c in UNIT.split(", ")]
-        for frame in frames:
+        frame = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], names)
+        for batch in batches:
             out = []
-            for row in frame[cols].itertuples(index=False, name=None):
-                leaf, source, doc, size, n, total, target, copies, x = row
-                source = None if source is None or source != source else source
-                if (leaf, source) != key:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                unit = list(row)
+                if (unit[0], unit[1]) != key:
                     if held:
                         out.append(held)
-                    key, rng, held = (leaf, source), draws(leaf, source), None
-                unit = [leaf, source, None if doc != doc else doc, size, n, total, target, copies, None if x is None or x != x else x]
+                    key, held = (unit[0], unit[1]), None
+                    rng = random.Random(f"{seed}/{level}/{unit[0]}/{unit[1]!r}")
                 if unit[8] is None:
                     out.append(unit)
                 elif held is None:
                     held = unit
                 else:
-                    a, b = held[3] * held[4], size * n
-                    gain, loss = min(a * (1 - held[8]), b * x), min(a * held[8], b * (1 - x))
-                    if rng.random() * (gain + loss) < loss:  # words move to the held unit
-                        held_full, other_empty = a * (1 - held[8]) <= b * x, b * x <= a * (1 - held[8])
-                        held[8], unit[8] = (1.0 if held_full else held[8] + gain / a), (0.0 if other_empty else x - gain / b)
-                    else:
-                        held_empty, other_full = a * held[8] <= b * (1 - x), b * (1 - x) <= a * held[8]
-                        held[8], unit[8] = (0.0 if held_empty else held[8] - loss / a), (1.0 if other_full else x + loss / b)
+                    pair(held, unit, rng)
                     still = []
                     for u in (held, unit):
                         if 0.0 < u[8] < 1.0:
@@ -108,13 +114,9 @@ def settle(level: int, seed: int):
                             out.append(u)
                     held = still[0] if still else None
             if out:
-                yield frame_of(out)
+                yield frame(out)
         if held:
-            yield frame_of([held])
-
-    def frame_of(rows):
-        f = pd.DataFrame(rows, columns=[c.split()[0] for c in UNIT.split(", ")], dtype=object)
-        return f.astype({"doc_id": "Int64", "open": "float64", "target": "float64"})
+            yield frame([held])
 
     return run
 
@@ -124,7 +126,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, cap:
     scratch = Scratch(docs.sparkSession)
     sizes = scratch.keep(sized(docs), "sizes")
     rows = sizes.count()
-    targets = scratch.keep(source_targets(sizes, weights, budget, cap), "targets")
+    targets = scratch.keep(source_targets(sizes, scratch, weights, budget, cap), "targets")
     few = targets.count() <= BROADCAST_SOURCES
     units = sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n"))
     t = targets.withColumnRenamed("source", "t_source")
@@ -142,7 +144,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, cap:
     level, done = 0, []
     while True:
         ordered = units.repartition(leaves, "leaf", "source").sortWithinPartitions("leaf", "source", F.xxhash64(F.lit(seed), "doc_id", "size"), "doc_id", "size")
-        met = scratch.keep(ordered.mapInPandas(settle(level, seed), UNIT), f"level-{level}")
+        met = scratch.keep(ordered.select(*[c.split()[0] for c in UNIT.split(", ")]).mapInArrow(settle(level, seed), UNIT), f"level-{level}")
         if leaves == 1:
             done.append(met)
             break
@@ -155,22 +157,23 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, cap:
 
 def mixed_rows(docs: DataFrame, units: DataFrame) -> DataFrame:
     """The mix itself: every copy as a row of the documents' columns; a leading part as a shorter text."""
+    names = docs.columns
+    doc, source, u_size, copies, extra, size, taken = (fresh(x, names) for x in ("u_doc", "u_source", "u_size", "u_copies", "u_extra", "own_size", "u_words"))
     u = units.where("copies > 0 or extra > 0").select(
-        F.col("doc_id").alias("u_doc"), F.col("source").alias("u_source"), F.col("size").alias("u_size"), F.col("copies").alias("u_copies"), F.col("extra").alias("u_extra")
+        F.col("doc_id").alias(doc), F.col("source").alias(source), F.col("size").alias(u_size), F.col("copies").alias(copies), F.col("extra").alias(extra)
     )
-    size = F.coalesce(F.regexp_count("text", F.lit(SPACE)), F.lit(0)).cast("long")
-    named = docs.withColumn("u_size_", size)
-    on = F.col("doc_id").eqNullSafe(F.col("u_doc")) & F.col("source").eqNullSafe(F.col("u_source")) & (F.col("u_size_") == F.col("u_size"))
-    each = F.transform(F.sequence(F.lit(1), F.col("u_copies") + 1), lambda i: F.when(i <= F.col("u_copies"), F.lit(-1).cast("long")).when(F.col("u_extra") > 0, F.col("u_extra")))
-    out = named.join(u, on).withColumn("u_words", F.explode(F.filter(each, lambda x: x.isNotNull())))
-    lead = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(SPACE), F.lit(0)), F.lit(1), F.col("u_words").cast("int")), " ")
-    text = F.when(F.col("u_words") < 0, F.col("text")).otherwise(lead)
+    named = docs.withColumn(size, F.coalesce(F.regexp_count("text", F.lit(SPACE)), F.lit(0)).cast("long"))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & F.col("source").cast("string").eqNullSafe(F.col(source)) & (F.col(size) == F.col(u_size))
+    each = F.transform(F.sequence(F.lit(1), F.col(copies) + 1), lambda i: F.when(i <= F.col(copies), F.lit(-1).cast("long")).when(F.col(extra) > 0, F.col(extra)))
+    out = named.join(u, on).withColumn(taken, F.explode(F.filter(each, lambda x: x.isNotNull())))
+    lead = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(SPACE), F.lit(0)), F.lit(1), F.col(taken).cast("int")), " ")
+    text = F.when(F.col(taken) < 0, F.col("text")).otherwise(lead)
     cols = []
-    for c in docs.columns:
+    for c in names:
         if c == "text":
             cols.append(text.alias("text"))
         elif c == "n_chars":
-            cols.append(F.when(F.col("u_words") < 0, F.col("n_chars")).otherwise(F.length(lead)).cast(docs.schema["n_chars"].dataType).alias("n_chars"))
+            cols.append(F.when(F.col(taken) < 0, F.col("n_chars")).otherwise(F.length(lead)).cast(docs.schema["n_chars"].dataType).alias("n_chars"))
         else:
             cols.append(F.col(f"`{c}`"))
     return out.select(*cols)
