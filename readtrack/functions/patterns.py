@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from .text import EMOJI_ONE
 
+#: What joins the ends of a range, and the classes of messages.
 DASH, WORD = r"\s*[-\x{2013}\x{2014}]{1,2}\s*", r"\s+(?:sampai|sampe|hingga|to)\s+"
 POOLS = ["cross_chapter_verse", "verse_range", "single_verse", "cross_book", "chapter_range", "single_chapter", "book_only", "multi", "none", "noisy"]
-_TO = f"(?:{DASH}|{WORD})"
+_TO, _VERSE = f"(?:{DASH}|{WORD})", r"\d+:\d+"
 #: Shapes from the most telling to the least; what has none is book_only.
 SHAPES = [
-    ("cross_chapter_verse", rf"(?i)\d+:\d+{_TO}\d+:\d+"),
-    ("verse_range", rf"(?i)\d+:\d+{_TO}\d+(?!\s*:)|\d+{DASH}\d+:\d+"),
-    ("single_verse", r"\d+:\d+"),
+    ("cross_chapter_verse", f"(?i){_VERSE}{_TO}{_VERSE}"),
+    ("verse_range", rf"(?i){_VERSE}{_TO}\d+(?!\s*:)|\d+{DASH}{_VERSE}"),
+    ("single_verse", _VERSE),
     ("cross_book", rf"(?i)\d+{_TO}[A-Za-z]"),
     ("chapter_range", rf"(?i)\d+{_TO}\d+"),
     ("single_chapter", r"\d"),

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The fields of a reference, the tokens of a span, the words of a range and the books named by a doubled word.
 REF = "book_start string, start_chapter int, book_end string, end_chapter int"
 TOKEN = r"[\x{2014}\x{2013}-]|sampai|sampe|smpe|hingga|s\s*/\s*d|s\.d\.|sd|:|;|,|[a-z]+2\b|\d+|[a-z]+(?:-[a-z]+)*"
 RANGE = r"^(?:[\x{2014}\x{2013}-]|sampai|sampe|smpe|hingga|s\s*/\s*d|s\.d\.|sd)$"

@@ -1,11 +1,18 @@
 """References in free text by rules: native regular expressions, the most specific first.
 
-Each pattern finds its matches in the whole text; a match that overlaps one kept earlier is dropped.
-A match's place is the summed length of the pieces and matches before it.
+Each shape of a reference is a row of parts; its expression is put together from them. Each finds its matches in the whole
+text; a match that overlaps one kept earlier is dropped. A match's place is the summed length of the pieces and
+matches before it. Book names are one prefix tree, so a place where none starts fails at its first letter, and a shape whose
+marks (digit, colon, dash, word) aren't in the text isn't tried.
 """
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,32 +21,67 @@ from ..functions.patterns import DASH, WORD
 
 SPAN = "array<struct<start:int,end:int,label:string,text:string>>"
 FOUND = "array<struct<prio:int,start:int,end:int,text:string>>"
-
-
-def patterns(names: list[str] | None = None) -> list[tuple[str, dict[str, int]]]:
-    """(pattern, groups) by priority. names: what books are called, the catalogue's aliases by default."""
-    names = names or [a for a, _, _ in aliases()]
-    any_name = "|".join(n.replace(".", r"\.") for n in sorted(set(names), key=lambda n: (-len(n), n)))
-    book, alone = rf"(?<![A-Za-z])((?:{any_name})\.?)", rf"(?<![A-Za-z])((?:{any_name})\.?)(?![A-Za-z\d])"
-    one, verse = rf"{book}\s*(\d+)", r":\d+"
-    start, end, cross = {"book_start": 1, "start_chapter": 2}, {"end_chapter": 3}, {"book_end": 3, "end_chapter": 4}
-    shapes = [
-        (one + verse + DASH + r"(\d+)" + verse, start | end),
-        (one + verse + WORD + r"(\d+)" + verse, start | end),
-        (one + verse + DASH + r"\d+", start),
-        (one + DASH + r"(\d+)" + verse, start | end),
-        (one + verse, start),
-        (one + DASH + book + r"\s*(\d+)", start | cross),
-        (one + WORD + book + r"\s*(\d+)", start | cross),
-        (one + DASH + r"(\d+)", start | end),
-        (one + WORD + r"(\d+)", start | end),
-        (one, start),
-        (alone, {"book_start": 1}),
-    ]
-    return [(f"(?i){p}", groups) for p, groups in shapes]
-
-
-def _matches(text: Column, prio: int, pattern: str) -> Column:
+#: The shapes of a reference, in the order in which they are tried. book, chapter, until and other are
+#: fields; `sole` is a book that nothing of a word or number follows; verse and number say nothing about chapters.
+SHAPES = """
+book chapter verse dash until verse
+book chapter verse word until verse
+book chapter verse dash number
+book chapter dash until verse
+book chapter verse
+book chapter dash other until
+book chapter word other until
+book chapter dash until
+book chapter word until
+book chapter
+sole
+"""
+FIELD = {"book": "book_start", "sole": "book_start", "chapter": "start_chapter", "other": "book_end", "until": "end_chapter"}
+#: What the text must hold for a part to match.
+NEEDS = {"chapter": r"(?U)\d", "verse": ":", "dash": r"[-\x{2013}\x{2014}]", "word": f"(?iU){WORD}"}
+FLAGS = "(?iU)"
+
+
+def any_of(names: list[str]) -> str:
+    """One expression for all names, case apart, that prefers the longest: a tree of their letters."""
+    tree: dict = {}
+    for name in names:
+        node = tree
+        for c in name.lower():
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def spelt(node: dict) -> str:
+        ways = [(c if c.isalnum() else f"\\{c}") + spelt(node[c]) for c in sorted(x for x in node if x)]
+        if not ways:
+            return ""
+        many = len(ways) > 1 or "" in node
+        return (f"(?:{'|'.join(ways)})" if many else ways[0]) + ("?" if "" in node else "")
+
+    return spelt(tree)
+
+
+def patterns(names: list[str] | None = None) -> list[tuple[str, dict[str, int], list[str]]]:
+    """(pattern, groups by field, needs) by priority. names: what books are called, the catalogue's aliases by default."""
+    named = rf"(?<![A-Za-z])({any_of(names or [a for a, _, _ in aliases()])}\.?)"
+    part = {"book": named, "other": named, "sole": rf"{named}(?![A-Za-z\d])", "chapter": r"\s*(\d+)", "until": r"(\d+)", "verse": r":\d+", "number": r"\d+", "dash": DASH, "word": WORD}
+    out = []
+    for shape in SHAPES.split("\n")[1:-1]:
+        parts = shape.split()
+        fields = [FIELD[x] for x in parts if x in FIELD]
+        spelt = "".join(r"\s*" + part[x] if x == "until" and parts[i - 1] == "other" else part[x] for i, x in enumerate(parts))
+        out.append((FLAGS + spelt, {f: i for i, f in enumerate(fields, 1)}, sorted({NEEDS[x] for x in parts if x in NEEDS})))
+    return out
+
+
+@lru_cache(1)
+def digits() -> tuple[str, str]:
+    """All decimal digits, and their values."""
+    every = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"]
+    return "".join(every), "".join(str(unicodedata.digit(c)) for c in every)
+
+
+def _matches(text: Column, prio: int, pattern: str, needs: list[str]) -> Column:
     start = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("out"))
     pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
 
@@ -49,13 +91,16 @@ def _matches(text: Column, prio: int, pattern: str) -> Column:
         one = F.struct(F.lit(prio).alias("prio"), begin.alias("start"), end.alias("end"), x["hit"].alias("text"))
         return F.struct(end.alias("at"), F.when(x["hit"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(one))).alias("out"))
 
-    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step)["out"]).otherwise(F.array().cast(FOUND))
+    has = F.lit(True)
+    for need in needs:
+        has = has & (text.contains(need) if re.fullmatch(":", need) else text.rlike(need))
+    return F.when(has, F.aggregate(pairs, start, step)["out"]).otherwise(F.array().cast(FOUND))
 
 
-def found(text: Column, rules: list[tuple[str, dict]] | None = None) -> Column:
+def found(text: Column, rules: list[tuple] | None = None) -> Column:
     """Matches kept (prio, start, end, text), by start; offsets count code points, ends are excluded."""
     rules = rules or patterns()
-    every = F.flatten(F.array(*[_matches(text, i, p) for i, (p, _) in enumerate(rules)]))
+    every = F.flatten(F.array(*[_matches(text, i, p, needs) for i, (p, _, needs) in enumerate(rules)]))
     free = lambda kept, c: ~F.exists(kept, lambda k: (c["start"] < k["end"]) & (k["start"] < c["end"]))
     kept = F.aggregate(every, F.array().cast(FOUND), lambda acc, c: F.when(free(acc, c), F.concat(acc, F.array(c))).otherwise(acc))
     by_start = F.array_sort(F.transform(kept, lambda k: F.struct(k["start"].alias("start"), k["end"].alias("end"), k["prio"].alias("prio"), k["text"].alias("text"))))
@@ -66,21 +111,21 @@ def as_spans(matches: Column) -> Column:
     return F.transform(matches, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit("BIBLE_REF").alias("label"), m["text"].alias("text")))
 
 
-def as_structures(matches: Column, rules: list[tuple[str, dict]] | None = None) -> Column:
+def as_structures(matches: Column, rules: list[tuple] | None = None) -> Column:
     """book_start, start_chapter, book_end, end_chapter of each match, from its own pattern's groups."""
     rules = rules or patterns()
 
     def field(m, name: str, kind: str):
         out = F.lit(None).cast("string")
-        for i, (pattern, groups) in reversed(list(enumerate(rules))):
+        for i, (pattern, groups, _) in reversed(list(enumerate(rules))):
             if name in groups:
                 out = F.when(m["prio"] == i, F.nullif(F.regexp_extract(m["text"], pattern, groups[name]), F.lit(""))).otherwise(out)
-        return (F.regexp_replace(out, r"\.$", "") if kind == "string" else out.try_cast(kind)).alias(name)
+        return (F.regexp_replace(out, r"\.$", "") if kind == "string" else F.translate(out, *digits()).try_cast(kind)).alias(name)
 
     return F.transform(matches, lambda m: F.struct(field(m, "book_start", "string"), field(m, "start_chapter", "int"), field(m, "book_end", "string"), field(m, "end_chapter", "int")))
 
 
-def annotate(df: DataFrame, text: str = "message", mask: Column | None = None, rules: list[tuple[str, dict]] | None = None) -> DataFrame:
+def annotate(df: DataFrame, text: str = "message", mask: Column | None = None, rules: list[tuple] | None = None) -> DataFrame:
     """Adds ner_spans and bible_ref_count; rows outside the mask get none."""
     spans = as_spans(found(F.col(text), rules))
     if mask is not None:

@@ -76,3 +76,6 @@ progress AS (
   SELECT sender, book_id, book_name, CAST(chapter AS INTEGER) AS chapter, date_read, seq FROM (
     SELECT *, row_number() OVER (PARTITION BY sender, book_id, chapter ORDER BY seq) AS rn FROM reads) WHERE rn = 1
 )"""
+
+#: A book as the grammar spells it: a digit stands apart, the halves of a doubled word are joined, a trailing 2 doubles the word.
+SPELT = "regexp_replace(regexp_replace(replace(alias, ' - ', '-'), '^([0-9])([a-z])', '\\1 \\2'), '([a-z]+)2$', '\\1-\\1')"

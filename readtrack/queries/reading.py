@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..catalog import aliases, name_of
 from ..operators import compliance, grammar, progress, resolve
 from ..plans import reading_plan
-from .domain import MESSAGES, PLAN, PROGRESS, messages, plan, refs, table
+from .domain import MESSAGES, PLAN, PROGRESS, SPELT, messages, plan, refs, table
 
 
 def raw(s, d):
@@ -62,7 +62,7 @@ def ups(s, d):
 
 
 UPS = """WITH e AS (SELECT event_id AS id, 'user_' || user_id AS sender, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events),
-r AS (SELECT sender, k AS seq, CAST(2 * k + id % 2 AS INTEGER) AS ch FROM e WHERE k <= 70),
+r AS (SELECT sender, k AS seq, CAST(2 * k + id % 2 AS INTEGER) AS ch FROM e),
 l AS (SELECT *, lag(ch) OVER (PARTITION BY sender ORDER BY seq) AS last FROM r)"""
 
 
@@ -171,5 +171,5 @@ st AS (SELECT w.sender, bool_and(pr.sender IS NOT NULL) AS done FROM who w JOIN
 numbered AS (SELECT row_number() OVER (ORDER BY sender) AS n, sender, done, pos FROM st LEFT JOIN lastr USING (sender))
 SELECT 0 AS line_no, {HEADER} AS line FROM chap, day WHERE date = d
 UNION ALL SELECT CAST(n AS INTEGER), n || '. ' || sender || ' ' || CASE WHEN done THEN (SELECT CASE WHEN i % 3 = 0 THEN chr(128214) ELSE chr(128165) END FROM pl, day WHERE date = d) ELSE coalesce(pos, '') END FROM numbered""",
-    "explode_refs": f"WITH {MESSAGES} SELECT seq, 0 AS ord, alias AS book_start, first AS start_chapter, CASE WHEN last > first THEN last END AS end_chapter FROM msgs WHERE regexp_matches(alias, '^[a-z]+$')",
+    "explode_refs": f"WITH {MESSAGES} SELECT seq, 0 AS ord, {SPELT} AS book_start, first AS start_chapter, CASE WHEN last > first THEN last END AS end_chapter FROM msgs",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns, text
 from ..operators import grammar, sampling, spans
 from ..sources import chat
-from .domain import MESSAGES, messages, table
+from .domain import MESSAGES, SPELT, messages, table
 
 
 def docs(spark, sf_dir, fn):
@@ -80,16 +80,16 @@ SQL = {
     "platform_detect": "SELECT conv_id, turn, CASE WHEN turn % 2 = 0 OR starts_with(ltrim(left(text, 100)), '[') THEN 'iOS' ELSE 'Android' END AS platform FROM conversations",
     "timestamp_coerce": "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN date_trunc('second', ts) WHEN event_id % 3 = 0 THEN NULL ELSE date_trunc('minute', ts) END AS at FROM events",
     "chat_parse_android": f"""
-SELECT CAST(conv_id AS VARCHAR) AS file, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS msg_seq,
+SELECT CAST(conv_id AS VARCHAR) AS file, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS msg_seq,
        TIMESTAMP '2024-01-03 09:00:00' + to_minutes(CAST(turn % 10 AS BIGINT)) AS "timestamp", role AS sender, regexp_replace({squeeze("text")}, '\\n\\n+', chr(10), 'g') AS message
-FROM conversations WHERE role <> 'system' AND turn < 100""",
+FROM conversations WHERE role <> 'system'""",
     "chat_parse_ios": f"""WITH {MESSAGES}
-SELECT CAST(seq % 40 AS VARCHAR) AS file, row_number() OVER (PARTITION BY seq % 40 ORDER BY seq) AS msg_seq, date_trunc('second', "timestamp") AS "timestamp", sender, message FROM msgs WHERE seq % 50 < 40""",
+SELECT CAST(seq % 40 AS VARCHAR) AS file, row_number() OVER (PARTITION BY seq % 40 ORDER BY seq) AS msg_seq, date_trunc('second', "timestamp") AS "timestamp", sender, message FROM msgs""",
     "rule_spans": f"WITH {MESSAGES} SELECT seq, 0 AS start, CAST(length(message) AS INTEGER) AS \"end\", message AS text FROM msgs",
     "rule_structures": f"WITH {MESSAGES} SELECT seq, alias AS book_start, first AS start_chapter, CAST(NULL AS VARCHAR) AS book_end, CASE WHEN last > first THEN last END AS end_chapter FROM msgs",
     "annotate_counts": f"WITH {MESSAGES} SELECT 'report' AS category, count(*) AS n, count(*) AS refs FROM msgs",
     "pattern_classify": f"WITH {MESSAGES} SELECT seq, CASE WHEN last > first OR regexp_matches(message, '\\d+ ?- ?\\d') THEN 'chapter_range' ELSE 'single_chapter' END AS pattern FROM msgs",
-    "parse_refs": f"WITH {MESSAGES} SELECT seq, alias AS book_start, first AS start_chapter, CAST(NULL AS VARCHAR) AS book_end, CASE WHEN last > first THEN last END AS end_chapter FROM msgs WHERE regexp_matches(alias, '^[a-z]+$')",
+    "parse_refs": f"WITH {MESSAGES} SELECT seq, {SPELT} AS book_start, first AS start_chapter, CAST(NULL AS VARCHAR) AS book_end, CASE WHEN last > first THEN last END AS end_chapter FROM msgs",
     "tokenize": f"""WITH {MESSAGES},
 t AS (SELECT seq, regexp_extract_all(message, '-|sd|hingga|[a-z]+2\\b|\\d+|[a-z]+(?:-[a-z]+)*') AS xs FROM msgs),
 u AS (SELECT seq, unnest(xs) AS x, generate_subscripts(xs, 1) - 1 AS pos FROM t)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .queries import activity, reading, texts
+from .queries import activity, reading, texts, whole
 
-AREAS = (texts, reading, activity)
+AREAS = (texts, reading, activity, whole)
 
 
 def queries() -> dict:

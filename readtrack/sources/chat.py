@@ -11,16 +11,29 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
 
-IOS = r"^\[(\d{1,2}/\d{1,2}/\d{2}) (\d{1,2}\.\d{2}\.\d{2})\] ~?\s*([^:]+): (.+)$"
-ANDROID = r"^(\d{1,2}/\d{1,2}/\d{2,4}), (\d{1,2}:\d{2}) - (.*)$"
+#: The header lines of both exports (fields date, time, sender and text; date, time and rest) and their times.
+IOS = r"(?U)^\[(\d{1,2}/\d{1,2}/\d{2})\s+(\d{1,2}\.\d{2}\.\d{2})\]\s*~?\s*([^:]+):\s*(.+)$"
+ANDROID = r"(?U)^(\d{1,2}/\d{1,2}/\d{2,4}),\s+(\d{1,2}:\d{2})\s+-\s+(.+)$"
 IOS_TIME, ANDROID_TIME = "d/M/yy H.mm.ss", "d/M/yy H:mm"
 MESSAGE = "file string, msg_seq long, timestamp timestamp_ntz, sender string, message string"
 
 
+#: One well-formed UTF-8 character, its bytes as characters.
+CHARACTER = (
+    r"(?s)([\x00-\x7F]|[\xC2-\xDF][\x80-\xBF]|\xE0[\xA0-\xBF][\x80-\xBF]|[\xE1-\xEC\xEE\xEF][\x80-\xBF]{2}|\xED[\x80-\x9F][\x80-\xBF]"
+    r"|\xF0[\x90-\xBF][\x80-\xBF]{2}|[\xF1-\xF3][\x80-\xBF]{3}|\xF4[\x80-\x8F][\x80-\xBF]{2})|."
+)
+
+
+def decoded(content: Column) -> Column:
+    """Bytes as text; bytes that are not UTF-8 are dropped, and nothing else is (a replacement character in the text stays)."""
+    whole = F.regexp_replace(F.decode(content, "ISO-8859-1"), CHARACTER, "$1")
+    return F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.encode(whole, "ISO-8859-1").cast("string"))
+
+
 def read_chats(spark: SparkSession, path: str) -> DataFrame:
-    """(file, content): each file whole; bytes that are not UTF-8 are dropped."""
-    raw = spark.read.text(path, wholetext=True)
-    return raw.select(F.input_file_name().alias("file"), F.regexp_replace("value", r"\x{FFFD}", "").alias("content"))
+    """(file, content): each file whole."""
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), decoded(F.col("content")).alias("content"))
 
 
 def platform(content: Column) -> Column:

@@ -12,13 +12,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..catalog import books
 from ..operators.progress import PERSISTED, Reader, new_messages
-from ..sources.chat import parse_chats
+from ..sources.chat import decoded, parse_chats
 
 
 def stream_chats(spark: SparkSession, path: str) -> DataFrame:
     """(file, content) of each chat export that arrives in the folder."""
-    raw = spark.readStream.option("wholetext", True).format("text").load(path)
-    return raw.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("content"))
+    raw = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").load(path)
+    return raw.select(F.col("path").alias("file"), decoded(F.col("content")).alias("content"))
 
 
 def store_messages(chats: DataFrame, path: str, checkpoint: str):

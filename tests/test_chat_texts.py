@@ -48,6 +48,52 @@ def test_read_chats(spark, tmp_path):
     assert chat.parse_chats(chat.read_chats(spark, str(tmp_path))).first()["message"] == "caf Ef 1"
 
 
+def test_ios_headers_without_spaces(spark):
+    content = "[1/2/24 8.05.01]  ~ Ana: Kej 1\n[1/2/24 8.06.01]B: Kej 2\n[1/2/24 8.07.01] C:Kej 3\n[1/2/24  8.08.01]~D :  Kej 4"
+    got = [(r["sender"], r["message"]) for r in chat.parse_chats(spark.createDataFrame([("f", content)], "file string, content string")).orderBy("msg_seq").collect()]
+    assert got == [("Ana", "Kej 1"), ("B", "Kej 2"), ("C", "Kej 3"), ("D", "Kej 4")]
+
+
+def test_only_bad_bytes_go(spark, tmp_path):
+    for i, data in enumerate([b"\xc3\x28 \xef\xbf\xbd ok", "é \ufffd 📖".encode(), b"\xf0\x9f\x93 \xed\xa0\x80x\xc0\xaf", "\ufffd".encode() + b"\xff" + "é\n".encode()]):
+        (tmp_path / f"{i}.txt").write_bytes(data)
+        got = {r["file"][-5:]: r["content"] for r in chat.read_chats(spark, str(tmp_path)).collect()}
+        assert got[f"{i}.txt"] == data.decode("utf-8", "ignore")
+
+
+def plain_rules(texts):
+    """The same shapes by Python's expressions, names as a plain list."""
+    import re
+
+    from readtrack.catalog import aliases
+
+    names = "|".join(re.escape(n) for n in sorted({a for a, _, _ in aliases()}, key=lambda n: (-len(n), n)))
+    tree, spans.any_of = spans.any_of, lambda _: f"(?:{names})"
+    try:
+        shapes = [re.compile(p.removeprefix(spans.FLAGS).replace(r"\x{2013}", "\u2013").replace(r"\x{2014}", "\u2014"), re.I) for p, _, _ in spans.patterns()]
+    finally:
+        spans.any_of = tree
+    for t in texts:
+        kept = []
+        for p in shapes:
+            for m in p.finditer(t):
+                if all(m.end() <= a or b <= m.start() for a, b, _ in kept):
+                    kept.append((m.start(), m.end(), m.group()))
+        yield sorted(kept)
+
+
+def test_rules_in_running_text(spark):
+    import random
+
+    r = random.Random(11)
+    bits = ["kej", "Kejadian", "1 raja - raja", "2 raja2", "hakim2", "1Sam.", "i sam", "mat.", "yoh", "1 yoh", "kid agung", "why", "amin", "dan", "3", "12", "١٢", "1:2", "4:5", "-", " – ", "--", "\u00a0", " sampai ", " to ", ", ", "\n", "baca ", "xkej", "ſ", ".", ":", "7x"]
+    texts = ["".join(r.choice(bits) + r.choice(["", " ", " "]) for _ in range(r.randint(1, 14))) for _ in range(600)]
+    got, structures = rules(spark, *texts)
+    assert got == list(plain_rules(texts))
+    assert any(len(x) > 2 for x in got) and [x for x in structures if any(y[2] for y in x)]
+    assert rules(spark, "Kej\u00a0١٢ - ١٣")[1] == [[("Kej", 12, None, 13)]]
+
+
 def rules(spark, *texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", spans.found(F.col("t")).alias("m"))
     rows = df.select("i", spans.as_spans(F.col("m")).alias("s"), spans.as_structures(F.col("m")).alias("r")).orderBy("i").collect()
