@@ -3,14 +3,17 @@
 For every participant of a conversation (a distinct role other than `system`), the dialogue is
 rendered with that speaker as the assistant, everyone else as a named user, and system turns as they
 are. The assistant's contents, closing mark included, are what a loss would count: their spans come as
-`mask`, pairs of character offsets within the row's text, end excluded.
+`mask`, pairs of character offsets within the row's text, end excluded. Marks of turns inside contents and names are broken
+by a space, and line ends in names become spaces, so that no one writes a turn of another's.
 
 A rendering comes in parts of `TURNS` turn numbers, so that no conversation, however long, is held in
 one task; `char_start` is the part's offset in the whole rendering, and the parts of (conv_id,
-speaker), in order, are that rendering. Repeated rows of one turn are folded with their count before
+speaker), in order, are that rendering. Offsets are sums of lengths by part and role; the texts are not in any window and
+are rendered once. Repeated rows of one turn are folded with their count before
 anything is collected and rendered as often as they occur. Turns order by number, role and text, null
 first. A null role is the participant "unknown", a null text is empty, a null turn comes first, a null
-conv_id is a conversation of its own. A conversation of system turns alone has no row, nor has an empty table.
+conv_id is a conversation of its own. A conversation of system turns alone has no row, nor has an empty table. Very long
+texts are turns like others; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -22,30 +25,54 @@ from .common import table
 
 TURNS = 64
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
+MARK, NAMED = r"<\|(im_start|im_end)\|>", "user name="
+
+
+def plain(x: Column) -> Column:
+    """A text in which no mark of a turn is left."""
+    return F.regexp_replace(x, MARK, "< |$1|>")
+
+
+def title(role: Column) -> Column:
+    """What stands after the opening mark of a turn that isn't the speaker's."""
+    return F.when(role == "system", F.lit("system")).otherwise(F.concat(F.lit(NAMED), plain(F.translate(role, "\r\n", "  "))))
 
 
 def rotate(turns: DataFrame, per_part: int = TURNS) -> DataFrame:
     """conv_id, speaker, part, n_turns, n_spoken, text, mask, char_start."""
+    conv = F.col("conv_id").cast("long")
+    part = F.coalesce(F.floor(F.col("turn").cast("long") / per_part), F.lit(-(2**62))).cast("long")
+    key = ["conv", "none", "bin"]  # a conversation without an id keeps its own key, so that keys are equal as they are
     t = turns.select(
-        F.col("conv_id").cast("long").alias("conv_id"),
-        F.col("turn").cast("long").alias("turn"),
+        F.coalesce(conv, F.lit(0)).alias("conv"),
+        conv.isNull().alias("none"),
+        part.alias("bin"),
+        F.coalesce(F.col("turn").cast("long"), F.lit(-(2**63))).alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("content"),
+        plain(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("content"),
     )
-    part = F.coalesce(F.floor(F.col("turn") / per_part), F.lit(-(2**62))).cast("long")
-    folded = t.groupBy("conv_id", part.alias("bin"), "turn", "role", "content").agg(F.count("*").cast("int").alias("times"))
-    parts = folded.groupBy("conv_id", "bin").agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("turn", F.lit(-(2**63))).alias("turn"), "role", "content", "times"))).alias("said")
-    )
-    speakers = t.where("role <> 'system'").select(F.col("conv_id").alias("s_conv"), F.col("role").alias("speaker")).distinct()
-    pairs = parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("s_conv"))).drop("s_conv")
+    folded = t.groupBy(*key, "turn", "role", "content").agg(F.count("*").cast("int").alias("times"))
+    parts = folded.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "content", "times"))).alias("said"))
+
+    # Lengths of the parts as every speaker's rendering has them.
+    fixed = len(OPEN) + len(CLOSE) + 2
+    times = F.col("times").cast("long")
+    by_role = folded.groupBy(*key, "role").agg(F.sum(times).alias("n"), F.sum(times * F.length("content")).alias("chars"))
+    other = F.length(title(F.col("role"))).cast("long")
+    by_part = by_role.groupBy(*key).agg(F.sum(F.col("n") * (other + fixed) + F.col("chars")).alias("size"))
+    speakers = by_role.where("role <> 'system'").select("conv", "none", F.col("role").alias("speaker")).distinct()
+    gain = by_role.where("role <> 'system'").select(*key, F.col("role").alias("speaker"), (F.col("n") * (len("assistant") - other)).alias("gain"))
+    sizes = by_part.join(speakers, ["conv", "none"]).join(gain, [*key, "speaker"], "left")
+    order = Window.partitionBy("conv", "none", "speaker").orderBy("bin")
+    before = F.coalesce(F.sum(F.col("size") + F.coalesce("gain", F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = sizes.select(*key, "speaker", F.row_number().over(order).cast("int").alias("part"), before.cast("long").alias("char_start"))
+    shown = parts.join(placed, key)
 
     def head(x: Column) -> Column:
-        name = F.when(x["role"] == F.col("speaker"), F.lit("assistant")).when(x["role"] == "system", F.lit("system")).otherwise(F.concat(F.lit("user name="), x["role"]))
-        return F.concat(F.lit(OPEN), name, F.lit("\n"))
+        return F.concat(F.lit(OPEN), F.when(x["role"] == F.col("speaker"), F.lit("assistant")).otherwise(title(x["role"])), F.lit("\n"))
 
     each = F.flatten(F.transform("said", lambda x: F.array_repeat(F.struct(head(x).alias("head"), F.concat(x["content"], F.lit(CLOSE)).alias("body"), (x["role"] == F.col("speaker")).alias("own")), x["times"])))
-    shown = pairs.select("conv_id", "bin", "speaker", each.alias("each"))
+    shown = shown.select("conv", "none", "speaker", "part", "char_start", each.alias("each"))
     size = lambda x: F.length(x["head"]) + F.length(x["body"]) + 1
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<begin:long,end:long>>").alias("mask"))
     masked = F.aggregate(
@@ -61,20 +88,16 @@ def rotate(turns: DataFrame, per_part: int = TURNS) -> DataFrame:
             .alias("mask"),
         ),
     )
-    out = shown.select(
-        "conv_id",
+    return shown.select(
+        F.when(~F.col("none"), F.col("conv")).alias("conv_id"),
         "speaker",
-        "bin",
+        "part",
         F.size("each").alias("n_turns"),
         F.size(F.filter("each", lambda x: x["own"])).alias("n_spoken"),
         F.array_join(F.transform("each", lambda x: F.concat(x["head"], x["body"], F.lit("\n"))), "").alias("text"),
         masked["mask"].alias("mask"),
+        "char_start",
     )
-    # Offsets come from the parts' lengths alone, beside the texts.
-    order = Window.partitionBy("conv_id", "speaker").orderBy("bin")
-    return out.withColumn("part", F.row_number().over(order).cast("int")).withColumn(
-        "char_start", F.coalesce(F.sum(F.length("text").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")
-    ).select("conv_id", "speaker", "part", "n_turns", "n_spoken", "text", "mask", "char_start")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,16 +105,20 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(table(spark, sf_dir, "conversations")).withColumn("mask", spans)
 
 
+def broken(x: str) -> str:
+    return f"regexp_replace({x}, '{MARK}', '< |\\1|>', 'g')"
+
+
 ORACLE = f"""
 WITH t AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') || '{CLOSE}' AS body,
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, {broken("coalesce(text, '')")} || '{CLOSE}' AS body,
          coalesce(CAST(floor(turn / {TURNS}.0) AS BIGINT), -4611686018427387904) AS bin
   FROM conversations
 ), s AS (
   SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'
 ), x AS (
   SELECT t.conv_id, speaker, bin, turn, role, body, role = speaker AS own,
-         '{OPEN}' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system' ELSE 'user name=' || role END || chr(10) AS head
+         '{OPEN}' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system' ELSE '{NAMED}' || {broken("translate(role, chr(13) || chr(10), '  ')")} END || chr(10) AS head
   FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
 ), y AS (
   SELECT *, length(head) + length(body) + 1 AS size,
