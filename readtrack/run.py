@@ -27,8 +27,8 @@ def ordered(messages: DataFrame) -> DataFrame:
 
 def raw_references(messages: DataFrame, rules: list[tuple] | None = None) -> DataFrame:
     """sender, timestamp, seq, ord and the references as written, of each message that has any."""
-    texts = F.transform(spans.found(preprocess(F.col("message")), rules), lambda m: m["text"])
-    found = messages.select("sender", "timestamp", "seq", texts.alias("texts")).where(F.size("texts") > 0)
+    said = messages.select("sender", "timestamp", "seq", preprocess(F.col("message")).alias("said"))
+    found = said.select("sender", "timestamp", "seq", F.transform(spans.found(F.col("said"), rules), lambda m: m["text"]).alias("texts"))
     each = found.select("sender", "timestamp", "seq", F.posexplode(grammar.parse_refs(F.col("texts"))).alias("ord", "r"))
     return each.select(*KEYS, "r.*")
 
