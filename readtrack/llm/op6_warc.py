@@ -2,15 +2,21 @@
 
 `arc_record` writes a page as a record of ARC version 1 or 2, `parse_arc` reads either version by
 its header line and declared length, and `to_warc` turns an entry into a WARC/1.0 record with
-a synthesised record id, date, type and digests. Records are text (the payload is UTF-8), so
-Spark's own text writer lays them end to end with the record separator as its line separator, and each
-part file is a gzip-compressed WARC archive. `read_warc` reads such archives by declared lengths.
+a synthesised record id, date, type and digests. `convert_arcs` does so for archives on disk, `write_arc` writes such, and
+`write_warc` goes from pages to WARC through ARC entries. Spark's own text writer lays records end to end with their
+separator as its line separator, byte for byte, so each part file is a gzip-compressed archive of RECORDS_PER_FILE records
+at most. `read_warc` reads such archives by declared lengths.
 
 Of records with equal payloads of at least `least_bytes` bytes, the one of the largest page_id is
 the response and the others are revisits of it, written without the payload; smaller ones are all
 responses. Null html is an empty payload. Rows that repeat the largest page_id are all responses.
 Pages without an id are written and read back with a null id, as revisits where an equal payload
-has an id. Null urls become "-"; white space in urls is percent-encoded. An empty table gives no record.
+has an id. Null urls become "-"; white space in urls is percent-encoded. An empty table gives no record. Very long pages are
+records like others; further columns, whatever their names, are not read.
+
+No two records share a WARC-Record-ID: the one response of a payload has an id made from its page_id and digest, by which revisits
+refer to it; all others have ids made from their url, too, and their place. Revisits of a payload with several responses
+refer to it by page and URI.
 """
 
 from __future__ import annotations
@@ -26,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, slices, table
 
 LEAST_BYTES = 0
-RECORDS_PER_FILE = 20_000
+RECORDS_PER_FILE = 4_000
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL namespace of RFC 4122
 ARCHIVED = "20240101000000"
 #: The header lines of both ARC versions.
@@ -91,24 +97,28 @@ def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def record_id(url: str, page_id: object) -> str:
-    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'{page_id}')}>"
+def record_id(*parts: object) -> str:
+    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, '/'.join(map(str, parts)))}>"
 
 
-def to_warc(entry: dict, page_id: int | None, refers_to: int | None = None, revisit: bool = False) -> bytes:
-    """The WARC record of an ARC entry, without the separator that ends it."""
-    block = entry["block"]
+def split_block(block: bytes) -> tuple[bytes, bytes, bytes]:
+    """HTTP head, gap and payload; no head where the document isn't a response."""
     head, gap, payload = block.partition(b"\r\n\r\n")
-    if not head.startswith(b"HTTP/"):
-        head, gap, payload = b"", b"", block
-    digest = base32_sha1(payload)
+    return (head, gap, payload) if head.startswith(b"HTTP/") else (b"", b"", block)
+
+
+def to_warc(entry: dict, page_id: int | None, refers_to: int | None = None, revisit: bool = False, place: str | None = None, several: bool = False) -> bytes:
+    """The WARC record of an ARC entry, without the separator that ends it. place: None for the one response of its payload;
+    several: whether the payload has more than one response."""
+    head, gap, payload = split_block(entry["block"])
+    block, digest = head + gap + payload, base32_sha1(payload)
     if revisit:
         block = head + gap
     d = entry["Archive-date"].ljust(14, "0")
     lines = [
         "WARC/1.0",
         f"WARC-Type: {'revisit' if revisit else 'response' if head else 'resource'}",
-        f"WARC-Record-ID: {record_id(entry['URL'], page_id)}",
+        f"WARC-Record-ID: {record_id(page_id, digest) if place is None else record_id(page_id, digest, entry['URL'], place)}",
         f"WARC-Date: {d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z",
         f"WARC-Target-URI: {entry['URL']}",
         f"WARC-IP-Address: {entry['IP-address']}",
@@ -120,7 +130,8 @@ def to_warc(entry: dict, page_id: int | None, refers_to: int | None = None, revi
         lines.append(f"X-Page-ID: {page_id}")
     if revisit:
         lines.append("WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest")
-        lines.append(f"WARC-Refers-To: {record_id('', refers_to)}")
+        if not several:
+            lines.append(f"WARC-Refers-To: {record_id(refers_to, digest)}")
         lines.append(f"X-Refers-To-Page-ID: {refers_to}")
     lines.append(f"Content-Length: {len(block)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
@@ -175,37 +186,90 @@ def unzipped(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
 
 
 def with_revisits(pages: DataFrame, least_bytes: int) -> DataFrame:
-    """(page_id, url, body, refers_to, revisit): the largest id of each payload answers for the others."""
+    """page_id, url, body, refers_to, revisit, alone (the one response of its payload), several (responses of its payload): the largest
+    id of each payload answers for the others."""
     body = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), body.alias("body"))
     p = p.withColumn("digest", F.sha1("body"))
+    by_page = p.where(F.octet_length("body") >= least_bytes).groupBy(F.col("digest").alias("m_digest"), "page_id").agg(F.count("*").alias("n"))
     most = (
-        p.where(F.octet_length("body") >= least_bytes)
-        .groupBy(F.col("digest").alias("m_digest"))
-        .agg(F.max("page_id").alias("last"), F.count("*").alias("rows"))
-        .where((F.col("rows") > 1) & F.col("last").isNotNull())
+        by_page.groupBy("m_digest")
+        .agg(F.max(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "n"))).alias("m"), F.sum("n").alias("rows"))
+        .where("rows > 1 and m is not null")
+        .select("m_digest", F.col("m.page_id").alias("last"), (F.col("m.n") > 1).alias("many"))
     )
     j = p.join(most, F.col("digest") == F.col("m_digest"), "left")
-    revisit = F.coalesce(~F.col("page_id").eqNullSafe(F.col("last")), F.lit(False)) & F.col("last").isNotNull()
-    return j.select("page_id", "url", "body", F.when(revisit, F.col("last")).alias("refers_to"), revisit.alias("revisit"))
+    met = F.col("last").isNotNull()
+    own = F.coalesce(F.col("page_id") == F.col("last"), F.lit(False))
+    several = F.coalesce("many", F.lit(False))
+    small = F.octet_length("body") < least_bytes  # unmatched, and perhaps repeated
+    alone = ((met & own & ~several) | ~met) & ~small & F.col("page_id").isNotNull()
+    return j.select("page_id", "url", "body", F.when(met & ~own, F.col("last")).alias("refers_to"), (met & ~own).alias("revisit"), alone.alias("alone"), several.alias("several"))
+
+
+def version_of(page_id: int | None) -> int:
+    return 2 if (page_id or 0) % 2 else 1
 
 
 def convert(batches):
     """Rows become ARC entries, of version 2 for odd ids, and these WARC records."""
+    from pyspark import TaskContext
+
+    part, n = TaskContext.get().partitionId(), 0
     for batch in batches:
-        out = []
-        for r in batch.to_pylist():
-            version = 2 if (r["page_id"] or 0) % 2 else 1
-            arc = arc_version_block(version) + arc_record(r["url"], r["body"], version)
-            (entry,) = parse_arc(arc)
-            out.append(to_warc(entry, r["page_id"], r["refers_to"], r["revisit"]).decode())
-        yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
+        for rows in slices(batch, 2):
+            out = []
+            for r in rows.to_pylist():
+                version, n = version_of(r["page_id"]), n + 1
+                arc = arc_version_block(version) + arc_record(r["url"], r["body"], version)
+                (entry,) = parse_arc(arc)
+                out.append(to_warc(entry, r["page_id"], r["refers_to"], r["revisit"], None if r["alone"] else f"{part}/{n}", r["several"]))
+            yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.binary())})
+
+
+def write_records(records: DataFrame, path: str, separator: str) -> None:
+    """Binary values as archives; a value's bytes are written as they are."""
+    text = records.select(F.col("value").cast("string").alias("value"))
+    text.write.option("lineSep", separator).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> None:
     """Writes an archive a task (more where RECORDS_PER_FILE asks for it)."""
-    records = with_revisits(pages, least_bytes).mapInArrow(convert, "value string")
-    records.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    write_records(with_revisits(pages, least_bytes).mapInArrow(convert, "value binary"), path, "\r\n\r\n")
+
+
+def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
+    """Pages as ARC archives without version blocks; each entry is a line of its header and its document. A page's id is lost, its url stays."""
+
+    def run(batches):
+        for batch in batches:
+            for rows in slices(batch, 1):
+                found = [arc_record(url, (html or "").encode(), version)[:-1] for url, html in zip(*(c.to_pylist() for c in rows.columns), strict=True)]
+                yield pa.RecordBatch.from_pydict({"value": pa.array(found, pa.binary())})
+
+    write_records(pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).mapInArrow(run, "value binary"), path, "\n")
+
+
+def convert_arcs(spark: SparkSession, arcs: str, path: str) -> None:
+    """ARC archives (plain or gzip) to WARC archives: every entry a response, or a resource where it isn't HTTP."""
+
+    def run(batches):
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                data = data.as_py()
+                whole = b"".join(unzipped(data)) if data[:2] == b"\x1f\x8b" else data
+                rows, size = [], 0
+                for n, entry in enumerate(parse_arc(whole)):
+                    rows.append(to_warc(entry, None, place=f"{name}/{n}"))
+                    size += len(rows[-1])
+                    if size > 4 << 20:
+                        yield pa.RecordBatch.from_pydict({"value": pa.array(rows, pa.binary())})
+                        rows, size = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_pydict({"value": pa.array(rows, pa.binary())})
+
+    found = spark.read.format("binaryFile").load(arcs).select("path", "content").mapInArrow(run, "value binary")
+    write_records(found, path, "\r\n\r\n")
 
 
 def read_back(batches):
@@ -215,8 +279,11 @@ def read_back(batches):
             for heads, block in parse_warc(unzipped(data.as_py())):
                 http, _, payload = block.partition(b"\r\n\r\n")
                 digest = heads["WARC-Payload-Digest"].removeprefix("sha1:")
-                size = int(re.search(rb"(?im)^content-length: *(\d+)", http)[1])
-                if heads["WARC-Type"] == "response" and (base32_sha1(payload), len(payload)) != (digest, size):
+                length = re.search(rb"(?im)^content-length: *(\d+)", http)
+                size = int(length[1]) if length else len(payload)
+                if heads["WARC-Type"] == "resource":
+                    payload, size = block, len(block)
+                if heads["WARC-Type"] != "revisit" and (base32_sha1(payload), len(payload)) != (digest, size):
                     raise ValueError(f"{heads['WARC-Record-ID']}: the payload isn't what its headers declare")
                 page, refers = heads.get("X-Page-ID"), heads.get("X-Refers-To-Page-ID")
                 rows.append((page and int(page), size, digest, heads["WARC-Type"], refers and int(refers)))

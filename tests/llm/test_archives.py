@@ -40,7 +40,50 @@ def test_round_trip(spark, tmp_path):
         ("1", 8, "revisit", 2), ("2", 8, "response", None), ("9", 0, "response", None), ("8", 0, "revisit", 9), ("3", 15, "response", None), ("4", 300_000, "response", None), ("4", 300_000, "response", None),
         ("None", 8, "revisit", 2), ("None", 4, "response", None),
     ])
+    heads = [h for f in (tmp_path / "w").glob("part-*") for h, _ in op6_warc.parse_warc(op6_warc.unzipped(f.read_bytes()))]
+    ids = [h["WARC-Record-ID"] for h in heads]
+    assert len(set(ids)) == len(ids) == len(rows)
+    of_page = {h.get("X-Page-ID"): h["WARC-Record-ID"] for h in heads if h["WARC-Type"] == "response"}
+    assert all(h["WARC-Refers-To"] == of_page[h["X-Refers-To-Page-ID"]] for h in heads if h["WARC-Type"] == "revisit")
     op6_warc.write_warc(pages, str(tmp_path / "least"), least_bytes=10**6)
     assert op6_warc.read_warc(spark, str(tmp_path / "least")).where("record_type = 'revisit'").count() == 0
     op6_warc.write_warc(pages.limit(0), str(tmp_path / "none"))
     assert op6_warc.read_warc(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_repeated_rows_have_ids_of_their_own(spark, tmp_path):
+    rows = [(7, "u", "x")] * 3 + [(5, "u", "x"), (None, None, None), (None, None, ""), (9, "v", ""), (9, "v", "")]
+    op6_warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "w"))
+    heads = [h for f in (tmp_path / "w").glob("part-*") for h, _ in op6_warc.parse_warc(op6_warc.unzipped(f.read_bytes()))]
+    assert len({h["WARC-Record-ID"] for h in heads}) == len(rows)
+    assert sorted(h["WARC-Type"] for h in heads) == ["response"] * 5 + ["revisit"] * 3
+    assert not [h for h in heads if "WARC-Refers-To" in h]  # three and two responses: none is the one
+
+
+def test_archives_of_any_bytes(spark, tmp_path):
+    """ARC files on disk, of both versions, with payloads that are no UTF-8 and documents that are no HTTP."""
+    (tmp_path / "arc").mkdir()
+    bodies = [b"\xff\xfe\x00caf\xe9", b"", "é".encode("latin-1") * 1000]
+    for version in (1, 2):
+        data = op6_warc.arc_version_block(version) + b"".join(op6_warc.arc_record(f"http://h/{i}", x, version) for i, x in enumerate(bodies))
+        raw = b"plain\r\n\r\ntext \x80"
+        tail = ["dns:h", "0.0.0.0", "20010203", "text/dns"] + (["200", "-", "-", "0", "f"] if version == 2 else [])
+        data += f"{' '.join([*tail, str(len(raw))])}\n".encode() + raw + b"\n"
+        (tmp_path / "arc" / f"{version}.arc").write_bytes(data if version == 1 else gzip.compress(data))
+    op6_warc.convert_arcs(spark, str(tmp_path / "arc"), str(tmp_path / "w"))
+    records = [x for f in (tmp_path / "w").glob("part-*") for x in op6_warc.parse_warc(op6_warc.unzipped(f.read_bytes()))]
+    assert len(records) == 8 and len({h["WARC-Record-ID"] for h, _ in records}) == 8
+    payloads = sorted(b.partition(b"\r\n\r\n")[2] if h["WARC-Type"] == "response" else b for h, b in records)
+    assert payloads == sorted([*bodies, raw] * 2)
+    assert {h["WARC-Date"] for h, _ in records if h["WARC-Type"] == "resource"} == {"2001-02-03T00:00:00Z"}
+    got = op6_warc.read_warc(spark, str(tmp_path / "w")).collect()
+    assert sorted(r["payload_bytes"] for r in got) == sorted(len(x) for x in payloads)
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_arc_files_and_back(spark, tmp_path, version):
+    pages = spark.createDataFrame([(1, "http://a b", "<p>é</p>"), (2, None, None), (3, "http://c", "x\n\ny")], "page_id long, url string, html string")
+    op6_warc.write_arc(pages, str(tmp_path / "a"), version)
+    op6_warc.convert_arcs(spark, str(tmp_path / "a/part-*"), str(tmp_path / "w"))
+    got = op6_warc.read_warc(spark, str(tmp_path / "w")).collect()
+    assert sorted((r["payload_bytes"], r["record_type"]) for r in got) == [(0, "response"), (4, "response"), (9, "response")]
