@@ -121,6 +121,54 @@ def test_licences(spark):
     assert got[1] == [(0, 0, "")] and len(got[5]) == 2 and sum(map(len, got.values())) == len(rows)
 
 
+BSD = """Copyright (c) 2020, the Example Company
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the Example Company nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS)."""
+MIT = ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\n",
+       "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\n",
+       "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. ",
+       "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.\n"]
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        (BSD, "BSD-3-Clause,All rights reserved"),
+        (BSD.replace(BSD[BSD.index("3. Neither") : BSD.index("THIS SOFTWARE")], ""), "BSD-2-Clause,All rights reserved"),
+        ("MIT License\n\nCopyright (c) 2024 A. Person\n\n" + "".join(MIT), "MIT"),
+        (MIT[0] + "Once upon a time there was a fox in the woods. " * 50 + "".join(MIT[1:]), ""),
+        ("Licensed under the GNU Lesser General Public License version 2.1.", "LGPL-2.1-only"),
+        ("This project is released under the Boost Software License, Version 1.0.", "BSL-1.0"),
+        ("SPDX-License-Identifier: AGPL-3.0-or-later\nint main;", "AGPL-3.0-or-later"),
+        ("// SPDX-License-Identifier: MIT\n", "MIT"),
+        ("To the extent possible under law, Ann Author has waived all copyright and related or neighboring rights to this work.", "CC0-1.0"),
+        ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "GPL-2.0-or-later"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        ("The house was licensed under the oak tree by the mayor.", ""),
+    ],
+)
+def test_licence_texts(spark, text, want):
+    assert op2_license.scan(docs(spark, [(1, text, "a")])).first()["licenses"] == want
+
+
 # -- 4 -----------------------------------------------------------------------------------------
 
 
