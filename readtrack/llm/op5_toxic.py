@@ -3,17 +3,17 @@
 Confirmed toxic documents (P) and documents taken without their labels (U) train a linear classifier
 in numpy. With the class prior p, the risk is p * R_P(+) + max(0, R_U(-) - p * R_P(-)): the risk of
 calling U negative, less what the hidden positives add to it; where that falls below zero, the step
-undoes it (the non-negative correction). Features are whether a text has a word (of four
-letters or more) or a beginning of a word (of 4 to 6 letters); those that are far more frequent in P than in U
+undoes it (the non-negative correction). Features are whether a text has a word (of three
+letters or more) or a beginning of a word (of 4 to 6 letters); all that are far more frequent in P than in U
 are kept. Scores are the sigmoid of the classifier's value, near the probability of the label.
 
 Only rows whose crc32(doc_id as text) mod 3 is not 1 are learnt from; labels, lang, source and doc_id
-are no inputs of a score. P and U are bounded samples by a hash of doc_id (`most_positive`, `most_unlabelled`
-documents, expected; U is drawn from all documents, not only labelled ones); every whole text is
-scored. Null and empty texts have no feature and get the score of the bias alone. A null doc_id is
+are no inputs of a score. P and U are bounded samples of the rows in `labels`, by a hash of doc_id (`most_positive` and
+`most_unlabelled` documents, expected); U is drawn without regard to their labels, so its share of positives is the
+class prior, which all labels give. Every whole text is scored. Null and empty texts have no feature and get the score of the bias alone. A null doc_id is
 not held out (its remainder is unknown) and not learnt from. Without any confirmed positive every score is 0. Rows
 repeated in labels count once, and rows of equal features once in either sample; a document is positive where any
-of its labels is 1.
+of its labels is 1. Very long texts are scored by their set of words; further columns, whatever their names, stay.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 MOST_POSITIVE, MOST_UNLABELLED = 2500, 7500
-KEEP, LEAST_DOCS, LEAST_LIFT, LEAST_GAIN = 3000, 3, 3.0, 9.0
-LETTERS, PREFIXES = 4, (4, 5, 6)
+LEAST_DOCS, LEAST_LIFT, LEAST_GAIN = 3, 3.0, 9.0
+LETTERS, PREFIXES = 3, (4, 5, 6)
 MARKS = ".,;:!?\"'()[]{}<>*_-\u2013\u2014\u2026\u00ab\u00bb\u00bf\u00a1\u201c\u201d\u2018\u2019"
 THRESHOLD, SEED = 0.7, 42
 
@@ -49,6 +49,11 @@ def of_text(text: str | None) -> set[str]:
     return {f for w in words(text) for f in features(w)}
 
 
+def within(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which of x are in a sorted array."""
+    return sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x if len(sorted_) else np.zeros(len(x), bool)
+
+
 def hashed(found: Iterable[str]) -> np.ndarray:
     return np.unique(np.fromiter((zlib.crc32(f.encode()) for f in found), np.uint32))
 
@@ -89,14 +94,14 @@ def choose(pos: list[np.ndarray], unl: list[np.ndarray]) -> np.ndarray:
     p, u = (a + 0.1) / (len(pos) + 0.2), (b + 0.1) / (len(unl) + 0.2)
     gain = a * np.log(p / u)
     fit = np.flatnonzero((p > LEAST_LIFT * u) & (gain >= LEAST_GAIN))
-    return np.sort(ids[fit[np.argsort(-gain[fit], kind="stable")][:KEEP]])
+    return ids[fit]
 
 
 def train(ids: np.ndarray, pos: list[np.ndarray], unl: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.1, decay: float = 1e-4) -> np.ndarray:
     """Full-batch Adam on the non-negative risk with the logistic loss: the weights of features `ids`, then the bias."""
 
     def rows(docs: Iterable[np.ndarray]):
-        cols = [np.flatnonzero(np.isin(ids, d)) for d in docs]
+        cols = [np.flatnonzero(within(d, ids)) for d in docs]
         return np.repeat(np.arange(len(cols)), [len(c) for c in cols]), np.concatenate(cols) if cols else np.empty(0, np.int64), len(cols)
 
     sets = [rows(pos), rows(unl)]
@@ -140,8 +145,8 @@ def digest(among: np.ndarray | None = None):
 
     def run(batches):
         for batch in batches:
-            every = [hashed(of_text(t)) for t in batch.column(0).to_pylist()]
-            kept = every if among is None else [h[np.isin(h, among)] for h in every]
+            every = [hashed(of_text(t.as_py())) for t in batch.column(0)]
+            kept = every if among is None else [h[within(among, h)] for h in every]
             whole = np.array([xxhash.xxh64_intdigest(h.tobytes()) for h in every], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_pydict({"whole": pa.array(whole), "features": pa.array([k.tobytes() for k in kept], pa.binary())})
 
@@ -165,31 +170,31 @@ def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE,
     if not count["pos"]:
         return None
     prior = min(0.9, max(1e-4, count["pos"] / count["n"]))
-    total = open_.count()
 
-    def part(col, share: float):
-        return F.pmod(F.xxhash64(col, F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30))
+    def part(of: DataFrame, most: int, total: int, salt: int) -> DataFrame:
+        """Texts of about `most` of the rows; their ids are broadcast."""
+        drawn = F.pmod(F.xxhash64("l_doc", F.lit(seed + salt)), F.lit(1 << 30)) < int(min(1.0, most / max(1, total)) * (1 << 30))
+        return open_.join(F.broadcast(of.where(drawn).select(F.col("l_doc").alias("doc_id"))), "doc_id").select("text")
 
-    chosen = known.where("toxic = 1").where(part("l_doc", min(1.0, most_positive / count["pos"]))).select(F.col("l_doc").alias("doc_id"))
-    texts = open_.join(F.broadcast(chosen), "doc_id").select("text")  # at most `most_positive` ids, as expected
+    texts = part(known.where("toxic = 1"), most_positive, count["pos"], 0)
     p = gathered(texts.mapInArrow(digest(), DIGEST).distinct().collect())
     if not any(len(x) for x in p):
         return None
     near = candidates(p)
-    sample = open_.where(part("doc_id", min(1.0, most_unlabelled / max(1, total)))).select("text")
+    sample = part(known, most_unlabelled, count["n"], 1)
     u = gathered(sample.mapInArrow(digest(near), DIGEST).distinct().collect())
     if not u:
         return None
     ids = choose(p, u)
-    theta = train(ids, [x[np.isin(x, ids)] for x in p], [x[np.isin(x, ids)] for x in u], prior)
+    theta = train(ids, [x[within(ids, x)] for x in p], [x[within(ids, x)] for x in u], prior)
     weight = dict(zip(ids.tolist(), theta.tolist(), strict=False))
 
     def named(batches):
         for batch in batches:
-            names = {f for t in batch.column(0).to_pylist() for f in of_text(t) if zlib.crc32(f.encode()) in weight}
+            names = {f for t in batch.column(0) for f in of_text(t.as_py()) if zlib.crc32(f.encode()) in weight}
             yield pa.RecordBatch.from_pydict({"name": pa.array(sorted(names), pa.string())})
 
-    # The kept features' own names, from the same positives: KEEP of them and the few that share a hash.
+    # The kept features' own names, from the same positives, and of the few that share a hash.
     names = [r["name"] for r in texts.mapInArrow(named, "name string").distinct().collect()]
     return Model({f: weight[zlib.crc32(f.encode())] for f in sorted(names)}, float(theta[-1]))
 

@@ -1,7 +1,11 @@
 """Documents that share their least feature hash count one by one."""
 
+import math
+import random
 import zlib
 
+import numpy as np
+
 from readtrack.llm import op5_toxic
 
 
@@ -16,3 +20,28 @@ def test_common_least_hash(spark):
     model = op5_toxic.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert "=vilename" in model.weights
     assert model.score("some vilename here") > model.score("some other here")
+
+
+def test_risk_against_plain_sums():
+    """The trained weights' non-negative risk, computed document by document, is below that of any other weights tried; short words count."""
+    r = random.Random(2)
+    bad = ["vil", "rotten", "scumbag"]
+    text = lambda toxic: " ".join([*("w%03d" % r.randrange(400) for _ in range(30)), *(r.sample(bad, 2) if toxic else [])])
+    pos = [op5_toxic.hashed(op5_toxic.of_text(text(True))) for _ in range(120)]
+    unl = [op5_toxic.hashed(op5_toxic.of_text(text(r.random() < 0.2))) for _ in range(400)]
+    ids = op5_toxic.choose(pos, unl)
+    assert {zlib.crc32(f"={w}".encode()) for w in bad} <= set(ids.tolist())
+    theta = op5_toxic.train(ids, pos, unl, 0.2, decay=0.0)
+
+    def risk(weights):
+        known = dict(zip(ids.tolist(), weights, strict=False))
+        g = lambda doc: weights[-1] + sum(known.get(f, 0.0) for f in doc.tolist())
+        loss = lambda z: math.log1p(math.exp(-z)) if z > -30 else -z
+        plus = sum(loss(g(d)) for d in pos) / len(pos)
+        negative = sum(loss(-g(d)) for d in unl) / len(unl) - 0.2 * sum(loss(-g(d)) for d in pos) / len(pos)
+        return 0.2 * plus + max(0.0, negative)
+
+    least = risk(theta)
+    rng = np.random.default_rng(4)
+    assert least < risk(np.zeros(len(theta))) / 2
+    assert all(least <= risk(theta + rng.normal(0, size, len(theta))) + 0.01 for size in (0.3, 1.0, 3.0) for _ in range(20))
