@@ -47,6 +47,11 @@ def text_key(x: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(x), r"(?U)\s+", " "), r"^ | \z", "")
 
 
+def ordered_distinct(x: Column) -> Column:
+    """An array's values, each once, in the order of their first places."""
+    return F.array_distinct(x)
+
+
 def line_count(x: Column) -> Column:
     return F.size(F.split(x, "\n"))
 

@@ -99,8 +99,8 @@ def explode_refs(messages: DataFrame, refs: str, *keys: str) -> DataFrame:
 
 def between(messages: DataFrame, first, last) -> DataFrame:
     """The window's messages with row_id, from 0 in time order."""
-    day = F.to_date("timestamp")
-    kept = messages.where((day >= F.lit(first).cast("date")) & (day <= F.lit(last).cast("date")))
+    start, end = F.lit(first).cast("date").cast("timestamp_ntz"), F.date_add(F.lit(last).cast("date"), 1).cast("timestamp_ntz")
+    kept = messages.where((F.col("timestamp") >= start) & (F.col("timestamp") < end))
     return kept.withColumn("row_id", F.row_number().over(Window.orderBy("timestamp", "seq")) - 1)
 
 
@@ -114,3 +114,11 @@ def union_sources(frames: dict[str, DataFrame]) -> DataFrame:
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return union_sources({k: v.agg(F.count("*").alias("n")) for k, v in tables.items()})
+
+
+def table_checks(members: DataFrame, messages: DataFrame, refs: DataFrame, progress: DataFrame) -> DataFrame:
+    """check, ok: no table is empty, and each valid reference gave a chapter at least."""
+    n = {r["source"]: F.lit(r["n"]) for r in table_counts({"members": members, "messages": messages, "refs": refs, "progress": progress}).collect()}
+    rows = [(f"{name} are there", n[name] > 0) for name in ("members", "messages", "refs", "progress")] + [("progress covers refs", n["progress"] >= n["refs"])]
+    one = members.sparkSession.range(1)
+    return one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("check"), b.alias("ok")) for a, b in rows])).alias("r")).select("r.*")

@@ -14,7 +14,7 @@ CHAPTER = "array<struct<book_name:string,chapter:int>>"
 def compliance(pairs: DataFrame, chapters: DataFrame, progress: DataFrame) -> DataFrame:
     """For each (sender, date): assigned, completed, missing (in plan order), completion_rate, is_complete. Nothing assigned is complete."""
     read = progress.select(F.col("sender").alias("p_sender"), F.col("date_read").alias("p_date"), F.col("book_name").alias("p_book"), F.col("chapter").alias("p_chapter")).distinct()
-    asked = pairs.join(F.broadcast(chapters), "date", "left")
+    asked = pairs.join(chapters, "date", "left")
     on = [asked["sender"] == read["p_sender"], asked["date"] == read["p_date"], asked["book_name"] == read["p_book"], asked["chapter"] == read["p_chapter"]]
     met = asked.join(read, on, "left")
     done, there = F.col("p_chapter").isNotNull(), F.col("chapter").isNotNull()

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .resolve import THRESHOLD, normalize, resolve
+
 STRUCTURE = ("book_start", "start_chapter", "book_end", "end_chapter")
 
 
@@ -85,18 +91,42 @@ def accuracy_by_position(pred: DataFrame, gold: DataFrame, key: str) -> DataFram
 
 
 def bootstrap(counts: DataFrame, key: str, rounds: int = 1000, seed: int = 42, share: float = 0.95) -> DataFrame:
-    """low, mean, high of F1 over resampled messages.
+    """low, mean, high of F1 over rounds that each draw as many messages as there are, with replacement.
 
-    Each message's weight in a round is a Poisson draw seeded by message and round (the bootstrap whose
-    draws need no count of all messages); tp, fp and fn are sums, so nothing is matched again.
+    Messages of equal (tp, fp, fn) can't be told apart by F1, so a round draws how often each such kind comes (a multinomial draw, the same
+    as drawing messages); nothing is matched or exploded again. `key` names the message.
     """
-    u = (F.pmod(F.xxhash64(key, "round", F.lit(seed)), F.lit(1 << 53)) + 0.5) / float(1 << 53)
-    weight, p, up = F.lit(0), 0.36787944117144233, 0.0
-    for k in range(1, 12):
-        up += p
-        weight = weight + (u > up).cast("int")
-        p /= k
-    w = counts.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn("w", weight)
-    f1 = scores(w.select("round", *[(F.col("w") * F.col(c)).alias(c) for c in ("tp", "fp", "fn")]), "round")
+    kinds = sorted(tuple(r) for r in counts.groupBy(key, "tp", "fp", "fn").count().groupBy("tp", "fp", "fn").agg(F.sum("count")).collect())
+    spark = counts.sparkSession
+
+    def draw(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = np.array(kinds, np.float64).reshape(-1, 4)
+        total = int(table[:, 3].sum())
+        for frame in frames:
+            f1 = []
+            for i in frame["id"].tolist():
+                n = np.random.default_rng([seed, i]).multinomial(total, table[:, 3] / total) if total else np.zeros(0)
+                tp, fp, fn = (float(n @ table[:, k]) for k in range(3))
+                f1.append(2 * tp / (2 * tp + fp + fn) if tp else 0.0)
+            yield pd.DataFrame({"f1": f1})
+
+    f1 = spark.range(rounds).mapInPandas(draw, "f1 double")
     edge = (1 - share) / 2
     return f1.agg(F.percentile("f1", F.lit(edge)).alias("low"), F.avg("f1").alias("mean"), F.percentile("f1", F.lit(1 - edge)).alias("high"))
+
+
+def ablation(raw: DataFrame, gold: DataFrame, key: str) -> DataFrame:
+    """strategy (exact, fuzzy) and accuracy_by_position of each: raw references (key, pos, the four fields) normalised without and with fuzzy names."""
+    out = []
+    for name, fuzzy in (("exact", False), ("fuzzy", True)):
+        kept = normalize(raw, fuzzy).select(key, "pos", *STRUCTURE)
+        # What can't be resolved is dropped, so what follows moves up.
+        place = F.row_number().over(Window.partitionBy(key).orderBy("pos")) - 1
+        out.append(accuracy_by_position(kept.withColumn("pos", place.cast("int")), gold, key).withColumn("strategy", F.lit(name)))
+    return out[0].unionByName(out[1])
+
+
+def stress(cases: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(query, expected book_id or null) -> with the book found (null if none), how, and whether that is right."""
+    found = resolve(cases, "query", "found", threshold=threshold)
+    return found.select("query", "expected", F.col("found_id").alias("found"), F.col("found_method").alias("method"), F.col("found_id").eqNullSafe(F.col("expected")).alias("ok"))

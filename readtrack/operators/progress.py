@@ -5,6 +5,7 @@ Inputs carry their order (seq: the message's place, ord: the reference's place i
 
 from __future__ import annotations
 
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 
 import pandas as pd
@@ -85,20 +86,51 @@ def last_read(progress: DataFrame, until: Column | None = None) -> DataFrame:
 class Reader:
     """One member's state: at most a row a chapter of the canon."""
 
-    def __init__(self):
+    def __init__(self, read: dict[tuple[int, int], object] | None = None):
+        self.message, self.reference = None, None
         self.read: dict[tuple[int, int], object] = {}
         self.by_date: dict[object, tuple[int, int]] = {}
+        self.days: list = []  # ascending
+        for chapter, day in (read or {}).items():
+            self.mark(chapter, day)
+
+    def mark(self, chapter: tuple[int, int], day) -> None:
+        self.read[chapter] = day
+        if day not in self.by_date:
+            insort(self.days, day)
+        self.by_date[day] = max(self.by_date.get(day, (0, 0)), chapter)
 
     def last(self, day) -> tuple[int, int] | None:
-        days = [d for d in self.by_date if d <= day]
-        return self.by_date[max(days)] if days else None
+        at = bisect_right(self.days, day)
+        return self.by_date[self.days[at - 1]] if at else None
 
     def add(self, day, start: tuple[int, int], end: tuple[int, int], chapters: dict[int, int]) -> None:
         for book in range(start[0], (end[0] if start[0] <= end[0] else len(chapters)) + 1):
             for ch in range(start[1] if book == start[0] else 1, (end[1] if book == end[0] else chapters[book]) + 1):
                 if (book, ch) not in self.read:
-                    self.read[book, ch] = day
-                    self.by_date[day] = max(self.by_date.get(day, (0, 0)), (book, ch))
+                    self.mark((book, ch), day)
+
+    def take(self, r, chapters: dict[int, int]) -> tuple:
+        """A row of PERSISTED from the member's next reference (a row of its fields), its gap filled."""
+        day = r.timestamp.date()
+        if r.seq != self.message:
+            self.message, self.reference = r.seq, self.last(day)
+        start, end, filled = (int(r.start_id), int(r.start_chapter)), (int(r.end_id), int(r.end_chapter)), False
+        if r.is_valid:
+            last = self.reference
+            if start == end and last and last[0] == start[0] and last[1] + 1 < start[1]:
+                start, filled = (start[0], last[1] + 1), True
+            self.reference = end
+            self.add(day, start, end, chapters)
+        return (r.sender, r.seq, r.ord, r.timestamp, *start, *end, r.is_valid, filled)
+
+
+USABLE = " and ".join(f"{c} is not null" for c in ("sender", "timestamp", "start_id", "start_chapter", "end_id", "end_chapter"))
+
+
+def unusable(refs: DataFrame) -> DataFrame:
+    """References that `persist` leaves out: without a sender, a time, a book or a chapter."""
+    return refs.where(f"not ({USABLE})")
 
 
 def persist(refs: DataFrame) -> DataFrame:
@@ -111,25 +143,16 @@ def persist(refs: DataFrame) -> DataFrame:
     names = [c.split()[0] for c in PERSISTED.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sender, reader, message, last = None, Reader(), None, None
+        sender, reader = None, Reader()
         for frame in frames:
             rows = []
             for r in frame.itertuples(index=False):
                 if r.sender != sender:
-                    sender, reader, message = r.sender, Reader(), None
-                day = r.timestamp.date()
-                if r.seq != message:
-                    message, last = r.seq, reader.last(day)
-                start, end, filled = (int(r.start_id), int(r.start_chapter)), (int(r.end_id), int(r.end_chapter)), False
-                if r.is_valid:
-                    if start == end and last and last[0] == start[0] and last[1] + 1 < start[1]:
-                        start, filled = (start[0], last[1] + 1), True
-                    last = end
-                    reader.add(day, start, end, chapters)
-                rows.append((r.sender, r.seq, r.ord, r.timestamp, *start, *end, r.is_valid, filled))
+                    sender, reader = r.sender, Reader()
+                rows.append(reader.take(r, chapters))
             yield pd.DataFrame(rows, columns=names)
 
-    r = refs.where("sender is not null and timestamp is not null and start_chapter is not null and end_chapter is not null")
+    r = refs.where(USABLE)
     r = r.select("sender", "seq", "ord", "timestamp", "start_id", "start_chapter", "end_id", "end_chapter", "is_valid")
     return r.repartition("sender").sortWithinPartitions("sender", "seq", "ord").mapInPandas(run, PERSISTED)
 

@@ -6,19 +6,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _drawn(stratum: str, key: Column, seed: int):
-    return Window.partitionBy(stratum).orderBy(F.xxhash64(key, F.lit(seed)), key)
+BUCKET_BITS = 12
+
+
+def drawn(df: DataFrame, stratum: str, key: str, seed: int) -> DataFrame:
+    """Adds place (from 1, in each stratum, in the order of a seeded hash of the key) and total (rows of the stratum).
+
+    A stratum may hold most rows, so it is ranked in buckets of the hash: the counts of buckets before, and a place within the bucket.
+    """
+    order = F.xxhash64(F.col(key), F.lit(seed))
+    bucket = F.shiftright(order, 64 - BUCKET_BITS)  # the hash is signed, so are its buckets
+    cut = df.withColumns({"d_hash": order, "d_bucket": bucket})
+    sizes = cut.groupBy(F.col(stratum).alias("d_stratum"), F.col("d_bucket").alias("d_b")).agg(F.count("*").alias("d_n"))
+    every = Window.partitionBy("d_stratum")
+    sizes = sizes.withColumns({"d_before": F.sum("d_n").over(every.orderBy("d_b")) - F.col("d_n"), "total": F.sum("d_n").over(every)})
+    met = cut.join(sizes, F.col(stratum).eqNullSafe(F.col("d_stratum")) & (F.col("d_bucket") == F.col("d_b")))
+    within = F.row_number().over(Window.partitionBy(stratum, "d_bucket").orderBy("d_hash", key))
+    return met.withColumn("place", F.col("d_before") + within).drop("d_hash", "d_bucket", "d_stratum", "d_b", "d_n", "d_before")
 
 
 def stratified_split(df: DataFrame, stratum: str, key: str, shares: tuple = (0.8, 0.1, 0.1), names: tuple = ("train", "val", "test"), seed: int = 42) -> DataFrame:
     """Adds split: in each stratum, shares of the rows in the order of a seeded hash."""
-    w = _drawn(stratum, F.col(key), seed)
-    place = (F.row_number().over(w) - 1) / F.count("*").over(Window.partitionBy(stratum))
+    place = (F.col("place") - 1) / F.col("total")
     out, up = F.lit(names[-1]), sum(shares[:-1])
     for share, name in reversed(list(zip(shares[:-1], names[:-1], strict=True))):
         out = F.when(place < up - 1e-12, F.lit(name)).otherwise(out)
         up -= share
-    return df.withColumn("split", out)
+    return drawn(df, stratum, key, seed).withColumn("split", out).drop("place", "total")
 
 
 def tier_schedule(sizes: dict[str, int], budgets: list[tuple[int, int]], drain: int = 35) -> list[tuple[int, dict[str, int]]]:
@@ -49,7 +63,6 @@ def tier_schedule(sizes: dict[str, int], budgets: list[tuple[int, int]], drain:
 
 def tier_sample(df: DataFrame, stratum: str, key: str, tiers: list[tuple[int, dict[str, int]]], seed: int = 42) -> DataFrame:
     """Rows with the tier that draws them (from 1); the others are left over (null). No row is drawn twice."""
-    place = F.row_number().over(_drawn(stratum, F.col(key), seed))
     tier, up = F.lit(None).cast("int"), {}
     bounds = []
     for i, (_, draw) in enumerate(tiers, 1):
@@ -59,7 +72,7 @@ def tier_sample(df: DataFrame, stratum: str, key: str, tiers: list[tuple[int, di
     for pool, low, high, i in bounds:
         if high > low:
             tier = F.when((F.col(stratum) == pool) & (F.col("place") > low) & (F.col("place") <= high), F.lit(i)).otherwise(tier)
-    return df.withColumn("place", place).withColumn("tier", tier).drop("place")
+    return drawn(df, stratum, key, seed).withColumn("tier", tier).drop("place", "total")
 
 
 def annotation_tasks(df: DataFrame, text: str, spans: str, *keys: str) -> DataFrame:

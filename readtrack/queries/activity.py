@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import analytics, evaluate, sampling, tagging
+from ..functions.text import ordered_distinct
 from .domain import MESSAGES, messages, table
 
 REPORT = "event_type <> 'click'"
@@ -108,6 +109,10 @@ QUERIES = {
     "token_features": lambda s, d: tagging.token_features(tagged(s, d), "sent").select("sent", "pos", "token", F.col("prev.lower").alias("prev"), F.col("next.is_digit").alias("next_digit"), F.col("shape.suffix2").alias("suffix2"), "bos", "eos"),
     "conll_pattern": lambda s, d: tagged(s, d).select("sent", tagging.pattern_of_tags(F.array_join("tokens", " "), F.col("tokens"), F.col("pred")).alias("pattern")),
     "seqeval_f1": lambda s, d: evaluate.scores(evaluate.match_counts(tagged(s, d).select("sent", tagging.char_spans(F.col("tokens"), F.col("gold")).alias("g"), tagging.char_spans(F.col("tokens"), F.col("pred")).alias("p")), "p", "g", evaluate.span_key, "sent")),
+    "seqeval_by_pattern": lambda s, d: evaluate.scores(evaluate.match_counts(tagged(s, d).select("sent", "pattern", tagging.char_spans(F.col("tokens"), F.col("gold")).alias("g"), tagging.char_spans(F.col("tokens"), F.col("pred")).alias("p")), "p", "g", evaluate.span_key, "pattern", "sent"), "pattern"),
+    "tag_structures": lambda s, d: tagged(s, d).select("sent", F.posexplode(tagging.structures(F.col("tokens"), F.col("pred"))).alias("pos", "r")).select("sent", "pos", "r.book_start", "r.start_chapter"),
+    "roles_in_order": lambda s, d: table(s, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("r")).select("conv_id", F.array_join(ordered_distinct(F.col("r.role")), " > ").alias("roles")),
+    "table_checks": lambda s, d: analytics.table_checks(messages(s, d).select("sender").distinct(), messages(s, d), messages(s, d).where("last > first"), table(s, d, "conversations").where("turn < 0")),
     "prf_exact": lambda s, d: evaluate.scores(evaluate.match_counts(judged(s, d), "pred", "gold", evaluate.structure_key, "seq")),
     "prf_partial": lambda s, d: evaluate.scores(evaluate.partial_counts(spanned(s, d), "pred", "gold", "seq")),
     "prf_sets": lambda s, d: evaluate.scores(evaluate.set_counts(rows_of(s, d, "pred").drop("pos"), rows_of(s, d, "gold").drop("pos"))),
@@ -155,6 +160,14 @@ FROM (SELECT count(*) AS total, count(*) FILTER (event_id % 6 > 0) AS with_refs,
     "norm_ablation": """SELECT count(*) AS total, count(*) FILTER (seq % 10 > 0 AND seq % 9 > 0) AS correct, count(*) FILTER (seq % 10 = 0) AS skipped, round(avg(CAST(seq % 10 > 0 AND seq % 9 > 0 AS INTEGER)), 4) AS accuracy,
  round(avg(CAST(seq % 10 > 0 AS INTEGER)), 4) AS book_start_accuracy, round(avg(CAST(seq % 10 > 0 AND seq % 9 > 0 AS INTEGER)), 4) AS start_chapter_accuracy, round(avg(CAST(seq % 10 > 0 AS INTEGER)), 4) AS book_end_accuracy,
  round(avg(CAST(seq % 10 > 0 AS INTEGER)), 4) AS end_chapter_accuracy FROM (SELECT event_id AS seq FROM events)""",
+    "seqeval_by_pattern": f"""{TAGGED},
+gisl AS (SELECT *, count(*) FILTER (gold LIKE 'B-%') OVER (PARTITION BY sent ORDER BY p) AS gi FROM tg),
+gs AS (SELECT sent, CAST(min(pos) AS INTEGER) AS first, CAST(max(pos) AS INTEGER) AS last FROM gisl WHERE gold <> 'O' GROUP BY sent, gi),
+n AS (SELECT pattern, (SELECT count(*) FROM sp JOIN gs USING (sent, first, last) WHERE sent % 3 = pattern) AS tp, (SELECT count(*) FROM sp WHERE sent % 3 = pattern) AS p,
+  (SELECT count(*) FROM gs WHERE sent % 3 = pattern) AS g FROM (SELECT DISTINCT sent % 3 AS pattern FROM tg))
+SELECT pattern, {PRF} FROM (SELECT pattern, tp, p - tp AS fp, g - tp AS fn FROM n)""",
+    "roles_in_order": "SELECT conv_id, string_agg(role, ' > ' ORDER BY first) AS roles FROM (SELECT conv_id, role, min(turn) AS first FROM conversations GROUP BY ALL) GROUP BY conv_id",
+    "table_checks": "SELECT * FROM (VALUES ('members are there', true), ('messages are there', true), ('refs are there', true), ('progress are there', false), ('progress covers refs', false)) t(\"check\", ok)",
     "seqeval_f1": f"""{TAGGED},
 gisl AS (SELECT *, count(*) FILTER (gold LIKE 'B-%') OVER (PARTITION BY sent ORDER BY p) AS gi FROM tg),
 gs AS (SELECT sent, CAST(min(pos) AS INTEGER) AS first, CAST(max(pos) AS INTEGER) AS last FROM gisl WHERE gold <> 'O' GROUP BY sent, gi),

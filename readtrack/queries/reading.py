@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import aliases, name_of
-from ..operators import compliance, grammar, progress, resolve
+from ..operators import compliance, evaluate, grammar, progress, resolve
 from ..plans import reading_plan
 from .domain import MESSAGES, PLAN, PROGRESS, SPELT, messages, plan, refs, table
 
@@ -23,6 +23,14 @@ def odd(s, d):
     return messages(s, d).select("seq", key.alias("book"))
 
 
+def misspelt(s, d):
+    """Raw references to books, one in five misspelt and one in eleven unknown, and what they mean."""
+    raw_ = odd(s, d).join(messages(s, d).select("seq", "first"), "seq").select("seq", F.lit(0).alias("pos"), F.col("book").alias("book_start"), F.col("first").alias("start_chapter"), F.lit(None).cast("string").alias("book_end"), F.lit(None).cast("int").alias("end_chapter"))
+    name = name_of(F.col("book_id"))
+    gold = messages(s, d).select("seq", F.lit(0).alias("pos"), name.alias("book_start"), F.col("first").alias("start_chapter"), name.alias("book_end"), F.col("first").alias("end_chapter"))
+    return raw_, gold
+
+
 def cross(s, d):
     """Ranges over two or three books, one in ten the wrong way round."""
     r = refs(s, d).select("seq", "start_id", "start_chapter", (F.col("start_id") + F.col("seq") % 3).alias("e"))
@@ -77,8 +85,10 @@ def chapters(s):
 def planned_reads(s, d):
     """Every member reads the day's first chapter on days that its number divides, all of it on every tenth day."""
     who = table(s, d, "events").select(F.concat(F.lit("user_"), F.col("user_id")).alias("sender"), F.col("user_id").alias("u")).distinct()
-    c = chapters(s)
-    met = c.join(who, (F.col("day") % 10 == 0) | ((F.col("day") % (F.col("u") % 5 + 1) == 0) & (F.col("seq") == 0)))
+    step = F.col("u") % 5 + 1
+    days = F.filter(F.sequence(F.lit(1), F.lit(30)), lambda x: (x % 10 == 0) | (x % step == 0))
+    each = who.select("sender", F.explode(days).alias("r_day"))
+    met = chapters(s).join(each, (F.col("day") == F.col("r_day")) & ((F.col("day") % 10 == 0) | (F.col("seq") == 0)))
     return met.select("sender", "book_id", "book_name", "chapter", F.col("date").alias("date_read"))
 
 
@@ -106,6 +116,8 @@ QUERIES = {
     "progress_per_member": lambda s, d: reads(s, d).groupBy("sender").agg(F.count("*").alias("chapters"), F.countDistinct("book_id").alias("books")),
     "alias_exact_join": lambda s, d: resolve.resolve(messages(s, d).select("seq", "alias"), "alias", "b", fuzzy=False).select("seq", "alias", F.col("b_id").alias("book_id"), F.col("b_method").alias("method")),
     "alias_fuzzy_join": lambda s, d: resolve.resolve(odd(s, d), "book", "b").select("seq", "book", F.col("b_id").alias("book_id"), F.col("b_method").alias("method"), F.col("b_score").alias("score")),
+    "fuzzy_stress": lambda s, d: evaluate.stress(odd(s, d).select(F.col("book").alias("query"), F.lit(None).cast("int").alias("expected")).distinct()).select("query", "found", "method"),
+    "norm_ablation_fuzzy": lambda s, d: evaluate.ablation(*misspelt(s, d), "seq"),
     "resolver_stats": lambda s, d: resolve.statistics(resolve.resolve(odd(s, d).withColumn("book", F.when(F.col("seq") % 5 == 0, "qqqq").otherwise(F.col("book"))), "book", "b", fuzzy=False), "b_method"),
     "normalize_refs": lambda s, d: normalised(s, d).select("seq", "sender", "book_start", "start_chapter", "book_end", "end_chapter", "is_valid"),
     "validate_refs": lambda s, d: normalised(s, d).groupBy("is_valid").agg(F.count("*").alias("n")),

@@ -24,7 +24,7 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 def read_plan(spark: SparkSession, path: str) -> DataFrame:
     """The reading plan with row_no, the order of rows within their file."""
     raw = spark.read.schema(PLAN).csv(path, header=True)
-    return raw.withColumn("date", F.to_date("date")).withColumn("row_no", F.monotonically_increasing_id())
+    return raw.withColumn("date", F.try_to_date("date")).withColumn("row_no", F.monotonically_increasing_id())
 
 
 def read_labelled(spark: SparkSession, path: str) -> DataFrame:
@@ -51,10 +51,9 @@ def read_conll(spark: SparkSession, path: str) -> DataFrame:
     return conll_sentences(spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value").alias("content")))
 
 
-def write_csv(df: DataFrame, path: str, *by: str) -> None:
-    w = df.write.option("header", True).option("quoteAll", True)
+def write_csv(df: DataFrame, path: str, *by: str, mark: bool = True) -> None:
+    """CSV with a header, quotes doubled; with a byte-order mark ahead of it, for spreadsheets."""
+    first = next(c for c in df.columns if c not in by)
+    named = df.withColumnRenamed(first, f"\ufeff{first}") if mark else df
+    w = named.write.option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "")
     (w.partitionBy(*by) if by else w).csv(path)
-
-
-def write_lines(df: DataFrame, path: str, column: str = "json") -> None:
-    df.select(column).write.text(path)

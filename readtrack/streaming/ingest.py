@@ -48,25 +48,10 @@ class GapFiller(StatefulProcessor):
         self.chapters = {b[0]: b[2] for b in books()}
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues=None) -> Iterator[pd.DataFrame]:
-        reader = Reader()
-        if self.state.exists():
-            for day, book, chapter in json.loads(self.state.get()[0]):
-                day = pd.Timestamp(day).date()
-                reader.read[book, chapter] = day
-                reader.by_date[day] = max(reader.by_date.get(day, (0, 0)), (book, chapter))
-        frame = pd.concat(list(rows)).sort_values(["seq", "ord"])
-        message, last, out = None, None, []
-        for r in frame.itertuples(index=False):
-            day = r.timestamp.date()
-            if r.seq != message:
-                message, last = r.seq, reader.last(day)
-            start, end, filled = (int(r.start_id), int(r.start_chapter)), (int(r.end_id), int(r.end_chapter)), False
-            if r.is_valid:
-                if start == end and last and last[0] == start[0] and last[1] + 1 < start[1]:
-                    start, filled = (start[0], last[1] + 1), True
-                last = end
-                reader.add(day, start, end, self.chapters)
-            out.append((key[0], r.seq, r.ord, r.timestamp, *start, *end, r.is_valid, filled))
+        known = json.loads(self.state.get()[0]) if self.state.exists() else []
+        reader = Reader({(book, chapter): pd.Timestamp(day).date() for day, book, chapter in known})
+        frame = pd.concat(list(rows)).sort_values(["seq", "ord"]).assign(sender=key[0])
+        out = [reader.take(r, self.chapters) for r in frame.itertuples(index=False)]
         self.state.update((json.dumps([(str(d), b, c) for (b, c), d in reader.read.items()]),))
         yield pd.DataFrame(out, columns=[c.split()[0] for c in PERSISTED.split(", ")])
 

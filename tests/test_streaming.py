@@ -2,10 +2,12 @@
 
 import datetime as dt
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from readtrack.catalog import name_of
-from readtrack.operators import evaluate, progress, sampling, tagging
+from readtrack.operators import analytics, evaluate, progress, sampling, tagging
 from readtrack.sources import store
 from readtrack.streaming import ingest
 
@@ -47,12 +49,44 @@ def test_store(spark):
     refs = progress.persist(spark.createDataFrame([ref("a", 0, 1, 2), ref("a", 1, 2, 4), ref("b", 2, 1)], REFS))
     refs = refs.withColumns({"book_start": name_of(F.col("start_id")), "book_end": name_of(F.col("end_id"))})
     messages = refs.select("seq", "sender", "timestamp", F.lit("kej").alias("message"))
-    for _ in range(2):  # the second time nothing is new
-        store.store_batch("reading", messages, refs)
-    n = {t: spark.table(f"reading.{t}").count() for t in store.TABLES}
+    assert store.store_batch("reading", messages, refs) and store.store_batch("reading", messages, refs) is None  # the second time nothing is new
+    n = {t: store.stored(spark, "reading", t).count() for t in store.TABLES}
     assert n == {"members": 2, "messages": 3, "refs": 3, "reading_progress": 5}
-    assert store.unprocessed(spark.table("reading.messages")).count() == 0
-    assert store.progress_by_date(spark.table("reading.reading_progress"), "2024-01-02", "a").count() == 2
+    assert store.unprocessed(store.stored(spark, "reading", "messages")).count() == 0
+    assert store.progress_by_date(store.stored(spark, "reading", "reading_progress"), "2024-01-02", "a").count() == 2
+    assert sorted(r["name"] for r in store.members(spark, "reading").collect()) == ["a", "b"]
+    ok = analytics.table_checks(*(store.stored(spark, "reading", t) for t in ("members", "messages", "refs", "reading_progress")))
+    assert [r["ok"] for r in ok.collect()] == [True] * 5
+
+
+def test_batches_are_all_or_nothing(spark, monkeypatch):
+    store.create_tables(spark, "whole")
+    refs = progress.persist(spark.createDataFrame([ref("a", 0, 1, 2), ref("b", 2, 1)], REFS))
+    refs = refs.withColumns({"book_start": name_of(F.col("start_id")), "book_end": name_of(F.col("end_id"))})
+    messages = refs.select("seq", "sender", "timestamp", F.lit("kej").alias("message"))
+    add = store.Log.add
+
+    def breaks_off(self, n, batch):
+        raise OSError("lost")
+
+    monkeypatch.setattr(store.Log, "add", breaks_off)
+    with pytest.raises(OSError):
+        store.store_batch("whole", messages, refs)
+    assert spark.table("whole.messages").count() == 2 and store.stored(spark, "whole", "messages").count() == 0
+
+    def overtaken(self, n, batch):  # another writer stores the same batch first
+        monkeypatch.setattr(store.Log, "add", add)
+        assert store.store_batch("whole", messages, refs)
+        return add(self, n, batch)
+
+    monkeypatch.setattr(store.Log, "add", overtaken)
+    assert store.store_batch("whole", messages, refs) is None
+    assert {t: store.stored(spark, "whole", t).count() for t in store.TABLES} == {"members": 2, "messages": 2, "refs": 2, "reading_progress": 3}
+
+
+def test_unusable_references(spark):
+    rows = spark.createDataFrame([ref("a", 0, 1, 2), ref("a", 1, 2, 4)], REFS).withColumn("start_id", F.when(F.col("seq") == 0, F.col("start_id")))
+    assert progress.persist(rows).count() == 1 and progress.unusable(rows).count() == 1
 
 
 def test_tagger(spark):
@@ -74,6 +108,81 @@ def test_vectors(spark):
     assert got["zz"] == 0.0 and -1 <= got["kej"] <= 1
 
 
+def test_large_strata_are_ranked(spark):
+    """Places in a stratum are those of a plain sort by the hash."""
+    df = spark.range(5000).withColumn("s", F.when(F.col("id") % 5 == 0, F.lit("few")).when(F.col("id") % 5 < 4, F.lit("most")))
+    got = sampling.drawn(df, "s", "id", 7).withColumn("h", F.xxhash64("id", F.lit(7))).collect()
+    for s in ("few", "most", None):
+        own = sorted((r["h"], r["id"]) for r in got if r["s"] == s)
+        assert [r["place"] for r in sorted((r for r in got if r["s"] == s), key=lambda r: (r["h"], r["id"]))] == list(range(1, len(own) + 1))
+        assert {r["total"] for r in got if r["s"] == s} == {len(own)}
+
+
+def test_bootstrap(spark):
+    """The interval holds the point value and is as wide as drawing messages one by one makes it."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    kinds = rng.integers(0, 3, 400)
+    counts = [(i, *((1, 0, 0), (0, 1, 1), (2, 0, 1))[k]) for i, k in enumerate(kinds.tolist())]
+    got = evaluate.bootstrap(spark.createDataFrame(counts, "id int, tp int, fp int, fn int"), "id").first()
+    table, f1 = np.array(counts)[:, 1:], []
+    for _ in range(1000):
+        tp, fp, fn = table[rng.integers(0, 400, 400)].sum(0)
+        f1.append(2 * tp / (2 * tp + fp + fn))
+    low, high = np.percentile(f1, [2.5, 97.5])
+    assert abs(got["low"] - low) < 0.01 and abs(got["high"] - high) < 0.01 and abs(got["mean"] - np.mean(f1)) < 0.005
+
+
+def plain_partial(a, b):
+    """Best indel similarity of the shorter text with any stretch of the longer, by the plain table."""
+
+    def indel(x, y):
+        row = [0] * (len(y) + 1)
+        for c in x:
+            last = row[:]
+            for j, d in enumerate(y, 1):
+                row[j] = last[j - 1] + 1 if c == d else max(row[j - 1], last[j])
+        return 200.0 * row[-1] / (len(x) + len(y))
+
+    def one_way(x, y):
+        return max(indel(x, y[max(0, i) : i + len(x)]) for i in range(1 - len(x), len(y)))
+
+    a, b = sorted((a, b), key=len)
+    return max(one_way(a, b), one_way(b, a)) if len(a) == len(b) else one_way(a, b)
+
+
+def test_fuzzy_stress(spark):
+    """Every query against every alias by the plain table: typos, cut and added letters, prefixes, strangers."""
+    from readtrack.catalog import aliases
+
+    queries = ["kejdian", "mazmru", "ysaya", "keluaraan", "matiuss", "zakaria", "yehezkl", "zzz", "Zorgblat", "samuel", "amo", "fil", "1 korintus x", "q"]
+    df = spark.createDataFrame([(q, 1 if q == "kejdian" else None) for q in queries], "query string, expected int")
+    got = {r["query"]: r for r in evaluate.stress(df).collect()}
+    for q in queries:
+        known = {a: b for a, _, b in reversed(aliases())}
+        score, _, book = max((plain_partial(q.lower(), a), -o, b) for a, o, b in aliases())
+        want = known.get(q.lower()) or (book if score >= 80 else None)
+        assert got[q]["found"] == want, (q, got[q], want)
+        assert got[q]["ok"] == (want == (1 if q == "kejdian" else None))
+
+
+def test_ablation(spark):
+    raw = spark.createDataFrame([(1, 0, "kej", 3, None, None), (1, 1, "kejadiann", 4, None, None), (2, 0, "zzzz", 1, None, None), (2, 1, "why", 2, None, None)], "m int, pos int, book_start string, start_chapter int, book_end string, end_chapter int")
+    gold = spark.createDataFrame([(1, 0, "Kejadian", 3, "Kejadian", 3), (1, 1, "Kejadian", 4, "Kejadian", 4), (2, 0, "Wahyu", 2, "Wahyu", 2)], "m int, pos int, book_start string, start_chapter int, book_end string, end_chapter int")
+    got = {r["strategy"]: r for r in evaluate.ablation(raw, gold, "m").collect()}
+    assert (got["exact"]["correct"], got["exact"]["skipped"]) == (2, 1) and (got["fuzzy"]["correct"], got["fuzzy"]["skipped"]) == (3, 0)
+
+
+def test_csv_for_spreadsheets(spark, tmp_path):
+    from readtrack.sources import files
+
+    files.write_csv(spark.createDataFrame([(1, 'say "hi", é\nmore'), (2, None)], "id int, t string").coalesce(1), str(tmp_path / "c"))
+    (part,) = (tmp_path / "c").glob("part-*.csv")
+    assert part.read_bytes().startswith(b"\xef\xbb\xbfid,t\n")
+    assert pd.read_csv(part, encoding="utf-8-sig")["t"].tolist()[0] == 'say "hi", é\nmore'
+
+
 def test_tiers():
     tiers = sampling.tier_schedule({"a": 10, "b": 100, "c": 40, "d": 500}, [(200, 200), (300, 100)])
     assert tiers[0][1] == {"a": 10, "b": 76, "c": 40, "d": 74} and tiers[1][1] == {"a": 0, "b": 24, "c": 0, "d": 76}
