@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-BUCKET_BITS = 12
+BUCKET_DIGITS = 3
 
 
 def drawn(df: DataFrame, stratum: str, key: str, seed: int) -> DataFrame:
@@ -14,9 +14,8 @@ def drawn(df: DataFrame, stratum: str, key: str, seed: int) -> DataFrame:
 
     A stratum may hold most rows, so it is ranked in buckets of the hash: the counts of buckets before, and a place within the bucket.
     """
-    order = F.xxhash64(F.col(key), F.lit(seed))
-    bucket = F.shiftright(order, 64 - BUCKET_BITS)  # the hash is signed, so are its buckets
-    cut = df.withColumns({"d_hash": order, "d_bucket": bucket})
+    order = F.md5(F.concat(F.lit(f"{seed}/"), F.col(key).cast("string")).cast("binary"))
+    cut = df.withColumns({"d_hash": order, "d_bucket": F.left(order, F.lit(BUCKET_DIGITS))})
     sizes = cut.groupBy(F.col(stratum).alias("d_stratum"), F.col("d_bucket").alias("d_b")).agg(F.count("*").alias("d_n"))
     every = Window.partitionBy("d_stratum")
     sizes = sizes.withColumns({"d_before": F.sum("d_n").over(every.orderBy("d_b")) - F.col("d_n"), "total": F.sum("d_n").over(every)})

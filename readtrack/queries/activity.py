@@ -160,6 +160,10 @@ FROM (SELECT count(*) AS total, count(*) FILTER (event_id % 6 > 0) AS with_refs,
     "norm_ablation": """SELECT count(*) AS total, count(*) FILTER (seq % 10 > 0 AND seq % 9 > 0) AS correct, count(*) FILTER (seq % 10 = 0) AS skipped, round(avg(CAST(seq % 10 > 0 AND seq % 9 > 0 AS INTEGER)), 4) AS accuracy,
  round(avg(CAST(seq % 10 > 0 AS INTEGER)), 4) AS book_start_accuracy, round(avg(CAST(seq % 10 > 0 AND seq % 9 > 0 AS INTEGER)), 4) AS start_chapter_accuracy, round(avg(CAST(seq % 10 > 0 AS INTEGER)), 4) AS book_end_accuracy,
  round(avg(CAST(seq % 10 > 0 AS INTEGER)), 4) AS end_chapter_accuracy FROM (SELECT event_id AS seq FROM events)""",
+    "stratified_split": f"""WITH {MESSAGES},
+p AS (SELECT seq, 'p' || CAST(floor(sqrt(book_id)) AS INTEGER) AS pattern FROM msgs),
+r AS (SELECT *, (row_number() OVER (PARTITION BY pattern ORDER BY md5('42/' || seq), seq) - 1) / count(*) OVER (PARTITION BY pattern) AS place FROM p)
+SELECT seq, pattern, CASE WHEN place < 0.8 - 1e-12 THEN 'train' WHEN place < 0.9 - 1e-12 THEN 'val' ELSE 'test' END AS split FROM r""",
     "seqeval_by_pattern": f"""{TAGGED},
 gisl AS (SELECT *, count(*) FILTER (gold LIKE 'B-%') OVER (PARTITION BY sent ORDER BY p) AS gi FROM tg),
 gs AS (SELECT sent, CAST(min(pos) AS INTEGER) AS first, CAST(max(pos) AS INTEGER) AS last FROM gisl WHERE gold <> 'O' GROUP BY sent, gi),

@@ -111,7 +111,7 @@ def test_vectors(spark):
 def test_large_strata_are_ranked(spark):
     """Places in a stratum are those of a plain sort by the hash."""
     df = spark.range(5000).withColumn("s", F.when(F.col("id") % 5 == 0, F.lit("few")).when(F.col("id") % 5 < 4, F.lit("most")))
-    got = sampling.drawn(df, "s", "id", 7).withColumn("h", F.xxhash64("id", F.lit(7))).collect()
+    got = sampling.drawn(df, "s", "id", 7).withColumn("h", F.md5(F.concat(F.lit("7/"), "id").cast("binary"))).collect()
     for s in ("few", "most", None):
         own = sorted((r["h"], r["id"]) for r in got if r["s"] == s)
         assert [r["place"] for r in sorted((r for r in got if r["s"] == s), key=lambda r: (r["h"], r["id"]))] == list(range(1, len(own) + 1))
@@ -195,6 +195,17 @@ def test_split(spark):
     assert n == {(s, k): c for s in (0, 1) for k, c in (("train", 80), ("val", 10), ("test", 10))}
 
 
+def test_tiers_draw_by_place(spark):
+    df = spark.range(300).withColumn("s", F.when(F.col("id") % 3 == 0, "a").otherwise("b"))
+    tiers = sampling.tier_schedule({"a": 100, "b": 200}, [(30, 30), (50, 20)], drain=5)
+    got = sampling.tier_sample(df, "s", "id", tiers, seed=1).collect()
+    place = {r["id"]: (r["s"], r["place"]) for r in sampling.drawn(df, "s", "id", 1).collect()}
+    for r in got:
+        s, n = place[r["id"]]
+        ends = [sum(draw[s] for _, draw in tiers[: i + 1]) for i in range(2)]
+        assert r["tier"] == next((i + 1 for i, e in enumerate(ends) if n <= e), None)
+
+
 def test_partial_overlaps(spark):
     span = "array<struct<start:int,end:int,label:string>>"
     df = spark.createDataFrame([(1, [(0, 4, "x"), (2, 6, "x")], [(0, 8, "x")]), (2, [], [(0, 3, "x")]), (3, [(0, 3, "x")], [])], f"k int, p {span}, g {span}")
