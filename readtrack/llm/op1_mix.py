@@ -9,8 +9,8 @@ changes. Leaves of a few thousand documents each leave one open fraction per sou
 of merges leaves one per source in all. That document lends the leading part of its words that
 closes the gap, so a source's words come within one word of its target per repeated row.
 
-Null texts and texts without words have size 0 and are taken 0 times over (copies of them carry no
-words). Rows with equal doc_id, source and size form one unit and take the same copies. A null
+Null texts and texts without words have size 0: no word of theirs is taken, and they are copied as often as
+their source's share rounds to. Rows with equal doc_id, source and size form one unit and take the same copies. A null
 source is a source of its own, a null doc_id an ordinary value. A source without words has target 0.
 An empty table gives an empty result. Reruns agree: all draws are seeded by leaf and source. Further columns,
 whatever their names, stay with the rows of the mix. Words of very long texts are counted where they lie.
@@ -161,7 +161,7 @@ def mixed_rows(docs: DataFrame, units: DataFrame) -> DataFrame:
     doc, source, u_size, copies, extra, size, taken = (fresh(x, names) for x in ("u_doc", "u_source", "u_size", "u_copies", "u_extra", "own_size", "u_words"))
     u = units.where("copies > 0 or extra > 0").select(
         F.col("doc_id").alias(doc), F.col("source").alias(source), F.col("size").alias(u_size), F.col("copies").alias(copies), F.col("extra").alias(extra)
-    )
+    ).hint("merge")  # units grow with the documents
     named = docs.withColumn(size, F.coalesce(F.regexp_count("text", F.lit(SPACE)), F.lit(0)).cast("long"))
     on = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & F.col("source").cast("string").eqNullSafe(F.col(source)) & (F.col(size) == F.col(u_size))
     each = F.transform(F.sequence(F.lit(1), F.col(copies) + 1), lambda i: F.when(i <= F.col(copies), F.lit(-1).cast("long")).when(F.col(extra) > 0, F.col(extra)))

@@ -365,9 +365,9 @@ def near_copies(docs: DataFrame, similar: float = SIMILAR) -> tuple[DataFrame, D
 
     Taken by ascending id (null last), a text goes where one that stays has a similarity of `similar` and more: none goes for a chain of
     others. Texts of equal shingle sets are one: its row of the least id, and hash of text, stands for it. Candidates
-    share a band of min-hashes or a component of fingerprints; each one's set travels once, to its candidates' group. A
-    group over GROUP is thinned by its first LEADERS first, in as many parts as its size takes, until it is small; the
-    outcome is the same.
+    share a band of min-hashes or a component of fingerprints; each one's set travels to its candidates' group. A
+    group over GROUP is thinned by its first LEADERS first, in as many parts as its size takes, and what stays is parted by its rarest
+    shingles, until it is small; the outcome is the same.
     """
     scratch = Scratch(docs.sparkSession)
     prints = scratch.keep(set_prints(row_texts(docs)), "prints")
@@ -381,10 +381,12 @@ def near_copies(docs: DataFrame, similar: float = SIMILAR) -> tuple[DataFrame, D
     scratch.drop("keyed")
     root = connected_components(edges, scratch, "near")
     members = scratch.keep(root.join(sets, F.col("node") == F.col("one")).select("one", "root", "least", "hash"), "members")
-    asked = members.withColumnRenamed("hash", "m_hash")
+    asked = members.withColumnRenamed("hash", "m_hash").hint("merge")  # it grows with the documents
     texts = row_texts(docs).join(asked, (F.col("row_id") == F.col("least")) & (F.col("hash") == F.col("m_hash")))
     left = whole_sets(texts.select("one", "root", "least", "text")).dropDuplicates(["one"])
     left = scratch.keep(left.select("root", "least", "one", "hashes"), "left-0")
+    del texts, asked
+    scratch.release()
     judged, step = [], 0
     while True:
         sizes = scratch.keep(left.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select(F.col("root").alias("g_root"), "n"), f"sizes-{step}")
@@ -409,14 +411,49 @@ def near_copies(docs: DataFrame, similar: float = SIMILAR) -> tuple[DataFrame, D
         beside = scratch.keep(met.mapInArrow(beside_leaders(similar), "one long, gone boolean"), f"beside-{step}")
         judged.append(beside)
         stays = beside.where("not gone").select(F.col("one").alias("b_one"))
+        left = scratch.keep(rest.join(stays, F.col("one") == F.col("b_one"), "left_semi").select("root", "least", "one", "hashes"), f"after-{step}")
         step += 1
-        left = scratch.keep(rest.join(stays, F.col("one") == F.col("b_one"), "left_semi").select("root", "least", "one", "hashes"), f"left-{step}")
+        left = scratch.keep(parted(left, similar, scratch, step), f"left-{step}")
+        scratch.drop(f"after-{step - 1}", f"rest-{step - 1}", f"leaders-{step - 1}", f"left-{step - 1}", release=False)
     gone = union_all(judged).where("gone").select("one")
     stay = scratch.keep(sets.join(gone, "one", "left_anti").select(F.col("least").alias("row_id"), "hash"), "stay")
     most = max(HOT_ROWS, prints.count() // 1000)
     return stay, scratch.keep(prints.groupBy("row_id", "hash").count().where(F.col("count") > most).select("row_id", "hash"), "hot")
 
 
+def tokens_of(batches):
+    """(one, hashes) -> (one, token, size): the hashes one by one."""
+    for batch in batches:
+        for part in slices(batch, 1, 1 << 20):
+            sets = hashes_of(part, 1)
+            sizes = np.array([len(x) for x in sets], np.int64)
+            one = np.repeat(part.column(0).to_numpy(), sizes)
+            if len(one):
+                yield pa.RecordBatch.from_pydict({"one": pa.array(one), "token": pa.array(np.concatenate(sets).view(np.int64)), "size": pa.array(np.repeat(sizes, sizes).astype(np.int32))})
+
+
+def parted(rows: DataFrame, similar: float, scratch: Scratch, step: int) -> DataFrame:
+    """Groups still over GROUP, parted by what near sets must share: one of the rarest shingles, as many of them as the similarity
+    lets two sets differ in, and one. Sets that share none of theirs with another are near to none, and leave."""
+    sizes = rows.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select(F.col("root").alias("g_root"))
+    sizes = scratch.keep(sizes, f"large-{step}")
+    if not sizes.count():
+        return rows
+    on = F.col("root") == F.col("g_root")
+    large = scratch.keep(rows.join(sizes, on, "left_semi"), f"whole-{step}")
+    tokens = scratch.keep(large.select("one", "hashes").mapInArrow(tokens_of, "one long, token long, size int"), f"tokens-{step}")
+    often = tokens.groupBy("token").agg(F.count("*").alias("often"))
+    rare = tokens.join(often.where("often > 1").hint("merge"), "token", "left").groupBy("one", "size").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(1)).alias("often"), "token"))).alias("t"))
+    prefix = F.slice("t", F.lit(1), (F.col("size") - F.ceil(F.lit(similar) * F.col("size") - 1e-9) + 1).cast("int"))
+    keyed = scratch.keep(rare.select("one", F.explode(F.transform(prefix, lambda x: F.when(x["often"] > 1, x["token"]))).alias("key")).where("key is not null"), f"rare-{step}")
+    heads = keyed.groupBy("key").agg(F.min("one").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+    edges = keyed.withColumnRenamed("one", "b").join(heads, "key").where("a <> b").select("a", "b").distinct()
+    again = connected_components(edges, scratch, f"again-{step}").select(F.col("root").alias("root"), F.col("node").alias("a_one"))
+    scratch.drop(f"tokens-{step}", release=False)
+    own = large.drop("root").join(again, F.col("one") == F.col("a_one")).select("root", "least", "one", "hashes")
+    return rows.join(sizes, on, "left_anti").select("root", "least", "one", "hashes").unionByName(own)
+
+
 def thin(rows: DataFrame, similar: float) -> DataFrame:
     dealt = rows.select("root", "one", "hashes", "least").repartition("root").sortWithinPartitions("root", "least", "one")
     return dealt.mapInArrow(thinned(similar), "one long, gone boolean")
@@ -431,6 +468,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     names = docs.columns
     ident, text_hash, s_id, s_hash = (fresh(x, names) for x in ("row_id", "row_hash", "stay_id", "stay_hash"))
     stay, hot = (x.select(F.col("row_id").alias(s_id), F.col("hash").alias(s_hash)) for x in near_copies(docs))
+    stay = stay.hint("merge")  # it grows with the documents
     named = docs.withColumns({ident: row_id(), text_hash: F.xxhash64(F.col("text").cast("string"))})
     same = (F.col(ident) == F.col(s_id)) & (F.col(text_hash) == F.col(s_hash))
     whole, order = F.struct(*[F.col(f"`{x}`") for x in names]), F.xxhash64(*[F.col(f"`{x}`") for x in names])
