@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 from functools import cache, reduce
@@ -20,9 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder every executor sees: spark.checkpoint.dir, or one of our own where it is unset and all is one machine (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    return found.rstrip("/") if found else own_dir()
+    if found:
+        return found.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return own_dir()
 
 
 @cache

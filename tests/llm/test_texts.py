@@ -341,7 +341,41 @@ def test_packing(spark):
     assert op8_pack.pack(docs(spark, []).limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("n", [1, 2, 63, 64, 65, 700, 1024, 1025, 2047, 2048, 2049, 5000])
+def test_short_documents_are_packed_tightly(spark):
+    """Documents of 17 to 63 ids: less than a twentieth is padded."""
+    rows = [(i, " ".join(["a"] * (16 + i % 47)), "a") for i in range(3000)]
+    got = op8_pack.pack(docs(spark, rows).repartition(3)).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    used = sum(r["n"] for r in got)
+    assert used == sum(17 + i % 47 for i in range(3000))
+    assert sum(0 if r["n"] & (r["n"] - 1) == 0 else 2048 - r["n"] for r in got) < 0.05 * used
+
+
+def test_packing_by_another_tokenizer(spark):
+    """Its rules aren't those of the word BPE, so texts are encoded whole."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert not op8_pack.by_runs(path) and op8_pack.by_runs(public_tokenizers.path("word_bpe_49k.json"))
+    rows = [(1, "Hello  World, again\n", "a"), (2, "MiXed Case", "a")]
+    got = {r["doc_id"]: r["ids_crc32"] for r in op8_pack.pack(docs(spark, rows), path).collect()}
+    tok = Tokenizer.from_file(path)
+    assert got == {i: zlib.crc32(np.array([*tok.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes()) for i, t, _ in rows}
+
+
+def test_encoder_against_the_tokenizer():
+    """Runs put together from words and marks, against whole texts."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encode, r = op8_pack.Encoder(path, 1), random.Random(5)
+    bits = ["word", "Don't", "'S", "é", "É", "ẞ", "İ", "K", "ß", "ō", "x1", "12", ".", "...", "-", "--", "#", "&&", "(", ")", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "’", "ς", "\x1c", "\u0301", "a\u0301", "漢字", "ﬁ", "\u00a0", "\u200b", "Σ", "ΑΣ", "\x85"]
+    for _ in range(4000):
+        text = "".join(r.choice(bits) + r.choice(["", "", " ", "\n"]) for _ in range(r.randint(1, 9)))
+        assert encode(text) == np.array([*encode.tok.encode(text, add_special_tokens=False).ids, 1], "<u4").tobytes(), text
+
+
+@pytest.mark.parametrize("n", [1, 2, 17, 33, 40, 63, 64, 65, 700, 1024, 1025, 2047, 2048, 2049, 5000])
 def test_cuts(n):
     got = list(op8_pack.cuts(n, 2048))
     assert sum(got) == n and all(0 < x * op8_pack.class_of(x, 2048) <= 2048 for x in got)
