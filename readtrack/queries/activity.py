@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import analytics, evaluate, sampling, tagging
+from ..operators import analytics, crf, evaluate, sampling, tagging
 from ..functions.text import ordered_distinct
 from .domain import MESSAGES, messages, table
 
@@ -74,6 +74,12 @@ def tiers(s, d):
     return sampling.tier_sample(p, "pattern", "seq", sampling.tier_schedule(sizes, [(100, 100), (150, 50), (200, 50)]))
 
 
+def crf_tags(s, d):
+    """Tags of every sentence by a model learnt from a sample of their gold tags."""
+    sentences = tagged(s, d).select("sent", "tokens", "gold")
+    return crf.tag(sentences, crf.fit(sentences, steps=60)).select("sent", F.array_join("pred", " ").alias("tags"))
+
+
 def summary(s, d):
     one = lambda ok: F.struct(ok.alias("is_valid"))
     n = F.col("seq")
@@ -111,6 +117,7 @@ QUERIES = {
     "seqeval_f1": lambda s, d: evaluate.scores(evaluate.match_counts(tagged(s, d).select("sent", tagging.char_spans(F.col("tokens"), F.col("gold")).alias("g"), tagging.char_spans(F.col("tokens"), F.col("pred")).alias("p")), "p", "g", evaluate.span_key, "sent")),
     "seqeval_by_pattern": lambda s, d: evaluate.scores(evaluate.match_counts(tagged(s, d).select("sent", "pattern", tagging.char_spans(F.col("tokens"), F.col("gold")).alias("g"), tagging.char_spans(F.col("tokens"), F.col("pred")).alias("p")), "p", "g", evaluate.span_key, "pattern", "sent"), "pattern"),
     "tag_structures": lambda s, d: tagged(s, d).select("sent", F.posexplode(tagging.structures(F.col("tokens"), F.col("pred"))).alias("pos", "r")).select("sent", "pos", "r.book_start", "r.start_chapter"),
+    "crf_tags": crf_tags,
     "roles_in_order": lambda s, d: table(s, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("r")).select("conv_id", F.array_join(ordered_distinct(F.col("r.role")), " > ").alias("roles")),
     "table_checks": lambda s, d: analytics.table_checks(messages(s, d).select("sender").distinct(), messages(s, d), messages(s, d).where("last > first"), table(s, d, "conversations").where("turn < 0")),
     "prf_exact": lambda s, d: evaluate.scores(evaluate.match_counts(judged(s, d), "pred", "gold", evaluate.structure_key, "seq")),
@@ -170,6 +177,7 @@ gs AS (SELECT sent, CAST(min(pos) AS INTEGER) AS first, CAST(max(pos) AS INTEGER
 n AS (SELECT pattern, (SELECT count(*) FROM sp JOIN gs USING (sent, first, last) WHERE sent % 3 = pattern) AS tp, (SELECT count(*) FROM sp WHERE sent % 3 = pattern) AS p,
   (SELECT count(*) FROM gs WHERE sent % 3 = pattern) AS g FROM (SELECT DISTINCT sent % 3 AS pattern FROM tg))
 SELECT pattern, {PRF} FROM (SELECT pattern, tp, p - tp AS fp, g - tp AS fn FROM n)""",
+    "crf_tags": f"{TAGGED} SELECT sent, string_agg(gold, ' ' ORDER BY p) AS tags FROM tg GROUP BY sent",
     "roles_in_order": "SELECT conv_id, string_agg(role, ' > ' ORDER BY first) AS roles FROM (SELECT conv_id, role, min(turn) AS first FROM conversations GROUP BY ALL) GROUP BY conv_id",
     "table_checks": "SELECT * FROM (VALUES ('members are there', true), ('messages are there', true), ('refs are there', true), ('progress are there', false), ('progress covers refs', false)) t(\"check\", ok)",
     "seqeval_f1": f"""{TAGGED},

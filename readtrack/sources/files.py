@@ -51,6 +51,16 @@ def read_conll(spark: SparkSession, path: str) -> DataFrame:
     return conll_sentences(spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value").alias("content")))
 
 
+def write_pools(df: DataFrame, path: str, pool: str) -> None:
+    """Rows in a folder for each pool, so that one pool is read alone."""
+    df.write.mode("overwrite").partitionBy(pool).parquet(path)
+
+
+def read_pools(spark: SparkSession, path: str, pool: str, names: list[str] | None = None) -> DataFrame:
+    df = spark.read.parquet(path)
+    return df if names is None else df.where(F.col(pool).isin(names))
+
+
 def write_csv(df: DataFrame, path: str, *by: str, mark: bool = True) -> None:
     """CSV with a header, quotes doubled; with a byte-order mark ahead of it, for spreadsheets."""
     first = next(c for c in df.columns if c not in by)

@@ -100,6 +100,38 @@ def test_tagger(spark):
     assert [len(x) for x in got] == [1, 0] and got[0][0]["start_chapter"] == 1
 
 
+def test_crf(spark, tmp_path):
+    """Learns tags that depend on neighbours, against the likelihood of every tagging of a short sentence."""
+    import itertools
+    import random
+
+    import numpy as np
+
+    from readtrack.operators import crf
+
+    r = random.Random(3)
+
+    def sentence():
+        words = [r.choice(["baca", "sudah", "amin", "7"]) for _ in range(r.randint(0, 3))]
+        return words + (["Kej", str(r.randint(1, 50))] if r.random() < 0.7 else []) + ["ok"], ["O"] * len(words)
+
+    data = []
+    for _ in range(300):
+        tokens, tags = sentence()
+        data.append((tokens, tags + (["B-BIBLE_REF", "I-BIBLE_REF"] if "Kej" in tokens else []) + ["O"]))
+    df = spark.createDataFrame([*data, ([], []), (None, None)], "tokens array<string>, gold array<string>")
+    model = crf.fit(df, most=200)
+    crf.save(spark, model, str(tmp_path / "m"))
+    got = crf.tag(df, crf.load(spark, str(tmp_path / "m"))).collect()
+    assert np.mean([r["pred"] == r["gold"] for r in got]) > 0.99
+    tokens = ["7", "Kej", "12", "ok"]
+    score = model.scores(tokens)
+    ways = {y: sum(score[i, k] for i, k in enumerate(y)) + sum(model.steps[a, b] for a, b in zip(y, y[1:], strict=False)) for y in itertools.product(range(len(model.labels)), repeat=4)}
+    assert [model.labels[k] for k in max(ways, key=ways.get)] == model.tag(tokens) == ["O", "B-BIBLE_REF", "I-BIBLE_REF", "O"]
+    top = {(w["label"], w["feature"]) for w in crf.top_weights(spark, model, 5).collect()}
+    assert ("B-BIBLE_REF", "lower=kej") in top
+
+
 def test_vectors(spark):
     s = spark.createDataFrame([(["Kej", "1", "done"],), (["Kel", "2", "done"],)] * 20, "tokens array<string>")
     v = tagging.train_vectors(s, size=4, passes=2)
@@ -183,6 +215,15 @@ def test_csv_for_spreadsheets(spark, tmp_path):
     assert pd.read_csv(part, encoding="utf-8-sig")["t"].tolist()[0] == 'say "hi", é\nmore'
 
 
+def test_pools(spark, tmp_path):
+    from readtrack.sources import files
+
+    df = spark.createDataFrame([(1, "multi"), (2, "none"), (3, None)], "id int, pattern string")
+    files.write_pools(df, str(tmp_path / "p"), "pattern")
+    assert sorted((r["id"], r["pattern"]) for r in files.read_pools(spark, str(tmp_path / "p"), "pattern", ["multi", "none"]).collect()) == [(1, "multi"), (2, "none")]
+    assert files.read_pools(spark, str(tmp_path / "p"), "pattern").count() == 3
+
+
 def test_tiers():
     tiers = sampling.tier_schedule({"a": 10, "b": 100, "c": 40, "d": 500}, [(200, 200), (300, 100)])
     assert tiers[0][1] == {"a": 10, "b": 76, "c": 40, "d": 74} and tiers[1][1] == {"a": 0, "b": 24, "c": 0, "d": 76}
