@@ -31,11 +31,12 @@ from .common import Scratch, parts, table, union_all
 CAPACITY, END_ID, TOKENIZER = 2048, 1, "word_bpe_49k.json"
 FINE, SLACK, FAN_IN = 32, 16, 16
 RUNS_KEPT, WORDS_KEPT = 400_000, 300_000
-#: Marks that the tokenizer never joins to letters (the apostrophe is not one), and words it treats alike in either case.
+#: Marks that the tokenizer never joins to letters (the apostrophe is not one), and plain words, lower-cased as it does.
 MARKS, PLAIN = ".,;:!?()\"-", re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k int, sequence_id long, offset long"
 NAMES = [c.split()[0] for c in PIECE.split(", ")]
-NOT_SPACE_FOR_ALL = re.compile("[\x1c-\x1f]").search  # str.split() takes them for spaces, the tokenizer doesn't
+NOT_SPACE_FOR_ALL = "\x1c\x1d\x1e\x1f"  # str.split() takes them for spaces, the tokenizer doesn't
+AS_WRITTEN = ("\u03a3", "<|")  # a sigma's lower case depends on what follows; marks of added tokens are never lower-cased
 #: The rules of the word BPE that allow its runs without white space to be encoded one by one.
 RULES = {
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -88,11 +89,10 @@ class Runs(dict):
         if len(self) >= RUNS_KEPT:
             self.clear()
         word = run.strip(MARKS)
-        low = word.lower()
-        if low not in self.words and not PLAIN(low):
+        if word not in self.words and not PLAIN(word):
             ids = array("I", self.tok.encode(run, add_special_tokens=False).ids).tobytes()
         else:
-            ids = self.words[low]
+            ids = self.words[word]
             if len(word) < len(run):
                 before, _, after = run.partition(word)
                 ids = (self[before] if before else b"") + ids + (self[after] if after else b"")
@@ -112,8 +112,10 @@ class Encoder:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return self.end
-        if not self.by_runs or NOT_SPACE_FOR_ALL(text):
+        if not self.by_runs or any(c in text for c in NOT_SPACE_FOR_ALL):
             return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes() + self.end
+        if not any(x in text for x in AS_WRITTEN):
+            text = text.lower()
         return b"".join(map(self.runs.__getitem__, text.split())) + self.end
 
 
