@@ -4,8 +4,8 @@
 its header line and declared length, and `to_warc` turns an entry into a WARC/1.0 record with
 a synthesised record id, date, type and digests. `convert_arcs` does so for archives on disk, `write_arc` writes such, and
 `write_warc` goes from pages to WARC through ARC entries. Spark's own text writer lays records end to end with their
-separator as its line separator, byte for byte, so each part file is a gzip-compressed archive of RECORDS_PER_FILE records
-at most. `read_warc` reads such archives by declared lengths.
+separator as its line separator, byte for byte, so each part file is a gzip-compressed archive of about ARCHIVE_BYTES (before
+compression) and RECORDS_PER_FILE records at most. `read_warc` reads such archives by declared lengths.
 
 Of records with equal payloads of at least `least_bytes` bytes, the one of the largest page_id is
 the response and the others are revisits of it, written without the payload; smaller ones are all
@@ -32,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices, table
+from .common import Scratch, parts, slices, table
 
 LEAST_BYTES = 0
-RECORDS_PER_FILE = 4_000
+RECORDS_PER_FILE, ARCHIVE_BYTES = 4_000, 64 << 20
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL namespace of RFC 4122
 ARCHIVED = "20240101000000"
 #: The header lines of both ARC versions.
@@ -234,8 +234,11 @@ def write_records(records: DataFrame, path: str, separator: str) -> None:
 
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> None:
-    """Writes an archive a task (more where RECORDS_PER_FILE asks for it)."""
-    write_records(with_revisits(pages, least_bytes).mapInArrow(convert, "value binary"), path, "\r\n\r\n")
+    """Writes archives of about ARCHIVE_BYTES, one a task at least where there are fewer."""
+    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    archives = parts(total, ARCHIVE_BYTES, pages.sparkSession.sparkContext.defaultParallelism)
+    rows = with_revisits(pages, least_bytes).coalesce(archives)  # never more than the join has made
+    write_records(rows.mapInArrow(convert, "value binary"), path, "\r\n\r\n")
 
 
 def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
