@@ -18,9 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 from pyarrow import fs
 
-PIECE, RESIDENT = 1 << 16, 1 << 21
+PIECE, RESIDENT = 1 << 16, 1 << 22
 CORE = 257  # the symbol of a core; bytes are 1 to 256, 0 ends a string
 INDEX = 20  # bits of a place within a piece
+SYMBOL = np.uint64(511 << INDEX)
 
 
 class Sequence:
@@ -64,7 +65,11 @@ class Sequence:
 
 
 class Piece:
-    """Strings of whole groups, and what is known about their suffixes between two rounds."""
+    """Strings of whole groups, and what is known about their suffixes between two rounds.
+
+    The state is a 64-bit number for each suffix, in order: from its lowest bit the common prefix with the one before (16 bits), from
+    bit INDEX the symbol before it (9), from bit 32 its length (9) and its string.
+    """
 
     def __init__(self, groups: np.ndarray, lengths: np.ndarray, tails: np.ndarray, twice: np.ndarray):
         _, self.of, self.strings = np.unique(groups, return_inverse=True, return_counts=True)
@@ -74,53 +79,62 @@ class Piece:
     def size(self) -> int:
         return int(self.counts.sum())
 
-    def insert(self, j: int, ahead: np.ndarray, bwt: np.ndarray, lcp: np.ndarray, who: np.ndarray, core: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def empty(self, ahead: np.ndarray) -> np.ndarray:
+        """The state of the empty suffixes, before which stand the strings' last symbols."""
+        return (np.arange(len(ahead)) << 41 | ahead.astype(np.int64) << INDEX).view(np.uint64)
+
+    def insert(self, j: int, ahead: np.ndarray, state: np.ndarray, core: int) -> np.ndarray:
         """The state after round j. ahead: the symbol that stands before the inserted one in each string, 0 if none."""
-        n, act = len(bwt), np.flatnonzero(self.lengths > j)
+        n, act = len(state), np.flatnonzero(self.lengths > j)
         if not len(act):
-            return bwt, lcp, who
-        group = np.repeat(np.arange(len(self.counts)), self.counts)
-        key = np.sort((group << 9 | bwt) << INDEX | np.arange(n))
-        order, kind = key & ((1 << INDEX) - 1), key >> INDEX
-        symbol = kind & 511
-        rank = np.empty(n, np.int64)
-        rank[order] = np.arange(n)
-        # Suffixes of a group follow its empty ones; ended strings give none.
-        ended = np.bincount(group[bwt == 0], minlength=len(self.counts))
+            return state
+        # Suffixes by group, by the symbol before them and by their order: so the suffixes that these symbols begin are sorted.
+        key = np.repeat(np.arange(len(self.counts)) << (9 + INDEX), self.counts)
+        key += np.arange(n)
+        key += (state & SYMBOL).view(np.int64)
+        key.sort()
+        order = key & ((1 << INDEX) - 1)
+        at = self.place[act]
+        fresh, whose = np.zeros(n, bool), np.empty(n, np.int32)
+        fresh[at], whose[at] = True, np.arange(len(act))
+        hit = np.flatnonzero(fresh[order])
+        string = whose[order[hit]]
+        # Within a group they follow the empty suffixes; ended strings give none.
         grown = self.counts + np.bincount(self.of[act], minlength=len(self.counts))
+        ended = np.bincount(self.of[self.lengths <= j], minlength=len(self.counts))
         shift = (np.cumsum(grown) - grown) + self.strings - ended - (np.cumsum(self.counts) - self.counts)
-        at = self.place[act]
-        new = rank[at] + shift[self.of[act]]
-        fresh = np.zeros(n, bool)
-        fresh[at] = True
-        fresh = fresh[order]
-        side = np.flatnonzero((kind[1:] == kind[:-1]) & (symbol[1:] > 0) & (fresh[1:] | fresh[:-1])) + 1
-        side = side[np.argsort(order[side - 1])]
+        new = np.empty(len(act), np.int64)
+        new[string] = hit + shift[self.of[act[string]]]
+        # A new suffix changes its own common prefix and its successor's, no other.
+        near = np.zeros(n + 1, bool)
+        near[hit] = near[hit + 1] = True
+        side = np.flatnonzero(near[1:n]) + 1
+        side = side[key[side] >> INDEX == key[side - 1] >> INDEX]
+        side = np.sort(order[side - 1] << INDEX | side) & ((1 << INDEX) - 1)  # by where they come from
+        kind = key[side] >> INDEX
         old = np.ones(n + len(act), bool)
         old[new] = False
-        out = []
-        for x, given in ((bwt, ahead[act]), (lcp, 0), (who, act * (1 << 9) + j + 1)):
-            y = np.empty(len(old), x.dtype)
-            y[old], y[new] = x, given
-            out.append(y)
+        out = np.empty(len(old), np.uint64)
+        out[old] = state
+        out[new] = ((act << 9 | j + 1) << 32 | ahead[act].astype(np.int64) << INDEX).view(np.uint64)
         if len(side):
+            lcp = np.append(state.astype(np.uint16), np.uint16(0))
             ends = np.stack([order[side - 1], order[side]], 1).ravel() + 1
-            least = np.minimum.reduceat(np.append(lcp, lcp.dtype.type(0)), ends)[::2]
-            out[1][side + shift[group[order[side]]]] = least + np.where(symbol[side] == CORE, core, 1).astype(lcp.dtype)
+            least = np.minimum.reduceat(lcp, ends)[::2].astype(np.int64) + np.where(kind & 511 == CORE, core, 1)
+            to = side + shift[kind >> 9]
+            out[to] = (out[to] & ~np.uint64(0xFFFF)) | least.astype(np.uint64)
         self.counts, self.place[act] = grown, new
-        return tuple(out)
+        return out
 
-    def repeated(self, lcp: np.ndarray, who: np.ndarray, length: int, core: int) -> tuple[np.ndarray, np.ndarray]:
+    def repeated(self, state: np.ndarray, length: int, core: int) -> tuple[np.ndarray, np.ndarray]:
         """(string, place in it) of each suffix that shares `length` bytes with a neighbour or its own twin."""
-        string, size = who >> 9, who & 511
+        string, size = (state >> np.uint64(41)).astype(np.int64), (state >> np.uint64(32)).astype(np.int64) & 511
+        lcp = state.astype(np.uint16)
         own = np.where(self.twice[string], size + np.where(size > self.tails[string], core - 1, 0), 0)
         hit = np.flatnonzero(np.maximum(np.maximum(lcp, np.append(lcp[1:], 0)), own) >= length)
         return string[hit], self.lengths[string[hit]] - size[hit]
 
 
-KINDS = (np.uint16, np.uint16, np.uint32)  # transform, common prefix, whose suffix of which length
-
-
 def pieces_of(groups: np.ndarray, lengths: np.ndarray, piece: int) -> list[tuple[int, int]]:
     """Ranges of strings: whole groups, of `piece` suffixes together where a group isn't larger."""
     starts = np.flatnonzero(np.diff(groups, prepend=-1))
@@ -155,31 +169,24 @@ def repeats(
         column = columns.read([(len(groups), np.uint16)] * width)
         ahead = next(column)
         for lo, hi, p in cut:
-            for x, kind in zip((ahead[lo:hi], np.zeros(hi - lo), np.arange(hi - lo) << 9), KINDS, strict=True):
-                state.append(x.astype(kind))
+            state.append(p.empty(ahead[lo:hi]))
         for j in range(width):
             ahead = next(column, None)
             if ahead is None:
                 ahead = np.zeros(len(groups), np.uint16)
-            later = Sequence(folder, resident)
-            before, state = state, later
+            before, state = state, Sequence(folder, resident)
             try:
-                arrays = before.read([(p.size(), kind) for _, _, p in cut for kind in KINDS])
+                found = before.read([(p.size(), np.uint64) for _, _, p in cut])
                 for lo, hi, p in cut:
-                    for x in p.insert(j, ahead[lo:hi], next(arrays), next(arrays), next(arrays), core):
-                        later.append(x)
-                next(arrays, None)
+                    state.append(p.insert(j, ahead[lo:hi], next(found), core))
             finally:
                 before.drop()
-        strings, places = [], []
-        arrays = state.read([(p.size(), kind) for _, _, p in cut for kind in KINDS])
+        out = []
+        found = state.read([(p.size(), np.uint64) for _, _, p in cut])
         for lo, _, p in cut:
-            next(arrays)
-            string, place = p.repeated(next(arrays), next(arrays).astype(np.int64), length, core)
-            strings.append(string + lo)
-            places.append(place)
-        next(arrays, None)
-        return np.concatenate(strings), np.concatenate(places)
+            string, place = p.repeated(next(found), length, core)
+            out.append((string + lo, place))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
     finally:
         columns.drop()
         state.drop()

@@ -28,6 +28,7 @@ Further columns stay, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -144,34 +145,40 @@ def pieces(text: bytes, a: int, s: int, n: int, length: int = LENGTH, block: int
         yield text[last : first + length], text[lo:last], text[first + length : hi + length], lo
 
 
-def signed(x: int) -> int:
-    return x - (1 << 64) * (x >> 63)
-
-
 def piece_rows(length: int, block: int):
     """The blocks of the fragments asked of each text. Repeated rows of one key lie side by side and are asked once a task."""
     types = [pa.int64()] * 3 + [pa.binary()] * 2 + [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 
-    def frame(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names_of(PIECE))
+    def frame(cols):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names_of(PIECE))
 
     def run(batches):
-        rows, last = [], None
+        cols, last = [[] for _ in types], None
+        g1s, g2s, cids, leads, tails, hs, fhs, starts, times = cols
         for batch in batches:
             for k1, k2, text, asked in zip(*batch.columns, strict=True):
                 if (key := (k1.as_py(), k2.as_py())) == last:
                     continue
                 last, text = key, text.as_py()
                 for f in asked.as_py():
-                    for core, lead, tail, at in pieces(text, f["a"], f["s"], f["n"], length, block):
-                        g = xxhash.xxh3_128_digest(core)
-                        cid = xxhash.xxh64_intdigest(lead + b"|" + tail, len(lead))
-                        rows.append((int.from_bytes(g[:8], "big", signed=True), int.from_bytes(g[8:], "big", signed=True), signed(cid), lead, tail, f["h"], f["fh"], at - f["s"], f["times"]))
-                if len(rows) >= OUT_ROWS:
-                    yield frame(rows)
-                    rows = []
-        if rows:
-            yield frame(rows)
+                    h, fh, n, s = f["h"], f["fh"], f["times"], f["s"]
+                    for core, lead, tail, at in pieces(text, f["a"], s, f["n"], length, block):
+                        g1, g2 = struct.unpack(">qq", xxhash.xxh3_128_digest(core))
+                        g1s.append(g1)
+                        g2s.append(g2)
+                        cids.append(struct.unpack(">q", xxhash.xxh64_digest(lead + b"|" + tail, len(lead)))[0])
+                        leads.append(lead)
+                        tails.append(tail)
+                        hs.append(h)
+                        fhs.append(fh)
+                        starts.append(at - s)
+                        times.append(n)
+                if len(g1s) >= OUT_ROWS:
+                    yield frame(cols)
+                    for c in cols:
+                        c.clear()
+        if g1s:
+            yield frame(cols)
 
     return run
 
