@@ -63,21 +63,32 @@ def nearest_alias(keys: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def resolve(df: DataFrame, column: str, out: str, fuzzy: bool = True, threshold: float = THRESHOLD) -> DataFrame:
-    """Adds <out>_id, <out>_method (exact, fuzzy, failed; null where the text is) and <out>_score. Fuzzy matching sees each unresolved text once."""
-    spark = df.sparkSession
-    keyed = df.withColumn("r_key", text_key(F.col(column)))
-    exact = F.broadcast(alias_table(spark).select(F.col("alias").alias("r_alias"), F.col("book_id").alias("r_exact")))
-    met = keyed.join(exact, F.col("r_key") == F.col("r_alias"), "left")
+    """Adds <out>_id, <out>_method (exact, fuzzy, failed; null where the text is) and <out>_score."""
+    return resolve_all(df, {column: out}, fuzzy, threshold)
+
+
+def resolve_all(df: DataFrame, columns: dict[str, str], fuzzy: bool = True, threshold: float = THRESHOLD) -> DataFrame:
+    """`resolve` for several columns {column: out}. Fuzzy matching sees each unresolved text once, whichever column it comes from."""
+    exact = F.broadcast(alias_table(df.sparkSession).select(F.col("alias").alias("r_alias"), F.col("book_id").alias("r_book")))
+    met = df
+    for c, out in columns.items():
+        met = met.withColumn(f"r_key_{out}", text_key(F.col(c)))
+        met = met.join(exact, F.col(f"r_key_{out}") == F.col("r_alias"), "left").withColumnRenamed("r_book", f"r_exact_{out}").drop("r_alias")
+    near = None
     if fuzzy:
-        open_ = met.where("r_exact is null and r_key is not null and r_key <> ''").select(F.col("r_key").alias("key")).distinct()
-        near = nearest_alias(open_, threshold).select(F.col("key").alias("f_key"), F.col("book_id").alias("r_fuzzy"), F.col("score").alias("r_score"))
-        met = met.join(near, (F.col("r_key") == F.col("f_key")) & F.col("r_exact").isNull(), "left").drop("f_key")
-    else:
-        met = met.withColumns({"r_fuzzy": F.lit(None).cast("int"), "r_score": F.lit(None).cast("double")})
-    method = F.when(F.col("r_exact").isNotNull(), "exact").when(F.col("r_fuzzy").isNotNull(), "fuzzy").when(F.col(column).isNotNull() & (F.col("r_key") != ""), "failed")
-    return met.withColumns(
-        {f"{out}_id": F.coalesce("r_exact", "r_fuzzy"), f"{out}_method": method, f"{out}_score": F.when(F.col("r_exact").isNotNull(), 100.0).otherwise(F.col("r_score"))}
-    ).drop("r_key", "r_alias", "r_exact", "r_fuzzy", "r_score")
+        open_ = F.array_compact(F.array(*[F.when(F.col(f"r_exact_{out}").isNull() & (F.col(f"r_key_{out}") != ""), F.col(f"r_key_{out}")) for out in columns.values()]))
+        near = nearest_alias(met.select(F.explode(open_).alias("key")).distinct(), threshold)
+    for c, out in columns.items():
+        key, known = F.col(f"r_key_{out}"), F.col(f"r_exact_{out}")
+        if fuzzy:
+            f = near.select(F.col("key").alias("f_key"), F.col("book_id").alias("r_fuzzy"), F.col("score").alias("r_score"))
+            met = met.join(f, (key == F.col("f_key")) & known.isNull(), "left").drop("f_key")
+        else:
+            met = met.withColumns({"r_fuzzy": F.lit(None).cast("int"), "r_score": F.lit(None).cast("double")})
+        method = F.when(known.isNotNull(), "exact").when(F.col("r_fuzzy").isNotNull(), "fuzzy").when(F.col(c).isNotNull() & (key != ""), "failed")
+        score = F.when(known.isNotNull(), 100.0).otherwise(F.col("r_score"))
+        met = met.withColumns({f"{out}_id": F.coalesce(known, F.col("r_fuzzy")), f"{out}_method": method, f"{out}_score": score}).drop("r_fuzzy", "r_score")
+    return met.drop(*[f"r_{x}_{out}" for out in columns.values() for x in ("key", "exact")])
 
 
 def valid(start_id: Column, start: Column, end_id: Column, end: Column) -> Column:
@@ -91,7 +102,7 @@ def normalize(refs: DataFrame, fuzzy: bool = True) -> DataFrame:
 
     References with a book that can't be resolved are dropped.
     """
-    r = resolve(resolve(refs, "book_start", "s", fuzzy), "book_end", "e", fuzzy)
+    r = resolve_all(refs, {"book_start": "s", "book_end": "e"}, fuzzy)
     given = F.col("book_end").isNotNull() & (F.trim("book_end") != "")
     r = r.where(F.col("s_id").isNotNull() & (F.col("e_id").isNotNull() | ~given))
     s, e, sid = F.col("start_chapter"), F.col("end_chapter"), F.col("s_id")

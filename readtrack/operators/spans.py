@@ -39,7 +39,7 @@ sole
 FIELD = {"book": "book_start", "sole": "book_start", "chapter": "start_chapter", "other": "book_end", "until": "end_chapter"}
 #: What the text must hold for a part to match.
 NEEDS = {"chapter": r"(?U)\d", "verse": ":", "dash": r"[-\x{2013}\x{2014}]", "word": f"(?iU){WORD}"}
-FLAGS = "(?iU)"
+FLAGS, MARKS = "(?iU)", "\ue000\ue001"
 
 
 def any_of(names: list[str]) -> str:
@@ -83,7 +83,9 @@ def digits() -> tuple[str, str]:
 
 def _matches(text: Column, prio: int, pattern: str, needs: list[str]) -> Column:
     start = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("out"))
-    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
+    # Splitting by a pattern would compile it for each row; matches become one mark, and one like it in the text another of its kind.
+    gaps = F.split(F.regexp_replace(F.translate(text, MARKS[0], MARKS[1]), pattern, MARKS[0]), MARKS[0], -1)
+    pairs = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
 
     def step(acc, x):
         begin = acc["at"] + F.length(x["gap"])

@@ -33,6 +33,9 @@ def store_messages(chats: DataFrame, path: str, checkpoint: str):
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
             stored = None
+        if stored is not None:  # only what lies in the batch's own time can be in it again
+            first, last = messages.agg(F.min("timestamp"), F.max("timestamp")).first()
+            stored = stored.where(F.col("timestamp").between(*(F.lit(x.isoformat(" ")).cast("timestamp_ntz") for x in (first, last)))) if first else stored.limit(0)
         fresh = new_messages(messages, stored).withColumn("batch", F.lit(batch_id))
         # A repeated batch replaces its own partition, so it is stored once.
         fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)

@@ -86,7 +86,7 @@ def test_rules_in_running_text(spark):
     import random
 
     r = random.Random(11)
-    bits = ["kej", "Kejadian", "1 raja - raja", "2 raja2", "hakim2", "1Sam.", "i sam", "mat.", "yoh", "1 yoh", "kid agung", "why", "amin", "dan", "3", "12", "١٢", "1:2", "4:5", "-", " – ", "--", "\u00a0", " sampai ", " to ", ", ", "\n", "baca ", "xkej", "ſ", ".", ":", "7x"]
+    bits = ["kej", "Kejadian", "1 raja - raja", "2 raja2", "hakim2", "1Sam.", "i sam", "mat.", "yoh", "1 yoh", "kid agung", "why", "amin", "dan", "3", "12", "١٢", "1:2", "4:5", "-", " – ", "--", "\u00a0", " sampai ", " to ", ", ", "\n", "baca ", "xkej", "ſ", ".", ":", "7x", "\ue000", "\ue001", "📖"]
     texts = ["".join(r.choice(bits) + r.choice(["", " ", " "]) for _ in range(r.randint(1, 14))) for _ in range(600)]
     got, structures = rules(spark, *texts)
     assert got == list(plain_rules(texts))

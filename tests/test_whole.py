@@ -79,11 +79,15 @@ def test_android_exports_long_conversations(spark, tmp_path):
 
 
 def test_bootstrap_takes_a_thousand_rounds(spark, monkeypatch):
+    import inspect
+
     from readtrack.operators import evaluate
 
     if not os.path.isdir(SF):
         pytest.skip("no test tables")
-    seen, plain = [], evaluate.scores
-    monkeypatch.setattr(evaluate, "scores", lambda counts, *by: seen.append(counts) or plain(counts, *by))
+    asked, plain = [], evaluate.bootstrap
+    bound = inspect.signature(plain).bind
+    monkeypatch.setattr(evaluate, "bootstrap", lambda *a, **b: asked.append(bound(*a, **b)) or plain(*a, **b))
     low, mean, high = rows(spark, "bootstrap_ci")[0]
-    assert seen[-1].select("round").distinct().count() == 1000 and low < mean < high
+    asked[-1].apply_defaults()
+    assert asked[-1].arguments["rounds"] == 1000 and low < mean < high
