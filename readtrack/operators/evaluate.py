@@ -77,16 +77,17 @@ def errors(pred: DataFrame, gold: DataFrame, *keys: str) -> DataFrame:
 
 
 def accuracy_by_position(pred: DataFrame, gold: DataFrame, key: str) -> DataFrame:
-    """References beside gold ones of the same place in their message: total, correct, skipped, accuracy and each field's."""
+    """References beside gold ones of the same place in their message: total (places of either), correct, skipped, accuracy, and each field's
+    among gold ones."""
     place = Window.partitionBy(key).orderBy("pos")
     side = lambda df, x: df.withColumn("pos", F.row_number().over(place)).select(key, "pos", *[F.col(c).alias(f"{x}_{c}") for c in STRUCTURE], F.lit(1).alias(x))
     both = side(pred, "p").join(side(gold, "g"), [key, "pos"], "full")
     same = [F.col(f"p_{c}").eqNullSafe(F.col(f"g_{c}")) & F.col("p").isNotNull() for c in STRUCTURE]
     every = same[0] & same[1] & same[2] & same[3]
-    g = both.where("g is not null")
-    return g.agg(
-        F.count("*").alias("total"), F.count_if(every).alias("correct"), F.count_if(F.col("p").isNull()).alias("skipped"),
-        F.round(F.avg(every.cast("int")), 4).alias("accuracy"), *[F.round(F.avg(s.cast("int")), 4).alias(f"{c}_accuracy") for s, c in zip(same, STRUCTURE, strict=True)],
+    there = F.col("g").isNotNull()
+    return both.agg(
+        F.count("*").alias("total"), F.count_if(every).alias("correct"), F.count_if(there & F.col("p").isNull()).alias("skipped"), F.round(F.avg(every.cast("int")), 4).alias("accuracy"),
+        *[F.round(F.avg(F.when(there, x.cast("int"))), 4).alias(f"{c}_accuracy") for x, c in zip(same, STRUCTURE, strict=True)],
     )
 
 
@@ -119,10 +120,9 @@ def ablation(raw: DataFrame, gold: DataFrame, key: str) -> DataFrame:
     """strategy (exact, fuzzy) and accuracy_by_position of each: raw references (key, pos, the four fields) normalised without and with fuzzy names."""
     out = []
     for name, fuzzy in (("exact", False), ("fuzzy", True)):
-        kept = normalize(raw, fuzzy).select(key, "pos", *STRUCTURE)
         # What can't be resolved is dropped, so what follows moves up.
-        place = F.row_number().over(Window.partitionBy(key).orderBy("pos")) - 1
-        out.append(accuracy_by_position(kept.withColumn("pos", place.cast("int")), gold, key).withColumn("strategy", F.lit(name)))
+        kept = normalize(raw, fuzzy).select(key, "pos", *STRUCTURE)
+        out.append(accuracy_by_position(kept, gold, key).withColumn("strategy", F.lit(name)))
     return out[0].unionByName(out[1])
 
 

@@ -164,9 +164,10 @@ FROM (SELECT count(*) AS total, count(*) FILTER (event_id % 6 > 0) AS with_refs,
     "prf_partial": f"WITH j AS (SELECT CASE WHEN event_id % 10 <= 5 THEN 1 ELSE 0 END AS tp FROM events) SELECT {PRF} FROM ({SUMS} (SELECT tp, 1 - tp AS fp, 1 - tp AS fn FROM j))",
     "prf_sets": f"WITH j AS (SELECT CASE WHEN event_id % 10 = 0 OR event_id % 9 = 0 THEN 0 ELSE 1 END AS tp, CASE WHEN event_id % 10 > 0 AND event_id % 9 = 0 THEN 1 ELSE 0 END AS fp FROM events) SELECT {PRF} FROM ({SUMS} (SELECT tp, fp, 1 - tp AS fn FROM j))",
     "error_listing": f"{JUDGED} SELECT * FROM (SELECT 'FP' AS kind, CAST(sum(fp) AS BIGINT) AS n FROM j UNION ALL SELECT 'FN', CAST(sum(fn) AS BIGINT) FROM j)",
-    "norm_ablation": """SELECT count(*) AS total, count(*) FILTER (seq % 10 > 0 AND seq % 9 > 0) AS correct, count(*) FILTER (seq % 10 = 0) AS skipped, round(avg(CAST(seq % 10 > 0 AND seq % 9 > 0 AS INTEGER)), 4) AS accuracy,
+    "norm_ablation": """SELECT count(*) + count(*) FILTER (twice) AS total, count(*) FILTER (seq % 10 > 0 AND seq % 9 > 0) AS correct, count(*) FILTER (seq % 10 = 0) AS skipped,
+ round(count(*) FILTER (seq % 10 > 0 AND seq % 9 > 0) / (count(*) + count(*) FILTER (twice)), 4) AS accuracy,
  round(avg(CAST(seq % 10 > 0 AS INTEGER)), 4) AS book_start_accuracy, round(avg(CAST(seq % 10 > 0 AND seq % 9 > 0 AS INTEGER)), 4) AS start_chapter_accuracy, round(avg(CAST(seq % 10 > 0 AS INTEGER)), 4) AS book_end_accuracy,
- round(avg(CAST(seq % 10 > 0 AS INTEGER)), 4) AS end_chapter_accuracy FROM (SELECT event_id AS seq FROM events)""",
+ round(avg(CAST(seq % 10 > 0 AS INTEGER)), 4) AS end_chapter_accuracy FROM (SELECT event_id AS seq, event_id % 10 > 0 AND event_id % 9 > 0 AND event_id % 7 = 0 AS twice FROM events)""",
     "stratified_split": f"""WITH {MESSAGES},
 p AS (SELECT seq, 'p' || CAST(floor(sqrt(book_id)) AS INTEGER) AS pattern FROM msgs),
 r AS (SELECT *, (row_number() OVER (PARTITION BY pattern ORDER BY md5('42/' || seq), seq) - 1) / count(*) OVER (PARTITION BY pattern) AS place FROM p)

@@ -141,6 +141,14 @@ QUERIES = {
     "explode_refs": lambda s, d: raw(s, d).select("seq", "ord", "book_start", "start_chapter", "end_chapter"),
 }
 
+#: A book with one letter more: every name within it, or that it is within, matches wholly; the first of the catalogue wins.
+NEAR = f"""WITH {MESSAGES},
+al AS (SELECT book_id, a, row_number() OVER (ORDER BY book_id, k) AS o FROM (SELECT book_id, unnest(aliases) AS a, generate_subscripts(aliases, 1) AS k FROM cat)),
+fz AS (SELECT alias, arg_min(al.book_id, o) AS near_id FROM (SELECT DISTINCT alias FROM msgs) JOIN al ON contains(alias || 'x', a) OR contains(a, alias || 'x') GROUP BY alias),
+od AS (SELECT m.*, near_id, CASE WHEN seq % 11 = 0 THEN 'qqqq' WHEN seq % 5 = 0 THEN alias || 'x' ELSE upper(alias) END AS book,
+  CASE WHEN seq % 11 = 0 THEN 'failed' WHEN seq % 5 = 0 THEN 'fuzzy' ELSE 'exact' END AS method FROM msgs m JOIN fz USING (alias))"""
+FOUND = "CASE method WHEN 'fuzzy' THEN near_id WHEN 'exact' THEN book_id END"
+ACCURATE = ", ".join(f"round(avg(CAST({x} AS INTEGER)), 4) AS {c}_accuracy" for x, c in (("found AND own", "book_start"), ("found", "start_chapter"), ("found AND own", "book_end"), ("found", "end_chapter")))
 HEAD = "left(first(book_name ORDER BY row_no, seq), 3) || ' ' || first(chapter ORDER BY row_no, seq)"
 TAIL_BOOK = "left(last(book_name ORDER BY row_no, seq), 3) || ' '"
 TAIL = "last(chapter ORDER BY row_no, seq)"
@@ -148,6 +156,11 @@ HEADER = f"CASE WHEN count(DISTINCT book_name) > 1 THEN {HEAD} || ' - ' || {TAIL
 SQL = {
     "progress_per_member": f"WITH {MESSAGES}, {PROGRESS} SELECT sender, count(*) AS chapters, count(DISTINCT book_id) AS books FROM progress GROUP BY sender",
     "alias_exact_join": f"WITH {MESSAGES} SELECT seq, alias, book_id, 'exact' AS method FROM msgs",
+    "alias_fuzzy_join": f"{NEAR} SELECT seq, book, {FOUND} AS book_id, method, CASE WHEN method <> 'failed' THEN 100.0 END AS score FROM od",
+    "fuzzy_stress": f"{NEAR} SELECT DISTINCT book AS query, {FOUND} AS found, method FROM od",
+    "norm_ablation_fuzzy": f"""{NEAR},
+st AS (SELECT 'exact' AS strategy, method = 'exact' AS found, true AS own FROM od UNION ALL SELECT 'fuzzy', method <> 'failed', coalesce({FOUND} = book_id, false) FROM od)
+SELECT strategy, count(*) AS total, count(*) FILTER (found AND own) AS correct, count(*) FILTER (NOT found) AS skipped, round(avg(CAST(found AND own AS INTEGER)), 4) AS accuracy, {ACCURATE} FROM st GROUP BY strategy""",
     "resolver_stats": f"WITH {MESSAGES} SELECT CASE WHEN seq % 11 = 0 OR seq % 5 = 0 THEN 'failed' ELSE 'exact' END AS method, count(*) AS n FROM msgs GROUP BY 1",
     "normalize_refs": f"{NORMAL} SELECT seq, sender, book_start, CAST(start_chapter AS INTEGER) AS start_chapter, book_end, CAST(end_chapter AS INTEGER) AS end_chapter, is_valid FROM v",
     "validate_refs": f"{NORMAL} SELECT is_valid, count(*) AS n FROM v GROUP BY is_valid",
