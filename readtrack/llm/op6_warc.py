@@ -5,7 +5,7 @@ its header line and declared length, and `to_warc` turns an entry into a WARC/1.
 a synthesised record id, date, type and digests. `convert_arcs` does so for archives on disk, `write_arc` writes such, and
 `write_warc` goes from pages to WARC through ARC entries. Spark's own text writer lays records end to end with their
 separator as its line separator, byte for byte, so each part file is a gzip-compressed archive of about ARCHIVE_BYTES (before
-compression) and RECORDS_PER_FILE records at most. `read_warc` reads such archives by declared lengths.
+compression) and RECORDS_PER_FILE records at most. `read_warc` reads archives of any size by declared lengths.
 
 Of records with equal payloads of at least `least_bytes` bytes, the one of the largest page_id is
 the response and the others are revisits of it, written without the payload; smaller ones are all
@@ -26,16 +26,17 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, parts, slices, table
 
 LEAST_BYTES = 0
-RECORDS_PER_FILE, ARCHIVE_BYTES = 4_000, 64 << 20
+RECORDS_PER_FILE, ARCHIVE_BYTES, WHOLE_BYTES = 4_000, 64 << 20, 256 << 20
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL namespace of RFC 4122
 ARCHIVED = "20240101000000"
 #: The header lines of both ARC versions.
@@ -169,17 +170,33 @@ def parse_warc(pieces: Iterator[bytes]) -> Iterator[tuple[dict, bytes]]:
         yield heads, block
 
 
-def unzipped(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
-    """The contents of a gzip file of one or many members, a bounded piece at a time."""
-    while data:
-        z = zlib.decompressobj(31)
-        while data and not z.eof:
+def unzipped(chunks: Iterable[bytes], step: int = 1 << 20) -> Iterator[bytes]:
+    """The contents of a gzip file of one or many members, or of a plain one, a bounded piece at a time."""
+    z, plain = None, None
+    for data in chunks:
+        if plain is None and data:
+            plain = data[:1] != b"\x1f"
+        if plain:
+            yield data
+            continue
+        while data:
+            z = z or zlib.decompressobj(31)
             out = z.decompress(data, step)
-            data = z.unconsumed_tail or z.unused_data if z.eof else z.unconsumed_tail
+            data = z.unused_data if z.eof else z.unconsumed_tail
+            if z.eof:
+                z = None
             if out:
                 yield out
-        if z.eof:
-            data = z.unused_data
+    if z:
+        yield z.flush()
+
+
+def chunks_of(path: str, step: int = 1 << 20) -> Iterator[bytes]:
+    """A file as Spark names it, read in order where it lies."""
+    store, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+    with store.open_input_stream(name, compression=None) as f:
+        while data := f.read(step):
+            yield data
 
 
 # -- Spark -------------------------------------------------------------------------------------
@@ -260,7 +277,7 @@ def convert_arcs(spark: SparkSession, arcs: str, path: str) -> None:
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = data.as_py()
-                whole = b"".join(unzipped(data)) if data[:2] == b"\x1f\x8b" else data
+                whole = b"".join(unzipped([data]))
                 rows, size = [], 0
                 for n, entry in enumerate(parse_arc(whole)):
                     rows.append(to_warc(entry, None, place=f"{name}/{n}"))
@@ -275,26 +292,36 @@ def convert_arcs(spark: SparkSession, arcs: str, path: str) -> None:
     write_records(found, path, "\r\n\r\n")
 
 
+def records_back(chunks: Iterable[bytes]) -> Iterator[pa.RecordBatch]:
+    rows = []
+    for heads, block in parse_warc(unzipped(chunks)):
+        http, _, payload = block.partition(b"\r\n\r\n")
+        digest = heads["WARC-Payload-Digest"].removeprefix("sha1:")
+        length = re.search(rb"(?im)^content-length: *(\d+)", http)
+        size = int(length[1]) if length else len(payload)
+        if heads["WARC-Type"] == "resource":
+            payload, size = block, len(block)
+        if heads["WARC-Type"] != "revisit" and (base32_sha1(payload), len(payload)) != (digest, size):
+            raise ValueError(f"{heads['WARC-Record-ID']}: the payload isn't what its headers declare")
+        page, refers = heads.get("X-Page-ID"), heads.get("X-Refers-To-Page-ID")
+        rows.append((page and int(page), size, digest, heads["WARC-Type"], refers and int(refers)))
+        if len(rows) == 5000:
+            yield back(rows)
+            rows = []
+    if rows:
+        yield back(rows)
+
+
 def read_back(batches):
     for batch in batches:
         for data in batch.column(0):
-            rows = []
-            for heads, block in parse_warc(unzipped(data.as_py())):
-                http, _, payload = block.partition(b"\r\n\r\n")
-                digest = heads["WARC-Payload-Digest"].removeprefix("sha1:")
-                length = re.search(rb"(?im)^content-length: *(\d+)", http)
-                size = int(length[1]) if length else len(payload)
-                if heads["WARC-Type"] == "resource":
-                    payload, size = block, len(block)
-                if heads["WARC-Type"] != "revisit" and (base32_sha1(payload), len(payload)) != (digest, size):
-                    raise ValueError(f"{heads['WARC-Record-ID']}: the payload isn't what its headers declare")
-                page, refers = heads.get("X-Page-ID"), heads.get("X-Refers-To-Page-ID")
-                rows.append((page and int(page), size, digest, heads["WARC-Type"], refers and int(refers)))
-                if len(rows) == 5000:
-                    yield back(rows)
-                    rows = []
-            if rows:
-                yield back(rows)
+            yield from records_back([data.as_py()])
+
+
+def read_streams(batches):
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            yield from records_back(chunks_of(path))
 
 
 def back(rows: list) -> pa.RecordBatch:
@@ -302,9 +329,14 @@ def back(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], [x.split()[0] for x in BACK.split(", ")])
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record; each response's payload is checked against its digest."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content").mapInArrow(read_back, BACK)
+def read_warc(spark: SparkSession, path: str, whole: int = WHOLE_BYTES) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record; each response's payload is checked against its digest.
+
+    Archives of up to `whole` bytes come as rows; longer ones are read in order where they lie, one record in memory.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    short = files.where(F.col("length") <= whole).select("content").mapInArrow(read_back, BACK)
+    return short.unionByName(files.where(F.col("length") > whole).select("path").mapInArrow(read_streams, BACK))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

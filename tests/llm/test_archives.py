@@ -28,7 +28,10 @@ def test_arc_versions():
 
 def test_unzip_of_many_members():
     parts = [b"a" * 100_000, b"", b"b" * 3]
-    assert b"".join(op6_warc.unzipped(b"".join(map(gzip.compress, parts)), 1000)) == b"".join(parts)
+    data = b"".join(map(gzip.compress, parts))
+    for size in (1, 7, 1000, len(data)):
+        assert b"".join(op6_warc.unzipped((data[i : i + size] for i in range(0, len(data), size)), 1000)) == b"".join(parts)
+    assert b"".join(op6_warc.unzipped([b"WARC", b"/1.0"])) == b"WARC/1.0"
 
 
 def test_round_trip(spark, tmp_path):
@@ -40,7 +43,8 @@ def test_round_trip(spark, tmp_path):
         ("1", 8, "revisit", 2), ("2", 8, "response", None), ("9", 0, "response", None), ("8", 0, "revisit", 9), ("3", 15, "response", None), ("4", 300_000, "response", None), ("4", 300_000, "response", None),
         ("None", 8, "revisit", 2), ("None", 4, "response", None),
     ])
-    heads = [h for f in (tmp_path / "w").glob("part-*") for h, _ in op6_warc.parse_warc(op6_warc.unzipped(f.read_bytes()))]
+    assert sorted(map(str, op6_warc.read_warc(spark, str(tmp_path / "w"), whole=0).collect())) == sorted(map(str, op6_warc.read_warc(spark, str(tmp_path / "w")).collect()))
+    heads = [h for f in (tmp_path / "w").glob("part-*") for h, _ in op6_warc.parse_warc(op6_warc.unzipped([f.read_bytes()]))]
     ids = [h["WARC-Record-ID"] for h in heads]
     assert len(set(ids)) == len(ids) == len(rows)
     of_page = {h.get("X-Page-ID"): h["WARC-Record-ID"] for h in heads if h["WARC-Type"] == "response"}
@@ -54,7 +58,7 @@ def test_round_trip(spark, tmp_path):
 def test_repeated_rows_have_ids_of_their_own(spark, tmp_path):
     rows = [(7, "u", "x")] * 3 + [(5, "u", "x"), (None, None, None), (None, None, ""), (9, "v", ""), (9, "v", "")]
     op6_warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "w"))
-    heads = [h for f in (tmp_path / "w").glob("part-*") for h, _ in op6_warc.parse_warc(op6_warc.unzipped(f.read_bytes()))]
+    heads = [h for f in (tmp_path / "w").glob("part-*") for h, _ in op6_warc.parse_warc(op6_warc.unzipped([f.read_bytes()]))]
     assert len({h["WARC-Record-ID"] for h in heads}) == len(rows)
     assert sorted(h["WARC-Type"] for h in heads) == ["response"] * 5 + ["revisit"] * 3
     assert not [h for h in heads if "WARC-Refers-To" in h]  # three and two responses: none is the one
@@ -71,7 +75,7 @@ def test_archives_of_any_bytes(spark, tmp_path):
         data += f"{' '.join([*tail, str(len(raw))])}\n".encode() + raw + b"\n"
         (tmp_path / "arc" / f"{version}.arc").write_bytes(data if version == 1 else gzip.compress(data))
     op6_warc.convert_arcs(spark, str(tmp_path / "arc"), str(tmp_path / "w"))
-    records = [x for f in (tmp_path / "w").glob("part-*") for x in op6_warc.parse_warc(op6_warc.unzipped(f.read_bytes()))]
+    records = [x for f in (tmp_path / "w").glob("part-*") for x in op6_warc.parse_warc(op6_warc.unzipped([f.read_bytes()]))]
     assert len(records) == 8 and len({h["WARC-Record-ID"] for h, _ in records}) == 8
     payloads = sorted(b.partition(b"\r\n\r\n")[2] if h["WARC-Type"] == "response" else b for h, b in records)
     assert payloads == sorted([*bodies, raw] * 2)
