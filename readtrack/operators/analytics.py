@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
@@ -101,7 +103,7 @@ def between(messages: DataFrame, first, last) -> DataFrame:
     """The window's messages with row_id, from 0 in time order."""
     start, end = F.lit(first).cast("date").cast("timestamp_ntz"), F.date_add(F.lit(last).cast("date"), 1).cast("timestamp_ntz")
     kept = messages.where((F.col("timestamp") >= start) & (F.col("timestamp") < end))
-    return kept.withColumn("row_id", F.row_number().over(Window.orderBy("timestamp", "seq")) - 1)
+    return numbered(kept, "row_id", F.to_date("timestamp"), "timestamp", "seq").withColumn("row_id", F.col("row_id") - 1)
 
 
 def union_sources(frames: dict[str, DataFrame]) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.reading_plan import EMOJI, NO_READING, headers
+from .numbering import numbered
 from .progress import last_read
 
 CHAPTER = "array<struct<book_name:string,chapter:int>>"
@@ -53,7 +54,6 @@ def summarize(members: DataFrame, chapters: DataFrame, emoji: DataFrame, progres
     marks = spark.range(1).select(day.alias("date")).join(emoji, "date", "left").join(headers(chapters), "date", "left")
     marks = marks.select(F.coalesce("emoji", F.lit(EMOJI)).alias("mark"), F.coalesce("header", F.lit(NO_READING)).alias("header"))
     rows = who.join(state, "sender").join(last, "sender", "left").join(F.broadcast(marks.select("mark")).withColumn("one", F.lit(1)), F.lit(1) == F.col("one"))
-    line_no = F.row_number().over(Window.orderBy("sender"))
     told = F.when(F.col("done"), F.col("mark")).otherwise(F.coalesce("at", F.lit("")))
-    body = rows.withColumn("line_no", line_no).select("line_no", F.concat(F.col("line_no").cast("string"), F.lit(". "), F.col("sender"), F.lit(" "), told).alias("line"))
+    body = numbered(rows, "line_no", F.left("sender", F.lit(6)), "sender").select("line_no", F.concat(F.col("line_no").cast("string"), F.lit(". "), F.col("sender"), F.lit(" "), told).alias("line"))
     return marks.select(F.lit(0).alias("line_no"), F.col("header").alias("line")).unionByName(body)
