@@ -30,7 +30,7 @@ from .common import Scratch, parts, table, union_all
 
 CAPACITY, END_ID, TOKENIZER = 2048, 1, "word_bpe_49k.json"
 FINE, SLACK, FAN_IN = 32, 16, 16
-RUNS_KEPT, WORDS_KEPT = 400_000, 300_000
+RUNS_KEPT, WORDS_KEPT = 150_000, 250_000
 #: Marks that the tokenizer never joins to letters (the apostrophe is not one), and plain words, lower-cased as it does.
 MARKS, PLAIN = ".,;:!?()\"-", re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k int, sequence_id long, offset long"
