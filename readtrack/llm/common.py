@@ -35,6 +35,24 @@ def own_dir() -> str:
     return tempfile.mkdtemp(prefix="readtrack-")
 
 
+def file_system(spark: SparkSession, uri: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def qualified(spark: SparkSession, uri: str) -> str:
+    """A path with its scheme, as tasks that write files themselves need it; the folder is made."""
+    store, path = file_system(spark, uri)
+    store.mkdirs(path)
+    return store.makeQualified(path).toString()
+
+
+def remove(spark: SparkSession, *uris: str) -> None:
+    for uri in uris:
+        store, path = file_system(spark, uri)
+        store.delete(path, True)
+
+
 class Scratch:
     """Tables written to the shared folder to cut lineage; a lost executor costs no recomputation beyond them."""
 
@@ -66,6 +84,11 @@ class Scratch:
         if release:
             self.release()
 
+    def end(self) -> None:
+        """Deletes everything kept here; no later plan may read it."""
+        self._fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self.root), True)
+        self.release()
+
     def release(self) -> None:
         gc.collect()
         self.spark._jvm.System.gc()

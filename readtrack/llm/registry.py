@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_mix, op2_license, op3_forest, op4_simhash, op5_toxic, op6_warc, op7_chat, op8_pack, op9_suffix, op10_topk
+from . import op1_mix, op2_license, op3_forest, op4_simhash, op5_toxic, op6_warc, op7_chat, op8_pack, op9_suffix, op10_topk, op12_cobucket
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_harmonic_packing": op8_pack.query,
         "op9_column_suffixes": op9_suffix.query,
         "op10_exact_topk": op10_topk.query,
+        "op12_cobucket_pair": op12_cobucket.query,
     }
 
 
