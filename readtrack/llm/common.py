@@ -6,6 +6,8 @@ import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache, reduce
 
 import numpy as np
@@ -53,6 +55,19 @@ def remove(spark: SparkSession, *uris: str) -> None:
         store.delete(path, True)
 
 
+OPENED: list[Scratch] = []
+
+
+@contextmanager
+def ended_after() -> Iterator[None]:
+    """What is kept meanwhile is deleted at the end: for a step whose result is written elsewhere by then."""
+    before = len(OPENED)
+    yield
+    for one in OPENED[before:]:
+        one.end()
+    del OPENED[before:]
+
+
 class Scratch:
     """Tables written to the shared folder to cut lineage; a lost executor costs no recomputation beyond them."""
 
@@ -63,6 +78,7 @@ class Scratch:
         self._fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
         self._fs.mkdirs(fs_path)
         self._fs.deleteOnExit(fs_path)
+        OPENED.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -77,4 +77,4 @@ def test_empty_tables(spark, tmp_path):
 
 def test_names():
     assert sorted(registry.oracle_sql()) and set(registry.oracle_sql()) <= set(registry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.queries()) == list(range(1, 14))
