@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from readtrack.llm import op1_mix, op4_simhash, op5_toxic, op8_pack, op9_suffix
-from readtrack.llm.common import Scratch, table
+from readtrack.llm.common import Scratch, ended_after, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,9 +71,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage's output is written; then what the stage kept for itself and its predecessor's output go."""
     scratch = Scratch(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = scratch.keep(stage(spark, docs, sf_dir), name)
-        scratch.release()
+        with ended_after():
+            docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        scratch.drop(*before)
+        before = [name]
     return STAGES[-1][1](spark, docs, sf_dir)
