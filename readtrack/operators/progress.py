@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..catalog import books, chapters_of, name_of
+from .asof import asof_join
 
 PERSISTED = "sender string, seq long, ord int, timestamp timestamp_ntz, start_id int, start_chapter int, end_id int, end_chapter int, is_valid boolean, filled boolean"
 
@@ -83,6 +84,11 @@ def last_read(progress: DataFrame, until: Column | None = None) -> DataFrame:
     return p.groupBy("sender").agg(best).select("sender", "b.*")
 
 
+def last_read_at(progress: DataFrame, probes: DataFrame, date: str = "date") -> DataFrame:
+    """`probes` (sender, a date, further columns) with each sender's last chapter on or before that date: for many dates at once."""
+    return asof_join(probes, progress, ["sender"], date, "date_read", ["date_read", "book_id", "chapter"], ["book_id", "chapter"])
+
+
 class Reader:
     """One member's state: at most a row a chapter of the canon."""
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .queries import activity, reading, texts, whole
+from .queries import activity, history, reading, texts, whole
 
-AREAS = (texts, reading, activity, whole)
+AREAS = (texts, reading, activity, whole, history)
 
 
 def queries() -> dict:

@@ -1,7 +1,8 @@
 """Chat exports: whole files to message rows.
 
-A header line starts a message, and lines without a header continue it. Everything is native: lines are
-numbered within their file, a running count of headers numbers the messages, and lines are joined again.
+A header line starts a message, and lines without a header continue it. Everything is native: a running count of headers
+numbers the messages, and lines are joined again. Contents that are in a table are rows (`parse_chats`); files of any size are
+read in byte ranges (`parse_files`).
 """
 
 from __future__ import annotations
@@ -46,25 +47,58 @@ def _lines(chats: DataFrame) -> DataFrame:
     return c.select("file", platform(F.col("content")).alias("platform"), F.posexplode(F.split("content", "\n")).alias("pos", "line"))
 
 
-def parse_fields(chats: DataFrame) -> DataFrame:
-    """(file, msg_seq, platform, date, time, sender, message), all strings but the number."""
+def _strip(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+
+
+def _messages(lines: DataFrame, *keys: str) -> DataFrame:
+    """Numbered lines (keys, platform, msg_seq, pos: their order, head, line) -> a row for each message."""
     ios, line = F.col("platform") == "iOS", F.col("line")
-    lines = _lines(chats).withColumn("head", F.when(ios, line.rlike(IOS)).otherwise(line.rlike(ANDROID)))
     part = lambda i, a: F.when(ios, F.regexp_extract(line, IOS, i)).otherwise(F.regexp_extract(line, ANDROID, a))
     rest = F.regexp_extract(line, ANDROID, 3)
     cut = F.instr(rest, ":")
     sender = F.when(ios, F.regexp_extract(line, IOS, 3)).when(cut > 0, F.left(rest, cut - 1))
     said = F.when(ios, F.regexp_extract(line, IOS, 4)).when(cut > 0, F.substr(rest, cut + 1)).otherwise(rest)
-    strip = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
-    order = Window.partitionBy("file").orderBy("pos")
-    grouped = lines.withColumn("msg_seq", F.sum(F.col("head").cast("long")).over(order)).where("msg_seq > 0")
     first = lambda c: F.max(F.when(F.col("head"), c))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("head"), strip(said)).otherwise(line).alias("x")))), lambda s: s["x"]), "\n")
-    return grouped.groupBy("file", "platform", "msg_seq").agg(
-        first(part(1, 1)).alias("date"), first(part(2, 2)).alias("time"), first(strip(sender)).alias("sender"), joined.alias("message")
+    told = F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("head"), _strip(said)).otherwise(line).alias("x"))))
+    return lines.where("msg_seq > 0").groupBy(*keys, "platform", "msg_seq").agg(
+        first(part(1, 1)).alias("date"), first(part(2, 2)).alias("time"), first(_strip(sender)).alias("sender"), F.array_join(F.transform(told, lambda s: s["x"]), "\n").alias("message")
     )
 
 
+def parse_fields(chats: DataFrame) -> DataFrame:
+    """(file, msg_seq, platform, date, time, sender, message), all strings but the number."""
+    lines = _lines(chats).withColumn("head", F.when(F.col("platform") == "iOS", F.col("line").rlike(IOS)).otherwise(F.col("line").rlike(ANDROID)))
+    order = Window.partitionBy("file").orderBy("pos")
+    return _messages(lines.withColumn("msg_seq", F.sum(F.col("head").cast("long")).over(order)), "file")
+
+
+def file_fields(spark: SparkSession, path: str) -> DataFrame:
+    """What `parse_fields` gives, from files of any size: each byte range of a file is a task of its own.
+
+    Ranges are cut at line ends. A range counts its headers; the headers of the ranges before it number its messages, and lines ahead of
+    its first header continue the last message before, in whichever range that began. What is known of a range is one row.
+    """
+    raw = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"),
+        clean_text(decoded(F.col("value").cast("binary"))).alias("line"),
+    )
+    lines = raw.withColumns({"ios": F.col("line").rlike(IOS), "android": F.col("line").rlike(ANDROID)})
+    ranges = lines.groupBy("file", "block").agg(
+        F.count_if("ios").alias("n_ios"), F.count_if("android").alias("n_android"), F.min_by(F.when(F.col("line") != "", F.left("line", F.lit(1))), F.when(F.col("line") != "", F.col("row"))).alias("begin")
+    )
+    whole = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("platform", F.when(F.first("begin", ignorenulls=True).over(whole) == "[", "iOS").otherwise("Android"))
+    heads = F.when(F.col("platform") == "iOS", F.col("n_ios")).otherwise(F.col("n_android"))
+    ranges = ranges.select("file", "block", "platform", F.coalesce(F.sum(heads).over(before), F.lit(0)).alias("before"), F.sum(heads).over(whole).alias("all"))
+    met = lines.join(ranges, ["file", "block"]).withColumn("head", F.when(F.col("platform") == "iOS", F.col("ios")).otherwise(F.col("android")))
+    seen = F.sum(F.col("head").cast("long")).over(Window.partitionBy("file", "block").orderBy("row"))
+    out = _messages(met.select("file", "platform", (F.col("before") + seen).alias("msg_seq"), F.struct("block", "row").alias("pos"), "head", "line", "all"), "file", "all")
+    ended = F.when(F.col("msg_seq") == F.col("all"), F.regexp_replace("message", r"\n+\z", "")).otherwise(F.col("message"))  # a file's last lines, if empty, are none
+    return out.withColumn("message", ended).drop("all")
+
+
 def parse_timestamps(platform_: Column, date: Column, time: Column) -> Column:
     """Null where date and time don't fit the platform's format (four-digit years among them)."""
     at = F.concat_ws(" ", date, time)
@@ -72,7 +106,15 @@ def parse_timestamps(platform_: Column, date: Column, time: Column) -> Column:
     return F.when(platform_ == "iOS", ntz(IOS_TIME)).otherwise(ntz(ANDROID_TIME))
 
 
+def _rows(f: DataFrame) -> DataFrame:
+    return f.select("file", "msg_seq", parse_timestamps(F.col("platform"), F.col("date"), F.col("time")).alias("timestamp"), "sender", "message")
+
+
 def parse_chats(chats: DataFrame) -> DataFrame:
     """(file, content) -> file, msg_seq, timestamp, sender (null for system messages), message."""
-    f = parse_fields(chats)
-    return f.select("file", "msg_seq", parse_timestamps(F.col("platform"), F.col("date"), F.col("time")).alias("timestamp"), "sender", "message")
+    return _rows(parse_fields(chats))
+
+
+def parse_files(spark: SparkSession, path: str) -> DataFrame:
+    """What `parse_chats` gives of the files at a path, each read by as many tasks as its size needs. An empty file has no message."""
+    return _rows(file_fields(spark, path))
