@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,3 +126,58 @@ def table_checks(members: DataFrame, messages: DataFrame, refs: DataFrame, progr
     rows = [(f"{name} are there", n[name] > 0) for name in ("members", "messages", "refs", "progress")] + [("progress covers refs", n["progress"] >= n["refs"])]
     one = members.sparkSession.range(1)
     return one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("check"), b.alias("ok")) for a, b in rows])).alias("r")).select("r.*")
+
+
+def density(df: DataFrame, group: str, value: str, bins: int = 128, points: int = 32) -> DataFrame:
+    """Gaussian kernel density of each group: `points` places from its least to its largest value, the bandwidth by Scott's rule (deviation * n ** -0.2).
+
+    Values are counted in `bins` of equal width first, and the counts are convolved with the kernel: the work after counting doesn't grow with the rows.
+    Groups of one value only have no density. Null values don't count.
+    """
+    v = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where("v is not null")
+    of = v.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n"), F.stddev_samp("v").alias("sd")).where("hi > lo")
+    bin_ = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
+    met = v.join(of, v["g"].eqNullSafe(of["g"])).drop(of["g"])
+    counts = met.groupBy("g", "lo", "hi", "n", "sd", bin_.alias("bin")).agg(F.count("*").alias("c"))
+    held = counts.groupBy("g", "lo", "hi", "n", "sd").agg(F.array_sort(F.collect_list(F.struct("bin", "c"))).alias("counts"))
+    width, h = (F.col("hi") - F.col("lo")) / bins, F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
+    at = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / (points - 1)
+    near = lambda c: c["c"] * F.exp(-0.5 * F.pow((at - (F.col("lo") + (c["bin"] + 0.5) * width)) / h, F.lit(2.0)))
+    sum_ = F.aggregate("counts", F.lit(0.0), lambda a, c: a + near(c))
+    out = held.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    return out.select(F.col("g").alias(group), "point", at.alias("place"), (sum_ / (F.col("n") * h * math.sqrt(2 * math.pi))).alias("density"))
+
+
+def box(df: DataFrame, group: str, value: str, reach: float = 1.5) -> DataFrame:
+    """Quartiles of each group, the last values within `reach` interquartile ranges of them, and how many lie beyond. Null values don't count."""
+    v = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where("v is not null")
+    q = v.groupBy("g").agg(F.percentile("v", [0.25, 0.5, 0.75]).alias("q")).select(F.col("g").alias("h"), *[F.col("q")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))])
+    met = v.join(q, v["g"].eqNullSafe(q["h"]))
+    far = (F.col("q3") - F.col("q1")) * reach
+    inside = (F.col("v") >= F.col("q1") - far) & (F.col("v") <= F.col("q3") + far)
+    whiskers = [F.min(F.when(inside, F.col("v"))).alias("low"), F.max(F.when(inside, F.col("v"))).alias("high"), F.count_if(~inside).alias("outliers")]
+    return met.groupBy(F.col("g").alias(group), "q1", "median", "q3").agg(F.count("*").alias("n"), *whiskers)
+
+
+def activity_cube(messages: DataFrame) -> DataFrame:
+    """Messages and members by month and weekday (1: Monday), by each of them, and in all; `level` tells which are summed up (1 weekday, 2 month, 3 both)."""
+    m = messages.select(F.trunc("timestamp", "month").alias("month"), (F.weekday("timestamp") + 1).alias("weekday"), "sender")
+    return m.cube("month", "weekday").agg(F.grouping_id().cast("int").alias("level"), F.count("*").alias("n"), F.count_distinct("sender").alias("members"))
+
+
+def activity_rollup(messages: DataFrame) -> DataFrame:
+    """Messages by month, by day within it, and in all."""
+    m = messages.select(F.trunc("timestamp", "month").alias("month"), F.to_date("timestamp").alias("day"))
+    return m.rollup("month", "day").agg(F.grouping_id().cast("int").alias("level"), F.count("*").alias("n"))
+
+
+def daily_sketches(messages: DataFrame, value: str = "chars") -> DataFrame:
+    """day, who (a sketch of the day's distinct members), size (a sketch of a whole number's quantiles): small, and to be merged over any days."""
+    return messages.groupBy(F.to_date("timestamp").alias("day")).agg(F.hll_sketch_agg("sender", F.lit(14)).alias("who"), F.kll_sketch_agg_bigint(F.col(value).cast("long"), F.lit(400)).alias("size"))
+
+
+def monthly_estimates(sketches: DataFrame) -> DataFrame:
+    """month, days, members (about 1 % off), median: from the days' sketches alone."""
+    return sketches.groupBy(F.trunc("day", "month").alias("month")).agg(
+        F.count("*").alias("days"), F.hll_sketch_estimate(F.hll_union_agg("who")).alias("members"), F.kll_sketch_get_quantile_bigint(F.kll_merge_agg_bigint("size"), F.lit(0.5)).alias("median")
+    )

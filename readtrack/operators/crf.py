@@ -1,8 +1,9 @@
-"""A linear-chain conditional random field over token features: trained in numpy on a bounded sample, applied to all sentences in Arrow batches.
+"""A linear-chain conditional random field over token features, trained on all sentences and applied to all in Arrow batches.
 
 Features are a token's shape, its neighbours' words and kinds, whether it begins or ends its sentence, and, where given, its mean
-similarity to seed words. The likelihood's gradient comes from a forward and a backward pass over all sentences side by side;
-steps are Adam's, with an L1 and an L2 penalty. Sentences without a token have no tags; unknown features weigh nothing.
+similarity to seed words. Equal sentences are counted together. The likelihood and its gradient come from a forward and a backward pass over
+blocks of sentences side by side, summed over all tasks; quasi-Newton steps with an L1 and an L2 penalty follow on the driver, which
+holds the weights alone. Sentences without a token have no tags and teach nothing, nor do sentences with another number of tags; unknown features weigh nothing.
 """
 
 from __future__ import annotations
@@ -16,7 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-MOST, L1, L2, STEPS, RATE = 3000, 0.1, 0.1, 100, 0.2
+from ..sources.shared import new_folder
+from .optimize import minimise, summed
+
+L1, L2, STEPS, TOLERANCE, BLOCK = 0.1, 0.1, 100, 1e-5, 16384
+BLOCKS = "lengths binary, times binary, gold binary, rows binary, cols binary"
 
 
 def kind(token: str | None) -> list[str]:
@@ -76,63 +81,138 @@ class Crf:
         return Crf(x["labels"], {f: i for i, f in enumerate(x["known"])}, np.array(x["weights"]).reshape(len(x["known"]), -1), np.array(x["steps"]), x["similar"])
 
 
-def learn(sentences: Iterable[tuple[list[str], list[str]]], similar: dict[str, list[float]] | None = None, l1: float = L1, l2: float = L2, steps: int = STEPS, rate: float = RATE) -> Crf:
-    """From (tokens, tags) pairs."""
-    data = [(t, g) for t, g in sentences if t]
-    labels = sorted({y for _, g in data for y in g}) or ["O"]
-    known: dict[str, int] = {}
-    rows, cols = [], []
-    n, width, k = len(data), max((len(t) for t, _ in data), default=1), len(labels)
-    gold, there = np.zeros((n, width), np.int64), np.zeros((n, width), bool)
-    for s, (tokens, tags) in enumerate(data):
-        for i, y in enumerate(tags):
-            gold[s, i], there[s, i] = labels.index(y), True
-            at = [known.setdefault(f, len(known)) for f in features(tokens, i, similar)]
-            rows += [s * width + i] * len(at)
-            cols += at
-    rows, cols = np.array(rows, np.int64), np.array(cols, np.int64)
-    theta = [np.zeros((len(known), k)), np.zeros((k, k))]
-    moments = [(np.zeros_like(x), np.zeros_like(x)) for x in theta]
-    one, last = np.eye(k), there.sum(1) - 1
-
-    def gathered(per_token: np.ndarray) -> np.ndarray:
-        flat = per_token.reshape(n * width, k)
-        return np.stack([np.bincount(cols, flat[rows, y], len(known)) for y in range(k)], 1)
-
-    want = gathered(one[gold] * there[:, :, None])
-    pairs = there[:, 1:]
-    want_steps = np.zeros((k, k))
-    np.add.at(want_steps, (gold[:, :-1][pairs], gold[:, 1:][pairs]), 1)
-    for step in range(1, steps + 1):
-        w, t = theta
+class Block:
+    """Sentences side by side: each token's place is its sentence's number times the width, plus its own."""
+
+    def __init__(self, lengths: np.ndarray, times: np.ndarray, gold: np.ndarray, rows: np.ndarray, cols: np.ndarray):
+        self.lengths, self.times, self.rows, self.cols = lengths, times, rows, cols
+        self.there = np.arange(lengths.max(initial=1))[None, :] < lengths[:, None]
+        self.gold = np.zeros(self.there.shape, np.int64)
+        self.gold[self.there] = gold
+
+    @staticmethod
+    def of(data: list[tuple[list[str], list[str], int]], labels: dict[str, int], known: dict[str, int], similar: dict[str, list[float]] | None) -> list[np.ndarray]:
+        """The arrays of a block, from (tokens, tags, times)."""
+        width = max(len(t) for t, _, _ in data)
+        rows, cols = [], []
+        for s, (tokens, _, _) in enumerate(data):
+            for i in range(len(tokens)):
+                at = [known[f] for f in features(tokens, i, similar) if f in known]
+                rows += [s * width + i] * len(at)
+                cols += at
+        return [np.array(x, np.int32) for x in ([len(t) for t, _, _ in data], [n for _, _, n in data], [labels[y] for _, g, _ in data for y in g], rows, cols)]
+
+    def sums(self, w: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """The negative log-likelihood, then its gradient by w and t."""
+        (n, width), k = self.there.shape, w.shape[1]
+        rows, cols, there, one = self.rows, self.cols, self.there, np.eye(k)
+        often = self.times[:, None, None] * there[:, :, None]
+
+        def gathered(per_token: np.ndarray) -> np.ndarray:
+            flat = per_token.reshape(n * width, k)
+            return np.stack([np.bincount(cols, flat[rows, y], len(w)) for y in range(k)], 1)
+
         score = np.stack([np.bincount(rows, w[cols, y], n * width) for y in range(k)], 1).reshape(n, width, k)
         ahead, back = score.copy(), np.zeros((n, width, k))
         for i in range(1, width):
             ahead[:, i] += log_sum(ahead[:, i - 1, :, None] + t, 1)
         for i in range(width - 2, -1, -1):
             back[:, i] = np.where(there[:, i + 1, None], log_sum(t + (score[:, i + 1] + back[:, i + 1])[:, None, :], 2), 0)
-        whole = log_sum(ahead[np.arange(n), last], 1)
-        share = np.exp(ahead + back - whole[:, None, None]) * there[:, :, None]
-        grad = [gathered(share) - want + l2 * w, -want_steps + l2 * t]
+        whole = log_sum(ahead[np.arange(n), self.lengths - 1], 1)
+        share = np.exp(np.where(there[:, :, None], ahead + back - whole[:, None, None], -np.inf))
+        own = np.take_along_axis(score, self.gold[:, :, None], 2)[:, :, 0] * there
+        own[:, 1:] += t[self.gold[:, :-1], self.gold[:, 1:]] * there[:, 1:]
+        steps = np.zeros((k, k))
         for i in range(1, width):
-            both = ahead[:, i - 1, :, None] + t + (score[:, i] + back[:, i])[:, None, :] - whole[:, None, None]
-            grad[1] += np.exp(both[there[:, i]]).sum(0)
-        for x, g, (m, v) in zip(theta, grad, moments, strict=True):
-            m += 0.1 * (g - m)
-            v += 0.001 * (g**2 - v)
-            x -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    w = np.sign(theta[0]) * np.maximum(0, np.abs(theta[0]) - rate * l1)
+            on = there[:, i]
+            both = ahead[on, i - 1, :, None] + t + (score[on, i] + back[on, i])[:, None, :] - whole[on, None, None]
+            steps += (np.exp(both) * self.times[on, None, None]).sum(0)
+            np.add.at(steps, (self.gold[on, i - 1], self.gold[on, i]), -self.times[on])
+        return np.concatenate([[self.times @ (whole - own.sum(1))], gathered((share - one[self.gold]) * often).ravel(), steps.ravel()])
+
+
+def trained(total, labels: list[str], names: list[str], similar, l1: float, l2: float, steps: int, tolerance: float) -> Crf:
+    """The weights that make likelihood and penalties least; `total(w, t)` gives `Block.sums` over all sentences."""
+    k, size = len(labels), len(names) * len(labels)
+
+    def value(theta: np.ndarray) -> tuple[float, np.ndarray]:
+        found = total(theta[:size].reshape(-1, k), theta[size:].reshape(k, k))
+        return found[0] + l2 * (theta**2).sum(), found[1:] + 2 * l2 * theta
+
+    theta, _ = minimise(value, np.zeros(size + k * k), np.append(np.full(size, l1), np.zeros(k * k)), steps, tolerance=tolerance)
+    w = theta[:size].reshape(-1, k)
     used = np.flatnonzero(np.abs(w).sum(1) > 0)
-    names = list(known)
-    return Crf(labels, {names[j]: i for i, j in enumerate(used.tolist())}, w[used], theta[1], similar)
+    return Crf(labels, {names[j]: i for i, j in enumerate(used.tolist())}, w[used], theta[size:].reshape(k, k), similar)
+
+
+def learn(sentences: Iterable[tuple[list[str], list[str]]], similar: dict[str, list[float]] | None = None, l1: float = L1, l2: float = L2, steps: int = STEPS, tolerance: float = TOLERANCE) -> Crf:
+    """From (tokens, tags) pairs in memory."""
+    data = [(t, g, 1) for t, g in sentences if t and len(t) == len(g)]
+    labels = sorted({y for _, g, _ in data for y in g}) or ["O"]
+    names = sorted({f for t, _, _ in data for i in range(len(t)) for f in features(t, i, similar)})
+    if not data:
+        return Crf(labels, {}, np.zeros((0, len(labels))), np.zeros((len(labels),) * 2), similar)
+    block = Block(*Block.of(data, {y: i for i, y in enumerate(labels)}, {f: i for i, f in enumerate(names)}, similar))
+    return trained(block.sums, labels, names, similar, l1, l2, steps, tolerance)
+
+
+def fit(
+    sentences: DataFrame, tokens: str = "tokens", tags: str = "gold", similar: dict[str, list[float]] | None = None, least: int = 1, l1: float = L1, l2: float = L2, steps: int = STEPS, tolerance: float = TOLERANCE
+) -> Crf:
+    """Learnt from all sentences. Features of fewer than `least` distinct sentences are left out; the driver holds the others' names and weights, as the model does."""
+    spark = sentences.sparkSession
+    each = sentences.select(F.col(tokens).alias("t"), F.col(tags).alias("g")).where("size(t) > 0 and size(t) = size(g) and not exists(t, x -> x is null) and not exists(g, x -> x is null)")
+    folder = new_folder(spark, "crf")
+    each.groupBy("t", "g").agg(F.count("*").alias("n")).write.parquet(f"{folder}/sentences")
+    counted = spark.read.parquet(f"{folder}/sentences")
+
+    def met(frames):
+        for frame in frames:
+            found = pd.Series([f for t in frame["t"] for f in {f for i in range(len(t)) for f in features(list(t), i, similar)}], dtype=object)
+            yield found.value_counts().rename_axis("feature").reset_index(name="n")
+
+    found = counted.select("t").mapInPandas(met, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    names = sorted(r["feature"] for r in found.select("feature").collect())
+    labels = sorted(r["y"] for r in counted.select(F.explode("g").alias("y")).distinct().collect()) or ["O"]
+    if not names:
+        return learn([], similar)
+    known = spark.sparkContext.broadcast({f: i for i, f in enumerate(names)})
+    number = {y: i for i, y in enumerate(labels)}
 
+    def packed(data):
+        return pd.DataFrame([[x.tobytes() for x in Block.of(data, number, known.value, similar)]], columns=[c.split()[0] for c in BLOCKS.split(", ")])
+
+    def blocks(frames):
+        for frame in frames:
+            data = []
+            for t, g, n in zip(frame["t"], frame["g"], frame["n"], strict=True):
+                if data and (len(data) + 1) * len(t) > BLOCK:  # they come from the shortest to the longest
+                    yield packed(data)
+                    data = []
+                data.append((list(t), list(g), n))
+            if data:
+                yield packed(data)
+
+    counted.sortWithinPartitions(F.size("t")).mapInPandas(blocks, BLOCKS).write.parquet(f"{folder}/blocks")
+    stored = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
+    tasks = stored.rdd.getNumPartitions()
+    size = 1 + len(names) * len(labels) + len(labels) ** 2
+
+    def total(w: np.ndarray, t: np.ndarray) -> np.ndarray:
+        shared = spark.sparkContext.broadcast((w, t))
+
+        def part(batches):
+            out = np.zeros(size)
+            for batch in batches:
+                for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    out += Block(*(np.frombuffer(x, np.int32) for x in row)).sums(*shared.value)
+            return out
+
+        out = summed(stored, part, tasks)
+        shared.unpersist()
+        return out
 
-def fit(sentences: DataFrame, tokens: str = "tokens", tags: str = "gold", most: int = MOST, seed: int = 42, similar: dict[str, list[float]] | None = None, **how) -> Crf:
-    """Learnt from the `most` sentences that a seeded hash puts first (a documented bound on labelled rows)."""
-    kept = sentences.select(F.col(tokens).alias("t"), F.col(tags).alias("g")).where(F.size("t") > 0)
-    order = F.md5(F.concat_ws("\x1f", F.lit(str(seed)), F.array_join("t", "\x1e")).cast("binary"))
-    rows = kept.withColumn("o", order).orderBy("o", F.array_join("g", " ")).limit(most).collect()
-    return learn([(r["t"], r["g"]) for r in rows], similar, **how)
+    return trained(total, labels, names, similar, l1, l2, steps, tolerance)
 
 
 def tag(sentences: DataFrame, model: Crf, tokens: str = "tokens", out: str = "pred") -> DataFrame:

@@ -75,7 +75,7 @@ def tiers(s, d):
 
 
 def crf_tags(s, d):
-    """Tags of every sentence by a model learnt from a sample of their gold tags."""
+    """Tags of every sentence by a model learnt from their gold tags."""
     sentences = tagged(s, d).select("sent", "tokens", "gold")
     return crf.tag(sentences, crf.fit(sentences, steps=60)).select("sent", F.array_join("pred", " ").alias("tags"))
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .queries import activity, history, reading, texts, whole
+from .queries import activity, history, learning, reading, texts, whole
 
-AREAS = (texts, reading, activity, whole, history)
+AREAS = (texts, reading, activity, whole, history, learning)
 
 
 def queries() -> dict:

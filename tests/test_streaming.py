@@ -120,7 +120,7 @@ def test_crf(spark, tmp_path):
         tokens, tags = sentence()
         data.append((tokens, tags + (["B-BIBLE_REF", "I-BIBLE_REF"] if "Kej" in tokens else []) + ["O"]))
     df = spark.createDataFrame([*data, ([], []), (None, None)], "tokens array<string>, gold array<string>")
-    model = crf.fit(df, most=200)
+    model = crf.fit(df)
     crf.save(spark, model, str(tmp_path / "m"))
     got = crf.tag(df, crf.load(spark, str(tmp_path / "m"))).collect()
     assert np.mean([r["pred"] == r["gold"] for r in got]) > 0.99
