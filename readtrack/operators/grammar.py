@@ -122,7 +122,7 @@ def parse_refs(spans: Column) -> Column:
     def run(col: pd.Series) -> pd.Series:
         out = []
         for message in col:
-            spelt = [[t.split(" ", 1) for t in s.split("\n") if t] for s in (message if message is not None else [])]
+            spelt = [[t.split(" ", 1) for t in s.split("\n") if t] for s in (message if message is not None else []) if s is not None]
             found = parse([([k for k, _ in s], [v for _, v in s]) for s in spelt])
             fit = [(a, b if b is None or b < 2**31 else None, c, d if d is None or d < 2**31 else None) for a, b, c, d in found]
             out.append([dict(zip(("book_start", "start_chapter", "book_end", "end_chapter"), r, strict=True)) for r in fit])

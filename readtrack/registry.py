@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .queries import activity, history, learning, reading, texts, whole
+from .queries import activity, history, learning, named, reading, texts, whole
 
-AREAS = (texts, reading, activity, whole, history, learning)
+AREAS = (texts, reading, activity, whole, history, learning, named)
 
 
 def queries() -> dict:
