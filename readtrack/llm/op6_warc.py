@@ -68,27 +68,65 @@ def arc_record(url: str | None, body: bytes, version: int, ip: str = "0.0.0.0",
     return f"{' '.join([*head, str(len(doc))])}\n".encode() + doc + b"\n"
 
 
-def parse_arc(data: bytes, version: int | None = None) -> Iterator[dict]:
-    """Entries of an ARC file or of bare records. The version block, where there is one, names the fields of all that follow."""
-    at, fields = 0, ARC_FIELDS[version].split() if version else None
-    while at < len(data):
-        if data[at : at + 1] == b"\n":
-            at += 1
+MOST_HEAD = 1 << 16
+
+
+def arc_fields(line: str, version: int | None) -> dict | None:
+    """A header line's fields, counted from the right, since addresses of pages may hold spaces; None where it is no header."""
+    width = {1: 5, 2: 10}
+    for v in (version,) if version else (2, 1):
+        parts_ = line.rsplit(" ", width[v] - 1)
+        if len(parts_) == width[v] and parts_[-1].isdecimal() and parts_[2].isdecimal() and 4 <= len(parts_[2]) <= 14:
+            return dict(zip(ARC_FIELDS[v].split(), parts_, strict=True))
+    return None
+
+
+def parse_arc(pieces: bytes | Iterator[bytes], version: int | None = None) -> Iterator[dict]:
+    """Entries of an ARC file or of bare records, a piece of bytes at a time: one entry is in memory.
+
+    The version block, where there is one, names the version of all that follow. What can't be read is an entry with `error` (why), `at` (its place) and
+    `line` alone: a line where a header should be, an entry that is cut off by the file's end. Reading goes on at the next line that is a header.
+    """
+    pieces = iter([pieces]) if isinstance(pieces, bytes) else pieces
+    held, at, lost = bytearray(), 0, False
+
+    def more() -> bool:
+        piece = next(pieces, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    def drop(n: int) -> None:
+        nonlocal at
+        del held[:n]
+        at += n
+
+    while True:
+        while (end := held.find(b"\n")) < 0 and len(held) <= MOST_HEAD and more():
+            pass
+        if not held:
+            return
+        if end < 0:
+            end = len(held)
+        line = held[:end].decode("utf-8", "replace").removesuffix("\r")
+        fields = arc_fields(line, version) if end <= MOST_HEAD else None
+        if fields is None:
+            if line.strip() and not lost:
+                yield {"error": "no header", "at": at, "line": line[:200]}
+            lost = lost or bool(line.strip())
+            drop(end + 1)
             continue
-        end = data.index(b"\n", at)
-        line = data[at:end].decode("utf-8", "replace").split(" ")
-        length = int(line[-1])
-        block = data[end + 1 : end + 1 + length]
+        lost, length = False, int(fields["Archive-length"])
+        while len(held) < end + 1 + length and more():
+            pass
+        block = bytes(held[end + 1 : end + 1 + length])
         if len(block) < length:
-            raise ValueError(f"the entry at {at} declares {length} bytes and has {len(block)}")
-        at = end + 1 + length
-        if line[0].startswith("filedesc:"):
-            fields = block.split(b"\n")[1].decode().split()
+            yield {"error": f"{length} bytes declared, {len(block)} there", "at": at, "line": line[:200]}
+            return
+        drop(end + 1 + length)
+        if line.startswith("filedesc:"):
+            version = 2 if b"Result-code" in block or block[:2] == b"2 " else 1
             continue
-        names = fields or (ARC_FIELDS[1].split() if len(line) == 5 else ARC_FIELDS[2].split())
-        if len(line) != len(names):
-            raise ValueError(f"the entry's header has {len(line)} fields, its version {len(names)}")
-        yield dict(zip(names, line, strict=True)) | {"block": block}
+        yield fields | {"block": block}
 
 
 # -- WARC --------------------------------------------------------------------------------------
@@ -270,26 +308,53 @@ def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
     write_records(pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).mapInArrow(run, "value binary"), path, "\n")
 
 
-def convert_arcs(spark: SparkSession, arcs: str, path: str) -> None:
-    """ARC archives (plain or gzip) to WARC archives: every entry a response, or a resource where it isn't HTTP."""
+def arc_entries(spark: SparkSession, arcs: str, make, schema: str, whole: int = WHOLE_BYTES) -> DataFrame:
+    """What `make` gives of the entries of ARC archives (plain or gzip); it takes a file's name and entries, and yields batches. Archives of up to `whole` bytes come as rows, longer ones are read where they lie."""
 
-    def run(batches):
+    def short(batches):
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = data.as_py()
-                whole = b"".join(unzipped([data]))
+                yield from make(name, parse_arc(unzipped([data.as_py()])))
+
+    def long(batches):
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                yield from make(name, parse_arc(unzipped(chunks_of(name))))
+
+    files = spark.read.format("binaryFile").load(arcs)
+    some = files.where(F.col("length") <= whole).select("path", "content").mapInArrow(short, schema)
+    return some.unionByName(files.where(F.col("length") > whole).select("path").mapInArrow(long, schema))
+
+
+def convert_arcs(spark: SparkSession, arcs: str, path: str, whole: int = WHOLE_BYTES) -> None:
+    """ARC archives to WARC archives: every entry a response, or a resource where it isn't HTTP. Entries that can't be read are left to `bad_entries`."""
+
+    def make(name, entries):
+        rows, size = [], 0
+        for n, entry in enumerate(entries):
+            if "error" in entry:
+                continue
+            rows.append(to_warc(entry, None, place=f"{name}/{n}"))
+            size += len(rows[-1])
+            if size > 4 << 20:
+                yield pa.RecordBatch.from_pydict({"value": pa.array(rows, pa.binary())})
                 rows, size = [], 0
-                for n, entry in enumerate(parse_arc(whole)):
-                    rows.append(to_warc(entry, None, place=f"{name}/{n}"))
-                    size += len(rows[-1])
-                    if size > 4 << 20:
-                        yield pa.RecordBatch.from_pydict({"value": pa.array(rows, pa.binary())})
-                        rows, size = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_pydict({"value": pa.array(rows, pa.binary())})
-
-    found = spark.read.format("binaryFile").load(arcs).select("path", "content").mapInArrow(run, "value binary")
-    write_records(found, path, "\r\n\r\n")
+        if rows:
+            yield pa.RecordBatch.from_pydict({"value": pa.array(rows, pa.binary())})
+
+    write_records(arc_entries(spark, arcs, make, "value binary", whole), path, "\r\n\r\n")
+
+
+def bad_entries(spark: SparkSession, arcs: str, whole: int = WHOLE_BYTES) -> DataFrame:
+    """path, at, error, line of what `convert_arcs` leaves out: its place in the unzipped archive, why, and what its line begins with."""
+
+    def make(name, entries):
+        bad = [x for x in entries if "error" in x]
+        columns = [[name] * len(bad), *([x[c] for x in bad] for c in ("at", "error", "line"))]
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["path", "at", "error", "line"])
+
+    return arc_entries(spark, arcs, make, "path string, at long, error string, line string", whole)
 
 
 def records_back(chunks: Iterable[bytes]) -> Iterator[pa.RecordBatch]:

@@ -20,8 +20,8 @@ def test_arc_versions():
         record = op6_warc.to_warc(one, 5)
         ((heads, block),) = op6_warc.parse_warc(iter([record + b"\r\n\r\n"]))
         assert heads["WARC-Type"] == "response" and block == one["block"] and heads["WARC-Payload-Digest"][5:] == base64.b32encode(hashlib.sha1(body).digest()).decode()
-    with pytest.raises(ValueError):
-        list(op6_warc.parse_arc(data[:-20]))
+    cut = list(op6_warc.parse_arc(data[:-20]))
+    assert cut[0] == one and set(cut[1]) == {"error", "at", "line"} and "declared" in cut[1]["error"]
     with pytest.raises(ValueError):
         list(op6_warc.parse_warc(iter([record[:-5]])))
 
@@ -91,3 +91,58 @@ def test_arc_files_and_back(spark, tmp_path, version):
     op6_warc.convert_arcs(spark, str(tmp_path / "a/part-*"), str(tmp_path / "w"))
     got = op6_warc.read_warc(spark, str(tmp_path / "w")).collect()
     assert sorted((r["payload_bytes"], r["record_type"]) for r in got) == [(0, "response"), (4, "response"), (9, "response")]
+
+
+@pytest.mark.parametrize("version", [1, 2])
+@pytest.mark.parametrize("step", [1, 13, 10**6])
+def test_odd_arc_files(version, step):
+    """Spaces in addresses, lines that are no header, a version block of one line, line ends of two bytes, a record cut off: read in pieces of any size."""
+    rest = " ".join(["1.2.3.4", "20020304050607", "text/html", *(["200", "sum", "-", "0", "f.arc"] if version == 2 else [])])
+    entry = lambda url, body, end="\n": f"{url} {rest} {len(body)}{end}".encode() + body + b"\n"
+    named = op6_warc.arc_version_block(version)
+    short = f"filedesc://x 0.0.0.0 20020304 text/plain {'200 - - 0 x ' if version == 2 else ''}3\n".encode() + f"{version} 0".encode() + b"\n"
+    bodies = [b"HTTP/1.0 200 OK\r\n\r\na b", b"", b"\n\n\n", b"x" * 50]
+    urls = ["http://h/a b  c", "http://h/1 2 3 4 5 6", "u", "http://h/\u00e9 20020304"]
+    good = [entry(u, b, "\r\n" if i == 2 else "\n") for i, (u, b) in enumerate(zip(urls, bodies, strict=True))]
+    for block in (named, short, b""):
+        data = block + good[0] + good[1] + b"broken line\nand more\n\n" + good[2] + good[3] + good[0][:-9]
+        found = list(op6_warc.parse_arc(data[i : i + step] for i in range(0, len(data), step)))
+        kept = [x for x in found if "error" not in x]
+        assert [x["block"] for x in kept] == bodies
+        if block or version == 2:
+            assert [x["URL"] for x in kept] == urls
+        bad = [x for x in found if "error" in x]
+        assert [x["line"] for x in bad] == ["broken line", good[0].split(b"\n")[0].decode()] and all(data[x["at"] :].decode().startswith(x["line"]) for x in bad)
+
+
+def test_bad_entries_and_long_archives(spark, tmp_path):
+    """One bad record ends no job; archives read as streams give what archives read as rows give."""
+    (tmp_path / "arc").mkdir()
+    good = b"".join(op6_warc.arc_record(f"http://h/{i}", b"y" * (i * 1000), 1) for i in range(30))
+    (tmp_path / "arc" / "a.arc").write_bytes(op6_warc.arc_version_block(1) + good + b"junk here\n" + good[:-1500])
+    (tmp_path / "arc" / "b.arc.gz").write_bytes(b"".join(gzip.compress(x) for x in (op6_warc.arc_version_block(1), good)))
+    (tmp_path / "arc" / "c.arc").write_bytes(b"")
+    rows = []
+    for whole in (0, 1 << 20):
+        op6_warc.convert_arcs(spark, str(tmp_path / "arc"), str(tmp_path / f"w{whole}"), whole)
+        rows.append(sorted(map(str, op6_warc.read_warc(spark, str(tmp_path / f"w{whole}")).collect())))
+        bad = op6_warc.bad_entries(spark, str(tmp_path / "arc"), whole).collect()
+        assert [(r["path"][-5:], r["error"][:9]) for r in sorted(bad, key=lambda r: r["at"])] == [("a.arc", "no header"), ("a.arc", bad[-1]["error"][:9])] and "declared" in sorted(bad, key=lambda r: r["at"])[1]["error"]
+    assert rows[0] == rows[1] and len(rows[0]) == 89
+
+
+def test_a_gigabyte_in_bounded_memory():
+    import tracemalloc
+
+    body = b"z" * (8 << 20)
+    record = op6_warc.arc_record("http://h/", body, 1)
+
+    def pieces():
+        for _ in range(128):
+            for i in range(0, len(record), 1 << 20):
+                yield record[i : i + (1 << 20)]
+
+    tracemalloc.start()
+    assert sum(len(x["block"]) for x in op6_warc.parse_arc(pieces())) > 1 << 30
+    assert tracemalloc.get_traced_memory()[1] < 64 << 20
+    tracemalloc.stop()
