@@ -128,9 +128,12 @@ def slices(batch, column: int, most: int = 4 << 20):
             yield batch.slice(lo, hi - lo)
 
 
-def numbered(df: DataFrame, name: str, order: list, scratch: Scratch) -> DataFrame:
-    """Adds the rows' numbers from 0 in an order, sorted in ranges on all workers; only a count a range comes to the driver."""
-    placed = scratch.keep(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id()), f"numbered-{name}")
+def numbered(df: DataFrame, name: str, order: list, scratch: Scratch, ranges: list | None = None) -> DataFrame:
+    """Adds the rows' numbers from 0 in an order, sorted in ranges on all workers; only a count a range comes to the driver.
+
+    ranges: what begins the order and is short, since the driver samples it; all of the order, unless given.
+    """
+    placed = scratch.keep(df.repartitionByRange(*(ranges or order)).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id()), f"numbered-{name}")
     part = F.shiftright(F.col(name), 33)
     counts = sorted(tuple(r) for r in placed.groupBy(part.alias("range")).count().collect())
     starts, at = [], 0

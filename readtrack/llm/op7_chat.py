@@ -6,8 +6,8 @@ are. The assistant's contents, closing mark included, are what a loss would coun
 `mask`, pairs of character offsets within the row's text, end excluded. Marks of turns inside contents and names are broken
 by a space, and line ends in names become spaces, so that no one writes a turn of another's.
 
-A rendering comes in parts of `TURNS` turn numbers, so that no conversation, however long, is held in
-one task; `char_start` is the part's offset in the whole rendering, and the parts of (conv_id,
+A rendering comes in parts of `TURNS` distinct turns, counted in their order, so that no conversation, however long and
+whatever its turns' numbers, is held in one task: turns are numbered by a sort in ranges. `char_start` is the part's offset in the whole rendering, and the parts of (conv_id,
 speaker), in order, are that rendering. Offsets are sums of lengths by part and role; the texts are not in any window and
 are rendered once. Repeated rows of one turn are folded with their count before
 anything is collected and rendered as often as they occur. Turns order by number, role and text, null
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import Scratch, numbered, table
 
 TURNS = 64
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
@@ -41,17 +41,20 @@ def title(role: Column) -> Column:
 def rotate(turns: DataFrame, per_part: int = TURNS) -> DataFrame:
     """conv_id, speaker, part, n_turns, n_spoken, text, mask, char_start."""
     conv = F.col("conv_id").cast("long")
-    part = F.coalesce(F.floor(F.col("turn").cast("long") / per_part), F.lit(-(2**62))).cast("long")
     key = ["conv", "none", "bin"]  # a conversation without an id keeps its own key, so that keys are equal as they are
     t = turns.select(
         F.coalesce(conv, F.lit(0)).alias("conv"),
         conv.isNull().alias("none"),
-        part.alias("bin"),
         F.coalesce(F.col("turn").cast("long"), F.lit(-(2**63))).alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"),
         plain(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("content"),
     )
-    folded = t.groupBy(*key, "turn", "role", "content").agg(F.count("*").cast("int").alias("times"))
+    scratch = Scratch(turns.sparkSession)
+    folded = t.groupBy("conv", "none", "turn", "role", "content").agg(F.count("*").cast("int").alias("times"))
+    order = ["none", "conv", "turn", "role"]
+    folded = numbered(folded, "rank", [*order, "content"], scratch, [*order, F.left("content", F.lit(64))])
+    first = folded.groupBy("conv", "none").agg(F.min("rank").alias("first"))
+    folded = folded.join(first, ["conv", "none"]).withColumn("bin", F.floor((F.col("rank") - F.col("first")) / per_part)).drop("rank", "first")
     parts = folded.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "content", "times"))).alias("said"))
 
     # Lengths of the parts as every speaker's rendering has them.
@@ -112,7 +115,7 @@ def broken(x: str) -> str:
 ORACLE = f"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, 'unknown') AS role, {broken("coalesce(text, '')")} || '{CLOSE}' AS body,
-         coalesce(CAST(floor(turn / {TURNS}.0) AS BIGINT), -4611686018427387904) AS bin
+         (dense_rank() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), {broken("coalesce(text, '')")}) - 1) // {TURNS} AS bin
   FROM conversations
 ), s AS (
   SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'
