@@ -14,6 +14,7 @@ from .common import parts
 
 BLOCK_SCHEMA = "block long, dim int, ids binary, data binary"
 BLOCK_BYTES, SHARD_BYTES, QUERY_ROWS, FAN_IN = 1 << 13, 1 << 22, 512, 16
+TILES = 16  # shards that a task prepares together, so that the queries travel once for all of them
 
 
 def clean(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -57,16 +58,17 @@ def tiled(vectors: DataFrame, queries: DataFrame, k: int, schema: str, search: C
     """The k best of each query: query_id, rank, vec_id, score. `search(ids, data)` prepares a shard and gives a function of queries' ids and data.
 
     Every shard meets the query blocks of its length: an equi-join on the shard's number in which the shard's blocks stream by first and
-    are prepared once, then the queries' blocks, QUERY_ROWS queries at a time. Rows are small blocks, so no batch is large.
+    are prepared once, in tiles of `shard_bytes`, then the queries' blocks, QUERY_ROWS queries at a time. Rows are small blocks, so no batch is large.
     """
     total = vectors.agg(F.sum(8 * F.size("vec"))).first()[0] or 0
-    shards = parts(total, shard_bytes, 1)
+    tiles = parts(total, shard_bytes, 1)
+    shards = max(parts(tiles, TILES), min(tiles, vectors.sparkSession.sparkContext.defaultParallelism))
     held = pack(vectors).withColumns({"shard": F.pmod(F.xxhash64("block"), F.lit(shards)).cast("int"), "asks": F.lit(False)})
     asked = pack(distinct_queries(queries)).withColumns({"shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1))), "asks": F.lit(True)})
     dealt = held.unionByName(asked).repartition(shards, "shard", "dim").sortWithinPartitions("shard", "dim", "asks", "block")
 
     def run(batches):
-        at, blocks, ready, waiting, rows = None, [], None, [], 0
+        at, blocks, ready, waiting, rows, size = None, [], [], [], 0, 0
 
         def whole(pairs, dim):
             ids = np.concatenate([np.frombuffer(i, np.int64) for i, _ in pairs])
@@ -74,29 +76,36 @@ def tiled(vectors: DataFrame, queries: DataFrame, k: int, schema: str, search: C
             return ids[order], np.concatenate([np.frombuffer(d).reshape(len(i) // 8, dim) for i, d in pairs])[order]
 
         def answers():
-            found = ready(*whole(waiting, at[1]))
-            return pa.RecordBatch.from_arrays([*(pa.array(x) for x in found), pa.array(np.full(len(found[0]), at[0], np.int64))], ["query_id", "vec_id", "score", "tile"])
+            asked = whole(waiting, at[1])
+            for ask in ready:
+                found = ask(*asked)
+                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in found), pa.array(np.full(len(found[0]), at[0], np.int64))], ["query_id", "vec_id", "score", "tile"])
 
         for batch in batches:
             for shard, dim, asks, ids, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (shard, dim) != at:
                     if waiting:
-                        yield answers()
-                    at, blocks, ready, waiting, rows = (shard, dim), [], None, [], 0
+                        yield from answers()
+                    at, blocks, ready, waiting, rows, size = (shard, dim), [], [], [], 0, 0
                 if not asks:
+                    if blocks and size + len(data) > shard_bytes:
+                        ready.append(search(*whole(blocks, dim)))
+                        blocks, size = [], 0
                     blocks.append((ids, data))
+                    size += len(data)
                     continue
-                if not blocks and not ready:
-                    continue
+                if blocks:
+                    ready.append(search(*whole(blocks, dim)))
+                    blocks = []
                 if not ready:
-                    ready, blocks = search(*whole(blocks, dim)), []
+                    continue
                 waiting.append((ids, data))
                 rows += len(ids) // 8
                 if rows >= QUERY_ROWS:
-                    yield answers()
+                    yield from answers()
                     waiting, rows = [], 0
         if waiting:
-            yield answers()
+            yield from answers()
 
     return merge_top(dealt.select("shard", "dim", "asks", "ids", "data").mapInArrow(run, schema), k, shards)
 

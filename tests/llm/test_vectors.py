@@ -121,3 +121,16 @@ def test_merge_tree(spark, tiles):
     got = sorted(tuple(r) for r in merge_top(spark.createDataFrame(rows, "query_id long, vec_id long, score double, tile long"), 4, tiles).collect())
     want = [(q, r, v, -s) for q in range(3) for r, (s, v) in enumerate(sorted((-s, v) for a, v, s, _ in rows if a == q)[:4], 1)]
     assert got == want
+
+
+def test_tiles_of_a_shard(spark, monkeypatch):
+    """Several tiles in one shard answer the same queries."""
+    from readtrack.llm import vectors
+
+    rng = np.random.default_rng(8)
+    rows = [(i, tuple(float(x) for x in rng.normal(size=4).astype(np.float32))) for i in range(900)]
+    v = clean(frame(spark, rows), "vec_id", "embedding")
+    monkeypatch.setattr(vectors, "BLOCK_BYTES", 64)
+    monkeypatch.setattr(vectors, "TILES", 1000)
+    got = op10_topk.exact_top_k(v, v.where("id % 50 = 0"), 5, shard_bytes=256)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, lambda i: i % 50 == 0, 5, products(rows))
