@@ -4,7 +4,8 @@ A text is cut into sentences, each normalised sentence is looked up among known
 take a holder's or a licence's name), and the sequence of their identifiers is matched against ordered rules, longest
 first; what a rule matches is used up. Between the sentences of one rule only white space, copyright lines, numbers and headings of up to
 three words may stand: any other sentence parts what stands before from what stands behind. One that merely
-looks like a licence counts as UNKNOWN. Everything is a DataFrame expression; only texts that hold a telling word are cut.
+looks like a licence counts as UNKNOWN, and so does a known sentence that no rule has used up, unless it belongs to a licence that was found. A sentence or SPDX line may
+name several licences (AND, OR); an exception (WITH) leaves the licence that it is one to. Everything is a DataFrame expression; only texts that hold a telling word are cut.
 
 A new sentence begins after a full stop, semicolon, question or exclamation mark before white
 space, after a colon that ends a line, after an empty line, at a line that starts like a known notice, and after an SPDX line; other line ends join. Case,
@@ -72,6 +73,20 @@ SLOTS = {
     "BsdNames": "neither the name of .{1,80} nor the names of (its|their) contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "BsdAsIs": "this software is provided by .{1,80} as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
     "BsdLiable": "in no event shall .{1,80} be liable for any direct indirect incidental special exemplary or consequential damages .{1,600}",
+    **{
+        f"{name}{last}": ".{1,80} is free software you can redistribute it and or modify it under the terms of the gnu " + kind + "general public license as published by the free software foundation " + tail
+        for name, kind, versions in (("Gpl", "", ("2", "3")), ("Lgpl", "lesser ", ("2.1", "3")), ("Agpl", "affero ", ("3",)))
+        for v in versions
+        for last, tail in ((v.replace(".", "") + "Later", f"either version {v} of the license or at your option any later version"), (v.replace(".", "") + "Only", f"(either )?version {v} of the license"))
+    },
+    **{
+        f"{name}{v.replace('.', '')}Only2": "(.{1,80} is free software )?you can redistribute it and or modify it under the terms of version " + v + " of the gnu " + kind + "general public license( as published by the free software foundation)?"
+        for name, kind, versions in (("Gpl", "", ("2", "3")), ("Lgpl", "lesser ", ("2.1", "3")), ("Agpl", "affero ", ("3",)))
+        for v in versions
+    },
+    "FreeSoftware": ".{1,80} is free software",
+    "GplWarranty": ".{1,80} is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "GplHope": ".{1,80} is distributed in the hope that it will be useful but without any warranty",
     "Cc0Waiver": "to the extent possible under law .{1,80} has waived all copyright and related or neighboring rights to .{1,80}",
 }
 #: Names that a sentence "(licensed|released|distributed|available) under ..." or an SPDX line may give, and what they name.
@@ -125,6 +140,7 @@ RULES = [
     ("ISC", ["IscGrant", "IscAsIs", "IscLiable"]),
     ("Zlib", ["ZlibAsIs", "ZlibLiable", "ZlibGrant"]),
     ("MPL-2.0", ["Mpl2", "MplCopy"]),
+    *((f"{name.upper()}-{v}-only", [f"{name}{v.removesuffix('.0').replace('.', '')}{kind}"]) for name, v in (("Gpl", "2.0"), ("Gpl", "3.0"), ("Lgpl", "2.1"), ("Lgpl", "3.0"), ("Agpl", "3.0")) for kind in ("Only", "Only2")),
     ("GPL-3.0-or-later", ["Gpl3Later"]),
     ("GPL-2.0-or-later", ["Gpl2Later"]),
     ("LGPL-2.1-or-later", ["Lgpl21Later"]),
@@ -142,7 +158,19 @@ RULES = [
     ("Unlicense", ["Unlicense"]),
     ("All rights reserved", ["Rights"]),
 ]
-NAMED = r"^(?:.{0,60} )?(?:licen[cs]ed|released|distributed|available) under (?:the terms of )?(?:the |an? )?(.+)$|^spdx licen[cs]e identifier (.+)$"
+for _name, _v in (("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.1"), ("LGPL", "3.0"), ("AGPL", "3.0")):
+    _kind = {"GPL": "", "LGPL": "lesser ", "AGPL": "affero "}[_name]
+    NAMES[f"{_name}-{_v}-only"].append(f"version {_v.removesuffix('.0')} of the gnu {_kind}general public license")
+    NAMES[f"{_name}-{_v}-or-later"].append(f"version {_v.removesuffix('.0')} or later of the gnu {_kind}general public license")
+for _kind, _said in (("BY", ""), ("BY-SA", " sharealike"), ("BY-SA", " share alike"), ("BY-NC", " noncommercial"), ("BY-ND", " noderivatives"), ("BY-ND", " noderivs"), ("BY-NC-SA", " noncommercial sharealike"), ("BY-NC-ND", " noncommercial noderivatives"), ("BY-NC-ND", " noncommercial noderivs")):
+    for _v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+        _own = NAMES.setdefault(f"CC-{_kind}-{_v}", [])
+        for _x in (f"cc {_kind.lower().replace('-', ' ')} {_v}", *(f"creative commons attribution{_said} {_v}{_tail} license" for _tail in ("", " international", " unported", " generic"))):
+            if _x not in _own:
+                _own.append(_x)
+NAMED = r"^(?:.{0,60} )?(?:licen[cs]ed|released|distributed|available) under (?:either of |either )?(?:the terms of )?(?:the |an? )?(.+)$|^spdx licen[cs]e identifier (.+)$"
+#: What an expression's licences are parted by, and what stands before and behind a name.
+PARTED, BEFORE, BEHIND = " (?:or|and) ", "^(?:the terms of )?(?:the |an? )", " with .*$"
 #: What may stand between the sentences of one rule.
 BETWEEN = r"^(?:copyright .*|c [0-9]{4} .*|[0-9a-z]|[0-9.]+|[^ ]+(?: [^ ]+){0,2})$"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -168,10 +196,22 @@ def sentences(text: Column) -> Column:
 
 
 def named(x: Column) -> Column:
-    """The licence that a sentence names in its slot; null if none."""
+    """The licences that a sentence names in its slot, joined by bars; null if none. "Or later" is part of a name."""
     known = F.create_map(*[F.lit(y) for spdx, names in NAMES.items() for n in names for y in (n, spdx)])
-    said = F.concat(F.regexp_extract(x, NAMED, 1), F.regexp_extract(x, NAMED, 2))
-    return F.try_element_at(known, said)
+    said = F.replace(F.concat(F.regexp_extract(x, NAMED, 1), F.regexp_extract(x, NAMED, 2)), F.lit(" or later"), F.lit("#later"))
+    each = F.transform(F.split(said, PARTED), lambda y: F.try_element_at(known, F.regexp_replace(F.regexp_replace(F.replace(y, F.lit("#later"), F.lit(" or later")), BEFORE, ""), BEHIND, "")))
+    found = F.array_distinct(F.array_compact(each))
+    return F.when(F.size(found) > 0, F.array_join(found, "|"))
+
+
+def families() -> dict[str, list[str]]:
+    """Each sentence's licences."""
+    out: dict[str, list[str]] = {}
+    for spdx, ids in RULES:
+        for i in ids:
+            if spdx not in out.setdefault(i, []):
+                out[i].append(spdx)
+    return out
 
 
 def tokens(text: Column) -> Column:
@@ -190,7 +230,7 @@ def tokens(text: Column) -> Column:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, n_sentences (known ones), n_unknown, licenses (distinct, those of rules in their order, then those only named; joined by commas)."""
+    """doc_id, n_sentences (known ones), n_unknown (known ones of unfinished rules among them), licenses (distinct, those of rules in their order, then those only named; joined by commas)."""
     own = F.when(F.col("text").rlike(TELLING), tokens(F.col("text"))).otherwise(F.array().cast("array<string>"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", own.alias("ids"))
     d = d.withColumn("left", F.array_join(F.transform("ids", lambda x: F.concat(F.lit(","), x, F.lit(","))), ""))
@@ -201,12 +241,15 @@ def scan(docs: DataFrame) -> DataFrame:
         hits.append(F.col(f"hit{i}"))
     unknown = F.size(F.filter("ids", lambda x: x == "UNKNOWN"))
     other = F.size(F.filter("ids", lambda x: x == "OTHER"))
-    names = F.transform(F.filter("ids", lambda x: x.startswith("Name:")), lambda x: F.substring(x, 6, 100))
+    names = F.flatten(F.transform(F.filter("ids", lambda x: x.startswith("Name:")), lambda x: F.split(F.substr(x, F.lit(6)), r"\|")))
+    found = F.concat(F.array_compact(F.array(*hits)), names)
+    own = F.create_map(*[y for i, of in families().items() for y in (F.lit(i), F.array(*[F.lit(z) for z in of]))])
+    open_ = F.size(F.filter(F.split("left", ","), lambda x: ~F.coalesce(F.arrays_overlap(F.try_element_at(own, x), found), F.lit(True))))
     return d.select(
         "doc_id",
         (F.size("ids") - unknown - other).alias("n_sentences"),
-        unknown.alias("n_unknown"),
-        F.array_join(F.array_distinct(F.concat(F.array_compact(F.array(*hits)), names)), ",").alias("licenses"),
+        (unknown + open_).alias("n_unknown"),
+        F.array_join(F.array_distinct(found), ",").alias("licenses"),
     )
 
 
@@ -225,8 +268,9 @@ def oracle() -> str:
         steps.append(f"t{i + 1} AS (SELECT * EXCLUDE (l), CASE WHEN contains(l, '{run}') THEN '{name}' END AS hit{i}, replace(l, '{run}', ',;,') AS l FROM {last})")
         last = f"t{i + 1}"
     hits = ", ".join(f"hit{i}" for i in range(len(RULES)))
+    own = ", ".join(f"('{i}', '{spdx}')" for i, of in families().items() for spdx in of)
     return f"""
-WITH known(s, name) AS (VALUES {known}), names(said, spdx) AS (VALUES {names}),
+WITH known(s, name) AS (VALUES {known}), names(said, spdx) AS (VALUES {names}), own(id, spdx) AS (VALUES {own}),
 d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
 c AS (
   SELECT rid, string_split(regexp_replace(translate(regexp_replace(regexp_replace(regexp_replace(chr(10) || text || chr(10), '{STARTS}', chr(30) || '\\1', 'g'),
@@ -235,17 +279,23 @@ c AS (
 ),
 e AS (SELECT rid, unnest(xs) AS x, generate_subscripts(xs, 1) AS pos FROM c),
 f AS (SELECT rid, pos, regexp_replace(x, '^[ .]+|[ .]+$', '', 'g') AS x FROM e),
+ex AS (SELECT rid, pos, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM (
+  SELECT rid, pos, string_split_regex(replace(regexp_extract(x, '{NAMED}', 1) || regexp_extract(x, '{NAMED}', 2), ' or later', '#later'), '{PARTED}') AS parts FROM f WHERE regexp_matches(x, '{NAMED}'))),
+nm AS (SELECT rid, pos, string_agg(spdx, '|' ORDER BY k) AS spdx FROM (SELECT rid, pos, spdx, min(k) AS k FROM ex
+  JOIN names ON said = regexp_replace(regexp_replace(replace(part, '#later', ' or later'), '{BEFORE}', ''), '{BEHIND}', '') GROUP BY 1, 2, 3) GROUP BY 1, 2),
 g AS (SELECT rid, pos, coalesce(name, CASE {slots} END, 'Name:' || spdx,
     CASE WHEN regexp_matches(x, '{SUSPECT}') THEN 'UNKNOWN' WHEN NOT regexp_matches(x, '{BETWEEN}') THEN 'OTHER' END) AS id
-  FROM f LEFT JOIN known ON s = x LEFT JOIN names ON said = regexp_extract(x, '{NAMED}', 1) || regexp_extract(x, '{NAMED}', 2) WHERE x <> ''),
+  FROM f LEFT JOIN known ON s = x LEFT JOIN nm USING (rid, pos) WHERE x <> ''),
 h AS (SELECT rid, count(*) FILTER (id NOT IN ('UNKNOWN', 'OTHER')) AS n, count(*) FILTER (id = 'UNKNOWN') AS u, string_agg(',' || id || ',', '' ORDER BY pos) AS l,
-  list(substr(id, 6) ORDER BY pos) FILTER (starts_with(id, 'Name:')) AS named FROM g WHERE id IS NOT NULL GROUP BY rid),
-t0 AS (SELECT doc_id, coalesce(n, 0) AS n, coalesce(u, 0) AS u, coalesce(l, '') AS l, coalesce(named, []) AS named FROM d LEFT JOIN h USING (rid)),
+  string_split(string_agg(substr(id, 6), '|' ORDER BY pos) FILTER (starts_with(id, 'Name:')), '|') AS named FROM g WHERE id IS NOT NULL GROUP BY rid),
+t0 AS (SELECT rid, doc_id, coalesce(n, 0) AS n, coalesce(u, 0) AS u, coalesce(l, '') AS l, coalesce(named, []) AS named FROM d LEFT JOIN h USING (rid)),
 {", ".join(steps)},
-z AS (SELECT doc_id, n, u, list_concat(list_filter([{hits}], lambda x: x IS NOT NULL), named) AS found FROM {last})
-SELECT doc_id, CAST(n AS INTEGER) AS n_sentences, CAST(u AS INTEGER) AS n_unknown,
+z AS (SELECT rid, doc_id, n, u, l, list_concat(list_filter([{hits}], lambda x: x IS NOT NULL), named) AS found FROM {last}),
+lo AS (SELECT rid, i, bool_or(list_contains(found, spdx)) AS ours FROM (SELECT rid, found, unnest(string_split(l, ',')) AS id, generate_subscripts(string_split(l, ','), 1) AS i FROM z) JOIN own USING (id) GROUP BY 1, 2),
+un AS (SELECT rid, count(*) AS n_open FROM lo WHERE NOT ours GROUP BY 1)
+SELECT doc_id, CAST(n AS INTEGER) AS n_sentences, CAST(u + coalesce(n_open, 0) AS INTEGER) AS n_unknown,
        array_to_string(list_filter(found, lambda x, i: list_position(found, x) = i), ',') AS licenses
-FROM z
+FROM z LEFT JOIN un USING (rid)
 """
 
 

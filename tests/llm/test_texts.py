@@ -284,6 +284,38 @@ def test_toxicity(spark):
     assert op5_toxic.fit(d, lab.where("toxic = 0")) is None and {r["score"] for r in op5_toxic.score(d, None).collect()} == {0.0}
 
 
+GPL_HEAD = "{} is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\n{} is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n"
+
+
+@pytest.mark.parametrize(
+    "text, want, unknown",
+    [
+        (GPL_HEAD.format("Foo", "Foo"), "GPL-3.0-or-later", 0),
+        (GPL_HEAD.format("This program", "This program"), "GPL-3.0-or-later", 0),
+        ("You can redistribute it and/or modify it under the terms of version 2 of the GNU General Public License as published by the Free Software Foundation.", "GPL-2.0-only", 0),
+        ("Bar is licensed under version 2 of the GNU General Public License.", "GPL-2.0-only", 0),
+        ("# SPDX-License-Identifier: MIT OR Apache-2.0\nint x;", "MIT,Apache-2.0", 0),
+        ("// SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0\n", "GPL-2.0-or-later", 0),
+        ("/* SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause) AND ISC */\n", "GPL-2.0-only,BSD-3-Clause,ISC", 0),
+        ("SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note\n", "GPL-2.0-only", 0),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.", "CC-BY-SA-3.0", 0),
+        ("Licensed under either of the Apache License, Version 2.0 or the MIT license.", "Apache-2.0,MIT", 0),
+        ("Licensed under CC BY-NC-ND 2.5.", "CC-BY-NC-ND-2.5", 0),
+    ],
+)
+def test_license_wordings(spark, text, want, unknown):
+    r = op2_license.scan(docs(spark, [(1, text, "a")])).first()
+    assert (r["licenses"], r["n_unknown"]) == (want, unknown)
+
+
+def test_unfinished_rules_are_unknown(spark):
+    """The MIT grant and notice without the disclaimer are no licence, and are not lost."""
+    r = op2_license.scan(docs(spark, [(1, "".join(MIT[:2]), "a")])).first()
+    assert r["licenses"] == "" and r["n_unknown"] == r["n_sentences"] == 2
+    whole = op2_license.scan(docs(spark, [(1, "".join(MIT), "a")])).first()
+    assert whole["licenses"] == "MIT" and whole["n_unknown"] == 0
+
+
 # -- 7 -----------------------------------------------------------------------------------------
 
 
