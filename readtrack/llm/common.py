@@ -146,6 +146,16 @@ def numbered(df: DataFrame, name: str, order: list, scratch: Scratch, ranges: li
     return placed.withColumn(name, offset + F.col(name).bitwiseAND((1 << 33) - 1))
 
 
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """From now on in this session, at most `rows` rows go to Python at a time: documents are long, and both sides hold a batch. A lower setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    spark.conf.set(key, str(rows if now <= 0 else min(rows, now)))
+
+
 def parts(rows: int, per_part: int, least: int = 1) -> int:
     return max(least, -(-rows // per_part))
 
