@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from readtrack.llm import op1_mix, op4_simhash, op5_toxic, op8_pack, op9_suffix
-from readtrack.llm.common import Scratch, ended_after, table
+from readtrack.llm.common import Scratch, ended_after, small_batches, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,6 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     have no feature and stay, very long texts are scored whole. Rows without an id are judged like others and not learnt from. Without
     a confirmed toxic document every row stays.
     """
+    small_batches(spark)
     return op5_toxic.without_toxic(docs, op5_toxic.fit(docs, table(spark, sf_dir, "labels")))
 
 
@@ -30,6 +31,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     are copies of one another. A repeated row stays once (of rows alike in id and text that of the least hash of all columns); an
     id's other texts are documents of their own. Very long texts count whole.
     """
+    small_batches(spark)
     return op4_simhash.one_of_each(docs)
 
 
@@ -39,6 +41,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Null texts stay null, empty ones empty. Repeated rows repeat each other's bytes and lose them all; ids, equal or null, don't matter. Very
     long texts are judged whole.
     """
+    small_batches(spark)
     return op9_suffix.without_repeats(docs)
 
 
@@ -48,6 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have no words and are copied as often as their source's share rounds to. A null source is a source, a null id an ordinary one; repeated rows take the same
     number of copies each. Ties are drawn by a seeded hash, so reruns agree. Very long texts are taken whole like others.
     """
+    small_batches(spark)
     return op1_mix.mixed_rows(docs, op1_mix.mix(docs))
 
 
@@ -56,6 +60,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Null and empty texts give their end id alone. Repeated rows and null or equal ids are documents of their own; long ones are cut.
     """
+    small_batches(spark)
     return op8_pack.pack(docs)
 
 
