@@ -12,7 +12,8 @@ same one, is removed; overlaps count, and strings are judged on the input. In st
    bytes, the core as one symbol, up to BLOCK - 1 bytes. Equal strings are folded, with their number.
 3. Each collection's Burrows-Wheeler transform and common prefixes are built column by column, from
    the strings' ends: each round inserts one symbol of every string (op9_columns). Windows whose suffix
-   shares LENGTH bytes with a neighbour's are repeated; nothing else decides that.
+   shares LENGTH bytes with a neighbour's are repeated. A folded string is marked as a neighbour of its own, which saves inserting it twice;
+   inserted twice (`twice`), it is found by the common prefixes, with the same result.
 4. What is found goes back to all fragments that are equal.
 
 A core with more than MOST strings doesn't meet in one task: its strings are blocked again at half the
@@ -45,6 +46,8 @@ LENGTH, GRAM, BLOCK = 200, 32, 32
 CHUNK = 1 << 19
 BATCH, MOST = 1 << 14, 1 << 12
 OUT_ROWS = 1 << 15
+#: What becomes of a string that occurs more than once: it is marked as its own neighbour, both are inserted in the transform, or it counts as one.
+MARKED, INSERTED, ONCE = "marked", "inserted", "once"
 ODD = 0x9E3779B97F4A7C15
 ANCHOR = "h long, fh long, k1 long, k2 int, a int, s int, n int"
 PIECE = "g1 long, g2 long, cid long, lead binary, tail binary, h long, fh long, s int, times int"
@@ -207,7 +210,7 @@ def symbol_rows(leads: pa.Array, tails: pa.Array, pick: np.ndarray) -> tuple[np.
     return out, lengths, nt
 
 
-def collection_rows(length: int, block: int, folder: str | None):
+def collection_rows(length: int, block: int, folder: str | None, twice: str = MARKED):
     """Rows (g1, g2, cid, lead, tail, times) sorted by core: runs of repeated windows (first, end) of each distinct string."""
     core = length - block + 1
 
@@ -217,8 +220,10 @@ def collection_rows(length: int, block: int, folder: str | None):
         pick = np.flatnonzero(np.bincount(group, times)[group] > 1)
         if not len(pick):
             return
+        if twice == INSERTED:
+            pick = np.repeat(pick, times[pick])
         symbols, lengths, tails = symbol_rows(t.column(3).combine_chunks(), t.column(4).combine_chunks(), pick)
-        string, place = repeats(group[pick], symbols, lengths, tails, times[pick] > 1, core, length, folder)
+        string, place = repeats(group[pick], symbols, lengths, tails, (times[pick] > 1) & (twice == MARKED), core, length, folder)
         at = np.unique(pick[string] << 9 | place)
         first = np.flatnonzero(np.diff(at, prepend=-2) != 1)
         if not len(first):
@@ -284,14 +289,14 @@ def halves(strings: DataFrame, block: int) -> DataFrame:
     return out.select(F.col("g1").alias("o1"), F.col("g2").alias("o2"), F.col("cid").alias("oid"), "half.*", "times")
 
 
-def repeated_windows(cut: DataFrame, scratch: Scratch, length: int, block: int, most: int = MOST, level: int = 0) -> DataFrame:
+def repeated_windows(cut: DataFrame, scratch: Scratch, length: int, block: int, most: int = MOST, level: int = 0, twice: str = MARKED) -> DataFrame:
     """Strings (g1, g2, cid, lead, tail, times), repeated or not -> (g1, g2, cid, b, e): runs of repeated windows of each."""
 
     def built(rows: DataFrame) -> DataFrame:
         # Under a block of one, equal cores are equal strings, which are counted before they meet.
         dealt = rows.select(*STRING) if block == 1 else rows.select(*STRING).repartition("g1", "g2")
         met = folded(dealt).sortWithinPartitions("g1", "g2", "cid")
-        return met.mapInArrow(collection_rows(length, block, scratch.folder(f"columns-{level}")), FOUND)
+        return met.mapInArrow(collection_rows(length, block, scratch.folder(f"columns-{level}"), twice), FOUND)
 
     sizes = cut.groupBy("g1", "g2").agg(F.count("*").alias("n")).where(F.col("n") > most).select("g1", "g2")
     hot = scratch.keep(sizes, f"hot-{level}")
@@ -299,7 +304,7 @@ def repeated_windows(cut: DataFrame, scratch: Scratch, length: int, block: int,
         return scratch.keep(built(cut), f"found-{level}")
     cool = scratch.keep(built(cut.join(hot, ["g1", "g2"], "left_anti")), f"found-{level}")
     split = scratch.keep(halves(folded(cut.join(hot, ["g1", "g2"], "left_semi")), block), f"halves-{level}")
-    inner = repeated_windows(split, scratch, length, block // 2, most, level + 1)
+    inner = repeated_windows(split, scratch, length, block // 2, most, level + 1, twice)
     back = split.select("o1", "o2", "oid", "shift", "g1", "g2", "cid").join(inner, ["g1", "g2", "cid"])
     shifted = back.select(F.col("o1").alias("g1"), F.col("o2").alias("g2"), F.col("oid").alias("cid"), (F.col("b") + F.col("shift")).alias("b"), (F.col("e") + F.col("shift")).alias("e"))
     return cool.unionByName(shifted)
@@ -313,7 +318,7 @@ def folded(strings: DataFrame) -> DataFrame:
     return strings.groupBy("g1", "g2", "cid").agg(F.first("lead").alias("lead"), F.first("tail").alias("tail"), F.least(F.sum("times"), F.lit(2)).cast("int").alias("times"))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK, most: int = MOST) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK, most: int = MOST, twice: str = MARKED) -> DataFrame:
     """(k1, k2, spans): from and to (excluded) of repeated strings, unmerged, of the rows that have any."""
     scratch = Scratch(docs.sparkSession)
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
@@ -329,7 +334,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     cut = texts.join(asked, ["k1", "k2"]).select("k1", "k2", "body", "asked").mapInArrow(piece_rows(length, block), PIECE)
     cut = scratch.keep(cut, "pieces")
     scratch.release()
-    found = repeated_windows(cut, scratch, length, block, most)
+    found = repeated_windows(cut, scratch, length, block, most, twice=twice)
     scratch.release()
     runs = cut.select("g1", "g2", "cid", "h", "fh", "s").join(found, ["g1", "g2", "cid"])
     own = F.collect_set(F.struct((F.col("s") + F.col("b")).alias("b"), (F.col("s") + F.col("e") - 1 + length).alias("e"))).alias("own")

@@ -454,6 +454,17 @@ def found_rows(df, **how):
     return sorted((-1 if r["doc_id"] is None else r["doc_id"], *r[1:]) for r in got.collect())
 
 
+def test_folded_strings_by_the_transform_alone(spark):
+    """Without marks, both of equal strings inserted, the common prefixes find the same bytes; counted once, they don't."""
+    r = random.Random(9)
+    piece = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    shared = [piece(230), piece(400)]
+    rows = [(i, piece(150) + (shared[i % 2] if i % 3 else "") + piece(90), "a") for i in range(40)] + [(100 + i, shared[0] + "x", "a") for i in range(3)]
+    for most in (op9_suffix.MOST, 3):
+        found = {how: sorted(map(tuple, op9_suffix.with_spans(docs(spark, rows).select("doc_id", "text"), most=most, twice=how).select("doc_id", "text", "spans").mapInArrow(op9_suffix.digest_rows, op9_suffix.RESULT).collect())) for how in ("marked", "inserted", "once")}
+        assert found["marked"] == found["inserted"] != found["once"] and sum(x[2] for x in found["marked"]) > 26 * 230
+
+
 @pytest.mark.parametrize("most", [op9_suffix.MOST, 3])
 def test_repeats(spark, most):
     shared, other = words(90, 1), words(60, 2)
