@@ -105,7 +105,7 @@ def between(messages: DataFrame, first, last) -> DataFrame:
     """The window's messages with row_id, from 0 in time order."""
     start, end = F.lit(first).cast("date").cast("timestamp_ntz"), F.date_add(F.lit(last).cast("date"), 1).cast("timestamp_ntz")
     kept = messages.where((F.col("timestamp") >= start) & (F.col("timestamp") < end))
-    return numbered(kept, "row_id", F.to_date("timestamp"), "timestamp", "seq").withColumn("row_id", F.col("row_id") - 1)
+    return numbered(kept, "row_id", "timestamp", "seq").withColumn("row_id", F.col("row_id") - 1)
 
 
 def union_sources(frames: dict[str, DataFrame]) -> DataFrame:
@@ -135,9 +135,9 @@ def density(df: DataFrame, group: str, value: str, bins: int = 128, points: int
     Groups of one value only have no density. Null values don't count.
     """
     v = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where("v is not null")
-    of = v.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n"), F.stddev_samp("v").alias("sd")).where("hi > lo")
+    of = v.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n"), F.stddev_samp("v").alias("sd")).where("hi > lo").withColumnRenamed("g", "k")
     bin_ = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
-    met = v.join(of, v["g"].eqNullSafe(of["g"])).drop(of["g"])
+    met = v.join(of, F.col("g").eqNullSafe(F.col("k"))).drop("k")
     counts = met.groupBy("g", "lo", "hi", "n", "sd", bin_.alias("bin")).agg(F.count("*").alias("c"))
     held = counts.groupBy("g", "lo", "hi", "n", "sd").agg(F.array_sort(F.collect_list(F.struct("bin", "c"))).alias("counts"))
     width, h = (F.col("hi") - F.col("lo")) / bins, F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
@@ -152,7 +152,7 @@ def box(df: DataFrame, group: str, value: str, reach: float = 1.5) -> DataFrame:
     """Quartiles of each group, the last values within `reach` interquartile ranges of them, and how many lie beyond. Null values don't count."""
     v = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where("v is not null")
     q = v.groupBy("g").agg(F.percentile("v", [0.25, 0.5, 0.75]).alias("q")).select(F.col("g").alias("h"), *[F.col("q")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))])
-    met = v.join(q, v["g"].eqNullSafe(q["h"]))
+    met = v.join(q, F.col("g").eqNullSafe(F.col("h")))
     far = (F.col("q3") - F.col("q1")) * reach
     inside = (F.col("v") >= F.col("q1") - far) & (F.col("v") <= F.col("q3") + far)
     whiskers = [F.min(F.when(inside, F.col("v"))).alias("low"), F.max(F.when(inside, F.col("v"))).alias("high"), F.count_if(~inside).alias("outliers")]

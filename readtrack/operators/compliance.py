@@ -55,5 +55,5 @@ def summarize(members: DataFrame, chapters: DataFrame, emoji: DataFrame, progres
     marks = marks.select(F.coalesce("emoji", F.lit(EMOJI)).alias("mark"), F.coalesce("header", F.lit(NO_READING)).alias("header"))
     rows = who.join(state, "sender").join(last, "sender", "left").join(F.broadcast(marks.select("mark")).withColumn("one", F.lit(1)), F.lit(1) == F.col("one"))
     told = F.when(F.col("done"), F.col("mark")).otherwise(F.coalesce("at", F.lit("")))
-    body = numbered(rows, "line_no", F.left("sender", F.lit(6)), "sender").select("line_no", F.concat(F.col("line_no").cast("string"), F.lit(". "), F.col("sender"), F.lit(" "), told).alias("line"))
+    body = numbered(rows, "line_no", "sender").select("line_no", F.concat(F.col("line_no").cast("string"), F.lit(". "), F.col("sender"), F.lit(" "), told).alias("line"))
     return marks.select(F.lit(0).alias("line_no"), F.col("header").alias("line")).unionByName(body)

@@ -178,6 +178,19 @@ gs AS (SELECT sent, CAST(min(pos) AS INTEGER) AS first, CAST(max(pos) AS INTEGER
 n AS (SELECT pattern, (SELECT count(*) FROM sp JOIN gs USING (sent, first, last) WHERE sent % 3 = pattern) AS tp, (SELECT count(*) FROM sp WHERE sent % 3 = pattern) AS p,
   (SELECT count(*) FROM gs WHERE sent % 3 = pattern) AS g FROM (SELECT DISTINCT sent % 3 AS pattern FROM tg))
 SELECT pattern, {PRF} FROM (SELECT pattern, tp, p - tp AS fp, g - tp AS fn FROM n)""",
+    "tier_sample": f"""WITH {MESSAGES},
+p AS (SELECT seq, 'p' || CAST(floor(sqrt(book_id)) AS INTEGER) AS pattern FROM msgs),
+r AS (SELECT *, row_number() OVER (PARTITION BY pattern ORDER BY md5('42/' || seq), seq) AS place FROM p),
+k AS (SELECT pattern, row_number() OVER (ORDER BY pattern) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT pattern FROM p)),
+q AS (SELECT pattern, 100 // n + CAST(i < 100 % n AS INTEGER) AS a, 50 // n + CAST(i < 50 % n AS INTEGER) AS b FROM k)
+SELECT seq, pattern, CAST(CASE WHEN place <= a THEN 1 WHEN place <= a + b THEN 2 WHEN place <= a + 2 * b THEN 3 END AS INTEGER) AS tier FROM r JOIN q USING (pattern)""",
+    "tag_structures": f"""{TAGGED},
+w AS (SELECT sent, first, string_split(text, ' ') AS t FROM sp),
+b AS (SELECT *, CASE WHEN NOT regexp_matches(t[1], '^[0-9]+$') THEN t[1] END AS book, CASE WHEN regexp_matches(t[len(t)], '^[0-9]+$') THEN CAST(t[len(t)] AS INTEGER) END AS chapter FROM w),
+c AS (SELECT *, last_value(book IGNORE NULLS) OVER (PARTITION BY sent ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS near FROM b),
+e AS (SELECT *, near IS NOT NULL AS reads, bool_or(near IS NOT NULL) OVER (PARTITION BY sent) AS any_book FROM c)
+SELECT sent, CAST(row_number() OVER (PARTITION BY sent ORDER BY first) - 1 AS INTEGER) AS pos, CASE WHEN any_book THEN near ELSE t[1] END AS book_start, CASE WHEN any_book THEN chapter END AS start_chapter
+FROM e WHERE reads OR NOT any_book""",
     "crf_tags": f"{TAGGED} SELECT sent, string_agg(gold, ' ' ORDER BY p) AS tags FROM tg GROUP BY sent",
     "roles_in_order": "SELECT conv_id, string_agg(role, ' > ' ORDER BY first) AS roles FROM (SELECT conv_id, role, min(turn) AS first FROM conversations GROUP BY ALL) GROUP BY conv_id",
     "table_checks": "SELECT * FROM (VALUES ('members are there', true), ('messages are there', true), ('refs are there', true), ('progress are there', false), ('progress covers refs', false)) t(\"check\", ok)",

@@ -36,6 +36,16 @@ def chat_android(spark, sf_dir):
     return chat.parse_chats(files).select("file", "msg_seq", "timestamp", "sender", "message")
 
 
+def chat_whole(spark, sf_dir):
+    """All turns as one Android export a conversation, lines of the system without a sender among them."""
+    c = table(spark, sf_dir, "conversations")
+    said = F.regexp_replace(text.clean_text(F.col("text")), r"\n\n+", "\n")
+    told = F.when(F.col("role") == "system", F.translate(F.concat(F.lit("Grup "), said), ":", "")).otherwise(F.concat("role", F.lit(": "), said))
+    line = F.concat(F.lit("3/1/24, 9:0"), F.col("turn") % 10, F.lit(" - "), told)
+    files = c.groupBy(F.col("conv_id").cast("string").alias("file")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text", line.alias("l")))), lambda x: x["l"]), "\n").alias("content"))
+    return chat.parse_chats(files).select("file", "msg_seq", "timestamp", "sender", "message")
+
+
 def chat_ios(spark, sf_dir):
     m = messages(spark, sf_dir)
     line = F.concat(F.lit("["), F.date_format("timestamp", "d/M/yy H.mm.ss"), F.lit("] ~"), "sender", F.lit(": "), "message")
@@ -47,6 +57,32 @@ def matches(spark, sf_dir):
     return messages(spark, sf_dir).select("seq", "message", spans.found(F.col("message")).alias("m"))
 
 
+BEFORE, AFTER = ("sudah baca ", "", "pagi, ", "ini lho: "), (" amin", "\nselesai semua", "", " ya kak")
+
+
+def in_text(spark, sf_dir):
+    """References with words around them."""
+    of = lambda words, k: F.element_at(F.array(*[F.lit(w) for w in words]), (F.floor(F.col("seq") / k) % 4 + 1).cast("int"))
+    m = messages(spark, sf_dir).select("seq", F.concat(of(BEFORE, 1), "message", of(AFTER, 4)).alias("said"))
+    return m.select("seq", F.explode(spans.as_spans(spans.found(F.col("said")))).alias("x")).select("seq", "x.start", "x.end", "x.text")
+
+
+def answers(spark, sf_dir):
+    """What is read of a language model's answers: whole, with words around, without chapters, broken off, without a list, of two references, empty."""
+    m = messages(spark, sf_dir)
+    one = lambda book, ch: F.concat(F.lit('{"book_start": "'), book, F.lit('"'), F.concat(F.lit(', "start_chapter": '), ch) if ch is not None else F.lit(""), F.lit("}"))
+    whole = one(F.col("alias"), F.col("first"))
+    said = F.when(F.col("seq") % 7 == 0, F.concat(F.lit("["), whole, F.lit("]")))
+    for k, x in enumerate(
+        [
+            F.concat(F.lit("Sure:\n["), whole, F.lit("]\nDone.")), F.concat(F.lit("["), one(F.col("alias"), None), F.lit("]")), F.concat(F.lit("["), F.left(whole, F.lit(15)), F.lit("]")),
+            whole, F.concat(F.lit("["), whole, F.lit(", "), one(F.lit("why"), F.lit(1)), F.lit("]")), F.lit("[]"),
+        ], 1,
+    ):
+        said = F.when(F.col("seq") % 7 == k, x).otherwise(said)
+    return m.select("seq", F.posexplode(grammar.llm_refs(said)).alias("pos", "r")).select("seq", "pos", "r.book_start", "r.start_chapter", "r.end_chapter")
+
+
 SPANS = f"WITH {MESSAGES}"
 RULED = "CASE WHEN regexp_matches(alias, '[0-9 -]') THEN NULL ELSE message END"
 
@@ -59,7 +95,10 @@ QUERIES = {
     "platform_detect": lambda s, d: table(s, d, "conversations").select("conv_id", "turn", chat.platform(F.when(F.col("turn") % 2 == 0, F.concat(F.lit("  ["), F.col("text"))).otherwise(F.col("text"))).alias("platform")),
     "timestamp_coerce": lambda s, d: table(s, d, "events").select("event_id", chat.parse_timestamps(F.when(F.col("event_id") % 2 == 0, "iOS").otherwise("Android"), F.date_format("ts", "d/M/yy"), F.when(F.col("event_id") % 2 == 0, F.date_format("ts", "H.mm.ss")).when(F.col("event_id") % 3 == 0, F.lit("99:99")).otherwise(F.date_format("ts", "H:mm"))).alias("at")),
     "chat_parse_android": chat_android,
+    "chat_parse_whole": chat_whole,
     "chat_parse_ios": chat_ios,
+    "spans_in_text": in_text,
+    "llm_answers": answers,
     "rule_spans": lambda s, d: matches(s, d).select("seq", F.explode(spans.as_spans(F.col("m"))).alias("x")).select("seq", "x.start", "x.end", "x.text"),
     "rule_structures": lambda s, d: matches(s, d).select("seq", F.explode(spans.as_structures(F.col("m"))).alias("x")).select("seq", "x.*"),
     "annotate_counts": lambda s, d: spans.label(spans.annotate(messages(s, d).select("seq", "message"))).groupBy("category").agg(F.count("*").alias("n"), F.sum("bible_ref_count").alias("refs")),
@@ -83,6 +122,14 @@ SQL = {
 SELECT CAST(conv_id AS VARCHAR) AS file, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS msg_seq,
        TIMESTAMP '2024-01-03 09:00:00' + to_minutes(CAST(turn % 10 AS BIGINT)) AS "timestamp", role AS sender, regexp_replace({squeeze("text")}, '\\n\\n+', chr(10), 'g') AS message
 FROM conversations WHERE role <> 'system'""",
+    "chat_parse_whole": f"""SELECT CAST(conv_id AS VARCHAR) AS file, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS msg_seq,
+       TIMESTAMP '2024-01-03 09:00:00' + to_minutes(CAST(turn % 10 AS BIGINT)) AS "timestamp", CASE WHEN role <> 'system' THEN role END AS sender,
+       CASE WHEN role = 'system' THEN replace('Grup ' || regexp_replace({squeeze("text")}, '\\n\\n+', chr(10), 'g'), ':', '') ELSE regexp_replace({squeeze("text")}, '\\n\\n+', chr(10), 'g') END AS message
+FROM conversations""",
+    "spans_in_text": f"""WITH {MESSAGES}, p AS (SELECT seq, message, ['sudah baca ', '', 'pagi, ', 'ini lho: '][CAST(seq % 4 + 1 AS INTEGER)] AS b FROM msgs)
+SELECT seq, CAST(length(b) AS INTEGER) AS start, CAST(length(b) + length(message) AS INTEGER) AS "end", message AS text FROM p""",
+    "llm_answers": f"""WITH {MESSAGES} SELECT seq, 0 AS pos, alias AS book_start, CASE WHEN seq % 7 <> 2 THEN first END AS start_chapter, CAST(NULL AS INTEGER) AS end_chapter FROM msgs WHERE seq % 7 IN (0, 1, 2, 5)
+UNION ALL SELECT seq, 1, 'why', 1, NULL FROM msgs WHERE seq % 7 = 5""",
     "chat_parse_ios": f"""WITH {MESSAGES}
 SELECT CAST(seq % 40 AS VARCHAR) AS file, row_number() OVER (PARTITION BY seq % 40 ORDER BY seq) AS msg_seq, date_trunc('second', "timestamp") AS "timestamp", sender, message FROM msgs""",
     "rule_spans": f"WITH {MESSAGES} SELECT seq, 0 AS start, CAST(length(message) AS INTEGER) AS \"end\", message AS text FROM msgs",
