@@ -44,9 +44,9 @@ msg AS (
 msgs AS (SELECT *, alias || ' ' || first || CASE WHEN last > first THEN '-' || last ELSE '' END AS message FROM msg)"""
 
 
-def plan(spark: SparkSession) -> DataFrame:
-    """Thirty days from 2024-01-01, two chapters of a book or, each seventh day, the end of one book and the start of the next."""
-    d = spark.range(30).select(F.col("id").cast("int").alias("i"))
+def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each day on which somebody wrote: two chapters of a book or, each seventh day, the end of one book and the start of the next."""
+    d = table(spark, sf_dir, "events").select(F.date_diff(F.to_date("ts"), F.lit("2024-01-01")).alias("i")).distinct()
     b = (F.col("i") * 2 % 65 + 1).cast("int")
     names = F.array(*[F.lit(x[1]) for x in books()])
     cross = F.col("i") % 7 == 6
@@ -59,7 +59,7 @@ def plan(spark: SparkSession) -> DataFrame:
 
 
 PLAN = """
-days AS (SELECT CAST(i AS INTEGER) AS i, CAST(i * 2 % 65 + 1 AS INTEGER) AS b FROM range(30) t(i)),
+days AS (SELECT CAST(i AS INTEGER) AS i, CAST(i * 2 % 65 + 1 AS INTEGER) AS b FROM (SELECT DISTINCT CAST(ts AS DATE) - DATE '2024-01-01' AS i FROM events)),
 pl AS (
   SELECT i, CAST(DATE '2024-01-01' + i AS DATE) AS date, i + 1 AS day, b, i % 7 = 6 AS crosses, s.name AS s_name, s.chapters AS s_chapters, e.name AS e_name
   FROM days JOIN cat s ON s.book_id = b JOIN cat e ON e.book_id = b + 1

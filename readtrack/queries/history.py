@@ -14,7 +14,7 @@ from .domain import MESSAGES, PLAN, PROGRESS, messages, plan, refs, table
 
 def last_read_by_day(s, d):
     """Each member's last chapter at every date of the plan."""
-    days = [r["date"] for r in plan(s).select("date").collect()]  # the plan's thirty
+    days = sorted(r["date"] for r in plan(s, d).select("date").collect())  # one a day
     who = table(s, d, "events").select(F.concat(F.lit("user_"), F.col("user_id")).alias("sender")).distinct()
     probes = who.select("sender", F.explode(F.array(*[F.lit(x) for x in days])).alias("date"))
     return progress.last_read_at(progress.progress_of(refs(s, d)), probes)

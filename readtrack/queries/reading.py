@@ -78,8 +78,8 @@ def reads(s, d):
     return progress.progress_of(refs(s, d))
 
 
-def chapters(s):
-    return reading_plan.expand_plan(plan(s))
+def chapters(s, d):
+    return reading_plan.expand_plan(plan(s, d))
 
 
 def planned_reads(s, d):
@@ -88,7 +88,7 @@ def planned_reads(s, d):
     step = F.col("u") % 5 + 1
     days = F.filter(F.sequence(F.lit(1), F.lit(30)), lambda x: (x % 10 == 0) | (x % step == 0))
     each = who.select("sender", F.explode(days).alias("r_day"))
-    met = chapters(s).join(each, (F.col("day") == F.col("r_day")) & ((F.col("day") % 10 == 0) | (F.col("seq") == 0)))
+    met = chapters(s, d).join(each, (F.col("day") == F.col("r_day")) & ((F.col("day") % 10 == 0) | (F.col("seq") == 0)))
     return met.select("sender", "book_id", "book_name", "chapter", F.col("date").alias("date_read"))
 
 
@@ -131,13 +131,13 @@ QUERIES = {
     "gap_fill_window": lambda s, d: progress.gap_fill(progress.running_last(ups(s, d)), "last_book", "last_chapter").select("sender", "seq", "start_chapter", "end_chapter"),
     "batch_totals": lambda s, d: progress.totals(messages(s, d), messages(s, d).where("seq % 3 = 0"), refs(s, d).withColumn("is_valid", F.col("seq") % 7 > 0)),
     "last_read_asof": lambda s, d: progress.last_read(reads(s, d).select("sender", "date_read", "book_id", "chapter"), F.lit("2024-01-20").cast("date")),
-    "plan_expand": lambda s, d: chapters(s).select("date", "day", "book_id", "book_name", "chapter", "seq"),
-    "plan_emoji": lambda s, d: reading_plan.plan_emoji(plan(s)),
-    "plan_days": lambda s, d: reading_plan.total_days(plan(s)),
-    "header_format": lambda s, d: reading_plan.headers(chapters(s)),
-    "compliance_member": lambda s, d: flat(compliance.check_member(chapters(s), planned_reads(s, d), "user_3", SUMMARY_DAY)),
-    "compliance_all": lambda s, d: flat(compliance.check_all(chapters(s), planned_reads(s, d))),
-    "daily_summary": lambda s, d: compliance.summarize(members(s, d), chapters(s), reading_plan.plan_emoji(plan(s)), planned_reads(s, d), SUMMARY_DAY),
+    "plan_expand": lambda s, d: chapters(s, d).select("date", "day", "book_id", "book_name", "chapter", "seq"),
+    "plan_emoji": lambda s, d: reading_plan.plan_emoji(plan(s, d)),
+    "plan_days": lambda s, d: reading_plan.total_days(plan(s, d)),
+    "header_format": lambda s, d: reading_plan.headers(chapters(s, d)),
+    "compliance_member": lambda s, d: flat(compliance.check_member(chapters(s, d), planned_reads(s, d), "user_3", SUMMARY_DAY)),
+    "compliance_all": lambda s, d: flat(compliance.check_all(chapters(s, d), planned_reads(s, d))),
+    "daily_summary": lambda s, d: compliance.summarize(members(s, d), chapters(s, d), reading_plan.plan_emoji(plan(s, d)), planned_reads(s, d), SUMMARY_DAY),
     "explode_refs": lambda s, d: raw(s, d).select("seq", "ord", "book_start", "start_chapter", "end_chapter"),
 }
 

@@ -50,7 +50,7 @@ def progress_of_chats(s, d):
 
 QUERIES = {
     "chats_to_progress": progress_of_chats,
-    "chats_to_report": lambda s, d: run.report(chats(s, d), plan(s), DAY),
+    "chats_to_report": lambda s, d: run.report(chats(s, d), plan(s, d), DAY),
 }
 
 #: Of messages of one sender and minute the first counts; what is read twice counts once.
