@@ -6,11 +6,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..catalog import name_of
 from ..functions import sql
-from ..sources import conll
+from ..operators import progress
+from ..plans import reading_plan
+from ..sources import conll, files, store
 from ..sources.shared import new_folder
 from ..streaming import ingest
-from .domain import SPELT, messages
+from .domain import SPELT, messages, plan
 from .learning import ambiguous
 from .reading import SQL as READING
 from .reading import refs, ups
@@ -66,7 +69,46 @@ def stream_fill_gaps(s, d, waves: int = 3):
     return s.read.schema(ingest.PERSISTED).parquet(f"{folder}/out").select("sender", "timestamp", "start_id", "start_chapter", "end_chapter", "is_valid", "filled")
 
 
-QUERIES = {"sql_read_refs": sql_read_refs, "sql_fill_gaps": sql_fill_gaps, "conll_files": conll_files, "stream_fill_gaps": stream_fill_gaps}
+def plan_file(s, d):
+    """The plan written as CSV and read back, its chapters expanded."""
+    folder = new_folder(s, "plan")
+    files.write_csv(plan(s, d).select("day", F.col("date").cast("string").alias("date"), "book_start", "start_chapter", "book_end", "end_chapter", "emoji"), folder)
+    return reading_plan.expand_plan(files.read_plan(s, folder)).select("date", "day", "book_id", "book_name", "chapter")
+
+
+def labelled_files(s, d):
+    """All messages written as labelled CSV, with quotes and line ends in them, and read back: messages and reports by day."""
+    folder = new_folder(s, "labelled")
+    m = messages(s, d)
+    label = F.when(F.col("seq") % 4 == 0, F.lit(" Report ")).when(F.col("seq") % 4 == 1, F.lit("chat")).otherwise(F.lit("REPORT"))
+    said = F.concat(F.lit('"'), "message", F.lit('",\n'), F.col("seq"))
+    files.write_csv(m.select(F.date_trunc("SECOND", "timestamp").cast("string").alias("timestamp"), "sender", said.alias("message"), label.alias("category")), folder, mark=False)
+    got = files.read_labelled(s, folder)
+    return got.groupBy(F.to_date("timestamp").alias("day")).agg(F.count("*").alias("n"), F.count_if("is_report").alias("reports"), F.sum(F.length("message")).alias("chars"))
+
+
+def pool_files(s, d):
+    """Messages in a folder for each kind, of which some are read alone."""
+    folder = new_folder(s, "pools")
+    m = messages(s, d).select("seq", F.concat(F.lit("b"), F.col("book_id") % 5).alias("pool"))
+    files.write_pools(m, folder, "pool")
+    return files.read_pools(s, folder, "pool", ["b1", "b3"]).select("seq", "pool")
+
+
+def stored_batches(s, d):
+    """Progress kept in tables in two batches, the second with messages of the first once more: as the table then has it."""
+    name = f"readtrack_{uuid.uuid4().hex}"
+    s.sql(f"CREATE DATABASE {name} LOCATION '{new_folder(s, 'store')}'")
+    store.create_tables(s, name)
+    m = messages(s, d).select("seq", "sender", "timestamp", "message")
+    r = progress.persist(refs(s, d)).withColumns({"book_start": name_of(F.col("start_id")), "book_end": name_of(F.col("end_id"))})
+    half = m.agg(F.percentile_approx("seq", 0.5)).first()[0] or 0
+    for part in (F.col("seq") <= half, F.lit(True)):
+        store.store_batch(name, m.where(part), r.where(part))
+    return store.stored(s, name, "reading_progress").select("sender", "book_id", "chapter", "date_read")
+
+
+QUERIES = {"plan_file": plan_file, "labelled_files": labelled_files, "pool_files": pool_files, "stored_batches": stored_batches, "sql_read_refs": sql_read_refs, "sql_fill_gaps": sql_fill_gaps, "conll_files": conll_files, "stream_fill_gaps": stream_fill_gaps}
 
 SQL = {
     "sql_read_refs": f"{SPANS} SELECT seq, {SPELT} AS book_start, first AS start_chapter, CAST(NULL AS VARCHAR) AS book_end, CASE WHEN last > first THEN last END AS end_chapter FROM msgs",

@@ -84,3 +84,21 @@ def test_queries(spark):
     once = r.dropDuplicates(["sender", "timestamp"])
     assert once.count() == r.count()
     assert sorted(map(str, got.collect())) == sorted(map(str, progress.persist(once).select(got.columns).collect()))
+
+
+@needs
+def test_files_and_tables(spark):
+    """What is written and read back is what was there; tables filled in two batches hold each chapter's first read."""
+    plan = reading.reading_plan.expand_plan(reading.plan(spark, SF)).select("date", "day", "book_id", "book_name", "chapter").collect()
+    assert sorted(map(str, named.plan_file(spark, SF).collect())) == sorted(map(str, plan))
+    m = reading.messages(spark, SF)
+    by_day = {}
+    for r in m.select(F.to_date("timestamp").alias("d"), "seq", "message").collect():
+        n = by_day.setdefault(r["d"], [0, 0, 0])
+        for i, x in enumerate((1, int(r["seq"] % 4 != 1), len(f'"{r["message"]}",\n{r["seq"]}'))):
+            n[i] += x
+    assert {r["day"]: [r["n"], r["reports"], r["chars"]] for r in named.labelled_files(spark, SF).collect()} == by_day
+    want = {(r["seq"], f"b{r['book_id'] % 5}") for r in m.select("seq", "book_id").collect() if r["book_id"] % 5 in (1, 3)}
+    assert {tuple(r) for r in named.pool_files(spark, SF).collect()} == want
+    whole = progress.progress_of(progress.persist(reading.refs(spark, SF))).select("sender", "book_id", "chapter", "date_read").collect()
+    assert sorted(map(tuple, named.stored_batches(spark, SF).collect())) == sorted(map(tuple, whole))
