@@ -50,12 +50,12 @@ def conll_files(s, d):
 def stream_fill_gaps(s, d, waves: int = 3):
     """Members' gaps filled as messages arrive: in waves by time, each a run of one streaming query that goes on where the last one ended."""
     folder = new_folder(s, "stream")
-    r = refs(s, d)
+    r = progress.new_messages(refs(s, d))
     edges = [x for x in r.agg(F.percentile_approx("timestamp", [i / waves for i in range(1, waves)], 1000).cast("array<string>").alias("e")).first()["e"] or []]
     wave = F.size(F.filter(F.array(*[F.lit(e).cast("timestamp_ntz") for e in edges]), lambda e: e <= F.col("timestamp"))) if edges else F.lit(0)
     placed = r.withColumn("seq", F.unix_micros(F.col("timestamp").cast("timestamp"))).withColumn("wave", wave)
     before = {k: s.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass")}
-    s.conf.set("spark.sql.shuffle.partitions", str(min(int(before["spark.sql.shuffle.partitions"]), 2 * s.sparkContext.defaultParallelism)))
+    s.conf.set("spark.sql.shuffle.partitions", str(min(int(s.conf.get("spark.sql.shuffle.partitions")), 2 * s.sparkContext.defaultParallelism)))
     s.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
         for w in range(len(edges) + 1):

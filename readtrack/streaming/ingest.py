@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from datetime import date
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..catalog import books
-from ..operators.progress import PERSISTED, Reader, new_messages
+from ..operators.progress import PERSISTED, USABLE, Reader, new_messages
 from ..sources.chat import decoded, parse_chats
 
+#: Fixed value: more than a book has chapters.
+CANON = 1000
+
 
 def stream_chats(spark: SparkSession, path: str) -> DataFrame:
     """(file, content) of each chat export that arrives in the folder."""
@@ -43,28 +48,26 @@ def store_messages(chats: DataFrame, path: str, checkpoint: str):
     return chats.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-class GapFiller(StatefulProcessor):
-    """Per member: the chapters read so far (at most the canon's), as JSON."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("reader", "read string")
-        self.chapters = {b[0]: b[2] for b in books()}
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues=None) -> Iterator[pd.DataFrame]:
-        known = json.loads(self.state.get()[0]) if self.state.exists() else []
-        reader = Reader({(book, chapter): pd.Timestamp(day).date() for day, book, chapter in known})
-        frame = pd.concat(list(rows)).sort_values(["seq", "ord"]).assign(sender=key[0])
-        out = [reader.take(r, self.chapters) for r in frame.itertuples(index=False)]
-        self.state.update((json.dumps([(str(d), b, c) for (b, c), d in reader.read.items()]),))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in PERSISTED.split(", ")])
-
-    def close(self) -> None:
-        pass
-
-
-def stream_persist(refs: DataFrame) -> DataFrame:
-    """`persist` over a stream of normalised references."""
-    return refs.groupBy("sender").transformWithStateInPandas(statefulProcessor=GapFiller(), outputStructType=PERSISTED, outputMode="append", timeMode="none")
+def fill_gaps(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """A batch's references of a bucket of members, their gaps filled. State, as JSON: of each member the chapters read so far by day (at most the canon's)."""
+    known = json.loads(state.get[0]) if state.exists else {}
+    chapters, out = {b[0]: b[2] for b in books()}, []
+    for sender, rows in groupby(pd.concat(list(frames)).sort_values(["sender", "seq", "ord"]).itertuples(index=False), lambda r: r.sender):
+        read = {divmod(c, CANON): date.fromisoformat(day) for day, found in known.get(sender, {}).items() for c in found}
+        reader = Reader(read)
+        out += [reader.take(r, chapters) for r in rows]
+        days: dict[str, list[int]] = {}
+        for (book, chapter), day in reader.read.items():
+            days.setdefault(day.isoformat(), []).append(book * CANON + chapter)
+        known[sender] = days
+    state.update((json.dumps(known),))
+    yield pd.DataFrame(out, columns=[c.split()[0] for c in PERSISTED.split(", ")])
+
+
+def stream_persist(refs: DataFrame, buckets: int = 2048) -> DataFrame:
+    """`persist` over a stream of normalised references. Members share state in buckets of their hash, whose number holds for a checkpoint's life: Python is called once a bucket and batch, not once a member."""
+    placed = refs.where(USABLE).withColumn("bucket", F.pmod(F.xxhash64("sender"), F.lit(buckets)))
+    return placed.groupBy("bucket").applyInPandasWithState(fill_gaps, PERSISTED, "read string", "append", GroupStateTimeout.NoTimeout)
 
 
 def resume_once(messages: DataFrame, delay: str = "1 day") -> DataFrame:

@@ -1,5 +1,6 @@
 """Functions by name, the CoNLL source and the stream, against the operators they stand for."""
 
+import datetime as dt
 import os
 
 import pytest
@@ -9,6 +10,7 @@ from readtrack.functions import sql, text
 from readtrack.operators import grammar, progress
 from readtrack.queries import learning, named, reading
 from readtrack.sources import conll
+from readtrack.streaming import ingest
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 needs = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -86,6 +88,29 @@ def test_queries(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, progress.persist(once).select(got.columns).collect()))
 
 
+def test_stream_of_any_session(spark, tmp_path):
+    """The number of partitions is no setting of the session's; events without a time or a member, and references without a chapter, end no stream."""
+    start = dt.datetime(2024, 1, 1)
+    events = [(i, i % 7, start + dt.timedelta(hours=5 * i), "view") for i in range(120)] + [(500, 3, None, "view"), (501, None, start, "view"), (502, 2, start + dt.timedelta(hours=10), "view")]
+    spark.createDataFrame(events, "event_id long, user_id long, ts timestamp_ntz, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.unset("spark.sql.shuffle.partitions")
+    try:
+        got = named.stream_fill_gaps(spark, str(tmp_path))
+        assert spark.conf.get("spark.sql.shuffle.partitions", None) is None
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    r = reading.refs(spark, str(tmp_path)).where("seq < 500").withColumn("seq", F.unix_micros(F.col("timestamp").cast("timestamp")))
+    assert sorted(map(str, got.collect())) == sorted(map(str, progress.persist(r).select(got.columns).collect()))
+    rows = [("a", i, 0, start, 1, c, 1, c, True) for i, c in enumerate([3, None, 6])] + [(None, 3, 0, start, 1, 8, 1, 8, True), ("b", 4, 0, None, 1, 9, 1, 9, True)]
+    schema = "sender string, seq long, ord int, timestamp timestamp_ntz, start_id int, start_chapter int, end_id int, end_chapter int, is_valid boolean"
+    refs = spark.createDataFrame(rows, schema)
+    refs.write.parquet(str(tmp_path / "refs"))
+    out = ingest.stream_persist(spark.readStream.schema(schema).parquet(str(tmp_path / "refs")), buckets=2)
+    out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(map(str, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(map(str, progress.persist(refs).collect()))
+
+
 @needs
 def test_files_and_tables(spark):
     """What is written and read back is what was there; tables filled in two batches hold each chapter's first read."""
