@@ -11,7 +11,7 @@ from ..functions import sql
 from ..operators import progress
 from ..plans import reading_plan
 from ..sources import conll, files, store
-from ..sources.shared import new_folder
+from ..sources.shared import kept, new_folder
 from ..streaming import ingest
 from .domain import SPELT, messages, plan
 from .learning import ambiguous
@@ -101,7 +101,7 @@ def stored_batches(s, d):
     s.sql(f"CREATE DATABASE {name} LOCATION '{new_folder(s, 'store')}'")
     store.create_tables(s, name)
     m = messages(s, d).select("seq", "sender", "timestamp", "message")
-    r = progress.persist(refs(s, d)).withColumns({"book_start": name_of(F.col("start_id")), "book_end": name_of(F.col("end_id"))})
+    r = kept(progress.persist(refs(s, d)), "persisted").withColumns({"book_start": name_of(F.col("start_id")), "book_end": name_of(F.col("end_id"))})
     half = m.agg(F.percentile_approx("seq", 0.5)).first()[0] or 0
     for part in (F.col("seq") <= half, F.lit(True)):
         store.store_batch(name, m.where(part), r.where(part))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import progress
+from .shared import kept
 
 TABLES = {
     "members": "name STRING",
@@ -71,18 +72,18 @@ def stored(spark: SparkSession, database: str, name: str, before: int | None = N
 def store_batch(database: str, messages: DataFrame, refs: DataFrame, processed_at: Column | None = None) -> str | None:
     """Stores a batch: new members and messages, valid references, chapters read for the first time. Its name, or None if there is nothing new.
 
-    messages: seq, sender, timestamp, message; refs: what `persist` gives, with book_start and book_end.
+    What is new is worked out once and kept for all tables. messages: seq, sender, timestamp, message; refs: what `persist` gives, with book_start and book_end.
     """
     spark = messages.sparkSession
     log = Log(spark, database)
     for _ in range(TRIES):
         n, batch = log.next(), uuid.uuid4().hex
         have = {t: stored(spark, database, t, n) for t in TABLES}
-        pending = progress.pending(messages, have["messages"])
+        pending = kept(progress.pending(messages, have["messages"]), "pending")
         if pending.isEmpty():
             return None
         own = pending.select("sender", "seq").distinct()
-        mine = refs.join(own, ["sender", "seq"], "left_semi")
+        mine = kept(refs.join(own, ["sender", "seq"], "left_semi"), "mine")
         fresh = {
             "members": progress.new_members(pending, have["members"]),
             "refs": mine.where("is_valid").join(have["refs"].select("sender", "seq", "ord"), ["sender", "seq", "ord"], "left_anti"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from readtrack import run
 from readtrack.queries import domain, whole
-from readtrack.sources import chat
+from readtrack.sources import chat, store
 
 
 def test_long_exports(spark, tmp_path):
@@ -43,3 +43,19 @@ def test_a_report_reads_what_is_stored(spark, tmp_path, monkeypatch):
     assert told.count() == 200
     m = domain.messages(spark, str(tmp_path)).where("sender is not null and timestamp is not null").groupBy("sender").count().withColumnRenamed("count", "n")
     assert told.groupBy("sender").agg(F.count("*").alias("n")).exceptAll(m).isEmpty()
+
+
+def test_a_batch_works_out_references_once(spark):
+    rows = [("a", i, 0, dt.datetime(2024, 1, 1 + i), 1, i + 1, 1, i + 1, True, False) for i in range(5)]
+    names = "sender string, seq long, ord int, timestamp timestamp_ntz, start_id int, start_chapter int, end_id int, end_chapter int, is_valid boolean, filled boolean"
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    refs = spark.createDataFrame(rows, names).mapInPandas(counted, names).withColumns({"book_start": F.lit("Kejadian"), "book_end": F.lit("Kejadian")})
+    messages = spark.createDataFrame([("a", r[1], r[3], "x") for r in rows], "sender string, seq long, timestamp timestamp_ntz, message string")
+    store.create_tables(spark, "once")
+    assert store.store_batch("once", messages, refs) and seen.value == 5 and store.stored(spark, "once", "reading_progress").count() == 5
